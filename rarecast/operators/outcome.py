@@ -24,16 +24,17 @@ from ..functions.normalise import award_count
 from ..util import epoch_seconds
 
 
-def outcome_fields(df: DataFrame, awards: str, ups: str, comments: str,
-                   key: str = "post_id") -> DataFrame:
+def outcome_fields(df: DataFrame, awards: str, ups, comments, key: str = "post_id",
+                   keys: dict[str, str] | None = None) -> DataFrame:
     """silver/gold/platinum, final upvotes and comments of the later record."""
+    from ..functions.normalise import AWARD_KEYS
+    from ..util import col_of
+    keys = keys or AWARD_KEYS
     return df.select(
         F.col(key),
-        award_count(awards, "gid_1").alias("silver_awarded"),
-        award_count(awards, "gid_2").alias("gold_awarded"),
-        award_count(awards, "gid_3").alias("platinum_awarded"),
-        F.col(ups).cast("int").alias("final_upvotes"),
-        F.col(comments).cast("int").alias("final_num_comments"),
+        *[award_count(awards, k).alias(f"{name}_awarded") for name, k in keys.items()],
+        col_of(ups).cast("int").alias("final_upvotes"),
+        col_of(comments).cast("int").alias("final_num_comments"),
     )
 
 
@@ -112,7 +113,8 @@ def outcome_after(snap: DataFrame, out: DataFrame, key: str, snap_ts: str, out_t
     return res.select(*[F.col(f"__s.{c}").alias(c) for c in snap_cols], *outs)
 
 
-def outcome_gaps(snap: DataFrame, out: DataFrame, key: str, by: list[str]) -> DataFrame:
-    """Snapshots with no outcome row, counted per ``by``."""
-    missing = snap.join(out.select(key).distinct(), key, "left_anti")
+def outcome_gaps(snap: DataFrame, out: DataFrame, key: str | list, by: list[str]) -> DataFrame:
+    """Snapshots with no outcome row for their key, counted per ``by``."""
+    keys = [key] if isinstance(key, str) else list(key)
+    missing = snap.join(out.select(*keys).distinct(), keys, "left_anti")
     return missing.groupBy(*by).agg(F.count(F.lit(1)).alias("n_missing"))

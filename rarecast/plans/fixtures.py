@@ -107,3 +107,37 @@ def round_doubles(df: DataFrame, places: int = 6) -> DataFrame:
         else:
             out.append(F.col(f"`{f.name}`"))
     return df.select(*out)
+
+
+# ----------------------------------------------------------------------------- events as snapshots
+EVENTS_ASOF = dt.datetime(2024, 2, 1)
+EVENTS_ASOF_SQL = "TIMESTAMP '2024-02-01 00:00:00'"
+
+
+def events_asof():
+    return F.lit(EVENTS_ASOF).cast("timestamp_ntz")
+
+
+def staged_events(spark, sf_dir) -> DataFrame:
+    """events with a sort mode, the staged file name a scrape would write and
+    the snapshot id ``<event_id>_<how><MMddHHmm>``."""
+    from ..functions.normalise import scrape_tag, staged_file_name
+    e = events(spark, sf_dir)
+    how = F.when(F.col("event_id") % 2 == 0, F.lit("new")).otherwise(F.lit("rising"))
+    e = e.withColumn("how", how)
+    return e.withColumns({
+        "file_name": staged_file_name("how", "ts"),
+        "id": F.concat(F.col("event_id").cast("string"), F.lit("_"), scrape_tag("how", "ts")),
+        "scrape_tag": scrape_tag("how", "ts"),
+    })
+
+
+STAGED_EVENTS_SQL = """(SELECT *,
+  'staging/gilded_data_sortedby_' || how || '_' || strftime(ts, '%m-%d') || '_at_' || strftime(ts, '%H%M') || 'utc.pkl' AS file_name,
+  CAST(event_id AS VARCHAR) || '_' || how || strftime(ts, '%m%d%H%M') AS id,
+  how || strftime(ts, '%m%d%H%M') AS scrape_tag
+  FROM (SELECT *, CASE WHEN event_id % 2 = 0 THEN 'new' ELSE 'rising' END AS how FROM events))"""
+
+
+def epoch_sql(ts: str) -> str:
+    return f"(epoch_us({ts}) / 1000000.0)"

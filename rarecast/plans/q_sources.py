@@ -1 +1,145 @@
-"""Registered queries."""
+"""Registered queries: sources, sinks and the posts table."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from ..session import fresh_path
+from ..sources import posts as P
+from ..sources import table as TB
+from .fixtures import STAGED_EVENTS_SQL, events, round_doubles, staged_events, table
+from .registry import register
+
+_EVENT_SCHEMA = T.StructType([
+    T.StructField("event_id", T.LongType()), T.StructField("user_id", T.LongType()),
+    T.StructField("event_type", T.StringType()), T.StructField("value", T.DoubleType()),
+])
+
+
+@register("scan_posts", "SELECT event_id, user_id, event_type, value FROM events")
+def scan_posts(spark, sf):
+    return P.read_posts(spark, f"{sf}/events.parquet", _EVENT_SCHEMA)
+
+
+@register("project_fields", """
+SELECT event_id AS post_id, user_id AS author, event_type AS kind, value AS upvotes FROM events""")
+def project_fields(spark, sf):
+    return P.project_fields(events(spark, sf), {"post_id": "event_id", "author": "user_id",
+                                                "kind": "event_type", "upvotes": "value"})
+
+
+@register("filter_allowlist", """
+SELECT c_custkey, c_name, n_name FROM customer JOIN nation ON c_nationkey = n_nationkey
+WHERE n_name IN (SELECT trim(n_name) FROM nation WHERE n_regionkey < 2)""")
+def filter_allowlist(spark, sf):
+    nation = table(spark, sf, "nation")
+    # The list arrives as comma-terminated text lines, as in a list file.
+    lines = nation.where(F.col("n_regionkey") < 2).select(F.concat(F.col("n_name"), F.lit(",")).alias("value"))
+    allow = P.parse_allowlist(lines)
+    cust = table(spark, sf, "customer").join(
+        nation.select(F.col("n_nationkey").alias("c_nationkey"), "n_name"), "c_nationkey")
+    return P.filter_allowlist(cust, allow, "n_name").select("c_custkey", "c_name", "n_name")
+
+
+@register("latest_n_per_sort", """
+SELECT event_type, event_id FROM events
+QUALIFY row_number() OVER (PARTITION BY event_type ORDER BY ts DESC, event_id DESC) <= 250""")
+def latest_n_per_sort(spark, sf):
+    e = events(spark, sf)
+    return P.latest_n(e, "event_type", [F.col("ts").desc(), F.col("event_id").desc()], 250) \
+        .select("event_type", "event_id")
+
+
+@register("scrape_tag", f"SELECT event_id, scrape_tag FROM {STAGED_EVENTS_SQL}")
+def scrape_tag(spark, sf):
+    return staged_events(spark, sf).select("event_id", "scrape_tag")
+
+
+@register("list_staged_files", f"""
+SELECT DISTINCT file_name FROM (SELECT file_name FROM {STAGED_EVENTS_SQL} UNION ALL SELECT 'staging/')
+WHERE starts_with(file_name, 'staging/') AND file_name <> 'staging/' AND NOT ends_with(file_name, '/')""")
+def list_staged_files(spark, sf):
+    keys = staged_events(spark, sf).select("file_name")
+    marker = spark.range(1).select(F.lit("staging/").alias("file_name"))
+    return P.staged_names(keys.unionByName(marker), "file_name", "staging/")
+
+
+_BATCH_SQL = """(SELECT event_id, event_type, value FROM events WHERE event_type <> 'error'
+  UNION ALL SELECT event_id, event_type, value + 1000 FROM events WHERE event_type <> 'error')"""
+
+
+@register("append_first_wins", f"""
+WITH t AS (SELECT event_id, event_type, value FROM events WHERE event_type IN ('view', 'click')),
+f AS (SELECT * FROM {_BATCH_SQL} QUALIFY row_number() OVER (PARTITION BY event_id ORDER BY value, event_type) = 1)
+SELECT * FROM t UNION ALL SELECT * FROM f WHERE event_id NOT IN (SELECT event_id FROM t)""")
+def append_first_wins(spark, sf):
+    e = events(spark, sf).select("event_id", "event_type", "value")
+    target = e.where(F.col("event_type").isin("view", "click"))
+    b = e.where(F.col("event_type") != "error")
+    batch = b.unionByName(b.withColumn("value", F.col("value") + 1000))
+    return round_doubles(TB.append_first_wins(target, batch, "event_id", ["value", "event_type"]))
+
+
+_CONFORM = T.StructType([
+    T.StructField("event_id", T.LongType()), T.StructField("user_id", T.IntegerType()),
+    T.StructField("value", T.FloatType()), T.StructField("event_type", T.StringType()),
+    T.StructField("props", T.StringType()), T.StructField("note", T.StringType()),
+])
+
+
+@register("conform_schema", """
+SELECT CAST(event_id AS BIGINT) AS event_id, TRY_CAST(user_id AS INTEGER) AS user_id,
+  round(TRY_CAST(value AS REAL), 6) AS value, event_type, props, CAST(NULL AS VARCHAR) AS note FROM events""")
+def conform_schema(spark, sf):
+    return round_doubles(TB.conform(events(spark, sf), _CONFORM))
+
+
+_ROUTE_SQL = """(SELECT event_id, user_id, value > 400 AS row_bad,
+  CASE WHEN max(CAST(value > 400 AS INTEGER)) OVER (PARTITION BY user_id) = 1 THEN 'error' ELSE 'completed' END AS route
+  FROM events)"""
+
+
+def _routed(spark, sf):
+    e = events(spark, sf).select("event_id", "user_id", "value")
+    return TB.route_files(e, "user_id", F.col("value") > 400)
+
+
+@register("route_valid_invalid", f"SELECT event_id, user_id, row_bad, route FROM {_ROUTE_SQL}")
+def route_valid_invalid(spark, sf):
+    return _routed(spark, sf).select("event_id", "user_id", "row_bad", "route")
+
+
+@register("load_ledger", f"""
+SELECT user_id, min(route) AS status, count(*) AS n_rows, CAST(sum(CAST(row_bad AS INTEGER)) AS BIGINT) AS n_bad_rows
+FROM {_ROUTE_SQL} GROUP BY user_id""")
+def load_ledger(spark, sf):
+    return TB.load_ledger(_routed(spark, sf), "user_id")
+
+
+@register("distinct_scrape_tags", f"""
+SELECT DISTINCT regexp_extract(id, '_(.*)$', 1) AS scrape_tag FROM {STAGED_EVENTS_SQL}""")
+def distinct_scrape_tags(spark, sf):
+    return TB.scrape_tags(staged_events(spark, sf), "id")
+
+
+@register("read_by_tags", f"""
+SELECT id, event_type, value, scrape_tag FROM {STAGED_EVENTS_SQL}
+WHERE scrape_tag IN (SELECT scrape_tag FROM {STAGED_EVENTS_SQL} WHERE event_type = 'purchase')""")
+def read_by_tags(spark, sf):
+    s = staged_events(spark, sf)
+    tags = s.where(F.col("event_type") == "purchase").select("scrape_tag")
+    return TB.read_by_tags(s, tags, ["id", "event_type", "value", "scrape_tag"])
+
+
+@register("union_blocks", f"SELECT id, how, value FROM {STAGED_EVENTS_SQL}")
+def union_blocks(spark, sf):
+    s = staged_events(spark, sf).select("id", "how", "value")
+    return TB.union_blocks([s.where(F.col("how") == "new"), s.where(F.col("how") == "rising")])
+
+
+@register("materialise_snapshot", "SELECT event_id, user_id, event_type, value FROM events")
+def materialise_snapshot(spark, sf):
+    e = events(spark, sf).select("event_id", "user_id", "event_type", "value")
+    return TB.materialise_snapshot(e, fresh_path(spark, "snapshot"), "2024-01-31") \
+        .select("event_id", "user_id", "event_type", "value")

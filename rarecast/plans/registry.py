@@ -25,6 +25,6 @@ def register(name: str, sql: str | None = None):
 
 def load_all() -> None:
     """Import every query module so that it registers itself."""
-    from . import (q_comments, q_sources, q_outcome, q_prep, q_profile,  # noqa: F401
+    from . import (q_comments, q_sources, q_normalise, q_outcome, q_prep, q_profile,  # noqa: F401
                    q_priors, q_encode, q_text, q_resample, q_evaluate, q_models,
                    q_streaming)
