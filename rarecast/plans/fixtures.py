@@ -141,3 +141,38 @@ STAGED_EVENTS_SQL = """(SELECT *,
 
 def epoch_sql(ts: str) -> str:
     return f"(epoch_us({ts}) / 1000000.0)"
+
+
+# ----------------------------------------------------------------------------- documents as posts
+def docs_labeled(spark, sf_dir) -> DataFrame:
+    """documents with their labels: title text, categories, a size and the
+    rare label ``toxic``."""
+    d = table(spark, sf_dir, "documents").select("doc_id", "lang", "source", "n_chars", "text")
+    lab = table(spark, sf_dir, "labels")
+    return d.join(lab, "doc_id")
+
+
+DOCS_SQL = """(SELECT d.doc_id, d.lang, d.source, d.n_chars, d.text, l.quality, l.toxic
+  FROM documents d JOIN labels l USING (doc_id))"""
+
+
+def hash_uniform_sql(id_sql: str, seed) -> str:
+    return f"(('0x' || substr(md5(CAST({id_sql} AS VARCHAR) || '|' || '{seed}'), 1, 8))::BIGINT / 4294967296.0)"
+
+
+def edges_sql(src: str, col: str, n_bins: int) -> str:
+    """Equal-frequency edges (edge k, value) as SQL: linear interpolation of
+    the sorted column at position n*k/n_bins, clamped to the last point."""
+    return f"""(SELECT pos.k AS edge, lo.x + (pos.p - floor(pos.p)) * (coalesce(hi.x, lo.x) - lo.x) AS value
+  FROM (SELECT k, least(n * k / {float(n_bins)}, n - 1) AS p
+        FROM range({n_bins + 1}) t(k), (SELECT count({col}) AS n FROM {src})) pos
+  JOIN (SELECT CAST({col} AS DOUBLE) AS x, row_number() OVER (ORDER BY {col}) - 1 AS r FROM {src} WHERE {col} IS NOT NULL) lo
+    ON lo.r = floor(pos.p)
+  LEFT JOIN (SELECT CAST({col} AS DOUBLE) AS x, row_number() OVER (ORDER BY {col}) - 1 AS r FROM {src} WHERE {col} IS NOT NULL) hi
+    ON hi.r = floor(pos.p) + 1)"""
+
+
+def bin_sql(x_sql: str, edges: str) -> str:
+    """Bin number: count of the distinct inner edges below x."""
+    return f"""(SELECT count(*) FROM (SELECT DISTINCT value AS v FROM {edges}) e
+   WHERE e.v > (SELECT min(value) FROM {edges}) AND e.v < (SELECT max(value) FROM {edges}) AND e.v < {x_sql})"""
