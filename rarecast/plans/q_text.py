@@ -1 +1,101 @@
-"""Registered queries."""
+"""Registered queries: text and vector features on documents
+(four languages, accented letters) and embeddings."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from ..functions import text as TX
+from ..operators import textfeat as TF
+from .fixtures import round_doubles, table
+from .registry import register
+
+# The stop-word parameter used by the fixture queries (common
+# function words of the four languages in the test corpus).
+QUERY_STOP = ["the", "and", "of", "to", "in", "le", "la", "les", "de", "des", "du", "et", "un", "une",
+              "der", "die", "das", "und", "el", "los", "las", "y", "en", "que"]
+VOCAB_K = 50
+
+_STOP_SQL = "[" + ", ".join(f"'{w}'" for w in QUERY_STOP) + "]"
+_RE = r"'[\p{L}\p{N}_]+'"
+_TOK_SQL = f"""(SELECT doc_id, list_filter(regexp_extract_all(lower(text), {_RE}), lambda x: NOT list_contains({_STOP_SQL}, x)) AS t
+  FROM documents)"""
+_TERMS_SQL = f"""(SELECT doc_id, term, count(*) AS tf FROM (
+    SELECT doc_id, unnest(regexp_extract_all(strip_accents(lower(text)), {_RE})) AS term FROM documents)
+  WHERE length(term) >= 2 AND NOT list_contains({_STOP_SQL}, term) GROUP BY ALL)"""
+_VOCAB_SQL = f"""(SELECT term, sum(tf) AS count, count(*) AS df FROM {_TERMS_SQL} GROUP BY term
+  ORDER BY count DESC, term LIMIT {VOCAB_K})"""
+
+
+def _docs(spark, sf):
+    return table(spark, sf, "documents")
+
+
+@register("tokenise_titles", f"""
+SELECT doc_id, CAST(len(t) AS BIGINT) AS n_tokens, md5(array_to_string(t, ' ')) AS text_hash FROM {_TOK_SQL}""")
+def tokenise_titles(spark, sf):
+    d = TX.tokenise(_docs(spark, sf), "text", QUERY_STOP, text_out="joined")
+    return d.select("doc_id", F.size("tokens").cast("long").alias("n_tokens"), F.md5("joined").alias("text_hash"))
+
+
+@register("strip_accents", "SELECT doc_id, md5(strip_accents(text)) AS text_hash FROM documents")
+def strip_accents(spark, sf):
+    return _docs(spark, sf).select("doc_id", F.md5(TX.strip_accents("text")).alias("text_hash"))
+
+
+@register("ngrams", f"""
+SELECT doc_id, CAST(len(g) AS BIGINT) AS n_grams, md5(array_to_string(g, '|')) AS grams_hash FROM (
+  SELECT doc_id, list_concat(t, list_transform(range(1, len(t)), lambda i: t[i] || ' ' || t[i + 1])) AS g FROM {_TOK_SQL})""")
+def ngrams(spark, sf):
+    d = TX.tokenise(_docs(spark, sf), "text", QUERY_STOP)
+    g = TX.ngrams("tokens", 1, 2)
+    return d.select("doc_id", F.size(g).cast("long").alias("n_grams"), F.md5(F.array_join(g, "|")).alias("grams_hash"))
+
+
+@register("vocabulary_top_k", f"SELECT term, count, df FROM {_VOCAB_SQL}")
+def vocabulary_top_k(spark, sf):
+    terms = TF.doc_terms(_docs(spark, sf), "doc_id", "text", QUERY_STOP)
+    return TF.vocabulary(terms, VOCAB_K)
+
+
+@register("tfidf", f"""
+WITH v AS (SELECT term, ln((1 + (SELECT count(*) FROM documents)) / (1 + df)) + 1 AS idf FROM {_VOCAB_SQL}),
+w AS (SELECT t.doc_id, t.term, t.tf * v.idf AS w FROM {_TERMS_SQL} t JOIN v USING (term))
+SELECT doc_id, term, round(w / sqrt(sum(w * w) OVER (PARTITION BY doc_id)), 6) AS weight FROM w""")
+def tfidf(spark, sf):
+    d = _docs(spark, sf)
+    m = TF.Tfidf("doc_id", "text", VOCAB_K, stop=QUERY_STOP).fit(d)
+    return round_doubles(m.long(d))
+
+
+@register("tfidf_pca")
+def tfidf_pca(spark, sf):
+    """Explained variance of the leading components (the sign of components is
+    arbitrary, so only variances are comparable): rows-only."""
+    d = _docs(spark, sf)
+    m = TF.TfidfPca("doc_id", "text", VOCAB_K, 5, stop=QUERY_STOP).fit(d)
+    ev = m.explained_variance
+    return spark.createDataFrame([(i, float(v)) for i, v in enumerate(ev)], "component int, explained_variance double")
+
+
+@register("join_vectors", """
+SELECT d.doc_id, d.lang, CAST(len(e.embedding) AS INTEGER) AS dim, round(CAST(e.embedding[1] AS DOUBLE), 6) AS e0,
+  round(CAST(e.embedding[64] AS DOUBLE), 6) AS e63
+FROM documents d JOIN embeddings e ON e.vec_id = d.doc_id""")
+def join_vectors(spark, sf):
+    d = _docs(spark, sf).select("doc_id", "lang")
+    v = table(spark, sf, "embeddings").select("vec_id", "embedding")
+    j = TF.join_vectors(d, v, "doc_id", "vec_id")
+    return round_doubles(j.select("doc_id", "lang", F.size("embedding").alias("dim"),
+                                  F.col("embedding")[0].cast("double").alias("e0"),
+                                  F.col("embedding")[63].cast("double").alias("e63")))
+
+
+@register("vector_pca_variance")
+def vector_pca_variance(spark, sf):
+    """Fewest components reaching 80% of the variance: rows-only."""
+    v = table(spark, sf, "embeddings").select("vec_id", "embedding")
+    m = TF.VectorPca("embedding", 0.8).fit(v)
+    out = m.transform(v)
+    from pyspark.ml.functions import vector_to_array
+    return out.select("vec_id", F.size(vector_to_array("vec_pca")).alias("n_components"))
