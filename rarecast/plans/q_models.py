@@ -1 +1,76 @@
-"""Registered queries."""
+"""Registered queries: models and selection.  Rows-only checks:
+trained models have no SQL form; pytest checks invariants."""
+
+from __future__ import annotations
+
+from pyspark.ml.feature import VectorAssembler
+from pyspark.sql import functions as F
+
+from ..operators import encoders as EN
+from ..operators import models as MD
+from ..operators import resample as RS
+from .fixtures import docs_labeled
+from .registry import register
+
+PARAMS = {"max_depth": 3, "eta": 0.3, "n_estimators": 10}
+FEATURES = ["n_chars", "quality", "lang", "source"]
+
+
+def _frame(spark, sf):
+    d = docs_labeled(spark, sf).select("doc_id", "n_chars", "quality", "lang", "source",
+                                       F.col("toxic").cast("double").alias("label"))
+    d = RS.split(d, "label", "doc_id", 0.1666, seed=2)
+    d = RS.folds(d, "label", "doc_id", 3, seed=0)
+    return MD.with_weight(d, "label", 3.0)
+
+
+def _encoded(spark, sf):
+    d = _frame(spark, sf)
+    train = d.where("split = 'train'")
+    enc = EN.TargetMeans(["lang", "source"], "label", weight=1.0).fit(train)
+    return enc.transform(d)
+
+
+@register("boosted_trees")
+def boosted_trees(spark, sf):
+    d = _encoded(spark, sf)
+    d = VectorAssembler(inputCols=FEATURES, outputCol="features").transform(d)
+    model = MD.boosted_trees(PARAMS).fit(d.where("split = 'train'"))
+    out = MD.PositiveScore().transform(model.transform(d.where("split = 'test'")))
+    return out.select("doc_id", "label", "score")
+
+
+@register("feature_pipeline")
+def feature_pipeline(spark, sf):
+    d = _frame(spark, sf)
+    train = RS.undersample(d.where("split = 'train'"), "label", "doc_id", 0.5, seed=1)
+    pipe = MD.build_pipeline([EN.MixedEncoder(["quality"], ["lang", "source"], "label", weight=1.0)],
+                             ["n_chars", "quality_1", "lang", "source"], MD.boosted_trees(PARAMS))
+    model = pipe.fit(train)
+    out = MD.PositiveScore().transform(model.transform(d.where("split = 'test'")))
+    return out.select("doc_id", "label", "score")
+
+
+@register("grid_search_cv")
+def grid_search_cv(spark, sf):
+    d = _encoded(spark, sf).where("split = 'train'")
+    gbt = MD.boosted_trees({"n_estimators": 3})
+    pipe = MD.build_pipeline([], FEATURES, gbt)
+    cv_grid = {"max_depth": [2, 3], "eta": [0.1, 0.3]}
+    return MD.grid_search(pipe, cv_grid, d, "fold", "label", estimator=gbt, num_folds=3)
+
+
+@register("backward_selection")
+def backward_selection(spark, sf):
+    d = _encoded(spark, sf).where("split = 'train'")
+    d = RS.folds(d.drop("fold"), "label", "doc_id", 2, seed=4)
+    return MD.backward_select(d, ["n_chars", "lang", "source"], "label", "fold", 2,
+                              lambda: MD.boosted_trees({"max_depth": 2, "n_estimators": 3}), min_features=1)
+
+
+@register("feature_importance")
+def feature_importance(spark, sf):
+    d = _encoded(spark, sf)
+    d = VectorAssembler(inputCols=FEATURES, outputCol="features").transform(d)
+    model = MD.boosted_trees(PARAMS).fit(d.where("split = 'train'"))
+    return MD.importance(model, FEATURES, 15)
