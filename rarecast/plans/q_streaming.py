@@ -1 +1,115 @@
-"""Registered queries."""
+"""Registered queries: streaming forms.
+
+Each query stages a copy of the events table in a fresh folder of the shared
+work folder, drains it with an ``availableNow`` stream and returns what the
+sink holds.  Results equal the batch forms, so most have oracle SQL."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from ..functions import normalise as N
+from ..session import fresh_path
+from ..streaming import streams as S
+from .fixtures import EVENTS_ASOF_SQL, epoch_sql, events, events_asof, round_doubles
+from .registry import register
+
+_EVENTS = T.StructType([
+    T.StructField("event_id", T.LongType()), T.StructField("ts", T.TimestampType()),
+    T.StructField("user_id", T.LongType()), T.StructField("event_type", T.StringType()),
+    T.StructField("value", T.DoubleType()), T.StructField("props", T.StringType()),
+])
+
+
+def _staged(spark, sf, name, partition_by=None):
+    e = events(spark, sf).withColumn("ts", F.col("ts").cast("timestamp"))
+    return S.stage_copy(e, name, partition_by)
+
+
+@register("read_staged_incremental", """
+SELECT event_id, user_id, event_type, round(value, 6) AS value FROM events
+WHERE event_type IN (SELECT event_type FROM events GROUP BY 1 HAVING max(value) <= 480)""")
+def read_staged_incremental(spark, sf):
+    src = _staged(spark, sf, "staged", partition_by="event_type")
+    target, ledger = fresh_path(spark, "table"), fresh_path(spark, "ledger")
+    conform_to = T.StructType([T.StructField("event_id", T.LongType()), T.StructField("user_id", T.LongType()),
+                               T.StructField("event_type", T.StringType()), T.StructField("value", T.DoubleType())])
+    S.ingest_stream(spark, src, target, fresh_path(spark, "ckpt"), _EVENTS, conform_to, "event_id",
+                    ["value"], F.col("value") > 480, ledger)
+    return round_doubles(spark.read.parquet(target))
+
+
+@register("stream_normalise", f"""
+SELECT event_id, CAST(hour(ts) * 60 + minute(ts) AS INTEGER) AS post_time,
+  round(({epoch_sql(EVENTS_ASOF_SQL)} - {epoch_sql('ts')}) / 60.0, 6) AS post_age,
+  CAST(isodow(ts) - 1 AS INTEGER) AS weekday FROM events""")
+def stream_normalise(spark, sf):
+    src = _staged(spark, sf, "staged")
+
+    def transform(df):
+        return df.select("event_id", N.minute_of_day("ts").alias("post_time"),
+                         N.age_minutes("ts", events_asof()).alias("post_age"), N.weekday("ts").alias("weekday"))
+    out = S.stream_normalise(spark, src, _EVENTS, transform, fresh_path(spark, "out"), fresh_path(spark, "ckpt"))
+    return round_doubles(out)
+
+
+@register("stream_dedup", "SELECT event_id, user_id, event_type FROM events")
+def stream_dedup(spark, sf):
+    src = _staged(spark, sf, "staged")
+    events(spark, sf).withColumn("ts", F.col("ts").cast("timestamp")).write.mode("append").parquet(src)
+    d = S.stream_dedup(S.read_stream(spark, src, _EVENTS), "event_id", "ts", "2 hours")
+    out = fresh_path(spark, "out")
+    S.run_available_now(d.select("event_id", "user_id", "event_type", "ts"), out, fresh_path(spark, "ckpt"))
+    return spark.read.parquet(out).select("event_id", "user_id", "event_type")
+
+
+@register("stream_append_idempotent", """
+SELECT event_id, event_type, round(value, 6) AS value FROM events WHERE event_type <> 'error'""")
+def stream_append_idempotent(spark, sf):
+    target = fresh_path(spark, "table")
+    e = events(spark, sf).select("event_id", "event_type", "value")
+    e.where(F.col("event_type").isin("view", "click")).write.parquet(target)
+    src = _staged(spark, sf, "staged")
+    stream = S.read_stream(spark, src, _EVENTS).where(F.col("event_type") != "error") \
+        .select("event_id", "event_type", "value")
+    fn = S.append_batch(target, "event_id", ["value"])
+    S.run_available_now(stream, fn, fresh_path(spark, "ckpt"))
+    # a replay of batch 0 (as after a failure before the commit) changes nothing
+    fn(spark.read.parquet(src).where(F.col("event_type") != "error").select("event_id", "event_type", "value"), 0)
+    return round_doubles(spark.read.parquet(target))
+
+
+@register("stream_outcome_join", """
+SELECT v.event_id, p.event_id AS out_event_id, round(p.value, 6) AS out_value
+FROM events v JOIN events p ON v.user_id = p.user_id AND v.event_type = 'view' AND p.event_type = 'purchase'
+ AND p.ts >= v.ts + INTERVAL 24 HOUR AND p.ts < v.ts + INTERVAL 48 HOUR""")
+def stream_outcome_join(spark, sf):
+    src = _staged(spark, sf, "staged")
+    st = S.read_stream(spark, src, _EVENTS)
+    views = st.where(F.col("event_type") == "view").select("event_id", "user_id", "ts")
+    buys = st.where(F.col("event_type") == "purchase").select("event_id", "user_id", "ts", "value")
+    j = S.stream_outcome(views, buys, "user_id", "ts", "ts", "24 hours", "48 hours", "1 hour")
+    j = j.select(F.col("s.event_id").alias("event_id"), F.col("o.event_id").alias("out_event_id"),
+                 F.col("o.value").alias("out_value"))
+    out = fresh_path(spark, "out")
+    S.run_available_now(j, out, fresh_path(spark, "ckpt"))
+    return round_doubles(spark.read.parquet(out))
+
+
+@register("stream_scrape_window", """
+SELECT CAST(floor(epoch(ts) / 9300) * 9300 AS BIGINT) AS window_start, count(*) AS n_posts,
+  CAST(sum(CASE WHEN event_type = 'purchase' THEN 1 ELSE 0 END) AS BIGINT) AS n_positive
+FROM events GROUP BY 1""")
+def stream_scrape_window(spark, sf):
+    src = _staged(spark, sf, "staged")
+    st = S.read_stream(spark, src, _EVENTS).withColumn("label", F.col("event_type") == "purchase")
+    agg = S.scrape_window(st, "ts", "label", "155 minutes", "1 hour")
+    out = fresh_path(spark, "out")
+
+    def keep_latest(batch, batch_id):
+        # complete mode: every batch carries the whole (small) window table
+        batch.write.mode("overwrite").parquet(out)
+    S.run_available_now(agg, keep_latest, fresh_path(spark, "ckpt"), mode="complete")
+    r = spark.read.parquet(out)
+    return r.select(F.unix_seconds(F.col("w.start")).alias("window_start"), "n_posts", "n_positive")
