@@ -23,16 +23,25 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import drop_stop, ngrams, tokens
+from ..util import ensure_parallelism
 
 
 def doc_terms(df: DataFrame, id_col: str, text: str, stop: list[str] | None,
               ngram: tuple[int, int] = (1, 1), min_len: int = 2) -> DataFrame:
     """(id, term, tf) rows: accent-stripped lower-case tokens of at least
     ``min_len`` characters, stop words removed, n-grams, counted per doc."""
-    t = drop_stop(tokens(text, accents=True), stop, min_len)
-    g = ngrams(t, *ngram)
-    return (df.select(id_col, F.explode(g).alias("term"))
-            .groupBy(id_col, "term").agg(F.count(F.lit(1)).alias("tf")))
+    d = ensure_parallelism(df.select(id_col, text))
+    if tuple(ngram) == (1, 1):
+        # unigrams: explode first, then one hash-set lookup per token
+        term = F.col("term")
+        keep = F.length(term) >= min_len
+        if stop:
+            keep = keep & ~term.isin(list(stop))
+        toks = d.select(id_col, F.explode(tokens(text, accents=True)).alias("term")).where(keep)
+    else:
+        t = drop_stop(tokens(text, accents=True), stop, min_len)
+        toks = d.select(id_col, F.explode(ngrams(t, *ngram)).alias("term"))
+    return toks.groupBy(id_col, "term").agg(F.count(F.lit(1)).alias("tf"))
 
 
 def vocabulary(terms: DataFrame, k: int) -> DataFrame:
@@ -49,27 +58,37 @@ class Tfidf(Estimator):
         self.id_col, self.text, self.k, self.ngram = id_col, text, k, tuple(ngram)
         self.stop = stop
 
-    def _fit(self, df: DataFrame) -> "TfidfModel":
+    def _fit(self, df: DataFrame, terms: DataFrame | None = None) -> "TfidfModel":
         n = df.count()
-        voc = vocabulary(doc_terms(df, self.id_col, self.text, self.stop, self.ngram), self.k)
+        terms = terms if terms is not None else doc_terms(df, self.id_col, self.text, self.stop, self.ngram)
+        voc = vocabulary(terms, self.k)
         rows = voc.collect()          # k rows: bounded by the parameter
         terms = [r["term"] for r in rows]
         idf = [math.log((1 + n) / (1 + r["df"])) + 1 for r in rows]
         return TfidfModel(self, terms, idf)
 
 
+def fit_long(est: Tfidf, df: DataFrame) -> tuple["TfidfModel", DataFrame]:
+    """Fit and weight the same frame, tokenising it once: the (doc, term,
+    count) rows are persisted (memory and disk) between the two passes."""
+    terms = doc_terms(df, est.id_col, est.text, est.stop, est.ngram).persist()
+    model = est._fit(df, terms)
+    return model, model.long(df, terms)
+
+
 class TfidfModel(Model):
     def __init__(self, est: Tfidf, terms: list[str], idf: list[float]):
         super().__init__()
         self.est, self.terms, self.idf = est, terms, idf
 
-    def long(self, df: DataFrame) -> DataFrame:
-        """(id, term, weight) for vocabulary terms present in each doc."""
+    def long(self, df: DataFrame, terms: DataFrame | None = None) -> DataFrame:
+        """(id, term, weight) for vocabulary terms present in each doc.  The
+        vocabulary has k rows (a parameter), so it is broadcast."""
         e = self.est
         spark = df.sparkSession
         voc = spark.createDataFrame(list(zip(self.terms, self.idf)), "term string, idf double")
-        w = doc_terms(df, e.id_col, e.text, e.stop, e.ngram).join(F.broadcast(voc), "term") \
-            .withColumn("w", F.col("tf") * F.col("idf"))
+        terms = terms if terms is not None else doc_terms(df, e.id_col, e.text, e.stop, e.ngram)
+        w = terms.join(F.broadcast(voc), "term").withColumn("w", F.col("tf") * F.col("idf"))
         norm = F.sqrt(F.sum(F.col("w") * F.col("w")).over(Window.partitionBy(e.id_col)))
         return w.select(e.id_col, "term", (F.col("w") / norm).alias("weight"))
 

@@ -64,8 +64,8 @@ w AS (SELECT t.doc_id, t.term, t.tf * v.idf AS w FROM {_TERMS_SQL} t JOIN v USIN
 SELECT doc_id, term, round(w / sqrt(sum(w * w) OVER (PARTITION BY doc_id)), 6) AS weight FROM w""")
 def tfidf(spark, sf):
     d = _docs(spark, sf)
-    m = TF.Tfidf("doc_id", "text", VOCAB_K, stop=QUERY_STOP).fit(d)
-    return round_doubles(m.long(d))
+    _, weights = TF.fit_long(TF.Tfidf("doc_id", "text", VOCAB_K, stop=QUERY_STOP), d)
+    return round_doubles(weights)
 
 
 @register("tfidf_pca")

@@ -91,3 +91,13 @@ def prefix_sum_by_range(df: DataFrame, key: str, sums: dict[str, str],
     for k, v in sums.items():
         d = d.withColumn(k, F.col(f"__o_{k}") + F.coalesce(F.sum(v).over(w), F.lit(0)))
     return d.drop("__bucket", *[f"__o_{k}" for k in sums])
+
+
+def ensure_parallelism(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Spread a frame that arrives in fewer partitions than the cluster can run
+    (e.g. one large unsplittable file) before CPU-heavy per-row work.  On a
+    large input with many splits this is a no-op; no data is read to decide."""
+    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < target:
+        return df.repartition(target)
+    return df
