@@ -63,14 +63,14 @@ class Prep(Estimator):
     columns, never the label).  transform: add ``gilded`` (gold + platinum >
     0), ``weekday`` (Mon=0), ``post_hour`` (UTC) and ``scrape_time`` (last
     four characters of the id), drop the learned columns and the rows of
-    ``drop_groups``.  ``drop_feats=None`` disables all column drops."""
+    ``drop_groups``.  ``drop_feats=False`` disables all column drops."""
 
-    def __init__(self, drop_feats: list[str] | None = None, drop_groups: list[str] | None = ("blog",),
+    def __init__(self, drop_feats: list[str] | bool = (), drop_groups: list[str] | None = ("blog",),
                  group_col: str = "subreddit", created: str = "created_utc", id_col: str = "id",
                  gold: str = "gold_awarded", platinum: str = "platinum_awarded", label: str = "gilded"):
         super().__init__()
-        self.drop_feats = [] if drop_feats is None else list(drop_feats)
-        self.drop_disabled = drop_feats is None
+        self.drop_disabled = drop_feats is False
+        self.drop_feats = [] if self.drop_disabled else list(drop_feats)
         self.drop_groups = list(drop_groups or [])
         self.group_col, self.created, self.id_col = group_col, created, id_col
         self.gold, self.platinum, self.label = gold, platinum, label
@@ -101,7 +101,7 @@ class PrepModel(Model):
         self.prep = prep
 
     def _transform(self, df: DataFrame) -> DataFrame:
-        out = drop_columns(self.prep._add(df), self.drops)
+        out = self.prep._add(df)
         if self.prep.drop_groups and self.prep.group_col in out.columns:
             out = exclude_groups(out, self.prep.group_col, self.prep.drop_groups)
-        return out
+        return drop_columns(out, self.drops)
