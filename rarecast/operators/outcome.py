@@ -4,8 +4,8 @@
 ``t`` take the earliest outcome of the same key with time in
 ``[t + lo, t + hi)``.  It is built without emitting pairs:
 
-1. Both sides are cut into time buckets of width ``bucket`` (default = the
-   window length ``hi - lo``), so a hot key is split by time.
+1. Both sides are cut into time buckets of width ``bucket`` (default one
+   hour, at most the window length), so a hot key is split by time.
 2. Snapshots (shifted to ``t + lo``) and outcomes are unioned and sorted per
    (key, bucket); the first outcome at or after each snapshot inside its own
    bucket comes from a forward ``min`` window - O(n log n), no pair output.
@@ -62,7 +62,7 @@ def outcome_after(snap: DataFrame, out: DataFrame, key: str, snap_ts: str, out_t
     ``prefix + name`` for ``out_ts``, ``out_id`` and each ``payload`` column;
     null when there is none."""
     lo_s, hi_s = _seconds(lo), _seconds(hi)
-    width = _seconds(bucket) if bucket else (hi_s - lo_s)
+    width = _seconds(bucket) if bucket else min(3600.0, hi_s - lo_s)
     tie = out_id or out_ts
     fields = [out_ts] + ([tie] if tie != out_ts else []) + [p for p in payload if p not in (out_ts, tie)]
 

@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import ensure_utc
+from ..util import ensure_parallelism
 
 # Snapshot clock for the order/lineitem stand-in: after the last ship date.
 ASOF = dt.datetime(2002, 1, 1)
@@ -22,9 +23,15 @@ EVENT_EPOCH = dt.datetime(2023, 12, 31)
 EVENT_EPOCH_SQL = "TIMESTAMP '2023-12-31 00:00:00'"
 
 
+# Tables large enough that a single-split file should be spread over the
+# cluster's cores before per-row work (the test files are one row group each).
+SPREAD = {"lineitem", "orders", "events", "documents"}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     ensure_utc(spark)
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return ensure_parallelism(df) if name in SPREAD else df
 
 
 def asof_lit():
@@ -36,7 +43,7 @@ def posts(spark, sf_dir) -> DataFrame:
     o = table(spark, sf_dir, "orders")
     return o.select(
         F.col("o_orderkey").alias("post_id"),
-        F.col("o_orderpriority").alias("subreddit"),
+        F.col("o_orderpriority").alias("community"),
         F.when(F.col("o_orderstatus") == "O", F.lit("new")).otherwise(F.lit("rising")).alias("how"),
         F.col("o_totalprice").alias("ups"),
         F.col("o_orderdate").alias("created"),
@@ -45,7 +52,7 @@ def posts(spark, sf_dir) -> DataFrame:
     )
 
 
-POSTS_SQL = """(SELECT o_orderkey AS post_id, o_orderpriority AS subreddit,
+POSTS_SQL = """(SELECT o_orderkey AS post_id, o_orderpriority AS community,
   CASE WHEN o_orderstatus = 'O' THEN 'new' ELSE 'rising' END AS how,
   o_totalprice AS ups, o_orderdate AS created,
   CAST(o_totalprice > 250000 AS INTEGER) AS gold,

@@ -39,7 +39,7 @@ def comment_feature_report(spark, sf):
     positive share and mean features per community."""
     p = posts(spark, sf).withColumn("label", label_positive("gold", "platinum"))
     feats = C.fill_zero(p, _features(spark, sf), "post_id")
-    rep = ratio_by(feats, "subreddit", "label", extra=[
+    rep = ratio_by(feats, "community", "label", extra=[
         F.avg("avg_up_rate").alias("mean_avg_up_rate"),
         F.avg("gild_rate").alias("mean_gild_rate"),
         F.sum((F.col("n_comments") == 0).cast("long")).alias("n_zero_comment"),
@@ -48,14 +48,14 @@ def comment_feature_report(spark, sf):
 
 
 register("comment_feature_report", f"""
-SELECT subreddit, CAST(count(*) AS BIGINT) AS n_posts,
+SELECT community, CAST(count(*) AS BIGINT) AS n_posts,
   CAST(sum(CAST(label AS INTEGER)) AS BIGINT) AS n_positive,
   round(avg(CAST(label AS DOUBLE)), 6) AS positive_ratio,
   round(avg(coalesce(f.avg_up_rate, 0)), 6) AS mean_avg_up_rate,
   round(avg(coalesce(f.gild_rate, 0)), 6) AS mean_gild_rate,
   CAST(sum(CASE WHEN f.post_id IS NULL THEN 1 ELSE 0 END) AS BIGINT) AS n_zero_comment
 FROM (SELECT *, gold + platinum > 0 AS label FROM {POSTS_SQL}) p LEFT JOIN {_FEATS_SQL} f USING (post_id)
-GROUP BY subreddit""")(comment_feature_report)
+GROUP BY community""")(comment_feature_report)
 
 
 @register("top_n_comments", f"""
@@ -104,7 +104,7 @@ def comment_share_stats(spark, sf):
 
 
 _FILLED_SQL = f"""
-SELECT p.post_id, p.subreddit,
+SELECT p.post_id, p.community,
   round(coalesce(f.avg_up_rate, 0), 6) AS avg_up_rate, round(coalesce(f.var_up_rate, 0), 6) AS var_up_rate,
   round(coalesce(f.gild_rate, 0), 6) AS gild_rate, round(coalesce(f.distinguished_rate, 0), 6) AS distinguished_rate,
   round(coalesce(f.op_comment_rate, 0), 6) AS op_comment_rate,
@@ -115,21 +115,21 @@ FROM {POSTS_SQL} p LEFT JOIN {_FEATS_SQL} f USING (post_id)"""
 
 @register("zero_comment_posts", _FILLED_SQL)
 def zero_comment_posts(spark, sf):
-    p = posts(spark, sf).select("post_id", "subreddit")
+    p = posts(spark, sf).select("post_id", "community")
     return round_doubles(C.fill_zero(p, _features(spark, sf), "post_id"))
 
 
 @register("merge_post_comment_feats", f"""
-SELECT p.post_id, p.subreddit, p.ups, round(f.avg_up_rate, 6) AS avg_up_rate, round(f.gild_rate, 6) AS gild_rate
+SELECT p.post_id, p.community, p.ups, round(f.avg_up_rate, 6) AS avg_up_rate, round(f.gild_rate, 6) AS gild_rate
 FROM {POSTS_SQL} p JOIN {_FEATS_SQL} f USING (post_id)""")
 def merge_post_comment_feats(spark, sf):
-    p = posts(spark, sf).select("post_id", "subreddit", "ups")
+    p = posts(spark, sf).select("post_id", "community", "ups")
     f = _features(spark, sf).select("post_id", "avg_up_rate", "gild_rate")
     return round_doubles(C.merge_post_comment_feats(p, f, "post_id"))
 
 
 @register("drop_already_awarded", f"""
-SELECT post_id, subreddit, gold, platinum FROM {POSTS_SQL} WHERE gold + platinum = 0""")
+SELECT post_id, community, gold, platinum FROM {POSTS_SQL} WHERE gold + platinum = 0""")
 def drop_already_awarded(spark, sf):
-    p = posts(spark, sf).select("post_id", "subreddit", "gold", "platinum")
+    p = posts(spark, sf).select("post_id", "community", "gold", "platinum")
     return C.drop_awarded(p, "gold", "platinum")

@@ -47,7 +47,7 @@ def selected_posts(spark, sf):
     """orders shaped like the model stage's selected frame."""
     p = posts(spark, sf)
     return p.select(
-        "post_id", "subreddit", "how", "ups",
+        "post_id", "community", "how", "ups",
         epoch_seconds("created").alias("created_utc"),
         F.concat(F.col("post_id").cast("string"), F.lit("_"), scrape_tag("how", "created")).alias("id"),
         F.col("gold").alias("gold_awarded"), F.col("platinum").alias("platinum_awarded"),
@@ -56,10 +56,10 @@ def selected_posts(spark, sf):
 
 
 @register("prep", f"""
-SELECT post_id, subreddit, how, CAST(post_id AS VARCHAR) || '_' || how || strftime(created, '%m%d%H%M') AS id,
+SELECT post_id, community, how, CAST(post_id AS VARCHAR) || '_' || how || strftime(created, '%m%d%H%M') AS id,
   gold + platinum > 0 AS gilded, CAST(isodow(created) - 1 AS INTEGER) AS weekday
-FROM {POSTS_SQL} WHERE subreddit <> '5-LOW'""")
+FROM {POSTS_SQL} WHERE community <> '5-LOW'""")
 def prep(spark, sf):
     df = selected_posts(spark, sf)
-    model = PR.Prep(drop_feats=["ups"], drop_groups=["5-LOW"]).fit(df)
+    model = PR.Prep(drop_feats=["ups"], drop_groups=["5-LOW"], group_col="community").fit(df)
     return model.transform(df)

@@ -1,4 +1,7 @@
-"""Declared schemas (never inferred)."""
+"""Declared schemas (never inferred).
+
+Fixed values: the field names below are those of the source API records and
+of the posts table; they must match the data as delivered."""
 
 from __future__ import annotations
 

@@ -9,7 +9,7 @@ join), so replaying a batch is a no-op."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -59,10 +59,21 @@ def load_ledger(routed: DataFrame, file_col: str) -> DataFrame:
 
 
 def first_per_key(batch: DataFrame, key: str | list, order: list) -> DataFrame:
-    """First row per key inside a batch (``order`` makes it deterministic)."""
+    """First row per key inside a batch by ascending ``order`` (column names;
+    the remaining columns break ties, so the pick is deterministic).
+
+    An aggregate (``min_by`` over a struct of the row), not a window: partial
+    aggregation keeps one row per key on each map task, so a key holding a
+    large share of the batch is reduced before the shuffle."""
     keys = [key] if isinstance(key, str) else list(key)
-    w = Window.partitionBy(*keys).orderBy(*[col_of(c) for c in order])
-    return batch.withColumn("__rn", F.row_number().over(w)).where("__rn = 1").drop("__rn")
+    cols = [c for c in batch.columns if c not in keys]
+    orderable = (T.NumericType, T.StringType, T.BooleanType, T.DateType, T.TimestampType, T.TimestampNTZType)
+    rest = [f.name for f in batch.schema.fields
+            if f.name in cols and f.name not in order and isinstance(f.dataType, orderable)]
+    row = F.struct(*[F.col(f"`{c}`") for c in cols])
+    rank = F.struct(*[col_of(c) for c in order], *[F.col(f"`{c}`") for c in rest])
+    first = batch.groupBy(*keys).agg(F.min_by(row, rank).alias("__row"))
+    return first.select(*keys, *[F.col(f"__row.`{c}`").alias(c) for c in cols]).select(*batch.columns)
 
 
 def new_rows(target: DataFrame, batch: DataFrame, key: str | list, order: list) -> DataFrame:

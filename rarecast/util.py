@@ -61,11 +61,12 @@ def union_all(frames) -> DataFrame:
 
 def prefix_sum_by_range(df: DataFrame, key: str, sums: dict[str, str],
                         descending: bool = False, tiebreak: list | None = None,
-                        n_buckets: int = 64, inclusive: bool = True) -> DataFrame:
+                        n_buckets: int | None = None, inclusive: bool = True) -> DataFrame:
     """Running sums over a global order without a single-partition window.
 
     ``key`` is the numeric order column, ``tiebreak`` more order columns,
-    ``sums`` maps output name -> input column.  Steps:
+    ``sums`` maps output name -> input column; ``n_buckets`` defaults to the
+    shuffle partition count.  Steps:
     1. range bounds from ``percentile_approx`` (one small aggregate),
     2. bucket = number of bounds below the key (deterministic expression),
     3. per-bucket totals (``n_buckets`` rows) -> offsets by a window over that
@@ -74,6 +75,8 @@ def prefix_sum_by_range(df: DataFrame, key: str, sums: dict[str, str],
     Rows with equal keys land in the same bucket, so ties stay exact.  Feed it
     data aggregated to one row per key when keys repeat heavily."""
     tiebreak = tiebreak or []
+    if n_buckets is None:   # one bucket per shuffle partition
+        n_buckets = max(2, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200")))
     probs = [i / n_buckets for i in range(1, n_buckets)]
     bounds = df.agg(F.array_distinct(F.percentile_approx(key, probs, 10000)).alias("__b"))
     d = one_row_join(df, bounds)

@@ -23,7 +23,7 @@ def test_entry_smoke(spark):
     df = E.entry(spark)
     rows = df.collect()
     assert len(rows) > 0
-    assert {"subreddit", "n_posts", "n_positive", "positive_ratio"} <= set(df.columns)
+    assert {"community", "n_posts", "n_positive", "positive_ratio"} <= set(df.columns)
 
 
 @pytest.mark.parametrize("name", sorted(SQL))

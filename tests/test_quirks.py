@@ -236,9 +236,9 @@ def test_auc_and_ap_brute_force_q28(spark):
 
 
 def test_allowlist_parser_reference_fixture(spark):
-    lines = spark.createDataFrame([("subreddit1,",), ("subreddit2,",), ("subreddit3",), ("history",), ("history",), ("",)],
+    lines = spark.createDataFrame([("group1,",), ("group2,",), ("group3",), ("history",), ("history",), ("",)],
                                   "value string")
-    assert rows(P.parse_allowlist(lines), "name") == [("history",), ("subreddit1",), ("subreddit2",), ("subreddit3",)]
+    assert rows(P.parse_allowlist(lines), "name") == [("group1",), ("group2",), ("group3",), ("history",)]
 
 
 def test_read_posts_id_keyed(spark, tmp_path):
