@@ -113,3 +113,20 @@ def stream_scrape_window(spark, sf):
     S.run_available_now(agg, keep_latest, fresh_path(spark, "ckpt"), mode="complete")
     r = spark.read.parquet(out)
     return r.select(F.unix_seconds(F.col("w.start")).alias("window_start"), "n_posts", "n_positive")
+
+
+@register("stream_outcome_asof")
+def stream_outcome_asof(spark, sf):
+    """Earliest purchase 24-48 h after each view, as a stateful stream.
+    Snapshots are emitted once final (watermark past t + 48 h), so the last
+    48 h of an ``availableNow`` drain stay pending: rows-only here, and pytest
+    compares every emitted row with the batch ``outcome_after``."""
+    src = _staged(spark, sf, "staged")
+    st = S.read_stream(spark, src, _EVENTS)
+    views = st.where(F.col("event_type") == "view").select("event_id", "user_id", "ts")
+    buys = st.where(F.col("event_type") == "purchase").select("event_id", "user_id", "ts", "value")
+    j = S.stream_outcome_asof(views, buys, "user_id", "ts", "ts", "event_id", "event_id", ["value"],
+                              "24 hours", "48 hours", "1 hour")
+    out = fresh_path(spark, "out")
+    S.run_available_now(j, out, fresh_path(spark, "ckpt"))
+    return round_doubles(spark.read.parquet(out).select("event_id", "user_id", "out_event_id", "out_value"))

@@ -145,3 +145,101 @@ def stage_copy(df: DataFrame, name: str, partition_by: str | None = None) -> str
     else:
         df.write.parquet(path)
     return path
+
+
+def stream_outcome_asof(snap: DataFrame, out: DataFrame, key: str, snap_ts: str, out_ts: str,
+                        snap_id: str, out_id: str, payload: list[str] | None = None,
+                        lo: str = "24 hours", hi: str = "48 hours", delay: str = "1 hour") -> DataFrame:
+    """Streaming form of ``outcome_after``: for every snapshot, the earliest
+    outcome of its key in [t + lo, t + hi), emitted once the watermark passes
+    t + hi (so the answer is final).  No (snapshot, outcome) pairs are built:
+    per key the state holds the pending snapshots and the outcomes that a
+    pending or future snapshot can still use, both bounded by the watermark;
+    each snapshot finds its outcome by binary search over the outcome times.
+    State is keyed by (key, time bucket), so a hot key is split by time.
+
+    Output: key, snap_id, snap_ts, ``out_<out_id>``, ``out_<out_ts>`` and
+    ``out_<p>`` for each payload column (null when there is no outcome)."""
+    import json
+    from bisect import bisect_left
+
+    import pandas as pd
+    from pyspark.sql.streaming.state import GroupStateTimeout
+
+    from ..operators.outcome import _seconds
+
+    payload = list(payload or [])
+    lo_ms, hi_ms = int(_seconds(lo) * 1000), int(_seconds(hi) * 1000)
+    key_type = snap.schema[key].dataType
+    sid_type = snap.schema[snap_id].dataType
+    oid_type = out.schema[out_id].dataType
+    fields = [T.StructField(key, key_type), T.StructField(snap_id, sid_type),
+              T.StructField(snap_ts, T.TimestampType()),
+              T.StructField(f"out_{out_id}", oid_type), T.StructField(f"out_{out_ts}", T.TimestampType())]
+    fields += [T.StructField(f"out_{p}", out.schema[p].dataType) for p in payload]
+    out_schema = T.StructType(fields)
+    state_schema = T.StructType([T.StructField("pending", T.StringType()), T.StructField("outs", T.StringType())])
+
+    def ms(col):
+        return (F.unix_micros(F.col(col).cast("timestamp")) / 1000).cast("long")
+
+    s = event_time(snap, snap_ts)
+    o = event_time(out, out_ts)
+    # Groups are (key, window-sized time bucket): a snapshot belongs to the
+    # bucket of t + lo; an outcome at ot can serve snapshots whose t + lo lies
+    # in (ot - (hi - lo), ot], i.e. its own bucket and the one before, so it
+    # is sent to both.  A hot key is thereby split by time.
+    width = hi_ms - lo_ms
+    u = (s.select(F.col(key), F.col(snap_ts).alias("__t"), F.lit(0).alias("__kind"), ms(snap_ts).alias("__ms"),
+                  F.floor((ms(snap_ts) + lo_ms) / width).alias("__g"),
+                  F.to_json(F.struct(F.col(snap_id).alias("id"))).alias("__j"))
+         .unionByName(o.select(F.col(key), F.col(out_ts).alias("__t"), F.lit(1).alias("__kind"), ms(out_ts).alias("__ms"),
+                               F.explode(F.array(F.floor(ms(out_ts) / width), F.floor(ms(out_ts) / width) - 1)).alias("__g"),
+                               F.to_json(F.struct(F.col(out_id).alias("id"), *[F.col(p) for p in payload])).alias("__j"))))
+    u = u.withWatermark("__t", delay)
+
+    def step(key_tuple, batches, state):
+        pending, outs = ([], [])
+        if state.exists:
+            pending, outs = json.loads(state.get[0]), json.loads(state.get[1])
+        if not state.hasTimedOut:
+            for pdf in batches:
+                for kind, t, j in zip(pdf["__kind"], pdf["__ms"], pdf["__j"]):
+                    rec = json.loads(j)
+                    if kind == 0:
+                        pending.append([int(t), rec["id"]])
+                    else:
+                        outs.append([int(t), rec["id"], rec])
+        outs.sort(key=lambda r: (r[0], r[1]))
+        times = [r[0] for r in outs]
+        wm = state.getCurrentWatermarkMs()
+        emit, keep = [], []
+        for t, sid in pending:
+            if wm >= t + hi_ms:
+                i = bisect_left(times, t + lo_ms)
+                best = outs[i] if i < len(outs) and outs[i][0] < t + hi_ms else None
+                emit.append((t, sid, best))
+            else:
+                keep.append([t, sid])
+        # outcomes no pending or future snapshot can use any more
+        horizon = min([t + lo_ms for t, _ in keep] + [wm + lo_ms])
+        outs = [r for r in outs if r[0] >= horizon]
+        if keep or outs:
+            state.update((json.dumps(keep), json.dumps(outs)))
+            state.setTimeoutTimestamp(max(min([t + hi_ms for t, _ in keep] or [wm + hi_ms]), wm + 1))
+        else:
+            state.remove()
+        if emit:
+            k = key_tuple[0]
+            rows = []
+            for t, sid, best in emit:
+                row = {key: k, snap_id: sid, snap_ts: pd.Timestamp(t, unit="ms"),
+                       f"out_{out_id}": best[1] if best else None,
+                       f"out_{out_ts}": pd.Timestamp(best[0], unit="ms") if best else None}
+                for p in payload:
+                    row[f"out_{p}"] = best[2].get(p) if best else None
+                rows.append(row)
+            yield pd.DataFrame(rows, columns=[f.name for f in out_schema.fields])
+
+    return u.groupBy(key, "__g").applyInPandasWithState(step, out_schema, state_schema, "append",
+                                                        GroupStateTimeout.EventTimeTimeout)
