@@ -59,7 +59,7 @@ GROUP BY community""")(comment_feature_report)
 
 
 @register("top_n_comments", f"""
-SELECT post_id, CAST(rn AS INTEGER) AS rn, ups, l_partkey, l_linenumber FROM {_TOP_SQL}""")
+SELECT post_id, CAST(rn AS INTEGER) AS rn, CAST(ups AS INTEGER) AS ups, l_partkey, l_linenumber FROM {_TOP_SQL}""")
 def top_n_comments(spark, sf):
     c = C.top_n(_comments(spark, sf), "post_id", comment_order(), N_TOP, rank_col="rn")
     return round_doubles(c.select("post_id", "rn", "ups", "l_partkey", "l_linenumber"))

@@ -99,7 +99,7 @@ def predicted_share_sweep(spark, sf):
 WITH d AS (SELECT score AS s, y, CASE WHEN score > 0.5 THEN 'positive' ELSE 'negative' END AS side FROM {_S}),
 r AS (SELECT side, min(s) AS lo, max(s) AS hi FROM d GROUP BY side),
 a AS (SELECT side, CAST(CASE WHEN (hi - lo) / 10 = 0 THEN 0 ELSE least(floor((s - lo) / ((hi - lo) / 10)), 9) END AS INTEGER) AS bin,
-        lo, hi, count(*) AS n, sum(y) AS n_pos FROM d JOIN r USING (side) GROUP BY ALL)
+        lo, hi, count(*) AS n, CAST(sum(y) AS BIGINT) AS n_pos FROM d JOIN r USING (side) GROUP BY ALL)
 SELECT side, bin, round(lo + (bin + 0.5::DOUBLE) * (hi - lo) / 10, 6) AS centre, n,
   CASE WHEN side = 'positive' THEN n_pos END AS true_pos, CASE WHEN side = 'positive' THEN n - n_pos END AS false_pos,
   CASE WHEN side = 'negative' THEN n - n_pos END AS true_neg, CASE WHEN side = 'negative' THEN n_pos END AS false_neg
@@ -124,7 +124,7 @@ w AS (SELECT c.bin, sum(CASE WHEN c.y = 0 THEN c.n / tot.total END) AS share_neg
         sum(CASE WHEN c.y = 1 THEN c.n / tot.total END) AS share_pos FROM c JOIN tot USING (y) GROUP BY c.bin),
 b AS (SELECT CAST(range AS INTEGER) AS bin, {carr}[range + 1] AS centre FROM range({n})),
 p AS (SELECT b.bin, coalesce(sum(s.y) / nullif(count(s.score), 0), 0.0) AS prec FROM b LEFT JOIN s ON s.score >= b.centre GROUP BY b.bin)
-SELECT b.bin, round({arr}[b.bin + 1], 6) AS bin_lo, round({arr}[b.bin + 2], 6) AS bin_hi,
+SELECT b.bin, round(CAST({arr}[b.bin + 1] AS DOUBLE), 6) AS bin_lo, round(CAST({arr}[b.bin + 2] AS DOUBLE), 6) AS bin_hi,
   round(coalesce(w.share_neg, 0.0), 6) AS share_neg, round(coalesce(w.share_pos, 0.0), 6) AS share_pos,
   round(p.prec, 6) AS precision_at_centre
 FROM b LEFT JOIN w USING (bin) JOIN p USING (bin)"""

@@ -58,10 +58,11 @@ def outcome_after_delay(spark, sf):
 
 
 @register("outcome_gap_report", f"""
-SELECT CAST(v.ts AS DATE) AS day, count(*) AS n_missing FROM {_V} v
+SELECT strftime(CAST(v.ts AS DATE), '%Y-%m-%d') AS day, count(*) AS n_missing FROM {_V} v
 WHERE NOT EXISTS (SELECT 1 FROM {_P} p WHERE p.user_id = v.user_id AND CAST(p.ts AS DATE) = CAST(v.ts AS DATE))
 GROUP BY 1""")
 def outcome_gap_report(spark, sf):
     v = _views(spark, sf).withColumn("day", F.to_date("ts"))
     p = _purchases(spark, sf).withColumn("day", F.to_date("ts"))
-    return O.outcome_gaps(v, p, ["user_id", "day"], ["day"])
+    r = O.outcome_gaps(v, p, ["user_id", "day"], ["day"])
+    return r.withColumn("day", F.date_format("day", "yyyy-MM-dd"))

@@ -8,7 +8,7 @@ from ..operators import profile as PF
 from .fixtures import DOCS_SQL, docs_labeled, events, round_doubles, table
 from .registry import register
 
-_EV = "(SELECT *, CAST(event_type = 'purchase' AS INTEGER) AS label, hour(ts) AS post_hour FROM events)"
+_EV = "(SELECT *, CAST(event_type = 'purchase' AS INTEGER) AS label, CAST(hour(ts) AS INTEGER) AS post_hour FROM events)"
 
 
 def _ev(spark, sf):
@@ -54,7 +54,7 @@ def corr_matrix(spark, sf):
 WITH g AS (SELECT DISTINCT event_type FROM events),
 c AS (SELECT event_type, CAST(least(floor(value / 25.0), 19) AS INTEGER) AS bin, count(*) AS n
       FROM events WHERE value >= 0 AND value <= 500 GROUP BY ALL)
-SELECT g.event_type, b.bin, round(b.bin * 25.0, 6) AS bin_lo, coalesce(c.n, 0) AS n
+SELECT g.event_type, b.bin, round(CAST(b.bin * 25.0 AS DOUBLE), 6) AS bin_lo, coalesce(c.n, 0) AS n
 FROM g CROSS JOIN (SELECT CAST(range AS INTEGER) AS bin FROM range(20)) b
 LEFT JOIN c ON c.event_type = g.event_type AND c.bin = b.bin""")
 def hist_fixed(spark, sf):
@@ -90,7 +90,7 @@ def _hist_log_sql():
 WITH g AS (SELECT event_type, count(*) AS total FROM events GROUP BY 1),
 c AS (SELECT event_type, CAST(least(floor((log10(value) - ({lo})) / {step}), {n - 1}) AS INTEGER) AS bin, count(*) AS n
       FROM events WHERE value >= {10 ** lo} AND value <= {10 ** hi} GROUP BY ALL)
-SELECT g.event_type, b.bin, round({arr}[b.bin + 1], 6) AS bin_lo, round({arr}[b.bin + 2], 6) AS bin_hi,
+SELECT g.event_type, b.bin, round(CAST({arr}[b.bin + 1] AS DOUBLE), 6) AS bin_lo, round(CAST({arr}[b.bin + 2] AS DOUBLE), 6) AS bin_hi,
   coalesce(c.n, 0) AS n, round(coalesce(c.n, 0) / g.total, 6) AS weight
 FROM g CROSS JOIN (SELECT CAST(range AS INTEGER) AS bin FROM range({n})) b
 LEFT JOIN c ON c.event_type = g.event_type AND c.bin = b.bin"""
@@ -114,7 +114,7 @@ def density_2d_log(spark, sf):
 WITH c AS (SELECT CAST(floor(value / 100.0 / 0.25) AS INTEGER) AS bin, count(*) AS n, avg(label) AS rate,
              stddev_samp(label) / sqrt(count(*)) AS sem
            FROM {_EV} WHERE value / 100.0 >= 0 AND value / 100.0 < 3 GROUP BY 1)
-SELECT b.bin, round(b.bin * 0.25 + 0.125, 6) AS bin_centre, coalesce(c.n, 0) AS n, round(c.rate, 6) AS rate,
+SELECT b.bin, round(CAST(b.bin * 0.25 + 0.125 AS DOUBLE), 6) AS bin_centre, coalesce(c.n, 0) AS n, round(c.rate, 6) AS rate,
   round(c.sem, 6) AS sem
 FROM (SELECT CAST(range AS INTEGER) AS bin FROM range(12)) b LEFT JOIN c USING (bin)""")
 def rate_by_bin_sem(spark, sf):

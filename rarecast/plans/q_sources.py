@@ -90,7 +90,7 @@ _CONFORM = T.StructType([
 
 @register("conform_schema", """
 SELECT CAST(event_id AS BIGINT) AS event_id, TRY_CAST(user_id AS INTEGER) AS user_id,
-  round(TRY_CAST(value AS REAL), 6) AS value, event_type, props, CAST(NULL AS VARCHAR) AS note FROM events""")
+  round(CAST(TRY_CAST(value AS REAL) AS DOUBLE), 6) AS value, event_type, props, CAST(NULL AS VARCHAR) AS note FROM events""")
 def conform_schema(spark, sf):
     return round_doubles(TB.conform(events(spark, sf), _CONFORM))
 

@@ -23,7 +23,7 @@ _TOK_SQL = f"""(SELECT doc_id, list_filter(regexp_extract_all(lower(text), {_RE}
 _TERMS_SQL = f"""(SELECT doc_id, term, count(*) AS tf FROM (
     SELECT doc_id, unnest(regexp_extract_all(strip_accents(lower(text)), {_RE})) AS term FROM documents)
   WHERE length(term) >= 2 AND NOT list_contains({_STOP_SQL}, term) GROUP BY ALL)"""
-_VOCAB_SQL = f"""(SELECT term, sum(tf) AS count, count(*) AS df FROM {_TERMS_SQL} GROUP BY term
+_VOCAB_SQL = f"""(SELECT term, CAST(sum(tf) AS BIGINT) AS count, count(*) AS df FROM {_TERMS_SQL} GROUP BY term
   ORDER BY count DESC, term LIMIT {VOCAB_K})"""
 
 
