@@ -100,7 +100,9 @@ def ensure_parallelism(df: DataFrame, min_partitions: int | None = None) -> Data
     """Spread a frame that arrives in fewer partitions than the cluster can run
     (e.g. one large unsplittable file) before CPU-heavy per-row work.  On a
     large input with many splits this is a no-op; no data is read to decide."""
-    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < target:
-        return df.repartition(target)
-    return df
+    try:
+        target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+        have = df.rdd.getNumPartitions()
+    except Exception:  # noqa: BLE001 - e.g. a Spark Connect session: leave it to AQE
+        return df
+    return df.repartition(target) if have < target else df
