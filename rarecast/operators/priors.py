@@ -29,21 +29,25 @@ def edge_probs(n: int, n_bins: int) -> list[float]:
     return [min(1.0, n * k / (n_bins * (n - 1))) for k in range(n_bins + 1)]
 
 
-def exact_quantiles(df: DataFrame, col: str, probs: list[float]) -> list[float]:
+def exact_quantiles(df: DataFrame, col: str, probs) -> list[float]:
     """Exact linear-interpolated quantiles of a column (nulls ignored),
-    computed on the executors; returns the len(probs) values."""
+    computed on the executors.  ``probs`` is a list of levels, or a function
+    of the non-null count returning them (levels that depend on n)."""
     x = F.col(col).cast("double")
-    counts = df.where(x.isNotNull()).groupBy(x.alias("v")).agg(F.count(F.lit(1)).alias("c"))
-    n = counts.agg(F.sum("c")).first()[0] or 0
-    if n == 0:
-        return [None] * len(probs)
-    ranks = sorted({r for p in probs for r in _ranks(p, n)})
-    cum = prefix_sum_by_range(counts, "v", {"cum": "c"})
-    # value at 0-based rank r: the row with cum - c <= r < cum
-    cond = F.exists(F.array(*[F.lit(r) for r in ranks]),
-                    lambda r: (F.col("cum") - F.col("c") <= r) & (r < F.col("cum")))
-    hits = cum.where(cond).select("v", "c", "cum").collect()   # <= 2 * len(probs) rows
-    hits.sort(key=lambda h: h["v"])
+    counts = df.where(x.isNotNull()).groupBy(x.alias("v")).agg(F.count(F.lit(1)).alias("c")).persist()
+    try:
+        n = counts.agg(F.sum("c")).first()[0] or 0
+        levels = probs(n) if callable(probs) else list(probs)
+        if n == 0:
+            return [None] * len(levels)
+        ranks = sorted({r for p in levels for r in _ranks(p, n)})
+        cum = prefix_sum_by_range(counts, "v", {"cum": "c"})
+        # value at 0-based rank r: the row with cum - c <= r < cum
+        cond = F.exists(F.array(*[F.lit(r) for r in ranks]),
+                        lambda r: (F.col("cum") - F.col("c") <= r) & (r < F.col("cum")))
+        hits = cum.where(cond).select("v", "c", "cum").collect()   # <= 2 * len(levels) rows
+    finally:
+        counts.unpersist()
 
     def at(r):
         for h in hits:
@@ -51,7 +55,7 @@ def exact_quantiles(df: DataFrame, col: str, probs: list[float]) -> list[float]:
                 return h["v"]
         raise AssertionError(r)
     out = []
-    for p in probs:
+    for p in levels:
         pos = p * (n - 1)
         lo = int(pos)
         frac = pos - lo
@@ -68,8 +72,7 @@ def _ranks(p: float, n: int) -> tuple[int, int]:
 
 def equal_freq_edges(df: DataFrame, col: str, n_bins: int = 5) -> list[float]:
     """n_bins+1 equal-frequency edges of ``col``."""
-    n = df.where(F.col(col).isNotNull()).count()
-    return exact_quantiles(df, col, edge_probs(n, n_bins))
+    return exact_quantiles(df, col, lambda n: edge_probs(n, n_bins))
 
 
 def bin_assign(x, edges: list[float]) -> Column:
@@ -137,7 +140,7 @@ class Priors(Estimator):
             F.count(F.lit(1)).alias("total"),
             F.sum(col_of(self.label).cast("long")).alias("target"))
         table = table.withColumn("target_fraction",
-                                 F.coalesce(F.try_divide(F.col("target"), F.col("total")), F.lit(0.0)))
+                                 F.coalesce(F.try_divide(F.col("target"), F.col("total")), F.lit(0.0))).persist()
         if self.complete:
             doms = {f"{c}_bin": list(range(len(set(edges[c])) - 1 or 1)) for c in self.continuous}
             table = complete_grid(table, self.keys, {"total": 0, "target": 0, "target_fraction": 0.0}, doms)
