@@ -154,7 +154,8 @@ def hist_log(df: DataFrame, col: str, lo_exp: float, hi_exp: float, n: int,
         df.agg(F.count(F.lit(1)).alias("__n"))
     inside = df.where((x >= lo_edge) & (x <= hi_edge)).select(*by, b.alias("bin"))
     counts = inside.groupBy(*by, "bin").agg(F.count(F.lit(1)).alias("n"))
-    counts = counts.join(F.broadcast(sizes), by) if by else one_row_join(counts, sizes)
+    # one row per group: joined without a hint (Catalyst/AQE pick broadcast by size)
+    counts = counts.join(sizes, by) if by else one_row_join(counts, sizes)
     counts = counts.select(*by, "bin", "n", (F.col("n") / F.col("__n")).alias("weight"))
     g = _bins_with_zeros(counts, by, n)
     edges = F.array(*[F.lit(e) for e in log_edges(lo_exp, hi_exp, n)])

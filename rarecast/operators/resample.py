@@ -21,7 +21,7 @@ from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..util import col_of, hash_key, hash_uniform
+from ..util import col_of, hash_key, hash_uniform, one_row_join
 
 BUCKET_HEX = 5   # 16^5 = 2^20 ordered buckets
 
@@ -79,7 +79,7 @@ def undersample(df: DataFrame, label: str, id_col: str, ratio: float, seed: int
     y = col_of(label).cast("int")
     n_min = df.agg(F.sum((y == minority).cast("long")).alias("m"))
     r = rank_in_label(df, label, id_col, seed, "__r")
-    r = r.crossJoin(F.broadcast(n_min))    # one row
+    r = one_row_join(r, n_min)
     keep = (y == minority) | (F.col("__r") <= F.floor(F.col("m") / F.lit(float(ratio))))
     return r.where(keep).drop("__r", "n_label", "m")
 
@@ -88,7 +88,7 @@ def random_baseline(train: DataFrame, test: DataFrame, label: str, id_col: str,
     """Predict positive with the training prior (md5 uniform < prior) and
     report precision, recall and predicted share on the test rows."""
     prior = train.agg(F.avg(col_of(label).cast("double")).alias("__prior"))
-    t = test.crossJoin(F.broadcast(prior))     # one row
+    t = one_row_join(test, prior)
     pred = (hash_uniform(id_col, seed=seed) < F.col("__prior")).cast("int")
     y = col_of(label).cast("int")
     row = t.agg(F.sum(pred * y).alias("tp"), F.sum(pred).alias("npred"), F.sum(y).alias("P"),
