@@ -39,9 +39,12 @@ def comment_feature_report(spark, sf):
     positive share and mean features per community."""
     p = posts(spark, sf).withColumn("label", label_positive("gold", "platinum"))
     feats = C.fill_zero(p, _features(spark, sf), "post_id")
+    # Report columns are counts and means of integers: the same in any engine
+    # and summation order (means of per-post ratios can sit on a rounding tie).
     rep = ratio_by(feats, "community", "label", extra=[
-        F.avg("avg_up_rate").alias("mean_avg_up_rate"),
-        F.avg("gild_rate").alias("mean_gild_rate"),
+        F.avg("n_comments").alias("mean_n_comments"),
+        F.sum((F.col("gild_rate") > 0).cast("long")).alias("n_gilded_posts"),
+        F.sum((F.col("distinguished_rate") > 0).cast("long")).alias("n_official_posts"),
         F.sum((F.col("n_comments") == 0).cast("long")).alias("n_zero_comment"),
     ])
     return round_doubles(rep)
@@ -51,8 +54,9 @@ register("comment_feature_report", f"""
 SELECT community, CAST(count(*) AS BIGINT) AS n_posts,
   CAST(sum(CAST(label AS INTEGER)) AS BIGINT) AS n_positive,
   round(avg(CAST(label AS DOUBLE)), 6) AS positive_ratio,
-  round(avg(coalesce(f.avg_up_rate, 0)), 6) AS mean_avg_up_rate,
-  round(avg(coalesce(f.gild_rate, 0)), 6) AS mean_gild_rate,
+  round(avg(coalesce(f.n_comments, 0)), 6) AS mean_n_comments,
+  CAST(sum(CASE WHEN f.gild_rate > 0 THEN 1 ELSE 0 END) AS BIGINT) AS n_gilded_posts,
+  CAST(sum(CASE WHEN f.distinguished_rate > 0 THEN 1 ELSE 0 END) AS BIGINT) AS n_official_posts,
   CAST(sum(CASE WHEN f.post_id IS NULL THEN 1 ELSE 0 END) AS BIGINT) AS n_zero_comment
 FROM (SELECT *, gold + platinum > 0 AS label FROM {POSTS_SQL}) p LEFT JOIN {_FEATS_SQL} f USING (post_id)
 GROUP BY community""")(comment_feature_report)

@@ -116,7 +116,8 @@ def first_or_label(spark, sf):
 
 
 @register("edited_flag", """
-SELECT event_id, CASE WHEN event_type IN ('view', 'click') THEN false ELSE true END AS edited FROM events""")
+SELECT event_id, CASE WHEN event_type IN ('view', 'click') THEN false WHEN event_type = 'error' THEN true
+  WHEN value = 0 THEN false ELSE true END AS edited FROM events""")
 def edited_flag(spark, sf):
     e = events(spark, sf)
     raw = (F.when(F.col("event_type") == "view", F.lit("False"))
