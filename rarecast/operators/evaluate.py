@@ -150,24 +150,32 @@ def share_sweep(df: DataFrame, score: str, lo: float = 0.08, hi: float = 0.4, st
 
 def confusion_bins(df: DataFrame, score: str, label: str, t: float = 0.5, n: int = 10) -> DataFrame:
     """Rows predicted positive (score > t) and negative, each cut into ``n``
-    equal-width score bins over that side's own range: per bin the centre and
-    true/false positives (positive side) or true/false negatives (negative
-    side)."""
+    equal-width score bins over that side's own range - right-closed bins
+    (a, b], the first edge lowered by 0.1 % of the range so the minimum is
+    included - with every bin listed (empty ones count 0): per bin the centre
+    and true/false positives (positive side) or true/false negatives
+    (negative side)."""
     y = _y(label)
     d = df.select(F.col(score).cast("double").alias("s"), y.alias("y"),
                   F.when(F.col(score) > F.lit(t), F.lit("positive")).otherwise(F.lit("negative")).alias("side"))
     rng = d.groupBy("side").agg(F.min("s").alias("lo"), F.max("s").alias("hi"))
     d = d.join(F.broadcast(rng), "side")   # two rows: one per side
     w = (F.col("hi") - F.col("lo")) / F.lit(n)
-    b = F.when(w == 0, F.lit(0)).otherwise(F.least(F.floor((F.col("s") - F.col("lo")) / w), F.lit(n - 1))).cast("int")
-    agg = d.groupBy("side", b.alias("bin"), "lo", "hi").agg(F.count(F.lit(1)).alias("n"), F.sum("y").alias("n_pos"))
-    centre = F.col("lo") + (F.col("bin") + F.lit(0.5)) * (F.col("hi") - F.col("lo")) / F.lit(n)
+    b = F.when(w == 0, F.lit(0)).otherwise(
+        F.greatest(F.lit(0), F.least(F.ceil((F.col("s") - F.col("lo")) / w) - 1, F.lit(n - 1)))).cast("int")
+    agg = d.groupBy("side", b.alias("bin")).agg(F.count(F.lit(1)).alias("n"), F.sum("y").alias("n_pos"))
+    grid = rng.select("side", "lo", "hi", F.explode(F.sequence(F.lit(0), F.lit(n - 1))).alias("bin"))
+    g = grid.join(agg, ["side", "bin"], "left").fillna(0, ["n", "n_pos"])
+    width = (F.col("hi") - F.col("lo")) / F.lit(n)
+    first_lo = F.col("lo") - (F.col("hi") - F.col("lo")) * F.lit(0.001)
+    left = F.when(F.col("bin") == 0, first_lo).otherwise(F.col("lo") + F.col("bin") * width)
+    right = F.col("lo") + (F.col("bin") + 1) * width
     pos_side = F.col("side") == "positive"
-    return agg.select("side", "bin", centre.alias("centre"), "n",
-                      F.when(pos_side, F.col("n_pos")).alias("true_pos"),
-                      F.when(pos_side, F.col("n") - F.col("n_pos")).alias("false_pos"),
-                      F.when(~pos_side, F.col("n") - F.col("n_pos")).alias("true_neg"),
-                      F.when(~pos_side, F.col("n_pos")).alias("false_neg"))
+    return g.select("side", "bin", ((left + right) / 2).alias("centre"), F.col("n").cast("long").alias("n"),
+                    F.when(pos_side, F.col("n_pos")).cast("long").alias("true_pos"),
+                    F.when(pos_side, F.col("n") - F.col("n_pos")).cast("long").alias("false_pos"),
+                    F.when(~pos_side, F.col("n") - F.col("n_pos")).cast("long").alias("true_neg"),
+                    F.when(~pos_side, F.col("n_pos")).cast("long").alias("false_neg"))
 
 
 def score_hist(df: DataFrame, score: str, label: str, lo_exp: float = -4.0, hi_exp: float = -0.05,

@@ -98,12 +98,17 @@ def predicted_share_sweep(spark, sf):
 @register("confusion_by_score_bin", f"""
 WITH d AS (SELECT score AS s, y, CASE WHEN score > 0.5 THEN 'positive' ELSE 'negative' END AS side FROM {_S}),
 r AS (SELECT side, min(s) AS lo, max(s) AS hi FROM d GROUP BY side),
-a AS (SELECT side, CAST(CASE WHEN (hi - lo) / 10 = 0 THEN 0 ELSE least(floor((s - lo) / ((hi - lo) / 10)), 9) END AS INTEGER) AS bin,
-        lo, hi, count(*) AS n, CAST(sum(y) AS BIGINT) AS n_pos FROM d JOIN r USING (side) GROUP BY ALL)
-SELECT side, bin, round(lo + (bin + 0.5::DOUBLE) * (hi - lo) / 10, 6) AS centre, n,
+a AS (SELECT side, CAST(CASE WHEN (hi - lo) / 10 = 0 THEN 0
+                        ELSE greatest(0, least(ceil((s - lo) / ((hi - lo) / 10)) - 1, 9)) END AS INTEGER) AS bin,
+        count(*) AS n, CAST(sum(y) AS BIGINT) AS n_pos FROM d JOIN r USING (side) GROUP BY ALL),
+g AS (SELECT r.side, r.lo, r.hi, CAST(b.range AS INTEGER) AS bin, coalesce(a.n, 0) AS n, coalesce(a.n_pos, 0) AS n_pos
+      FROM r CROSS JOIN range(10) b LEFT JOIN a ON a.side = r.side AND a.bin = b.range)
+SELECT side, bin,
+  round(((CASE WHEN bin = 0 THEN lo - (hi - lo) * 0.001::DOUBLE ELSE lo + bin * ((hi - lo) / 10) END)
+         + (lo + (bin + 1) * ((hi - lo) / 10))) / 2, 6) AS centre, n,
   CASE WHEN side = 'positive' THEN n_pos END AS true_pos, CASE WHEN side = 'positive' THEN n - n_pos END AS false_pos,
   CASE WHEN side = 'negative' THEN n - n_pos END AS true_neg, CASE WHEN side = 'negative' THEN n_pos END AS false_neg
-FROM a""")
+FROM g""")
 def confusion_by_score_bin(spark, sf):
     return round_doubles(EV.confusion_bins(_scored(spark, sf), "score", "y", 0.5, 10))
 
