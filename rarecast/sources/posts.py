@@ -70,3 +70,25 @@ def staged_names(keys: DataFrame, key: str, prefix: str) -> DataFrame:
     k = F.col(key)
     return (keys.where(k.startswith(prefix) & (k != prefix) & ~k.endswith("/"))
             .select(k.alias("file_name")).distinct())
+
+
+def _listing_schema(fields: T.StructType) -> T.ArrayType:
+    child = T.StructType([T.StructField("kind", T.StringType()), T.StructField("data", fields)])
+    listing = T.StructType([T.StructField("data", T.StructType([
+        T.StructField("children", T.ArrayType(child))]))])
+    return T.ArrayType(listing)
+
+
+def read_comment_listings(spark: SparkSession, path: str, comment_schema: T.StructType,
+                          whole_file: bool = False) -> DataFrame:
+    """Comments from API responses shaped ``[post_listing, comment_listing]``
+    (one response per line, or one per file with ``whole_file``): the post id
+    comes from the first listing, one row per ``comment_listing.data.children
+    [].data``.  Fields missing from a comment are null (see comment_defaults)."""
+    post = T.StructType([T.StructField("id", T.StringType())])
+    reader = spark.read.option("wholetext", True) if whole_file else spark.read
+    raw = reader.text(path).select(F.from_json("value", _listing_schema(post)).alias("p"),
+                                   F.from_json("value", _listing_schema(comment_schema)).alias("c"))
+    rows = raw.select(F.col("p")[0]["data"]["children"][0]["data"]["id"].alias("post_id"),
+                      F.explode(F.col("c")[1]["data"]["children"]).alias("child"))
+    return rows.select("post_id", "child.kind", "child.data.*")
