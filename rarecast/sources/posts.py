@@ -91,4 +91,5 @@ def read_comment_listings(spark: SparkSession, path: str, comment_schema: T.Stru
                                    F.from_json("value", _listing_schema(comment_schema)).alias("c"))
     rows = raw.select(F.col("p")[0]["data"]["children"][0]["data"]["id"].alias("post_id"),
                       F.explode(F.col("c")[1]["data"]["children"]).alias("child"))
-    return rows.select("post_id", "child.kind", "child.data.*")
+    fields = [f.name for f in comment_schema.fields if f.name != "post_id"]
+    return rows.select("post_id", "child.kind", *[F.col(f"child.data.{f}").alias(f) for f in fields])
