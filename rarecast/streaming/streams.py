@@ -35,10 +35,15 @@ def run_available_now(stream: DataFrame, sink: str | Callable, checkpoint: str,
 
 
 def read_stream(spark: SparkSession, path: str, schema: T.StructType, fmt: str = "parquet",
-                max_files: int | None = None) -> DataFrame:
+                max_files: int | None = None, archive_dir: str | None = None) -> DataFrame:
+    """File stream with a declared schema.  ``archive_dir`` moves every file
+    out of the staging folder once its batch is committed (the file source's
+    ``cleanSource=archive``), so staging only holds work still to do."""
     r = spark.readStream.schema(schema).format(fmt)
     if max_files:
         r = r.option("maxFilesPerTrigger", max_files)
+    if archive_dir:
+        r = r.option("cleanSource", "archive").option("sourceArchiveDir", archive_dir)
     return r.load(path)
 
 
@@ -95,12 +100,14 @@ def append_batch(target: str, key: str | list, order: list, fmt: str = "parquet"
 
 def ingest_stream(spark: SparkSession, in_dir: str, target: str, checkpoint: str, schema: T.StructType,
                   conform_to: T.StructType, key: str, order: list, bad_row: Column,
-                  ledger: str, fmt: str = "parquet") -> None:
+                  ledger: str, fmt: str = "parquet", archive_dir: str | None = None) -> None:
     """Take each staged file once: conform it, reject a file wholly when any
     of its rows fails ``bad_row``, append the accepted rows first-wins by
-    ``key``, and record one ledger row per file."""
+    ``key``, and record one ledger row per file (status completed / error).
+    With ``archive_dir`` processed files leave the staging folder."""
     from ..sources.table import conform, load_ledger, route_files
-    src = read_stream(spark, in_dir, schema, fmt).withColumn("file", F.col("_metadata.file_path"))
+    src = read_stream(spark, in_dir, schema, fmt, archive_dir=archive_dir) \
+        .withColumn("file", F.col("_metadata.file_path"))
     append = append_batch(target, key, order, fmt)
 
     def per_batch(batch: DataFrame, batch_id: int) -> None:
