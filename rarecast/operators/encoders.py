@@ -34,8 +34,11 @@ class TargetMeans(Estimator):
         y = F.col(self.label).cast("double")
         long = df.select(y.alias("__y"), *[_key(c).alias(c) for c in self.cols]) \
             .unpivot(["__y"], self.cols, "feature", "value")
-        stats = long.groupBy("feature", "value").agg(F.count(F.lit(1)).alias("n"), F.avg("__y").alias("mean"))
-        overall = df.agg(F.avg(y).alias("__overall"))
+        stats = long.groupBy("feature", "value").agg(F.count(F.lit(1)).alias("n"), F.avg("__y").alias("mean"),
+                                                     F.sum("__y").alias("__s"), F.count("__y").alias("__c"))
+        # overall mean from the first feature's cells (each row once): no second pass over df
+        overall = stats.where(F.col("feature") == F.lit(self.cols[0])).agg(
+            (F.sum("__s") / F.sum("__c")).alias("__overall"))
         s = one_row_join(stats, overall)
         w = F.lit(self.weight)
         enc = (F.col("n") * F.col("mean") + w * F.col("__overall")) / (F.col("n") + w)

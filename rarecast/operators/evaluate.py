@@ -37,7 +37,8 @@ def cumulative(df: DataFrame, score: str, label: str) -> DataFrame:
     it, and the totals P and N."""
     sc = score_counts(df, score, label)
     cum = prefix_sum_by_range(sc, "score", {"tp": "pos", "fp": "neg"}, descending=True)
-    tot = df.agg(F.sum(_y(label)).cast("long").alias("P"), F.sum(1 - _y(label)).cast("long").alias("N"))
+    # totals from the per-score table (exchange reused), not a second pass over the rows
+    tot = sc.agg(F.sum("pos").cast("long").alias("P"), F.sum("neg").cast("long").alias("N"))
     return one_row_join(cum, tot).withColumns({"tp0": F.col("tp") - F.col("pos"),
                                                "fp0": F.col("fp") - F.col("neg")})
 
@@ -105,8 +106,9 @@ def thresholds(lo: float, hi: float, step: float) -> list[float]:
 
 
 def _per_threshold(df: DataFrame, score: str, label: str | None, ts: list[float], strict: bool) -> DataFrame:
-    """(j, predicted, tp) for each threshold index j: counts of rows with
-    score >= t_j (or > t_j when strict), from one pass over the rows."""
+    """(j, predicted, tp, __n, __P) for each threshold index j: counts of rows
+    with score >= t_j (or > t_j when strict) and the row / positive totals,
+    all from one pass over the rows."""
     arr = F.array(*[F.lit(t) for t in ts])
     s = F.col(score).cast("double")
     idx = F.size(F.filter(arr, (lambda t: t < s) if strict else (lambda t: t <= s)))
@@ -122,7 +124,8 @@ def _per_threshold(df: DataFrame, score: str, label: str | None, ts: list[float]
     j = j.withColumns({"pred": F.coalesce(F.last("pred", ignorenulls=True).over(wj), F.lit(0)),
                        "tp": F.coalesce(F.last("tp", ignorenulls=True).over(wj), F.lit(0))})
     t_arr = F.array(*[F.lit(t) for t in ts])
-    return j.select("j", F.element_at(t_arr, F.col("j") + 1).alias("thresh"), "pred", "tp")
+    tot = per.agg(F.sum("c").alias("__n"), F.sum("p").alias("__P"))
+    return one_row_join(j.select("j", F.element_at(t_arr, F.col("j") + 1).alias("thresh"), "pred", "tp"), tot)
 
 
 def sweep(df: DataFrame, score: str, label: str, lo: float = 0.05, hi: float = 0.75,
@@ -130,8 +133,7 @@ def sweep(df: DataFrame, score: str, label: str, lo: float = 0.05, hi: float = 0
     """For each threshold t (``score >= t``): precision, recall,
     floor(predictions per 10,000 rows), floor(precision x that)."""
     ts = thresholds(lo, hi, step)
-    tot = df.agg(F.count(F.lit(1)).alias("__n"), F.sum(_y(label)).alias("__P"))
-    j = one_row_join(_per_threshold(df, score, label, ts, strict=False), tot)
+    j = _per_threshold(df, score, label, ts, strict=False)
     prec = F.coalesce(F.try_divide(F.col("tp"), F.col("pred")), F.lit(0.0))
     nop = F.floor(F.col("pred") * F.lit(1e4) / F.col("__n")).cast("long")
     return j.select("thresh", prec.alias("precision"),
@@ -143,8 +145,7 @@ def sweep(df: DataFrame, score: str, label: str, lo: float = 0.05, hi: float = 0
 def share_sweep(df: DataFrame, score: str, lo: float = 0.08, hi: float = 0.4, step: float = 0.01) -> DataFrame:
     """Share of rows with ``score > t`` for each threshold t."""
     ts = thresholds(lo, hi, step)
-    tot = df.agg(F.count(F.lit(1)).alias("__n"))
-    j = one_row_join(_per_threshold(df, score, None, ts, strict=True), tot)
+    j = _per_threshold(df, score, None, ts, strict=True)
     return j.select("thresh", (F.col("pred") / F.col("__n")).alias("share"))
 
 

@@ -49,7 +49,7 @@ def ratio_by(df: DataFrame, col: str, label: str, extra: list | None = None) ->
 def share_by(df: DataFrame, col: str, label: str) -> DataFrame:
     """Per value: share of all rows and share of all positive rows."""
     per = df.groupBy(col).agg(F.count(F.lit(1)).alias("n"), F.sum(_lbl(label)).alias("n_pos"))
-    tot = df.agg(F.count(F.lit(1)).alias("__n"), F.sum(_lbl(label)).alias("__p"))
+    tot = per.agg(F.sum("n").alias("__n"), F.sum("n_pos").alias("__p"))   # from the per-value table
     j = one_row_join(per, tot)
     return j.select(col, (F.col("n") / F.col("__n")).alias("share_of_rows"),
                     F.try_divide(F.col("n_pos"), F.col("__p")).alias("share_of_positives"))
@@ -150,10 +150,12 @@ def hist_log(df: DataFrame, col: str, lo_exp: float, hi_exp: float, n: int,
     hi_edge = 10 ** hi_exp
     lo_edge = 10 ** lo_exp
     b = F.least(F.floor((F.log10(x) - F.lit(lo_exp)) / F.lit(step)), F.lit(n - 1)).cast("int")
-    sizes = df.groupBy(*by).agg(F.count(F.lit(1)).alias("__n")) if by else \
-        df.agg(F.count(F.lit(1)).alias("__n"))
-    inside = df.where((x >= lo_edge) & (x <= hi_edge)).select(*by, b.alias("bin"))
-    counts = inside.groupBy(*by, "bin").agg(F.count(F.lit(1)).alias("n"))
+    # one pass: rows outside the range get bin -1 and only count towards their group's size
+    inside = (x >= lo_edge) & (x <= hi_edge)
+    all_counts = df.select(*by, F.when(inside, b).otherwise(F.lit(-1)).alias("bin")) \
+        .groupBy(*by, "bin").agg(F.count(F.lit(1)).alias("n"))
+    sizes = all_counts.groupBy(*by).agg(F.sum("n").alias("__n"))
+    counts = all_counts.where(F.col("bin") >= 0)
     # one row per group: joined without a hint (Catalyst/AQE pick broadcast by size)
     counts = counts.join(sizes, by) if by else one_row_join(counts, sizes)
     counts = counts.select(*by, "bin", "n", (F.col("n") / F.col("__n")).alias("weight"))
@@ -266,8 +268,11 @@ def chi_square(df: DataFrame, cols: list[str], label: str) -> DataFrame:
     only (the source's statistic), ``chi2_full`` = the usual 2 x k statistic
     (= chi2_pos / (1 - p)), dof = k - 1 and the upper-tail p-values.  The
     p-value runs in a vectorised pandas UDF over one row per feature."""
-    prof = profile(df, cols, label)
-    tot = df.agg(F.avg(_lbl(label)).alias("__p"))
+    prof = (_long(df, cols, label).groupBy("feature", "value")
+            .agg(F.count(F.lit(1)).alias("n"), F.sum("__y").alias("n_positive"), F.count("__y").alias("__c")))
+    # overall rate from the first feature's cells (they cover every row once): no second pass
+    tot = prof.where(F.col("feature") == F.lit(cols[0])).agg(
+        (F.sum("n_positive") / F.sum("__c")).alias("__p"))
     j = one_row_join(prof, tot)
     e = F.col("__p") * F.col("n")
     cell = F.try_divide((F.col("n_positive") - e) ** 2, e)

@@ -26,13 +26,23 @@ from ..util import col_of, hash_key, hash_uniform, one_row_join
 BUCKET_HEX = 5   # 16^5 = 2^20 ordered buckets
 
 
+def _digest_buckets(df: DataFrame, label: str, id_col: str, seed: int | str):
+    """Rows with their digest and digest-prefix bucket, and the (label, bucket)
+    histogram (at most 2^20 rows per label)."""
+    h = hash_key(id_col, seed=seed)
+    d = df.withColumns({"__h": h, "__b": F.conv(F.substring(h, 1, BUCKET_HEX), 16, 10).cast("int")})
+    return d, d.groupBy(label, "__b").agg(F.count(F.lit(1)).alias("__c"))
+
+
 def rank_in_label(df: DataFrame, label: str, id_col: str, seed: int | str = 0,
                   out: str = "rank") -> DataFrame:
     """Adds ``out``: 1-based rank of each row by md5(id|seed) within its
     label, plus ``n_label`` (rows of that label)."""
-    h = hash_key(id_col, seed=seed)
-    d = df.withColumns({"__h": h, "__b": F.conv(F.substring(h, 1, BUCKET_HEX), 16, 10).cast("int")})
-    hist = d.groupBy(label, "__b").agg(F.count(F.lit(1)).alias("__c"))
+    d, hist = _digest_buckets(df, label, id_col, seed)
+    return _rank_from(d, hist, label, id_col, out)
+
+
+def _rank_from(d: DataFrame, hist: DataFrame, label: str, id_col: str, out: str) -> DataFrame:
     w = Window.partitionBy(label).orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)
     wl = Window.partitionBy(label)
     offs = hist.select(label, "__b", F.coalesce(F.sum("__c").over(w), F.lit(0)).alias("__off"),
@@ -77,9 +87,11 @@ def undersample(df: DataFrame, label: str, id_col: str, ratio: float, seed: int
     """Keep every minority row and the first floor(n_min / ratio) majority
     rows by digest rank, so that minority / majority = ratio."""
     y = col_of(label).cast("int")
-    n_min = df.agg(F.sum((y == minority).cast("long")).alias("m"))
-    r = rank_in_label(df, label, id_col, seed, "__r")
-    r = one_row_join(r, n_min)
+    d, hist = _digest_buckets(df, label, id_col, seed)
+    # minority size from the (label, bucket) histogram: no second pass over the rows
+    n_min = hist.agg(F.coalesce(F.sum(F.when(col_of(label).cast("int") == minority, F.col("__c"))),
+                                F.lit(0)).alias("m"))
+    r = one_row_join(_rank_from(d, hist, label, id_col, "__r"), n_min)
     keep = (y == minority) | (F.col("__r") <= F.floor(F.col("m") / F.lit(float(ratio))))
     return r.where(keep).drop("__r", "n_label", "m")
 
