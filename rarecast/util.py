@@ -50,9 +50,13 @@ def broadcast_if_small(df: DataFrame, n_rows: int | None = None,
 
 
 def one_row_join(df: DataFrame, one_row: DataFrame) -> DataFrame:
-    """Attach the columns of a single-row aggregate to every row.  A global
-    ``agg`` has exactly one row, a proven bound, so it is broadcast."""
-    return df.crossJoin(F.broadcast(one_row))
+    """Attach the columns of a single-row aggregate (a global ``agg``: exactly
+    one row) to every row as one scalar subquery over a struct of them - no
+    join; with AQE the subquery reuses the exchanges it shares with ``df``."""
+    cols = one_row.columns
+    packed = one_row.select(F.struct(*cols).alias("__one")).scalar()
+    return df.withColumn("__one", packed).select(
+        *[F.col(f"`{c}`") for c in df.columns], *[F.col("__one").getField(c).alias(c) for c in cols])
 
 
 def union_all(frames) -> DataFrame:
