@@ -15,9 +15,10 @@ by digest."""
 from __future__ import annotations
 
 import math
+from functools import partial
 
-from pyspark.ml.feature import BucketedRandomProjectionLSH
-from pyspark.ml.functions import array_to_vector, vector_to_array
+import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -111,53 +112,136 @@ def random_baseline(train: DataFrame, test: DataFrame, label: str, id_col: str,
 
 
 # ----------------------------------------------------------------------------- SMOTE
+KNN_BLOCK = 4096        # rows per side of one distance block (block x block distances per task)
+KNN_MAX_PIVOTS = 1024   # upper bound on cells (pivots are collected: P x dim numbers)
+
+
+def _knn_block(k: int, qdf: pd.DataFrame, rdf: pd.DataFrame) -> pd.DataFrame:
+    """k nearest reference rows (other than itself) for each query row of one
+    (query chunk, reference chunk) block; ties by neighbour id.  Distances
+    come from one matrix product; the near-k candidates are re-measured as
+    sqrt(sum((x - y)^2)) so the kept order does not depend on round-off."""
+    empty = pd.DataFrame({"id": pd.Series([], dtype=object), "nb_id": pd.Series([], dtype=object),
+                          "dist": pd.Series([], dtype="float64")})
+    if qdf.empty or rdf.empty:
+        return empty
+    q = np.stack(qdf["a"].to_numpy()).astype(np.float64)
+    r = np.stack(rdf["b"].to_numpy()).astype(np.float64)
+    qid, rid = qdf["id"].to_numpy(), rdf["nb_id"].to_numpy()
+    qq, rr = (q * q).sum(1), (r * r).sum(1)
+    d2 = np.maximum(qq[:, None] + rr[None, :] - 2.0 * (q @ r.T), 0.0)
+    d2[qid[:, None] == rid[None, :]] = np.inf
+    m = min(k, r.shape[0])
+    kth = np.partition(d2, m - 1, axis=1)[:, m - 1]
+    tol = 1e-9 * (qq[:, None] + rr.max()) + 1e-12      # round-off of the product form
+    rows, cols = np.nonzero(np.isfinite(d2) & (d2 <= (kth[:, None] + tol)))
+    if rows.size == 0:
+        return empty
+    dist = np.sqrt(((q[rows] - r[cols]) ** 2).sum(1))
+    out = pd.DataFrame({"id": qid[rows], "nb_id": rid[cols], "dist": dist})
+    return out.sort_values(["id", "dist", "nb_id"]).groupby("id", sort=False).head(k)
+
+
+def _block_knn(q: DataFrame, r: DataFrame, k: int, block: int) -> DataFrame:
+    """Candidates (id, nb_id, dist): k per query row and reference chunk.
+    ``q`` = (cell, id, a), ``r`` = (cell, nb_id, b).  A cell's queries and
+    references are cut into ceil(size / block) hash chunks; every (query
+    chunk, reference chunk) pair of the cell is one cogrouped task, so a hot
+    cell is spread over many tasks and no task holds more than 2 x block
+    rows.  The chunk-count table has one row per cell (bounded by the pivot
+    count) and is broadcast."""
+    nq = q.groupBy("cell").agg(F.count(F.lit(1)).alias("nq"))
+    nr = r.groupBy("cell").agg(F.count(F.lit(1)).alias("nr"))
+    chunks = F.broadcast(nq.join(nr, "cell").select(
+        "cell", F.ceil(F.col("nq") / block).cast("int").alias("cq"),
+        F.ceil(F.col("nr") / block).cast("int").alias("cr")))
+    # fresh aliases: both sides derive from one frame, and cogroup needs distinct key attributes
+    qq = q.join(chunks, "cell").select(
+        F.col("cell").alias("cell"), F.pmod(F.xxhash64("id"), F.col("cq")).cast("int").alias("qc"),
+        F.explode(F.sequence(F.lit(0), F.col("cr") - 1)).alias("rc"), "id", "a")
+    rr = r.join(chunks, "cell").select(
+        F.col("cell").alias("cell"), F.explode(F.sequence(F.lit(0), F.col("cq") - 1)).alias("qc"),
+        F.pmod(F.xxhash64("nb_id"), F.col("cr")).cast("int").alias("rc"), "nb_id", "b")
+    keys = ["cell", "qc", "rc"]
+    return qq.groupBy(*keys).cogroup(rr.groupBy(*keys)).applyInPandas(
+        partial(_knn_block, k), "id string, nb_id string, dist double")
+
+
+def _keep_k(cands: DataFrame, k: int) -> DataFrame:
+    rank = Window.partitionBy("id").orderBy("dist", "nb_id")
+    return cands.withColumn("nb_rank", F.row_number().over(rank)).where(F.col("nb_rank") <= k)
+
+
 def minority_neighbours(minority: DataFrame, id_col: str, vec: str, k: int = 5,
-                        tables: int = 4, rounds: int = 4) -> DataFrame:
-    """(id, nb_id, dist, nb_rank): k near other minority rows per row.
-
-    Candidates come from an LSH similarity join (rows sharing a hash bucket in
-    any of ``tables`` random projections); exact distances are computed for
-    candidates only and the k nearest are kept.  Rows with fewer than k
-    candidates are searched again - only those rows - with a doubled bucket
-    length.  Rows still short after ``rounds`` are compared with every
-    minority row (exact for those rows).  Neighbours found through LSH are
-    the nearest among the candidates, as usual for SMOTE at scale."""
+                        n_pivots: int | None = None, block: int = KNN_BLOCK) -> DataFrame:
+    """(id, nb_id, dist, nb_rank): the exact k nearest other rows of every
+    row (Euclidean; ties by neighbour id), as a nearest-neighbour search for
+    SMOTE needs it, without a pairwise join.
+
+    1. P pivots: the P rows with the smallest md5(id) (default
+       ceil(n / block), at most ``KNN_MAX_PIVOTS``); each row's cell is its
+       nearest pivot (numpy over Arrow batches), cell radius R_j = largest
+       distance of a cell's rows to its pivot.
+    2. Pass 1: k nearest inside the own cell -> r(x), the k-th distance
+       (infinite when the cell is too small).
+    3. Pass 2: by the triangle inequality no row of cell j is nearer to x
+       than d(x, p_j) - R_j, so x is sent only to the other cells with
+       d(x, p_j) - R_j <= r(x); k nearest there.
+    4. Merge both passes per row, keep k.  Exact: every row that could beat
+       the pass-1 k-th distance is compared.
+    Distance work per row is the size of the cells it must search (all of
+    them in the worst case of no spatial structure); emitted rows are k per
+    row and block, never all pairs."""
     v = minority.select(col_of(id_col).cast("string").alias("id"),
-                        array_to_vector(F.col(vec).cast("array<double>")).alias("v")).persist()
+                        F.col(vec).cast("array<double>").alias("a")).persist()
     n = v.count()
     k = min(k, max(n - 1, 0))
     if k == 0:
         return v.sparkSession.createDataFrame([], "id string, nb_id string, dist double, nb_rank int")
-    first = v.select(vector_to_array("v").alias("a"))
-    dim = len(first.first()["a"])
-    span = first.agg(*[(F.max(F.col("a")[i]) - F.min(F.col("a")[i])).alias(f"s{i}") for i in range(dim)]).first()
-    diameter = math.sqrt(sum((span[f"s{i}"] or 0.0) ** 2 for i in range(dim))) or 1.0
-    rank = Window.partitionBy("id").orderBy("dist", "nb_id")
-
-    def top_k(pairs):
-        return (pairs.where(F.col("id") != F.col("nb_id"))
-                .withColumn("nb_rank", F.row_number().over(rank)).where(F.col("nb_rank") <= k))
-
-    done, todo, length = [], v, diameter / 16
-    for _ in range(rounds):
-        model = BucketedRandomProjectionLSH(inputCol="v", outputCol="h", bucketLength=length,
-                                            numHashTables=tables, seed=7).fit(v)
-        pairs = model.approxSimilarityJoin(todo, v, 2 * diameter + 1, distCol="dist").select(
-            F.col("datasetA.id").alias("id"), F.col("datasetB.id").alias("nb_id"), "dist")
-        top = top_k(pairs).persist()
-        full = top.groupBy("id").agg(F.count(F.lit(1)).alias("c")).where(F.col("c") >= k).select("id")
-        done.append(top.join(full, "id", "left_semi"))
-        todo = todo.join(full, "id", "left_anti").persist()
-        if not todo.head(1):
-            return union_frames(done)
-        length *= 2
-    # exact search for the few rows LSH could not serve
-    a = todo.select("id", vector_to_array("v").alias("x"))
-    b = v.select(F.col("id").alias("nb_id"), vector_to_array("v").alias("y"))
-    dist = F.sqrt(F.aggregate(F.zip_with("x", "y", lambda p, q: (p - q) * (p - q)), F.lit(0.0), lambda s_, t: s_ + t))
-    rest = top_k(a.join(b, how="inner", on=F.lit(True)).select("id", "nb_id", dist.alias("dist")))
-    done.append(rest)
-    return union_frames(done)
+    p = n_pivots or min(KNN_MAX_PIVOTS, max(1, math.ceil(n / block)))
+    piv = np.array([r["a"] for r in v.orderBy(F.md5("id"), "id").limit(p).collect()], dtype=np.float64)
+    pp = (piv * piv).sum(1)
+
+    def pivot_dists(x: np.ndarray) -> np.ndarray:
+        return np.sqrt(np.maximum((x * x).sum(1)[:, None] + pp[None, :] - 2.0 * (x @ piv.T), 0.0))
+
+    def assign(batches):
+        for b in batches:
+            if b.empty:
+                continue
+            d = pivot_dists(np.stack(b["a"].to_numpy()))
+            c = d.argmin(1)
+            yield pd.DataFrame({"id": b["id"], "a": b["a"], "cell": c.astype("int32"),
+                                "d_own": d[np.arange(len(c)), c]})
+
+    cells = v.mapInPandas(assign, "id string, a array<double>, cell int, d_own double").persist()
+    radius = {r["cell"]: r["R"] for r in cells.groupBy("cell").agg(F.max("d_own").alias("R")).collect()}
+    rad = np.array([radius.get(j, -np.inf) for j in range(len(piv))])     # empty cell: never searched
+
+    refs = cells.select("cell", F.col("id").alias("nb_id"), F.col("a").alias("b"))
+    first = _keep_k(_block_knn(cells.select("cell", "id", "a"), refs, k, block), k).persist()
+    if len(piv) == 1:
+        return first
+    rk = first.groupBy("id").agg(F.count(F.lit(1)).alias("c"), F.max("dist").alias("rk")) \
+        .select("id", F.when(F.col("c") >= k, F.col("rk")).alias("rk"))
+
+    def fan_out(batches):
+        for b in batches:
+            if b.empty:
+                continue
+            d = pivot_dists(np.stack(b["a"].to_numpy()))
+            bound = b["rk"].fillna(np.inf).to_numpy()
+            own = b["cell"].to_numpy()
+            hit = (d - rad[None, :] <= bound[:, None]) & np.isfinite(rad)[None, :]
+            hit[np.arange(len(own)), own] = False
+            i, j = np.nonzero(hit)
+            yield pd.DataFrame({"cell": j.astype("int32"), "id": b["id"].to_numpy()[i],
+                                "a": b["a"].to_numpy()[i]})
+
+    q2 = cells.join(rk, "id", "left").select("id", "a", "cell", "rk") \
+        .mapInPandas(fan_out, "cell int, id string, a array<double>")
+    second = _block_knn(q2, refs, k, block)
+    return _keep_k(first.select("id", "nb_id", "dist").unionByName(second), k)
 
 
 def union_frames(frames):

@@ -101,18 +101,33 @@ def test_smote_points_on_segments(spark):
         assert r["y"] == 1
 
 
-def test_minority_neighbours_exact_on_small_data(spark):
+def _brute_knn(pts, k):
+    arr = {i: np.array(v, dtype=float) for i, v in pts}
+    out = {}
+    for i in arr:
+        d = sorted((float(np.sqrt(((arr[i] - arr[j]) ** 2).sum())), j) for j in arr if j != i)
+        out[i] = d[:k]
+    return out
+
+
+@pytest.mark.parametrize("n_pivots,block", [(None, 4096), (6, 7), (3, 5)])
+def test_minority_neighbours_exact_vs_brute_force(spark, n_pivots, block):
+    """Exact k nearest (ties by id) against a brute-force scan, with one cell
+    and with several small cells and blocks (pruned pass 2, chunked cells)."""
     rnd = random.Random(2)
-    pts = [(str(i), [rnd.random(), rnd.random()]) for i in range(40)]
+    pts = [(f"p{i:03d}", [rnd.random(), rnd.random(), rnd.random()]) for i in range(60)]
+    pts += [(f"d{i}", [0.5, 0.5, 0.5]) for i in range(12)]        # a hot spot of duplicates
     df = spark.createDataFrame(pts, "id string, v array<double>")
-    got = RS.minority_neighbours(df, "id", "v", k=3)
-    got = {(r["id"], r["nb_rank"]): r["nb_id"] for r in got.collect()}
-    assert len(got) == 40 * 3
-    # the nearest neighbour found is never farther than the true 3rd nearest
-    arr = {i: np.array(v) for i, v in pts}
-    for i, _ in pts:
-        d = sorted((np.linalg.norm(arr[i] - arr[j]), j) for j in arr if j != i)
-        assert np.linalg.norm(arr[i] - arr[got[(i, 1)]]) <= d[2][0] + 1e-12
+    got = RS.minority_neighbours(df, "id", "v", k=4, n_pivots=n_pivots, block=block).collect()
+    want = _brute_knn(pts, 4)
+    assert len(got) == len(pts) * 4
+    by = {}
+    for r in got:
+        by.setdefault(r["id"], []).append((r["nb_rank"], r["nb_id"], r["dist"]))
+    for i, lst in by.items():
+        lst.sort()
+        assert [x[1] for x in lst] == [j for _, j in want[i]], i
+        assert [x[2] for x in lst] == pytest.approx([d for d, _ in want[i]], abs=1e-12)
 
 
 def test_vector_pca_share(spark):
