@@ -4,16 +4,21 @@
 ``t`` take the earliest outcome of the same key with time in
 ``[t + lo, t + hi)``.  It is built without emitting pairs:
 
-1. Both sides are cut into time buckets of width ``bucket`` (default one
-   hour, at most the window length), so a hot key is split by time.
-2. Snapshots (shifted to ``t + lo``) and outcomes are unioned and sorted per
-   (key, bucket); the first outcome at or after each snapshot inside its own
-   bucket comes from a forward ``min`` window - O(n log n), no pair output.
-3. Snapshots with nothing left in their bucket look up the next bucket of
-   the same key holding an outcome, from a per-(key, bucket) minimum table
-   (one row per key and bucket, so no fan-out), found by a second small
-   window over (key, bucket) rows.
-4. The match is kept only when it is before ``t + hi``."""
+1. Snapshots (shifted to ``t + lo``) become distinct (key, instant) rows and
+   outcomes the earliest per (key, instant) - partial aggregation, so
+   repeated instants collapse before any window.
+2. Instants are cut into time buckets of width ``bucket`` (default one hour,
+   at most the window length), so a hot key is split by time; a (key,
+   bucket) group that is still larger than ``hot_rows`` is cut further into
+   equal-width time slices.
+3. Per (key, bucket, slice) the first outcome at or after each snapshot
+   comes from a running ``min`` window over the reversed order - O(n log n),
+   no pair output.
+4. Snapshots with nothing left in their slice look up the next slice of the
+   same key holding an outcome, from a per-(key, bucket, slice) minimum
+   table (one row per slice, so no fan-out), by a second small window.
+5. Answers join back to the snapshot rows by (key, instant); the match is
+   kept only when it is before ``t + hi``."""
 
 from __future__ import annotations
 
@@ -53,10 +58,30 @@ def _seconds(interval: str) -> float:
     return float(n) * mult
 
 
+HOT_GROUP_ROWS = 1 << 20   # (key, bucket) groups above this are split by time
+
+
+def _split_hot(u: DataFrame, keys: list, t: str, hot_rows: int) -> DataFrame:
+    """Adds ``__sb``: 0, or for a group of ``keys`` with n > ``hot_rows`` rows
+    one of ceil(n / hot_rows) equal-width time slices of its [min, max] -
+    monotone in ``t``, so order across slices is kept.  The hot-group table
+    has at most rows / hot_rows rows; its join is left to AQE (broadcast
+    when small, otherwise a sort-merge join whose skewed side AQE splits)."""
+    stats = (u.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"), F.min(t).alias("__lo"),
+                                  F.max(t).alias("__hi"))
+             .where(F.col("__n") > hot_rows))
+    d = u.join(stats, keys, "left")
+    n_sb = F.ceil(F.col("__n") / F.lit(hot_rows))
+    frac = (F.col(t) - F.col("__lo")) / (F.col("__hi") - F.col("__lo"))
+    sb = F.when(F.col("__n").isNull() | (F.col("__hi") == F.col("__lo")), F.lit(0)) \
+        .otherwise(F.least(n_sb - 1, F.floor(frac * n_sb)))
+    return d.withColumn("__sb", sb.cast("long")).drop("__n", "__lo", "__hi")
+
+
 def outcome_after(snap: DataFrame, out: DataFrame, key: str, snap_ts: str, out_ts: str,
                   payload: list[str], lo: str = "24 hours", hi: str = "48 hours",
                   out_id: str | None = None, bucket: str | None = None,
-                  prefix: str = "out_") -> DataFrame:
+                  prefix: str = "out_", hot_rows: int = HOT_GROUP_ROWS) -> DataFrame:
     """Every snapshot row, plus the earliest outcome of its key in
     ``[t+lo, t+hi)`` (ties broken by ``out_id``).  Outcome columns are
     ``prefix + name`` for ``out_ts``, ``out_id`` and each ``payload`` column;
@@ -67,50 +92,49 @@ def outcome_after(snap: DataFrame, out: DataFrame, key: str, snap_ts: str, out_t
     fields = [out_ts] + ([tie] if tie != out_ts else []) + [p for p in payload if p not in (out_ts, tie)]
 
     s = snap.withColumn("__t", epoch_seconds(snap_ts) + F.lit(lo_s))
-    s = s.withColumn("__b", F.floor(F.col("__t") / width))
-    o = (out.select(key, *fields)
-         .withColumn("__t", epoch_seconds(out_ts))
-         .withColumn("__b", F.floor(F.col("__t") / width)))
+    o = out.select(key, *fields).withColumn("__t", epoch_seconds(out_ts))
     o_struct = F.struct(F.col("__t"), F.col(tie).alias("__tie"),
                         *[F.col(f).alias(f"__p_{f}") for f in fields])
     o_type = o.select(o_struct.alias("x")).schema["x"].dataType
-    snap_cols = [c for c in snap.columns]
-    s_struct = F.struct(*[F.col(c) for c in snap_cols])
-    s_type = s.select(s_struct.alias("x")).schema["x"].dataType
 
-    # (2) in-bucket as-of, as a running min over the reversed order (a
-    # running frame is O(n); a frame ending at UNBOUNDED FOLLOWING is not).
-    # In reverse, outcomes (kind 1) of the same instant come before the
+    # Instants: the answer depends only on (key, t), and of outcomes at one
+    # instant only the earliest by tie matters - both collapse by partial
+    # aggregation, so repeated instants of a hot key never reach a window.
+    o1 = o.groupBy(key, "__t").agg(F.min(o_struct).alias("__o"))
+    si = s.select(key, "__t").distinct()
+    u = (si.select(key, "__t", F.lit(0).alias("__kind"), F.lit(None).cast(o_type).alias("__o"))
+         .unionByName(o1.select(key, "__t", F.lit(1).alias("__kind"), "__o"))
+         .withColumn("__b", F.floor(F.col("__t") / width)))
+    u = _split_hot(u, [key, "__b"], "__t", hot_rows)
+    part = [key, "__b", "__sb"]
+
+    # (2) in-slice as-of, as a running min over the reversed order (a running
+    # frame is O(n); a frame ending at UNBOUNDED FOLLOWING is not).  In
+    # reverse, an outcome (kind 1) of the same instant comes before the
     # snapshot (kind 0), so an outcome exactly at t + lo is included.
-    u = (s.select(key, "__b", "__t", F.lit(0).alias("__kind"),
-                  s_struct.alias("__s"), F.lit(None).cast(o_type).alias("__o"))
-         .unionByName(o.select(key, "__b", "__t", F.lit(1).alias("__kind"),
-                               F.lit(None).cast(s_type).alias("__s"), o_struct.alias("__o"))))
-    w = (Window.partitionBy(key, "__b").orderBy(F.col("__t").desc(), F.col("__kind").desc())
+    w = (Window.partitionBy(*part).orderBy(F.col("__t").desc(), F.col("__kind").desc())
          .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    snaps = (u.withColumn("__m", F.min("__o").over(w))
-             .where(F.col("__kind") == 0).select(key, "__b", "__t", "__s", "__m"))
-
-    # (3) first outcome in a later bucket of the same key: an as-of over
-    # (key, bucket) rows only - one row per bucket holding snapshots or outcomes.
-    per_bucket = o.groupBy(key, "__b").agg(F.min(o_struct).alias("__x"))
-    snap_buckets = s.select(key, "__b").distinct()
-    bk = (per_bucket.select(key, "__b", F.lit(0).alias("__kind"), "__x")
-          .unionByName(snap_buckets.select(key, "__b", F.lit(1).alias("__kind"),
-                                           F.lit(None).cast(o_type).alias("__x"))))
-    # Reversed again: a snapshot bucket row (kind 1) precedes the outcome row
-    # of the same bucket, so only strictly later buckets are seen.
-    wf = (Window.partitionBy(key).orderBy(F.col("__b").desc(), F.col("__kind").desc())
-          .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    later = (bk.withColumn("__later", F.min("__x").over(wf))
-             .where(F.col("__kind") == 1).select(key, "__b", "__later"))
-
-    res = snaps.join(later, [key, "__b"], "left")
-    best = F.coalesce(F.col("__m"), F.col("__later"))
-    res = res.withColumn("__best", best)
+    inst = (u.withColumn("__m", F.min("__o").over(w))
+            .where(F.col("__kind") == 0).select(*part, "__t", "__m"))
+
+    # (3) first outcome in a strictly later slice of the same key: one row per
+    # (key, bucket, slice) - its earliest outcome and whether it holds
+    # snapshots - and a running min over the slices before it in reverse order.
+    per_slice = u.groupBy(*part).agg(F.min("__o").alias("__x"),
+                                     F.max(F.col("__kind") == 0).alias("__has_snap"))
+    wf = (Window.partitionBy(key).orderBy(F.col("__b").desc(), F.col("__sb").desc())
+          .rowsBetween(Window.unboundedPreceding, -1))
+    later = (per_slice.withColumn("__later", F.min("__x").over(wf))
+             .where(F.col("__has_snap")).select(*part, "__later"))
+
+    ans = (inst.join(later, part, "left")
+           .select(key, "__t", F.coalesce(F.col("__m"), F.col("__later")).alias("__best")))
+    # back to every snapshot row: many rows per (key, t) on one side, one on
+    # the other (a hot key is a skewed partition that AQE splits)
+    res = s.join(ans, [key, "__t"], "left")
     ok = F.col("__best.__t") < F.col("__t") + F.lit(hi_s - lo_s)
     outs = [F.when(ok, F.col(f"__best.__p_{f}")).alias(f"{prefix}{f}") for f in fields]
-    return res.select(*[F.col(f"__s.{c}").alias(c) for c in snap_cols], *outs)
+    return res.select(*[F.col(c) for c in snap.columns], *outs)
 
 
 def outcome_gaps(snap: DataFrame, out: DataFrame, key: str | list, by: list[str]) -> DataFrame:

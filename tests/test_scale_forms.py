@@ -54,9 +54,10 @@ def test_outcome_after_equals_brute_force(spark):
     e = spark.read.parquet(f"{SF_SMALL}/events.parquet")
     v = e.where("event_type = 'view'").select("event_id", "user_id", "ts")
     p = e.where("event_type = 'purchase'").select("event_id", "user_id", "ts")
-    for bucket in (None, "6 hours"):
+    for bucket, hot in ((None, O.HOT_GROUP_ROWS), ("6 hours", O.HOT_GROUP_ROWS), (None, 2), ("48 hours", 3)):
         got = {r["event_id"]: r["out_event_id"] for r in
-               O.outcome_after(v, p, "user_id", "ts", "ts", [], out_id="event_id", bucket=bucket).collect()}
+               O.outcome_after(v, p, "user_id", "ts", "ts", [], out_id="event_id", bucket=bucket,
+                               hot_rows=hot).collect()}
         views, buys = v.collect(), p.collect()
         want = {}
         for a in views:
@@ -67,6 +68,26 @@ def test_outcome_after_equals_brute_force(spark):
         assert any(x is not None for x in got.values())
 
 
+def test_outcome_after_hot_key_repeated_instants(spark):
+    """One key holds most rows, many at identical instants: sliced groups and
+    collapsed instants give the brute-force answer (earliest, ties by id)."""
+    t0 = dt.datetime(2024, 1, 1)
+    snaps = [(f"s{i}", "hot", t0 + dt.timedelta(minutes=7 * (i % 40))) for i in range(200)]
+    snaps += [("c1", "cold", t0)]
+    outs = [(f"o{i:03d}", "hot", t0 + dt.timedelta(hours=24, minutes=5 * (i % 30))) for i in range(120)]
+    outs += [("oc", "cold", t0 + dt.timedelta(hours=47, minutes=59))]
+    v = spark.createDataFrame(snaps, "event_id string, user_id string, ts timestamp")
+    p = spark.createDataFrame(outs, "event_id string, user_id string, ts timestamp")
+    want = {}
+    for e, u, t in snaps:
+        c = [(b, oid) for oid, uu, b in outs if uu == u and t + dt.timedelta(hours=24) <= b < t + dt.timedelta(hours=48)]
+        want[e] = min(c)[1] if c else None
+    for hot in (O.HOT_GROUP_ROWS, 4):
+        got = {r["event_id"]: r["out_event_id"] for r in
+               O.outcome_after(v, p, "user_id", "ts", "ts", [], out_id="event_id", hot_rows=hot).collect()}
+        assert got == want
+
+
 def test_sweep_equals_numpy(spark):
     rng = np.random.default_rng(3)
     s = np.round(rng.random(500), 3)
