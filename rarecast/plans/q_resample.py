@@ -75,10 +75,31 @@ def _vec_frame(spark, sf):
     return d.join(e, "doc_id")
 
 
-@register("smote_oversample")
+# The oracle finds the k nearest by a brute-force self-join (fine for a check
+# on small tables); the Spark operator never builds those pairs.
+@register("smote_oversample", f"""
+WITH df AS (SELECT d.doc_id, d.toxic, e.embedding FROM {DOCS_SQL} d JOIN embeddings e ON e.vec_id = d.doc_id),
+par AS (SELECT m, CAST(floor(0.5 * big) AS BIGINT) - m AS need, least(5, m - 1) AS k
+        FROM (SELECT count(*) FILTER (WHERE toxic = 1) AS m, count(*) FILTER (WHERE toxic <> 1) AS big FROM df)),
+mino AS (SELECT CAST(doc_id AS VARCHAR) AS id, CAST(embedding AS DOUBLE[]) AS v FROM df WHERE toxic = 1),
+ranked AS (SELECT id, row_number() OVER (ORDER BY md5(id || '|1'), id) - 1 AS pos FROM mino),
+nbrs AS (SELECT a.id, b.id AS nb_id,
+           row_number() OVER (PARTITION BY a.id ORDER BY list_distance(a.v, b.v), b.id) AS nb_rank
+         FROM mino a JOIN mino b ON a.id <> b.id),
+jobs AS (SELECT j, j % (SELECT m FROM par) AS pos
+         FROM range((SELECT CASE WHEN m >= 2 THEN greatest(need, 0) ELSE 0 END FROM par)) t(j)),
+syn AS (SELECT r.id AS source_id, n.nb_id AS neighbour_id, {hash_uniform_sql('j', '1|u')} AS u
+        FROM jobs JOIN ranked r USING (pos)
+        JOIN nbrs n ON n.id = r.id AND n.nb_rank = CAST(floor({hash_uniform_sql('j', '1|nb')} * (SELECT k FROM par)) AS BIGINT) + 1)
+SELECT doc_id, toxic, false AS synthetic, CAST(len(embedding) AS INTEGER) AS dim,
+       CAST(NULL AS VARCHAR) AS source_id, CAST(NULL AS VARCHAR) AS neighbour_id, CAST(NULL AS DOUBLE) AS u FROM df
+UNION ALL
+SELECT NULL, 1, true, CAST((SELECT max(len(embedding)) FROM df) AS INTEGER), source_id, neighbour_id, round(u, 6) FROM syn""")
 def smote_oversample(spark, sf):
-    """Synthetic minority rows until minority/majority = 0.5: rows-only here,
-    pytest checks every synthetic point lies between two minority points."""
+    """Synthetic minority rows until minority/majority = 0.5: each one's
+    source row, its drawn exact nearest neighbour and the draw u (pytest
+    also checks every synthetic point lies between the two)."""
     df = _vec_frame(spark, sf)
     out = RS.smote(df, "embedding", "toxic", "doc_id", ratio=0.5, k=5, seed=1)
-    return out.select("doc_id", "toxic", "synthetic", F.size("embedding").alias("dim"))
+    return round_doubles(out.select("doc_id", "toxic", "synthetic", F.size("embedding").alias("dim"),
+                                    "source_id", "neighbour_id", "u"))
