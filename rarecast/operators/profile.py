@@ -4,7 +4,7 @@ Every profile is one pass with a ``groupBy`` (partial aggregation map-side,
 so a hot value is pre-aggregated before the shuffle).  Many features are
 profiled together by ``unpivot``-ing them to (feature, value) rows first:
 O(rows) instead of one scan per value.  Totals are single-row aggregates
-attached by a broadcast one-row join.  Bin tables for empty bins come from
+attached as a scalar subquery.  Bin tables for empty bins come from
 ``sequence`` (size set by the parameters, not the data)."""
 
 from __future__ import annotations

@@ -1,5 +1,5 @@
 """Shared building blocks: deterministic hashing, size-checked broadcast,
-one-row joins and a distributed prefix sum."""
+one-row aggregates attached as scalar subqueries and a distributed prefix sum."""
 
 from __future__ import annotations
 
