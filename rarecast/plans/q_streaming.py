@@ -115,12 +115,23 @@ def stream_scrape_window(spark, sf):
     return r.select(F.unix_seconds(F.col("w.start")).alias("window_start"), "n_posts", "n_positive")
 
 
-@register("stream_outcome_asof")
+# Emitted once final: the drain ends with the watermark at the latest event
+# time minus the 1 h delay, so exactly the views with t + 48 h at or below it.
+@register("stream_outcome_asof", """
+WITH v AS (SELECT event_id, user_id, ts FROM events WHERE event_type = 'view'),
+p AS (SELECT event_id, user_id, ts, value FROM events WHERE event_type = 'purchase'),
+wm AS (SELECT max(ts) - INTERVAL 1 HOUR AS w FROM events WHERE event_type IN ('view', 'purchase')),
+m AS (SELECT v.event_id, p.event_id AS out_event_id, p.value AS out_value,
+        row_number() OVER (PARTITION BY v.event_id ORDER BY p.ts, p.event_id) AS rn
+      FROM v JOIN p ON v.user_id = p.user_id AND p.ts >= v.ts + INTERVAL 24 HOUR AND p.ts < v.ts + INTERVAL 48 HOUR)
+SELECT v.event_id, v.user_id, m.out_event_id, round(m.out_value, 6) AS out_value
+FROM v LEFT JOIN (SELECT * FROM m WHERE rn = 1) m USING (event_id)
+WHERE v.ts + INTERVAL 48 HOUR <= (SELECT w FROM wm)""")
 def stream_outcome_asof(spark, sf):
     """Earliest purchase 24-48 h after each view, as a stateful stream.
     Snapshots are emitted once final (watermark past t + 48 h), so the last
-    48 h of an ``availableNow`` drain stay pending: rows-only here, and pytest
-    compares every emitted row with the batch ``outcome_after``."""
+    48 h of an ``availableNow`` drain stay pending; pytest also compares
+    every emitted row with the batch ``outcome_after``."""
     src = _staged(spark, sf, "staged")
     st = S.read_stream(spark, src, _EVENTS)
     views = st.where(F.col("event_type") == "view").select("event_id", "user_id", "ts")

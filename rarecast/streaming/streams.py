@@ -154,21 +154,33 @@ def stage_copy(df: DataFrame, name: str, partition_by: str | None = None) -> str
     return path
 
 
+# State groups per time bucket (keys are hashed into this many).  Fixed for
+# the life of a checkpoint, since it is part of the state key.  A group holds
+# about (rows of two time buckets) / ASOF_KEY_BUCKETS rows, and each group is
+# one Python call: few buckets amortise the call, many bound the state.  Size
+# it per deployment (tens of thousands on a large cluster).
+ASOF_KEY_BUCKETS = 64
+
+
 def stream_outcome_asof(snap: DataFrame, out: DataFrame, key: str, snap_ts: str, out_ts: str,
                         snap_id: str, out_id: str, payload: list[str] | None = None,
-                        lo: str = "24 hours", hi: str = "48 hours", delay: str = "1 hour") -> DataFrame:
+                        lo: str = "24 hours", hi: str = "48 hours", delay: str = "1 hour",
+                        key_buckets: int = ASOF_KEY_BUCKETS) -> DataFrame:
     """Streaming form of ``outcome_after``: for every snapshot, the earliest
-    outcome of its key in [t + lo, t + hi), emitted once the watermark passes
-    t + hi (so the answer is final).  No (snapshot, outcome) pairs are built:
-    per key the state holds the pending snapshots and the outcomes that a
-    pending or future snapshot can still use, both bounded by the watermark;
-    each snapshot finds its outcome by binary search over the outcome times.
-    State is keyed by (key, time bucket), so a hot key is split by time.
+    outcome of its key in [t + lo, t + hi) (ties by outcome id), emitted once
+    the watermark passes t + hi (so the answer is final).
+
+    State groups are (hash bucket of the key, time bucket of width hi - lo):
+    many keys share a group, so one Python call serves many keys, and a hot
+    key is still split by time.  A group's state holds its pending snapshots
+    and the outcomes a pending or future snapshot can still use, both bounded
+    by the watermark.  Matching is a pandas ``merge_asof`` by key (forward,
+    exact times included) over the group's rows: no (snapshot, outcome)
+    pairs are formed.
 
     Output: key, snap_id, snap_ts, ``out_<out_id>``, ``out_<out_ts>`` and
     ``out_<p>`` for each payload column (null when there is no outcome)."""
     import json
-    from bisect import bisect_left
 
     import pandas as pd
     from pyspark.sql.streaming.state import GroupStateTimeout
@@ -185,6 +197,8 @@ def stream_outcome_asof(snap: DataFrame, out: DataFrame, key: str, snap_ts: str,
               T.StructField(f"out_{out_id}", oid_type), T.StructField(f"out_{out_ts}", T.TimestampType())]
     fields += [T.StructField(f"out_{p}", out.schema[p].dataType) for p in payload]
     out_schema = T.StructType(fields)
+    names = [f.name for f in out_schema.fields]
+    # state: JSON arrays of [ms, key json, record] rows
     state_schema = T.StructType([T.StructField("pending", T.StringType()), T.StructField("outs", T.StringType())])
 
     def ms(col):
@@ -192,61 +206,71 @@ def stream_outcome_asof(snap: DataFrame, out: DataFrame, key: str, snap_ts: str,
 
     s = event_time(snap, snap_ts)
     o = event_time(out, out_ts)
-    # Groups are (key, window-sized time bucket): a snapshot belongs to the
-    # bucket of t + lo; an outcome at ot can serve snapshots whose t + lo lies
-    # in (ot - (hi - lo), ot], i.e. its own bucket and the one before, so it
-    # is sent to both.  A hot key is thereby split by time.
+    # A snapshot belongs to the time bucket of t + lo; an outcome at ot can
+    # serve snapshots whose t + lo lies in (ot - (hi - lo), ot], i.e. its own
+    # bucket and the one before, so it is sent to both.  Keys (as JSON text,
+    # equal exactly when the values are) are hashed into ``key_buckets``.
     width = hi_ms - lo_ms
-    u = (s.select(F.col(key), F.col(snap_ts).alias("__t"), F.lit(0).alias("__kind"), ms(snap_ts).alias("__ms"),
-                  F.floor((ms(snap_ts) + lo_ms) / width).alias("__g"),
-                  F.to_json(F.struct(F.col(snap_id).alias("id"))).alias("__j"))
-         .unionByName(o.select(F.col(key), F.col(out_ts).alias("__t"), F.lit(1).alias("__kind"), ms(out_ts).alias("__ms"),
-                               F.explode(F.array(F.floor(ms(out_ts) / width), F.floor(ms(out_ts) / width) - 1)).alias("__g"),
-                               F.to_json(F.struct(F.col(out_id).alias("id"), *[F.col(p) for p in payload])).alias("__j"))))
+    kj = F.to_json(F.struct(F.col(key).alias("k")))
+    bk = F.pmod(F.xxhash64(F.col(key)), F.lit(key_buckets)).cast("int")
+    u = (s.select(bk.alias("__bk"), F.col(snap_ts).alias("__t"), F.lit(0).alias("__kind"),
+                  ms(snap_ts).alias("__ms"), F.floor((ms(snap_ts) + lo_ms) / width).alias("__g"),
+                  kj.alias("__k"), F.to_json(F.struct(F.col(snap_id).alias("id"))).alias("__j"))
+         .unionByName(o.select(bk.alias("__bk"), F.col(out_ts).alias("__t"), F.lit(1).alias("__kind"),
+                               ms(out_ts).alias("__ms"),
+                               F.explode(F.array(F.floor(ms(out_ts) / width), F.floor(ms(out_ts) / width) - 1))
+                               .alias("__g"), kj.alias("__k"),
+                               F.to_json(F.struct(F.col(out_id).alias("id"), *[F.col(p) for p in payload]))
+                               .alias("__j"))))
     u = u.withWatermark("__t", delay)
 
-    def step(key_tuple, batches, state):
+    def decode(js) -> list:
+        """One JSON parse for a whole column of JSON texts."""
+        return json.loads("[" + ",".join(js) + "]") if len(js) else []
+
+    def step(group, batches, state):
         pending, outs = ([], [])
         if state.exists:
             pending, outs = json.loads(state.get[0]), json.loads(state.get[1])
         if not state.hasTimedOut:
             for pdf in batches:
-                for kind, t, j in zip(pdf["__kind"], pdf["__ms"], pdf["__j"]):
-                    rec = json.loads(j)
-                    if kind == 0:
-                        pending.append([int(t), rec["id"]])
-                    else:
-                        outs.append([int(t), rec["id"], rec])
-        outs.sort(key=lambda r: (r[0], r[1]))
-        times = [r[0] for r in outs]
+                is_snap = pdf["__kind"].to_numpy() == 0
+                ts, ks, js = pdf["__ms"].to_numpy(), pdf["__k"].to_numpy(), pdf["__j"].to_numpy()
+                for m, rows in ((is_snap, pending), (~is_snap, outs)):
+                    rows.extend(map(list, zip(ts[m].tolist(), ks[m].tolist(), decode(js[m]))))
         wm = state.getCurrentWatermarkMs()
-        emit, keep = [], []
-        for t, sid in pending:
-            if wm >= t + hi_ms:
-                i = bisect_left(times, t + lo_ms)
-                best = outs[i] if i < len(outs) and outs[i][0] < t + hi_ms else None
-                emit.append((t, sid, best))
+        due = [r for r in pending if wm >= r[0] + hi_ms]
+        keep = [r for r in pending if wm < r[0] + hi_ms]
+        if due:
+            left = pd.DataFrame({"tl": [r[0] + lo_ms for r in due], "k": [r[1] for r in due],
+                                 "i": range(len(due))}).sort_values("tl", kind="stable")
+            if outs:
+                # earliest outcome per (key, time) by id, then forward as-of by key
+                o_df = pd.DataFrame({"to": [r[0] for r in outs], "k": [r[1] for r in outs],
+                                     "oid": [r[2]["id"] for r in outs], "j": range(len(outs))})
+                o_df = o_df.sort_values(["k", "to", "oid"]).drop_duplicates(["k", "to"]).sort_values("to")
+                m = pd.merge_asof(left, o_df[["to", "k", "j"]], left_on="tl", right_on="to", by="k",
+                                  direction="forward", allow_exact_matches=True).sort_values("i")
+                ok = m["to"].notna() & (m["to"] < m["tl"] - lo_ms + hi_ms)
+                best = [outs[int(j)] if hit else None for j, hit in zip(m["j"].fillna(-1), ok)]
             else:
-                keep.append([t, sid])
+                best = [None] * len(due)
+            cols = {key: [d["k"] for d in decode([r[1] for r in due])],
+                    snap_id: [r[2]["id"] for r in due],
+                    snap_ts: pd.to_datetime([r[0] for r in due], unit="ms"),
+                    f"out_{out_id}": [b[2]["id"] if b else None for b in best],
+                    f"out_{out_ts}": pd.to_datetime([b[0] if b else None for b in best], unit="ms")}
+            for p in payload:
+                cols[f"out_{p}"] = [b[2].get(p) if b else None for b in best]
+            yield pd.DataFrame(cols, columns=names)
         # outcomes no pending or future snapshot can use any more
-        horizon = min([t + lo_ms for t, _ in keep] + [wm + lo_ms])
+        horizon = min([r[0] + lo_ms for r in keep] + [wm + lo_ms])
         outs = [r for r in outs if r[0] >= horizon]
         if keep or outs:
             state.update((json.dumps(keep), json.dumps(outs)))
-            state.setTimeoutTimestamp(max(min([t + hi_ms for t, _ in keep] or [wm + hi_ms]), wm + 1))
+            state.setTimeoutTimestamp(max(min([r[0] + hi_ms for r in keep] or [wm + hi_ms]), wm + 1))
         else:
             state.remove()
-        if emit:
-            k = key_tuple[0]
-            rows = []
-            for t, sid, best in emit:
-                row = {key: k, snap_id: sid, snap_ts: pd.Timestamp(t, unit="ms"),
-                       f"out_{out_id}": best[1] if best else None,
-                       f"out_{out_ts}": pd.Timestamp(best[0], unit="ms") if best else None}
-                for p in payload:
-                    row[f"out_{p}"] = best[2].get(p) if best else None
-                rows.append(row)
-            yield pd.DataFrame(rows, columns=[f.name for f in out_schema.fields])
-
-    return u.groupBy(key, "__g").applyInPandasWithState(step, out_schema, state_schema, "append",
-                                                        GroupStateTimeout.EventTimeTimeout)
+
+    return u.groupBy("__bk", "__g").applyInPandasWithState(step, out_schema, state_schema, "append",
+                                                          GroupStateTimeout.EventTimeTimeout)
