@@ -106,38 +106,54 @@ def grid_search(pipe, grid: dict[str, list], df: DataFrame, fold_col: str, label
     return res.withColumn("rank", F.rank().over(Window.orderBy(F.col("mean_average_precision").desc())))
 
 
-def cv_score(df: DataFrame, estimator, fold_col: str, label: str, k: int) -> tuple[float, float]:
-    """Mean and population std of average precision over k folds."""
-    scores = []
-    ev = AveragePrecision(label)
-    for f in range(k):
-        train = df.where(F.col(fold_col) != f)
-        test = df.where(F.col(fold_col) == f)
-        scores.append(ev.evaluate(estimator.fit(train).transform(test)))
+def _fold_score(df: DataFrame, estimator, fold_col: str, label: str, f: int) -> float:
+    train = df.where(F.col(fold_col) != f)
+    test = df.where(F.col(fold_col) == f)
+    return AveragePrecision(label).evaluate(estimator.fit(train).transform(test))
+
+
+def _mean_std(scores: list[float]) -> tuple[float, float]:
     mean = sum(scores) / len(scores)
     return mean, math.sqrt(sum((s - mean) ** 2 for s in scores) / len(scores))
 
 
+def cv_score(df: DataFrame, estimator, fold_col: str, label: str, k: int) -> tuple[float, float]:
+    """Mean and population std of average precision over k folds."""
+    return _mean_std([_fold_score(df, estimator, fold_col, label, f) for f in range(k)])
+
+
 def backward_select(df: DataFrame, features: list[str], label: str, fold_col: str, k: int,
-                    estimator_factory, min_features: int = 1) -> DataFrame:
+                    estimator_factory, min_features: int = 1, parallelism: int = 4) -> DataFrame:
     """Drop, at each step, the feature whose removal scores best (mean average
     precision over the folds), down to ``min_features``.  Returns the log:
-    n_features, dropped, scores_mean, scores_std."""
+    n_features, dropped, scores_mean, scores_std.  The (candidate, fold)
+    fits of a step are independent: up to ``parallelism`` run as concurrent
+    Spark jobs (as ``CrossValidator`` does); the best is then taken in
+    candidate order, so the result does not depend on it."""
+    from concurrent.futures import ThreadPoolExecutor
+
+    from pyspark.util import inheritable_thread_target
     asm = VectorAssembler(inputCols=features, outputCol="__all", handleInvalid="keep")
     extra = [c for c in df.columns if c not in features and c not in (label, fold_col)]
     base = asm.transform(df).select("__all", label, fold_col, *extra).persist()
     current = list(features)
     log = []
-    while len(current) > min_features:
-        best = (-math.inf, None, None)          # start below any score
-        for cand in current:
-            keep = [features.index(c) for c in current if c != cand]
-            sliced = VectorSlicer(inputCol="__all", outputCol="features", indices=keep).transform(base)
-            mean, std = cv_score(sliced, estimator_factory(), fold_col, label, k)
-            if mean > best[0]:
-                best = (mean, cand, std)
-        current.remove(best[1])
-        log.append((len(current), best[1], best[0], best[2]))
+    def job(cand: str, f: int) -> float:
+        keep = [features.index(c) for c in current if c != cand]
+        sliced = VectorSlicer(inputCol="__all", outputCol="features", indices=keep).transform(base)
+        return _fold_score(sliced, estimator_factory(), fold_col, label, f)
+
+    with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
+        while len(current) > min_features:
+            tasks = [(c, f) for c in current for f in range(k)]
+            scores = list(pool.map(inheritable_thread_target(df.sparkSession)(lambda cf: job(*cf)), tasks))
+            best = (-math.inf, None, None)          # start below any score
+            for i, cand in enumerate(current):
+                mean, std = _mean_std(scores[i * k:(i + 1) * k])
+                if mean > best[0]:
+                    best = (mean, cand, std)
+            current.remove(best[1])
+            log.append((len(current), best[1], best[0], best[2]))
     base.unpersist()
     return df.sparkSession.createDataFrame(
         log, "n_features int, dropped string, scores_mean double, scores_std double")
