@@ -10,7 +10,7 @@
 2. Instants are cut into time buckets of width ``bucket`` (default one hour,
    at most the window length), so a hot key is split by time; a (key,
    bucket) group that is still larger than ``hot_rows`` is cut further into
-   equal-width time slices.
+   time slices (approximate quantiles, then equal width inside each).
 3. Per (key, bucket, slice) the first outcome at or after each snapshot
    comes from a running ``min`` window over the reversed order - O(n log n),
    no pair output.
@@ -59,23 +59,34 @@ def _seconds(interval: str) -> float:
 
 
 HOT_GROUP_ROWS = 1 << 20   # (key, bucket) groups above this are split by time
-
-
-def _split_hot(u: DataFrame, keys: list, t: str, hot_rows: int) -> DataFrame:
-    """Adds ``__sb``: 0, or for a group of ``keys`` with n > ``hot_rows`` rows
-    one of ceil(n / hot_rows) equal-width time slices of its [min, max] -
-    monotone in ``t``, so order across slices is kept.  The hot-group table
-    has at most rows / hot_rows rows; its join is left to AQE (broadcast
-    when small, otherwise a sort-merge join whose skewed side AQE splits)."""
-    stats = (u.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"), F.min(t).alias("__lo"),
-                                  F.max(t).alias("__hi"))
-             .where(F.col("__n") > hot_rows))
-    d = u.join(stats, keys, "left")
-    n_sb = F.ceil(F.col("__n") / F.lit(hot_rows))
-    frac = (F.col(t) - F.col("__lo")) / (F.col("__hi") - F.col("__lo"))
-    sb = F.when(F.col("__n").isNull() | (F.col("__hi") == F.col("__lo")), F.lit(0)) \
-        .otherwise(F.least(n_sb - 1, F.floor(frac * n_sb)))
-    return d.withColumn("__sb", sb.cast("long")).drop("__n", "__lo", "__hi")
+HOT_QUANTILES = 64         # approximate time quantiles per hot group
+
+
+def _split_hot(u: DataFrame, keys: list, t: str, hot_rows: int, n_q: int = HOT_QUANTILES) -> DataFrame:
+    """Adds ``__sb``, a slice number monotone in ``t`` within each group of
+    ``keys``: 0 for groups of at most ``hot_rows`` rows.  A hot group of n
+    rows is cut at ``n_q`` approximate time quantiles (so a group whose
+    instants crowd into part of its range is still spread), and each
+    quantile interval into ceil(n / ((n_q + 1) * hot_rows)) equal-width
+    pieces.  Sizes are one partial aggregation; quantile sketches are built
+    for rows of hot groups only.  The hot-group table has at most
+    rows / hot_rows rows; its joins are left to AQE (broadcast when small,
+    otherwise a sort-merge join whose skewed side AQE splits)."""
+    hot = (u.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"), F.min(t).alias("__lo"), F.max(t).alias("__hi"))
+           .where(F.col("__n") > hot_rows))
+    probs = [i / (n_q + 1) for i in range(1, n_q + 1)]
+    qs = (u.join(hot.select(*keys), keys, "left_semi").groupBy(*keys)
+          .agg(F.percentile_approx(t, probs, max(10000, 100 * n_q)).alias("__q")))
+    hot = hot.join(qs, keys).select(
+        *keys, "__n", F.concat(F.array("__lo"), "__q", F.array("__hi")).alias("__e"))
+    d = u.join(hot, keys, "left")
+    m = F.ceil(F.col("__n") / F.lit((n_q + 1) * hot_rows))
+    q = F.size(F.filter(F.slice("__e", 2, n_q), lambda b: b < F.col(t)))      # quantile interval 0..n_q
+    left, right = F.element_at("__e", q + 1), F.element_at("__e", q + 2)
+    piece = F.when(right <= left, F.lit(0)).otherwise(
+        F.least(m - 1, F.floor((F.col(t) - left) / (right - left) * m)))
+    sb = F.when(F.col("__n").isNull(), F.lit(0)).otherwise(q * m + piece)
+    return d.withColumn("__sb", sb.cast("long")).drop("__n", "__e")
 
 
 def outcome_after(snap: DataFrame, out: DataFrame, key: str, snap_ts: str, out_ts: str,

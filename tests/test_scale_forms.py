@@ -88,6 +88,24 @@ def test_outcome_after_hot_key_repeated_instants(spark):
         assert got == want
 
 
+def test_split_hot_spreads_crowded_group(spark):
+    """A hot group whose instants crowd into one second of its hour is still
+    cut into slices of about ``hot_rows``; slices are monotone in time and a
+    cold group stays whole."""
+    rows = [("hot", 0, 1000.0 + i / 2000.0) for i in range(1990)]
+    rows += [("hot", 0, 1000.0 + 360.0 * i) for i in range(1, 11)]
+    rows += [("cold", 0, 5.0 + i) for i in range(30)]
+    u = spark.createDataFrame(rows, "k string, b int, t double")
+    got = O._split_hot(u, ["k", "b"], "t", 50).collect()
+    hot = sorted((r["t"], r["__sb"]) for r in got if r["k"] == "hot")
+    assert all(a[1] <= b[1] for a, b in zip(hot, hot[1:]))          # monotone in t
+    sizes = {}
+    for _, sb in hot:
+        sizes[sb] = sizes.get(sb, 0) + 1
+    assert max(sizes.values()) <= 4 * 50
+    assert {r["__sb"] for r in got if r["k"] == "cold"} == {0}
+
+
 def test_sweep_equals_numpy(spark):
     rng = np.random.default_rng(3)
     s = np.round(rng.random(500), 3)
