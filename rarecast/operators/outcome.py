@@ -69,7 +69,9 @@ def _split_hot(u: DataFrame, keys: list, t: str, hot_rows: int, n_q: int = HOT_Q
     instants crowd into part of its range is still spread), and each
     quantile interval into ceil(n / ((n_q + 1) * hot_rows)) equal-width
     pieces.  Sizes are one partial aggregation; quantile sketches are built
-    for rows of hot groups only.  The hot-group table has at most
+    for rows of hot groups only.  These passes read only the key and time
+    columns of the inputs (column pruning), a small share of their bytes,
+    instead of caching the instants.  The hot-group table has at most
     rows / hot_rows rows; its joins are left to AQE (broadcast when small,
     otherwise a sort-merge join whose skewed side AQE splits)."""
     hot = (u.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"), F.min(t).alias("__lo"), F.max(t).alias("__hi"))
