@@ -12,7 +12,7 @@ from pyspark.ml import Estimator, Model
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..util import broadcast_if_small, one_row_join
+from ..util import broadcast_if_small, attach_one_row
 
 _NULL_KEY = "\u0000null"  # nulls form their own category
 
@@ -39,7 +39,7 @@ class TargetMeans(Estimator):
         # overall mean from the first feature's cells (each row once): no second pass over df
         overall = stats.where(F.col("feature") == F.lit(self.cols[0])).agg(
             (F.sum("__s") / F.sum("__c")).alias("__overall"))
-        s = one_row_join(stats, overall)
+        s = attach_one_row(stats, overall)
         w = F.lit(self.weight)
         enc = (F.col("n") * F.col("mean") + w * F.col("__overall")) / (F.col("n") + w)
         table = s.select("feature", "value", "n", enc.alias("encoding"), "__overall").persist()

@@ -17,7 +17,7 @@ import math
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..util import col_of, one_row_join, prefix_sum_by_range
+from ..util import col_of, attach_one_row, prefix_sum_by_range
 from .profile import hist_log, log_edges
 
 
@@ -39,7 +39,7 @@ def cumulative(df: DataFrame, score: str, label: str) -> DataFrame:
     cum = prefix_sum_by_range(sc, "score", {"tp": "pos", "fp": "neg"}, descending=True)
     # totals from the per-score table (exchange reused), not a second pass over the rows
     tot = sc.agg(F.sum("pos").cast("long").alias("P"), F.sum("neg").cast("long").alias("N"))
-    return one_row_join(cum, tot).withColumns({"tp0": F.col("tp") - F.col("pos"),
+    return attach_one_row(cum, tot).withColumns({"tp0": F.col("tp") - F.col("pos"),
                                                "fp0": F.col("fp") - F.col("neg")})
 
 
@@ -125,7 +125,7 @@ def _per_threshold(df: DataFrame, score: str, label: str | None, ts: list[float]
                        "tp": F.coalesce(F.last("tp", ignorenulls=True).over(wj), F.lit(0))})
     t_arr = F.array(*[F.lit(t) for t in ts])
     tot = per.agg(F.sum("c").alias("__n"), F.sum("p").alias("__P"))
-    return one_row_join(j.select("j", F.element_at(t_arr, F.col("j") + 1).alias("thresh"), "pred", "tp"), tot)
+    return attach_one_row(j.select("j", F.element_at(t_arr, F.col("j") + 1).alias("thresh"), "pred", "tp"), tot)
 
 
 def sweep(df: DataFrame, score: str, label: str, lo: float = 0.05, hi: float = 0.75,

@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..util import col_of, one_row_join
+from ..util import col_of, attach_one_row
 
 
 def _lbl(label) -> Column:
@@ -50,7 +50,7 @@ def share_by(df: DataFrame, col: str, label: str) -> DataFrame:
     """Per value: share of all rows and share of all positive rows."""
     per = df.groupBy(col).agg(F.count(F.lit(1)).alias("n"), F.sum(_lbl(label)).alias("n_pos"))
     tot = per.agg(F.sum("n").alias("__n"), F.sum("n_pos").alias("__p"))   # from the per-value table
-    j = one_row_join(per, tot)
+    j = attach_one_row(per, tot)
     return j.select(col, (F.col("n") / F.col("__n")).alias("share_of_rows"),
                     F.try_divide(F.col("n_pos"), F.col("__p")).alias("share_of_positives"))
 
@@ -122,13 +122,13 @@ def hist_equal(df: DataFrame, col: str, n: int = 10, lo: float | None = None,
         rng = df.agg(F.min(x).alias("__lo"), F.max(x).alias("__hi"))
     else:
         rng = df.sparkSession.range(1).select(F.lit(float(lo)).alias("__lo"), F.lit(float(hi)).alias("__hi"))
-    d = one_row_join(df.select(x.alias("__x")), rng).where(
+    d = attach_one_row(df.select(x.alias("__x")), rng).where(
         (F.col("__x") >= F.col("__lo")) & (F.col("__x") <= F.col("__hi")))
     w = (F.col("__hi") - F.col("__lo")) / F.lit(n)
     b = F.when(w == 0, F.lit(0)).otherwise(
         F.least(F.floor((F.col("__x") - F.col("__lo")) / w), F.lit(n - 1))).cast("int")
     counts = d.groupBy(b.alias("bin")).agg(F.count(F.lit(1)).alias("n"))
-    g = one_row_join(_bins_with_zeros(counts, [], n), rng)
+    g = attach_one_row(_bins_with_zeros(counts, [], n), rng)
     w = (F.col("__hi") - F.col("__lo")) / F.lit(n)
     return g.select("bin", (F.col("__lo") + F.col("bin") * w).alias("bin_lo"),
                     (F.col("__lo") + (F.col("bin") + 1) * w).alias("bin_hi"),
@@ -157,7 +157,7 @@ def hist_log(df: DataFrame, col: str, lo_exp: float, hi_exp: float, n: int,
     sizes = all_counts.groupBy(*by).agg(F.sum("n").alias("__n"))
     counts = all_counts.where(F.col("bin") >= 0)
     # one row per group: joined without a hint (Catalyst/AQE pick broadcast by size)
-    counts = counts.join(sizes, by) if by else one_row_join(counts, sizes)
+    counts = counts.join(sizes, by) if by else attach_one_row(counts, sizes)
     counts = counts.select(*by, "bin", "n", (F.col("n") / F.col("__n")).alias("weight"))
     g = _bins_with_zeros(counts, by, n)
     edges = F.array(*[F.lit(e) for e in log_edges(lo_exp, hi_exp, n)])
@@ -273,7 +273,7 @@ def chi_square(df: DataFrame, cols: list[str], label: str) -> DataFrame:
     # overall rate from the first feature's cells (they cover every row once): no second pass
     tot = prof.where(F.col("feature") == F.lit(cols[0])).agg(
         (F.sum("n_positive") / F.sum("__c")).alias("__p"))
-    j = one_row_join(prof, tot)
+    j = attach_one_row(prof, tot)
     e = F.col("__p") * F.col("n")
     cell = F.try_divide((F.col("n_positive") - e) ** 2, e)
     stats = j.groupBy("feature").agg(

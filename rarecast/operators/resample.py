@@ -22,7 +22,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..util import col_of, hash_key, hash_uniform, one_row_join
+from ..util import col_of, hash_key, hash_uniform, attach_one_row
 
 BUCKET_HEX = 5   # 16^5 = 2^20 ordered buckets
 
@@ -92,7 +92,7 @@ def undersample(df: DataFrame, label: str, id_col: str, ratio: float, seed: int
     # minority size from the (label, bucket) histogram: no second pass over the rows
     n_min = hist.agg(F.coalesce(F.sum(F.when(col_of(label).cast("int") == minority, F.col("__c"))),
                                 F.lit(0)).alias("m"))
-    r = one_row_join(_rank_from(d, hist, label, id_col, "__r"), n_min)
+    r = attach_one_row(_rank_from(d, hist, label, id_col, "__r"), n_min)
     keep = (y == minority) | (F.col("__r") <= F.floor(F.col("m") / F.lit(float(ratio))))
     return r.where(keep).drop("__r", "n_label", "m")
 
@@ -101,7 +101,7 @@ def random_baseline(train: DataFrame, test: DataFrame, label: str, id_col: str,
     """Predict positive with the training prior (md5 uniform < prior) and
     report precision, recall and predicted share on the test rows."""
     prior = train.agg(F.avg(col_of(label).cast("double")).alias("__prior"))
-    t = one_row_join(test, prior)
+    t = attach_one_row(test, prior)
     pred = (hash_uniform(id_col, seed=seed) < F.col("__prior")).cast("int")
     y = col_of(label).cast("int")
     row = t.agg(F.sum(pred * y).alias("tp"), F.sum(pred).alias("npred"), F.sum(y).alias("P"),

@@ -49,7 +49,7 @@ def broadcast_if_small(df: DataFrame, n_rows: int | None = None,
     return F.broadcast(df) if n_rows <= max_rows else df
 
 
-def one_row_join(df: DataFrame, one_row: DataFrame) -> DataFrame:
+def attach_one_row(df: DataFrame, one_row: DataFrame) -> DataFrame:
     """Attach the columns of a single-row aggregate (a global ``agg``: exactly
     one row) to every row as one scalar subquery over a struct of them - no
     join; with AQE the subquery reuses the exchanges it shares with ``df``."""
@@ -83,7 +83,7 @@ def prefix_sum_by_range(df: DataFrame, key: str, sums: dict[str, str],
         n_buckets = max(2, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200")))
     probs = [i / n_buckets for i in range(1, n_buckets)]
     bounds = df.agg(F.array_distinct(F.percentile_approx(key, probs, 10000)).alias("__b"))
-    d = one_row_join(df, bounds)
+    d = attach_one_row(df, bounds)
     below = F.size(F.filter("__b", lambda b: b < F.col(key)))
     n_b = F.size("__b")
     d = d.withColumn("__bucket", (n_b - below) if descending else below).drop("__b")
