@@ -216,6 +216,7 @@ def minority_neighbours(minority: DataFrame, id_col: str, vec: str, k: int = 5,
 
     cells = v.mapInPandas(assign, "id string, a array<double>, cell int, d_own double").persist()
     radius = {r["cell"]: r["R"] for r in cells.groupBy("cell").agg(F.max("d_own").alias("R")).collect()}
+    v.unpersist()                    # ``cells`` (now materialised) carries the vectors from here on
     rad = np.array([radius.get(j, -np.inf) for j in range(len(piv))])     # empty cell: never searched
 
     refs = cells.select("cell", F.col("id").alias("nb_id"), F.col("a").alias("b"))
