@@ -289,3 +289,19 @@ def test_complete_grid_three_keys_q21(spark):
     t = spark.createDataFrame([("a", 0, "x", 1)], "k0 string, k1 int, k2 string, total long")
     g = PRI.complete_grid(t, ["k0", "k1", "k2"], domains={"k1": [0, 1]})
     assert g.count() == 2
+
+
+def test_empty_input_runs_q34(spark):
+    """Operators with attached one-row totals run on an empty frame: global
+    areas give one all-null row, tables are empty or all-zero bins."""
+    from rarecast.operators import resample as RS
+    e = spark.createDataFrame([], "id long, s double, y int, c string")
+    assert [tuple(r) for r in EV.areas(e, "s", "y").collect()] == [(None, None, None)]
+    assert EV.pr_curve(e, "s", "y").count() == 0
+    assert all(r["precision"] == 0.0 for r in EV.sweep(e, "s", "y").collect())
+    assert PF.share_by(e, "c", "y").count() == 0
+    assert PF.chi_square(e, ["c"], "y").count() == 0
+    assert all(r["n"] == 0 for r in PF.hist_log(e, "s", -3, 0, 5).collect())
+    assert RS.undersample(e, "y", "id", 0.5).count() == 0
+    assert RS.split(e, "y", "id").count() == 0
+    assert EN.TargetMeans(["c"], "y", 2.0).fit(e).transform(e).count() == 0
