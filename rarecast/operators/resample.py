@@ -233,7 +233,9 @@ def minority_neighbours(minority: DataFrame, id_col: str, vec: str, k: int = 5,
             d = pivot_dists(np.stack(b["a"].to_numpy()))
             bound = b["rk"].fillna(np.inf).to_numpy()
             own = b["cell"].to_numpy()
-            hit = (d - rad[None, :] <= bound[:, None]) & np.isfinite(rad)[None, :]
+            # prune only with a margin for round-off, so an exact tie is never cut
+            slack = 1e-9 * (d + np.abs(rad)[None, :]) + 1e-12
+            hit = (d - rad[None, :] <= bound[:, None] + slack) & np.isfinite(rad)[None, :]
             hit[np.arange(len(own)), own] = False
             i, j = np.nonzero(hit)
             yield pd.DataFrame({"cell": j.astype("int32"), "id": b["id"].to_numpy()[i],
