@@ -62,22 +62,25 @@ HOT_GROUP_ROWS = 1 << 20   # (key, bucket) groups above this are split by time
 HOT_QUANTILES = 64         # approximate time quantiles per hot group
 
 
-def _split_hot(u: DataFrame, keys: list, t: str, hot_rows: int, n_q: int = HOT_QUANTILES) -> DataFrame:
+def _split_hot(u: DataFrame, keys: list, t: str, hot_rows: int, n_q: int = HOT_QUANTILES,
+               sizing: DataFrame | None = None) -> DataFrame:
     """Adds ``__sb``, a slice number monotone in ``t`` within each group of
     ``keys``: 0 for groups of at most ``hot_rows`` rows.  A hot group of n
     rows is cut at ``n_q`` approximate time quantiles (so a group whose
     instants crowd into part of its range is still spread), and each
     quantile interval into ceil(n / ((n_q + 1) * hot_rows)) equal-width
-    pieces.  Sizes are one partial aggregation; quantile sketches are built
-    for rows of hot groups only.  These passes read only the key and time
-    columns of the inputs (column pruning), a small share of their bytes,
-    instead of caching the instants.  The hot-group table has at most
+    pieces.  Groups are sized on ``sizing`` (default ``u``) - any frame with
+    the same ``keys`` and ``t`` whose group counts bound ``u``'s, e.g. the
+    raw rows before de-duplication: then sizing is a partial aggregation of
+    two narrow columns straight from the scan.  Quantile sketches are built
+    for rows of hot groups only.  The hot-group table has at most
     rows / hot_rows rows; its joins are left to AQE (broadcast when small,
     otherwise a sort-merge join whose skewed side AQE splits)."""
-    hot = (u.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"), F.min(t).alias("__lo"), F.max(t).alias("__hi"))
+    src = u if sizing is None else sizing
+    hot = (src.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"), F.min(t).alias("__lo"), F.max(t).alias("__hi"))
            .where(F.col("__n") > hot_rows))
     probs = [i / (n_q + 1) for i in range(1, n_q + 1)]
-    qs = (u.join(hot.select(*keys), keys, "left_semi").groupBy(*keys)
+    qs = (src.join(hot.select(*keys), keys, "left_semi").groupBy(*keys)
           .agg(F.percentile_approx(t, probs, max(10000, 100 * n_q)).alias("__q")))
     hot = hot.join(qs, keys).select(
         *keys, "__n", F.concat(F.array("__lo"), "__q", F.array("__hi")).alias("__e"))
@@ -118,7 +121,11 @@ def outcome_after(snap: DataFrame, out: DataFrame, key: str, snap_ts: str, out_t
     u = (si.select(key, "__t", F.lit(0).alias("__kind"), F.lit(None).cast(o_type).alias("__o"))
          .unionByName(o1.select(key, "__t", F.lit(1).alias("__kind"), "__o"))
          .withColumn("__b", F.floor(F.col("__t") / width)))
-    u = _split_hot(u, [key, "__b"], "__t", hot_rows)
+    # sized on the raw (key, time) rows: counts bound the instants', and no
+    # second (key, instant) shuffle is needed for it
+    raw = (s.select(key, "__t").unionByName(o.select(key, "__t"))
+           .withColumn("__b", F.floor(F.col("__t") / width)))
+    u = _split_hot(u, [key, "__b"], "__t", hot_rows, sizing=raw)
     part = [key, "__b", "__sb"]
 
     # (2) in-slice as-of, as a running min over the reversed order (a running
