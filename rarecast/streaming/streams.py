@@ -126,7 +126,10 @@ def stream_outcome(snap: DataFrame, out: DataFrame, key: str, snap_ts: str, out_
     """Stream-stream interval join: outcomes of the same key in
     [t + lo, t + hi).  Both sides carry watermarks, so state is dropped once
     no future row can match.  ``how='left_outer'`` also emits snapshots
-    without an outcome once the watermark passes t + hi."""
+    without an outcome once the watermark passes t + hi.  The result is that
+    of a range join - every matching (snapshot, outcome) pair, so a key with
+    many outcomes in the window yields many rows; ``stream_outcome_asof``
+    emits one row per snapshot (the earliest outcome) and forms no pairs."""
     s = event_time(snap, snap_ts).withWatermark(snap_ts, delay).alias("s")
     o = event_time(out, out_ts).withWatermark(out_ts, delay).alias("o")
     cond = ((F.col(f"s.{key}") == F.col(f"o.{key}"))
