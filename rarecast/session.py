@@ -39,11 +39,9 @@ def ensure_utc(spark: SparkSession) -> None:
 
 
 def work_dir(spark: SparkSession) -> str:
-    """Shared folder for checkpoints and written intermediate tables.
-
-    Uses ``spark.checkpoint.dir`` (or the context's checkpoint dir) when the
-    cluster names one.  Only when it is unset - local tests - a scratch folder
-    is created and registered so that ``checkpoint()`` works."""
+    """Shared folder for checkpoints and written intermediate tables: the cluster's
+    ``spark.checkpoint.dir`` (or the context's checkpoint dir).  Where neither is set, a
+    local master gets a scratch folder; a cluster has to name one that all machines share."""
     d = spark.conf.get("spark.checkpoint.dir", None)
     try:
         sc = spark.sparkContext
@@ -52,8 +50,9 @@ def work_dir(spark: SparkSession) -> str:
     if not d and sc is not None:
         d = sc.getCheckpointDir()
     if not d:
-        d = tempfile.mkdtemp(prefix="rarecast-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", d)
+        if sc is None or not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        d = tempfile.mkdtemp(prefix="rarecast-work-")
     if sc is not None and sc.getCheckpointDir() is None:
         sc.setCheckpointDir(d)
     return d.rstrip("/")
