@@ -36,3 +36,31 @@ def fold_ascii(text: Column) -> Column:
 def crc_mod(id_col: Column, n: int) -> Column:
     """crc32 of the id written as text, modulo ``n`` (a null id counts as the empty text)."""
     return F.crc32(F.coalesce(id_col.cast("string"), F.lit("")).cast("binary")) % n
+
+
+def labelled_sample(docs: DataFrame, labels: DataFrame, target: str, training: Column, rows: int,
+                    seed: int = 17) -> DataFrame:
+    """(doc_id, label, text) of at most ``rows`` labelled documents, chosen by the hash of the id among
+    those for which ``training`` (on doc_id) holds.  An id labelled twice takes the larger label; ids
+    or labels that are null are left out; of documents that share an id one is taken."""
+    picked = (labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(target).cast("int").alias("label"))
+              .filter(training & F.col("doc_id").isNotNull() & F.col("label").isNotNull())
+              .groupBy("doc_id").agg(F.max("label").alias("label"))
+              .orderBy(F.xxhash64(F.lit(seed), "doc_id"), "doc_id").limit(rows))
+    return (docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+            .join(F.broadcast(picked), "doc_id")       # at most ``rows`` ids
+            .dropDuplicates(["doc_id"]).select("doc_id", "label", "text"))
+
+
+def logistic_1d(x, y, steps: int = 50):
+    """Slope and intercept of a one-variable logistic fit with a weak prior (Newton steps)."""
+    import numpy as np
+
+    a = np.array([0.0, 1.0])
+    z = np.stack([np.ones(len(x)), x], 1)
+    ridge = np.diag([1e-6, 1e-3])
+    for _ in range(steps):
+        p = 1 / (1 + np.exp(-np.clip(z @ a, -30, 30)))
+        step = np.linalg.solve((z * (p * (1 - p))[:, None]).T @ z + ridge + 1e-9 * np.eye(2), z.T @ (y - p) - ridge @ a)
+        a = a + np.clip(step, -4, 4)
+    return a
