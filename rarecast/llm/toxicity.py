@@ -58,19 +58,24 @@ def _units(c):
 
 
 def _count_units(batches):
-    """Per batch: (level, unit, occurrences in toxic and in clean documents)."""
+    """Per batch: (level, unit, parent unit, occurrences in toxic and in clean documents)."""
     for b in batches:
         label = b.column("label").to_numpy(zero_copy_only=False)
         for c in chunks(b.column("text"), 8 << 20):
             w, levels = _units(c)
             y = label[c.at + w.row]
             for k, h in enumerate(levels):
-                u, at = np.unique(h, return_inverse=True)
+                u, one, at = np.unique(h, return_index=True, return_inverse=True)
+                parent = levels[min(k + 1, len(levels) - 1)][one]
+                for j in range(len(levels) - 1, k, -1):      # the longest prefix the unit has
+                    parent = np.where(levels[j][one] != 0, levels[j][one], parent)
+                parent = parent if k + 1 < len(levels) else np.zeros(len(u), np.uint64)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(np.full(len(u), k, np.int32)), pa.array(u.view(np.int64)),
+                     pa.array(parent.view(np.int64)),
                      pa.array(np.bincount(at, y == 1, len(u)).astype(np.int64)),
                      pa.array(np.bincount(at, y != 1, len(u)).astype(np.int64))],
-                    names=["level", "unit", "toxic", "clean"])
+                    names=["level", "unit", "parent", "toxic", "clean"])
 
 
 class Model:
@@ -90,6 +95,8 @@ class Model:
             hit = unit[at] == h[todo]
             score[todo[hit]] = odds[at[hit]]
             todo = todo[~hit]
+        repeat = np.flatnonzero(levels[0][1:] == levels[0][:-1]) + 1
+        score[repeat] = np.minimum(score[repeat], 0)      # a word said again at once adds nothing
         return score - COST
 
     def segments(self, c):
@@ -143,21 +150,20 @@ def maximal_segments(left: list, right: list) -> list:
 
 
 def _log_odds(counts: DataFrame, share: float) -> list:
-    """Collected unit counts (at most MAX_UNITS) -> per level (units, log-odds).  The chain's priors
-    need a unit's parent, which counting kept beside it."""
+    """Per level (units, log-odds), from the MAX_UNITS units seen most often in toxic documents.  A
+    parent is seen at least as often as its units, so it is among them too."""
     top = (counts.filter("toxic + clean >= 2 AND unit <> 0")
-           .orderBy(F.desc("toxic"), F.desc("clean"), "level", "unit").limit(MAX_UNITS).toPandas())
+           .orderBy(F.desc("toxic"), F.desc("clean"), F.desc("level"), "unit").limit(MAX_UNITS).toPandas())
     root = math.log(share / (1 - share))
-    out = []
-    for k in range(1 + len(PREFIXES)):
+    known, levels = {}, []
+    for k in range(len(PREFIXES), -1, -1):
         t = top[top.level == k].sort_values("unit")
-        out.append((t.unit.to_numpy(np.int64).view(np.uint64), t.toxic.to_numpy(float), t.clean.to_numpy(float)))
-    levels = []
-    for u, tox, clean in out:
-        theta = (tox + STRENGTH * share) / (tox + clean + STRENGTH)
-        odds = np.log(theta / (1 - theta)) - root
-        order = np.argsort(u)
-        levels.append((u[order], odds[order]))
+        prior = np.array([known.get(p, share) for p in t.parent])
+        theta = (t.toxic.to_numpy(float) + STRENGTH * prior) / (t.toxic + t.clean + STRENGTH).to_numpy(float)
+        known.update(zip(t.unit, theta))
+        unit = t.unit.to_numpy(np.int64).view(np.uint64)
+        order = np.argsort(unit)
+        levels.insert(0, (unit[order], (np.log(theta / (1 - theta)) - root)[order]))
     return levels
 
 
@@ -166,8 +172,8 @@ def fit(docs: DataFrame, labels: DataFrame, training, target: str = "toxic", row
     n = dict(sample.groupBy("label").count().collect())
     if not n.get(1) or not sum(v for k, v in n.items() if k != 1):
         return Model([], 1.0 if n.get(1) else 0.0)
-    counts = (sample.mapInArrow(_count_units, "level int, unit long, toxic long, clean long")
-              .groupBy("level", "unit").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean")))
+    counts = (sample.mapInArrow(_count_units, "level int, unit long, parent long, toxic long, clean long")
+              .groupBy("level", "unit").agg(F.max("parent").alias("parent"), F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean")))
     counts = stored(counts, "toxic-units")
     tox, clean = counts.filter("level = 0").agg(F.sum("toxic"), F.sum("clean")).first()
     if not tox or not clean:
