@@ -39,17 +39,17 @@ def crc_mod(id_col: Column, n: int) -> Column:
 
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, target: str, training: Column, rows: int,
-                    seed: int = 17) -> DataFrame:
-    """(doc_id, label, text) of at most ``rows`` labelled documents, chosen by the hash of the id among
+                    seed: int = 17, extra: tuple[str, ...] = ()) -> DataFrame:
+    """(doc_id, label, text, *extra columns) of at most ``rows`` labelled documents, chosen by the hash of the id among
     those for which ``training`` (on doc_id) holds.  An id labelled twice takes the larger label; ids
     or labels that are null are left out; of documents that share an id one is taken."""
     picked = (labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(target).cast("int").alias("label"))
               .filter(training & F.col("doc_id").isNotNull() & F.col("label").isNotNull())
               .groupBy("doc_id").agg(F.max("label").alias("label"))
               .orderBy(F.xxhash64(F.lit(seed), "doc_id"), "doc_id").limit(rows))
-    return (docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    return (docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), *extra)
             .join(F.broadcast(picked), "doc_id")       # at most ``rows`` ids
-            .dropDuplicates(["doc_id"]).select("doc_id", "label", "text"))
+            .dropDuplicates(["doc_id"]).select("doc_id", "label", "text", *extra))
 
 
 def logistic_1d(x, y, steps: int = 50):
