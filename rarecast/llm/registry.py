@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
 
-MODULES = ("exact_dedup", "mixing", "line_dedup", "decontaminate", "toxicity", "quality")
+MODULES = ("exact_dedup", "mixing", "line_dedup", "decontaminate", "toxicity", "quality", "ngram_join")
 
 
 def register(name: str, sql: str | None = None):
