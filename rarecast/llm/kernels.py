@@ -15,6 +15,7 @@ import numpy as np
 import pyarrow as pa
 
 CHUNK_BYTES = 1 << 20
+CHUNK_ROWS = 1 << 19
 
 IS_SEP = np.zeros(256, bool)
 IS_SEP[list(b" \t\n\x0b\x0c\r")] = True
@@ -78,7 +79,7 @@ def chunks(column: pa.Array, max_bytes: int = CHUNK_BYTES) -> Iterator[Chunk]:
     at = 0
     while at < n:
         to = max(at + 1, int(np.searchsorted(offs, offs[at] + max_bytes, "right")) - 1)
-        to = min(to, n)
+        to = min(to, n, at + CHUNK_ROWS)
         yield Chunk(at, to - at, buf[offs[at]:offs[to]], offs[at:to + 1] - offs[at])
         at = to
 
@@ -151,9 +152,24 @@ def shingles(w: Words, n_rows: int, k: int) -> tuple[np.ndarray, np.ndarray]:
     return row, h
 
 
+def order_by(row: np.ndarray, rank: np.ndarray | None, h: np.ndarray) -> np.ndarray:
+    """Order by (row, rank, hash) from one sort of packed keys; ``rank`` below 256, rows below 2^20."""
+    if rank is None:
+        key = (row.astype(np.uint64) << _U(44)) | (h >> _U(20))
+    else:
+        key = (row.astype(np.uint64) << _U(44)) | (rank.astype(np.uint64) << _U(36)) | (h >> _U(28))
+    order = np.argsort(key)
+    k, s = key[order], h[order]
+    tied = np.flatnonzero((k[1:] == k[:-1]) & (s[1:] < s[:-1]))
+    for t in tied:                                  # packed keys hold only part of the hash
+        lo, hi = np.searchsorted(k, k[t], "left"), np.searchsorted(k, k[t], "right")
+        order[lo:hi] = order[lo:hi][np.argsort(h[order[lo:hi]], kind="stable")]
+    return order
+
+
 def distinct_per_row(row: np.ndarray, h: np.ndarray, n_rows: int) -> tuple[np.ndarray, np.ndarray]:
-    """``row`` ascending -> (hashes sorted and distinct inside each row, n_rows + 1 offsets)."""
-    order = np.lexsort((h, row))
+    """(hashes sorted and distinct inside each row, n_rows + 1 offsets)."""
+    order = order_by(row, None, h)
     r, s = row[order], h[order]
     keep = np.ones(len(s), bool)
     if len(s) > 1:

@@ -1,9 +1,10 @@
 """N-gram Jaccard self-join with token-combination prefixes, and the components of its links.
 
-Tokens are the hashes of a document's k-word shingles.  All documents share one token order: by
-an upper bound of the token's document frequency (the smallest document frequency of its words,
-counted over all documents), then by hash.  A token is *frequent* if that bound reaches
-``FREQUENT``, else rare, so a rare token's list is short by construction.
+Tokens are the hashes of a document's k-word shingles.  Their classes come from exact counts over
+all documents, level by level: words first, then those shingles whose words are all frequent.
+A shingle found in ``FREQUENT`` documents is *frequent*, every other is *rare*, so a rare token's
+list is short.  All documents share one token order: rare before frequent, then by a bound of the
+frequency, then by hash.
 
 A document of n tokens may miss at most e = n - ceil(t n) of them in a linked document.  Rare
 tokens are indexed one by one: e + 1 of them suffice.  Where the rare ones do not suffice the
@@ -13,11 +14,14 @@ so a prefix with (rare) + sum(bucket size - 1) > e must share an index entry.  B
 size class, which keeps the number of pairs linear in n.  Linked documents have sizes within a
 ratio t, and a document near a class border is indexed for both classes.
 
-Only one document of each distinct token set takes part.  Candidates are verified exactly on
-the whole sets.  A group of many near copies is not expanded to all pairs: first every index
-entry's most central document is compared with the entry's other documents and the links are
-contracted; after that only pairs of *different* components that share an entry are compared,
-all of them.  So no link between components is lost and none is assumed.
+Only one document of each distinct token set takes part.  Index entries also bound the overlap
+before any pair is formed: indexed rare tokens that no other document indexes are certain misses
+towards every document that indexes its rare tokens at least as far in the order.  Candidates
+are verified exactly on the whole sets.  A group of many near copies is not expanded to all
+pairs: first every index entry's most central document is compared with the entry's other
+documents and the links are contracted; after that only pairs of *different* components that
+share an entry are compared, all of them.  So no link between components is lost and none is
+assumed.
 
 Defined cases: texts without words (null, empty) have no tokens and link with nothing, not even
 each other; texts with fewer words than k are one token; equal sets always link; rows that share
@@ -35,61 +39,97 @@ from pyspark.sql import functions as F
 
 from .common import read_table, stored
 from .components import components
-from .kernels import chunks, combine, distinct_per_row, list_array, mix64, shingles, words
+from .kernels import Words, chunks, combine, distinct_per_row, list_array, mix64, order_by, shingles, words
 from .registry import register
 
 WIDTH = 4
 PERCENT = 85
 FREQUENT = 1000              # documents
-WORD_TABLE = 1 << 19         # most frequent words in the broadcast table: 8 MB at most
+TABLE = 1 << 19              # rows of each broadcast table of frequent words or shingles: 8 MB at most
 SPLIT = 4                    # allowed misses per bucket of frequent tokens
+ALL = np.int64(2**63 - 1)    # place in the token order after every rare token
 
 
-def _word_frequency(batches):
-    """Per task: (word, documents with it), merged in memory up to a bound."""
-    held, size = [], 0
-
-    def flush():
-        h = np.concatenate([x for x, _ in held])
-        u, at = np.unique(h, return_inverse=True)
-        n = np.bincount(at, np.concatenate([x for _, x in held]), len(u)).astype(np.int64)
-        return u, n
-
-    for b in batches:
-        for c in chunks(b.column("text"), 4 << 20):
-            w = words(c)
-            flat, _ = distinct_per_row(w.row, w.hash, c.n)
-            u, n = np.unique(flat, return_counts=True)
-            held.append((u, n))
-            size += len(u)
-            if size > 2_000_000:
-                held = [flush()]
-                size = len(held[0][0])
-                if size > 1_000_000:
-                    yield pa.RecordBatch.from_arrays([pa.array(held[0][0].view(np.int64)), pa.array(held[0][1])],
-                                                     names=["word", "df"])
-                    held, size = [], 0
-    if held:
-        u, n = flush()
-        yield pa.RecordBatch.from_arrays([pa.array(u.view(np.int64)), pa.array(n)], names=["word", "df"])
-
-
-def frequent_words(texts: DataFrame, limit: int = WORD_TABLE):
-    """Sorted hashes and document frequencies of the most frequent words, ``limit`` at most; words
-    outside the table have a lower frequency than any in it."""
-    df = stored(texts.mapInArrow(_word_frequency, "word long, df long").groupBy("word").agg(F.sum("df").alias("df"))
-                .filter("df > 1"), "word-df")
-    # smallest threshold that keeps the table within its limit, from a histogram of the counts
+def _counted(sets):
+    """Per task: (token, documents with it) of the distinct tokens per document that ``sets`` yields,
+    merged in memory up to a bound."""
+    def run(batches):
+        held, size = [], 0
+
+        def merged():
+            u, at = np.unique(np.concatenate([x for x, _ in held]), return_inverse=True)
+            return u, np.bincount(at, np.concatenate([x for _, x in held]), len(u)).astype(np.int64)
+
+        def batch(u, n):
+            return pa.RecordBatch.from_arrays([pa.array(u.view(np.int64)), pa.array(n)], names=["token", "df"])
+
+        for b in batches:
+            for c in chunks(b.column("text")):
+                held.append(np.unique(sets(c), return_counts=True))
+                size += len(held[-1][0])
+                if size > 2_000_000:
+                    held = [merged()]
+                    size = len(held[0][0])
+                    if size > 1_000_000:
+                        yield batch(*held[0])
+                        held, size = [], 0
+        if held:
+            yield batch(*merged())
+    return run
+
+
+def _frequent(texts: DataFrame, sets, least: int, limit: int = TABLE):
+    """Sorted tokens and document frequencies of the most frequent tokens, ``limit`` at most: those
+    found in ``least`` documents or in as many as the limit asks for."""
+    df = stored(texts.mapInArrow(_counted(sets), "token long, df long").groupBy("token")
+                .agg(F.sum("df").alias("df")).filter(F.col("df") >= least), "token-df")
     step = F.floor(F.log2("df") * 16).cast("int")
-    least, room = 0, limit
+    low, room = 0, limit
     for s, n in sorted(df.groupBy(step).count().collect(), reverse=True):
         if n > room:
+            low = s + 1
             break
-        least, room = s, room - n
-    t = df.filter(step >= least).toArrow()
-    word = t["word"].to_numpy().view(np.uint64)
-    order = np.argsort(word)
-    return word[order], t["df"].to_numpy()[order].astype(np.int64)
+        room -= n
+    t = df.filter(step >= low).toArrow()
+    token = t["token"].to_numpy().view(np.uint64)
+    order = np.argsort(token)
+    return token[order], t["df"].to_numpy()[order].astype(np.int64)
+
+
+def _look_up(table, tokens: np.ndarray, other: int) -> np.ndarray:
+    key, df = table
+    if not len(key):
+        return np.full(len(tokens), other)
+    at = np.minimum(np.searchsorted(key, tokens), len(key) - 1)
+    return np.where(key[at] == tokens, df[at], other)
+
+
+def _bounds(w: Words, h: np.ndarray, row: np.ndarray, word_table, width: int) -> np.ndarray:
+    """Upper bound of each shingle's document frequency: the lowest of its words; 1 where it is below the table."""
+    freq = _look_up(word_table, w.hash, 1)
+    m = len(freq) - width + 1
+    bound = np.ones(len(h), np.int64)
+    if m > 0:
+        low = np.minimum.reduce([freq[i:i + m] for i in range(width)])
+        bound[np.diff(w.first)[row] >= width] = low[w.row[:m] == w.row[width - 1:]]
+    return bound
+
+
+def frequency_tables(texts: DataFrame, width: int, frequent: int):
+    """Word table, then the table of shingles found in ``frequent`` documents (or more, if that is too many)."""
+    def word_sets(c):
+        w = words(c)
+        return distinct_per_row(w.row, w.hash, c.n)[0]
+
+    held = texts.sparkSession.sparkContext.broadcast(_frequent(texts, word_sets, 2))
+
+    def shingle_sets(c):
+        w = words(c)
+        row, h = shingles(w, c.n, width)
+        some = _bounds(w, h, row, held.value, width) >= frequent
+        return distinct_per_row(row[some], h[some], c.n)[0]
+
+    return held, texts.sparkSession.sparkContext.broadcast(_frequent(texts, shingle_sets, frequent))
 
 
 def _max_misses(n, percent: int):
@@ -118,43 +158,39 @@ def _pairs(tokens: np.ndarray, n_rare: int, need: int, n: int, percent: int) ->
     return np.concatenate(out) if out else np.zeros(0, np.uint64)
 
 
-def _index(table, width: int, percent: int, frequent: int):
+def _index(word_table, shingle_table, width: int, percent: int):
     def run(batches):
-        word, df = table.value
         for b in batches:
             for c in chunks(b.column("text")):
                 w = words(c)
-                at = np.minimum(np.searchsorted(word, w.hash), max(len(word) - 1, 0))
-                known = word[at] == w.hash if len(word) else np.zeros(len(w.hash), bool)
-                freq = np.where(known, df[at], 1) if len(word) else np.ones(len(w.hash), np.int64)
                 row, h = shingles(w, c.n, width)
-                # bound of each shingle; texts with one short shingle allow no miss and need none
-                m = len(freq) - width + 1
-                bound = np.ones(len(h), np.int64)
-                if m > 0:
-                    low = np.minimum.reduce([freq[i:i + m] for i in range(width)])
-                    inside = w.row[:m] == w.row[width - 1:]
-                    long = np.diff(w.first)[row] >= width
-                    bound[long] = low[inside]
-                order = np.lexsort((h, bound, row))
-                row, h, bound = row[order], h[order], bound[order]
+                # rank in the token order: rare tokens by bound, then frequent ones
+                common = _look_up(shingle_table.value, h, 0) > 0
+                bound = _bounds(w, h, row, word_table.value, width)
+                rank = np.minimum(np.log2(bound) * 4, 127).astype(np.int64) + 128 * common
+                order = order_by(row, rank, h)
+                row, h, rank = row[order], h[order], rank[order]
                 new = np.ones(len(h), bool)
                 if len(h) > 1:
                     new[1:] = (h[1:] != h[:-1]) | (row[1:] != row[:-1])
-                row, h, bound = row[new], h[new], bound[new]
+                row, h, rank = row[new], h[new], rank[new]
                 cut = np.searchsorted(row, np.arange(c.n + 1))
                 n = np.diff(cut)
                 miss = _max_misses(n, percent)
-                rare = np.bincount(row[bound < frequent], minlength=c.n)
+                rare = np.bincount(row[rank < 128], minlength=c.n)
                 prints = [np.zeros(c.n, np.uint64), np.zeros(c.n, np.uint64)]
                 some = np.flatnonzero(n)
                 if len(h):
                     for f, x in zip(prints, (h, mix64(h + np.uint64(77)))):
                         f[some] = np.add.reduceat(x, cut[some])
                 single = np.where(miss > 0, np.minimum(rare, miss + 1), 0)
-                place = np.arange(len(h)) - cut[row]
-                entry_row, entry = row[place < single[row]], h[place < single[row]]
-                more_row, more = [entry_row], [entry]
+                # how far the rare tokens are indexed: to the end, or to this place in the order
+                last = np.full(c.n, ALL)
+                part = np.flatnonzero(single < rare)
+                at = cut[part] + single[part] - 1
+                last[part] = np.where(single[part] > 0, rank[at] << 36 | (h[at] >> np.uint64(28)).astype(np.int64), -1)
+                first = (np.arange(len(h)) - cut[row]) < single[row]
+                more_row, more = [row[first]], [h[first]]
                 for r in np.flatnonzero((miss > 0) & (rare <= miss)):
                     p = _pairs(h[cut[r]:cut[r + 1]], int(rare[r]), int(miss[r] + 1 - rare[r]), int(n[r]), percent)
                     more_row.append(np.full(len(p), r))
@@ -165,9 +201,9 @@ def _index(table, width: int, percent: int, frequent: int):
                 yield pa.RecordBatch.from_arrays(
                     [b.column("doc_id").slice(c.at, c.n), pa.array(n.astype(np.int64)),
                      pa.array(prints[0].view(np.int64)), pa.array(prints[1].view(np.int64)),
-                     pa.array(rare.astype(np.int64)),
+                     pa.array(rare.astype(np.int64)), pa.array(single.astype(np.int64)), pa.array(last),
                      list_array(entry, np.searchsorted(entry_row, np.arange(c.n + 1)))],
-                    names=["doc_id", "n", "f1", "f2", "rare", "entries"])
+                    names=["doc_id", "n", "f1", "f2", "rare", "singles", "last", "entries"])
     return run
 
 
@@ -191,50 +227,85 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
             .filter(100 * shared >= percent * (F.size("a") + F.size("b") - shared)).select("u", "v"))
 
 
-def _sizes_fit(percent: int):
-    return 100 * F.least("nu", "nv") >= percent * F.greatest("nu", "nv")
+def _may_link(percent: int):
+    """Condition on the facts of u and v: sizes fit, and certain misses leave enough to share."""
+    need = (percent * (F.col("nu") + F.col("nv")) + (99 + percent)) / F.lit(100 + percent)
+    need = F.floor(need)                       # smallest overlap that reaches the threshold
+    u, v = F.col("nu") - F.col("mu") >= need, F.col("nv") - F.col("mv") >= need
+    both = u & v
+    return ((100 * F.least("nu", "nv") >= percent * F.greatest("nu", "nv"))
+            & F.when(F.col("lu") < F.col("lv"), u).when(F.col("lv") < F.col("lu"), v)
+            .when(F.col("lu") == F.lit(int(ALL)), both).otherwise(u | v))
+
+
+def _side(live: DataFrame, s: str, *more: str) -> DataFrame:
+    return live.select("entry", F.col("node").alias(s), F.col("n").alias("n" + s), F.col("misses").alias("m" + s),
+                       F.col("last").alias("l" + s), *[F.col(c).alias(c[0] + s) for c in more])
+
+
+def _live_entries(index: DataFrame, reps: DataFrame, percent: int) -> DataFrame:
+    """(entry, node, n, rare, misses, last) of the entries that two different sets share and that may
+    hold a link, judged entry by entry without forming pairs."""
+    flat = (index.filter("n > 0 AND doc_id IS NOT NULL")
+            .select("doc_id", "f1", "singles", F.posexplode("entries").alias("at", "entry"))
+            .select("doc_id", "f1", "entry", (F.col("at") < F.col("singles")).alias("single")))
+    twice = (flat.groupBy("entry").agg(F.min("f1").alias("lo"), F.max("f1").alias("hi"))
+             .filter("lo <> hi").select("entry"))
+    nodes = reps.filter("node IS NOT NULL")
+    shared = stored(flat.join(twice, "entry").select(F.col("doc_id").alias("node"), "f1", "entry", "single")
+                    .join(nodes.select("node", "f1"), ["node", "f1"], "left_semi").select("node", "entry", "single"),
+                    "shared")
+    facts = (shared.groupBy("node").agg(F.count_if("single").alias("met"))
+             .join(nodes.select("node", "n", "rare", "singles", "last"), "node")
+             .select("node", "n", "rare", (F.col("singles") - F.col("met")).alias("misses"), "last"))
+    full = shared.select("node", "entry").join(facts, "node")
+    low = full.groupBy("entry").agg(F.min("n").alias("low"))
+    need = F.floor((percent * (F.col("n") + F.col("low")) + (99 + percent)) / F.lit(100 + percent))
+    full = full.join(low, "entry").withColumn("good", F.col("n") - F.col("misses") >= need)
+    reach = full.groupBy("entry").agg(F.min(F.when(F.col("good"), F.col("last"))).alias("reach"))
+    # a bad node can only link with a good one whose rare tokens are indexed less far
+    keep = (full.join(reach, "entry")
+            .filter(F.col("good") | (F.col("reach") < F.col("last"))
+                    | ((F.col("reach") == F.col("last")) & (F.col("last") < F.lit(int(ALL)))))
+            .drop("low", "good", "reach"))
+    many = keep.groupBy("entry").agg(F.min("node").alias("a"), F.max("node").alias("b")).filter("a <> b").select("entry")
+    return stored(keep.join(many, "entry").distinct(), "live")
 
 
 def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = WIDTH,
                        percent: int = PERCENT, frequent: int = FREQUENT) -> DataFrame:
     """One row per input row: doc_id, n_shingles, component_id (smallest id reachable by links)."""
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    table = docs.sparkSession.sparkContext.broadcast(frequent_words(rows.select("text")))
-    index = stored(rows.mapInArrow(_index(table, width, percent, frequent),
-                                   "doc_id long, n long, f1 long, f2 long, rare long, entries array<long>"), "index")
+    tables = frequency_tables(rows.select("text"), width, frequent)
+    index = stored(rows.mapInArrow(_index(*tables, width, percent), "doc_id long, n long, f1 long, f2 long, "
+                                   "rare long, singles long, last long, entries array<long>"), "index")
     key = ["n", "f1", "f2"]
-    reps = index.filter("n > 0").groupBy(*key).agg(F.min("doc_id").alias("node"))
-    # one row per distinct set: its entries depend on the set alone
-    nodes = (index.filter("n > 0 AND size(entries) > 0 AND doc_id IS NOT NULL").groupBy(*key)
-             .agg(F.min("doc_id").alias("node"), F.first("rare").alias("rare"), F.first("entries").alias("entries")))
-    entries = nodes.select("node", F.explode("entries").alias("entry"))
-    twice = entries.groupBy("entry").agg(F.count(F.lit(1)).alias("c")).filter("c > 1").select("entry")
-    facts = (index.filter("n > 0 AND doc_id IS NOT NULL").groupBy(*key)
-             .agg(F.min("doc_id").alias("node"), F.min("rare").alias("rare")).select("node", "n", "rare"))
-    shared = stored(entries.join(twice, "entry").join(facts, "node"), "shared")
-    wanted = shared.select(F.col("node").alias("doc_id")).distinct()
-    sets = stored(rows.join(wanted, "doc_id").select(F.col("doc_id").alias("node"), "text")
-                  .mapInArrow(_sets(width), "node long, tokens array<long>").dropDuplicates(["node"]), "sets")
-    # entry's most central document against its others
-    lead = shared.groupBy("entry").agg(F.min(F.struct("rare", "node", "n")).alias("lead"))
-    star = stored(shared.join(lead, "entry").select(
-        F.col("lead.node").alias("u"), F.col("lead.n").alias("nu"), F.col("node").alias("v"), F.col("n").alias("nv"))
-        .filter("u <> v").filter(_sizes_fit(percent)).select("u", "v").distinct(), "star")
+    reps = index.filter("n > 0").groupBy(*key).agg(
+        F.min("doc_id").alias("node"), *[F.min(c).alias(c) for c in ("rare", "singles", "last")])
+    live = _live_entries(index, reps, percent)
+    sets = stored(rows.join(live.select(F.col("node").alias("doc_id")).distinct(), "doc_id")
+                  .select(F.col("doc_id").alias("node"), "text").mapInArrow(_sets(width), "node long, tokens array<long>"),
+                  "sets")
+    # the entry's most central document against its others
+    lead = live.groupBy("entry").agg(F.min(F.struct("rare", "node", "n", "misses", "last")).alias("lead"))
+    star = stored(_side(live, "v").join(lead, "entry").select(
+        "v", "nv", "mv", "lv", F.col("lead.node").alias("u"), F.col("lead.n").alias("nu"),
+        F.col("lead.misses").alias("mu"), F.col("lead.last").alias("lu"))
+        .filter("u <> v").filter(_may_link(percent)).select("u", "v").distinct(), "star")
     links = stored(_verified(star, sets, percent), "star-links")
     first = components(links)
     # what still shares an entry across components
-    named = shared.join(first, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    named = live.join(first, "node", "left").withColumn("component", F.coalesce("component", "node"))
     mixed = (named.groupBy("entry").agg(F.min("component").alias("lo"), F.max("component").alias("hi"))
              .filter("lo <> hi").select("entry"))
-    side = stored(named.join(mixed, "entry").select("entry", "node", "n", "component"), "mixed")
-    u = side.select("entry", F.col("node").alias("u"), F.col("n").alias("nu"), F.col("component").alias("cu"))
-    v = side.select("entry", F.col("node").alias("v"), F.col("n").alias("nv"), F.col("component").alias("cv"))
-    cross = (u.join(v, "entry").filter("cu < cv").filter(_sizes_fit(percent)).select("u", "v").distinct()
-             .join(star.select(F.least("u", "v").alias("a"), F.greatest("u", "v").alias("b")),
-                   (F.least("u", "v") == F.col("a")) & (F.greatest("u", "v") == F.col("b")), "left_anti"))
-    rest = _verified(cross, sets, percent)
-    last = components(links.union(rest))
-    return (index.select("doc_id", *key).join(reps, key, "left").join(last, "node", "left")
+    side = stored(named.join(mixed, "entry"), "mixed")
+    cross = (_side(side, "u", "component").join(_side(side, "v", "component").withColumnRenamed("entry", "e"),
+                                                (F.col("entry") == F.col("e")) & (F.col("cu") < F.col("cv")) & _may_link(percent))
+             .select("u", "v").distinct())
+    done = star.select(F.least("u", "v").alias("a"), F.greatest("u", "v").alias("b"))
+    cross = cross.join(done, (F.least("u", "v") == F.col("a")) & (F.greatest("u", "v") == F.col("b")), "left_anti")
+    last = components(links.union(_verified(cross, sets, percent)))
+    return (index.select("doc_id", *key).join(reps.select(*key, "node"), key, "left").join(last, "node", "left")
             .select("doc_id", F.col("n").alias("n_shingles"),
                     F.when(F.col("n") == 0, F.col("doc_id")).otherwise(F.coalesce("component", "node"))
                     .alias("component_id")))
