@@ -1,7 +1,7 @@
 """N-gram Jaccard self-join with token-combination prefixes, and the components of its links.
 
-Tokens are the hashes of a document's k-word shingles.  Their classes come from exact counts over
-all documents, level by level: words first, then those shingles whose words are all frequent.
+Tokens are the hashes of a document's k-word shingles.  Their classes come from counts over all
+documents, level by level: words first, then those shingles whose words are all frequent.
 A shingle found in ``FREQUENT`` documents is *frequent*, every other is *rare*, so a rare token's
 list is short.  All documents share one token order: rare before frequent, then by a bound of the
 frequency, then by hash.
@@ -47,12 +47,14 @@ PERCENT = 85
 FREQUENT = 1000              # documents
 TABLE = 1 << 19              # rows of each broadcast table of frequent words or shingles: 8 MB at most
 SPLIT = 4                    # allowed misses per bucket of frequent tokens
+BITS = 1 << 27               # of the bitmap that picks texts to verify
 ALL = np.int64(2**63 - 1)    # place in the token order after every rare token
 
 
 def _counted(sets):
     """Per task: (token, documents with it) of the distinct tokens per document that ``sets`` yields,
-    merged in memory up to a bound."""
+    merged in memory up to a bound.  A token met once by a task is not sent: the classes and the
+    order need the same counts everywhere, not the last unit of them."""
     def run(batches):
         held, size = [], 0
 
@@ -61,6 +63,7 @@ def _counted(sets):
             return u, np.bincount(at, np.concatenate([x for _, x in held]), len(u)).astype(np.int64)
 
         def batch(u, n):
+            u, n = u[n > 1], n[n > 1]
             return pa.RecordBatch.from_arrays([pa.array(u.view(np.int64)), pa.array(n)], names=["token", "df"])
 
         for b in batches:
@@ -190,11 +193,11 @@ def _index(word_table, shingle_table, width: int, percent: int):
                 at = cut[part] + single[part] - 1
                 last[part] = np.where(single[part] > 0, rank[at] << 36 | (h[at] >> np.uint64(28)).astype(np.int64), -1)
                 first = (np.arange(len(h)) - cut[row]) < single[row]
-                more_row, more = [row[first]], [h[first]]
+                more_row, more = [row[first]], [h[first] | np.uint64(1)]      # lowest bit: a rare token's entry
                 for r in np.flatnonzero((miss > 0) & (rare <= miss)):
                     p = _pairs(h[cut[r]:cut[r + 1]], int(rare[r]), int(miss[r] + 1 - rare[r]), int(n[r]), percent)
                     more_row.append(np.full(len(p), r))
-                    more.append(p)
+                    more.append(p & ~np.uint64(1))
                 entry_row, entry = np.concatenate(more_row), np.concatenate(more)
                 order = np.argsort(entry_row, kind="stable")
                 entry_row, entry = entry_row[order], entry[order]
@@ -207,15 +210,33 @@ def _index(word_table, shingle_table, width: int, percent: int):
     return run
 
 
-def _sets(width: int):
+def _token_sets(rows: DataFrame, nodes: DataFrame, width: int) -> DataFrame:
+    """Stored (node, tokens) of at least the ``nodes``.  Which texts to take is decided where they are
+    read, by a bitmap of hashed ids of at most ``BITS`` bits; what it lets through besides does no harm."""
+    ids = nodes.select("node").distinct()
+    bits = min(BITS, max(1 << 15, 1 << (8 * ids.count()).bit_length()))
+
+    def slot(c):
+        return F.pmod(F.xxhash64(c), F.lit(bits))
+
+    flags = np.zeros(bits // 8, np.uint8)
+    for r in (ids.groupBy(F.floor(slot("node") / (1 << 15)).alias("part"))
+              .agg(F.bitmap_construct_agg(slot("node") % (1 << 15)).alias("bits")).collect()):
+        flags[r["part"] * 4096:(r["part"] + 1) * 4096] = np.frombuffer(r["bits"], np.uint8)
+    held = rows.sparkSession.sparkContext.broadcast(flags)
+
     def run(batches):
         for b in batches:
+            at = b.column("slot").to_numpy(zero_copy_only=False)
+            b = b.filter(pa.array((held.value[at >> 3] >> (at & 7).astype(np.uint8)) & 1 == 1))
             for c in chunks(b.column("text")):
                 row, h = shingles(words(c), c.n, width)
                 flat, offs = distinct_per_row(row, h, c.n)
-                yield pa.RecordBatch.from_arrays([b.column("node").slice(c.at, c.n), list_array(flat, offs)],
+                yield pa.RecordBatch.from_arrays([b.column("doc_id").slice(c.at, c.n), list_array(flat, offs)],
                                                  names=["node", "tokens"])
-    return run
+
+    some = rows.filter("doc_id IS NOT NULL").withColumn("slot", slot("doc_id"))
+    return stored(some.mapInArrow(run, "node long, tokens array<long>"), "sets")
 
 
 def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -240,24 +261,21 @@ def _may_link(percent: int):
 
 def _side(live: DataFrame, s: str, *more: str) -> DataFrame:
     return live.select("entry", F.col("node").alias(s), F.col("n").alias("n" + s), F.col("misses").alias("m" + s),
-                       F.col("last").alias("l" + s), *[F.col(c).alias(c[0] + s) for c in more])
+                       F.col("singles").alias("s" + s), F.col("last").alias("l" + s), *[F.col(c).alias(c[0] + s) for c in more])
 
 
-def _live_entries(index: DataFrame, reps: DataFrame, percent: int) -> DataFrame:
+def _live_entries(index: DataFrame, percent: int) -> DataFrame:
     """(entry, node, n, rare, misses, last) of the entries that two different sets share and that may
     hold a link, judged entry by entry without forming pairs."""
-    flat = (index.filter("n > 0 AND doc_id IS NOT NULL")
-            .select("doc_id", "f1", "singles", F.posexplode("entries").alias("at", "entry"))
-            .select("doc_id", "f1", "entry", (F.col("at") < F.col("singles")).alias("single")))
-    twice = (flat.groupBy("entry").agg(F.min("f1").alias("lo"), F.max("f1").alias("hi"))
-             .filter("lo <> hi").select("entry"))
-    nodes = reps.filter("node IS NOT NULL")
-    shared = stored(flat.join(twice, "entry").select(F.col("doc_id").alias("node"), "f1", "entry", "single")
-                    .join(nodes.select("node", "f1"), ["node", "f1"], "left_semi").select("node", "entry", "single"),
-                    "shared")
-    facts = (shared.groupBy("node").agg(F.count_if("single").alias("met"))
+    nodes = (index.filter("n > 0 AND doc_id IS NOT NULL AND size(entries) > 0").groupBy("n", "f1", "f2")
+             .agg(F.min("doc_id").alias("node"), *[F.first(c).alias(c) for c in ("rare", "singles", "last", "entries")]))
+    nodes = stored(nodes.drop("f1", "f2"), "nodes")
+    flat = nodes.select("node", F.explode("entries").alias("entry"))
+    twice = flat.groupBy("entry").agg(F.count(F.lit(1)).alias("c")).filter("c > 1").select("entry")
+    shared = stored(flat.join(twice, "entry"), "shared")
+    facts = (shared.groupBy("node").agg(F.count_if(F.col("entry") % 2 != 0).alias("met"))
              .join(nodes.select("node", "n", "rare", "singles", "last"), "node")
-             .select("node", "n", "rare", (F.col("singles") - F.col("met")).alias("misses"), "last"))
+             .select("node", "n", "rare", "singles", (F.col("singles") - F.col("met")).alias("misses"), "last"))
     full = shared.select("node", "entry").join(facts, "node")
     low = full.groupBy("entry").agg(F.min("n").alias("low"))
     need = F.floor((percent * (F.col("n") + F.col("low")) + (99 + percent)) / F.lit(100 + percent))
@@ -280,12 +298,9 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     index = stored(rows.mapInArrow(_index(*tables, width, percent), "doc_id long, n long, f1 long, f2 long, "
                                    "rare long, singles long, last long, entries array<long>"), "index")
     key = ["n", "f1", "f2"]
-    reps = index.filter("n > 0").groupBy(*key).agg(
-        F.min("doc_id").alias("node"), *[F.min(c).alias(c) for c in ("rare", "singles", "last")])
-    live = _live_entries(index, reps, percent)
-    sets = stored(rows.join(live.select(F.col("node").alias("doc_id")).distinct(), "doc_id")
-                  .select(F.col("doc_id").alias("node"), "text").mapInArrow(_sets(width), "node long, tokens array<long>"),
-                  "sets")
+    reps = index.filter("n > 0").groupBy(*key).agg(F.min("doc_id").alias("node"))
+    live = _live_entries(index, percent)
+    sets = _token_sets(rows, live, width)
     # the entry's most central document against its others
     lead = live.groupBy("entry").agg(F.min(F.struct("rare", "node", "n", "misses", "last")).alias("lead"))
     star = stored(_side(live, "v").join(lead, "entry").select(
@@ -301,11 +316,15 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     side = stored(named.join(mixed, "entry"), "mixed")
     cross = (_side(side, "u", "component").join(_side(side, "v", "component").withColumnRenamed("entry", "e"),
                                                 (F.col("entry") == F.col("e")) & (F.col("cu") < F.col("cv")) & _may_link(percent))
-             .select("u", "v").distinct())
+             .groupBy("u", "v", *[k + x for k in "nsl" for x in "uv"])
+             .agg(F.count_if(F.col("entry") % 2 != 0).alias("met")))
+    # a rare token indexed by one of the pair only is a certain miss between the two
+    cross = (cross.withColumns({"mu": F.col("su") - F.col("met"), "mv": F.col("sv") - F.col("met")})
+             .filter(_may_link(percent)).select("u", "v").distinct())
     done = star.select(F.least("u", "v").alias("a"), F.greatest("u", "v").alias("b"))
     cross = cross.join(done, (F.least("u", "v") == F.col("a")) & (F.greatest("u", "v") == F.col("b")), "left_anti")
     last = components(links.union(_verified(cross, sets, percent)))
-    return (index.select("doc_id", *key).join(reps.select(*key, "node"), key, "left").join(last, "node", "left")
+    return (index.select("doc_id", *key).join(reps, key, "left").join(last, "node", "left")
             .select("doc_id", F.col("n").alias("n_shingles"),
                     F.when(F.col("n") == 0, F.col("doc_id")).otherwise(F.coalesce("component", "node"))
                     .alias("component_id")))
