@@ -64,3 +64,21 @@ def logistic_1d(x, y, steps: int = 50):
         step = np.linalg.solve((z * (p * (1 - p))[:, None]).T @ z + ridge + 1e-9 * np.eye(2), z.T @ (y - p) - ridge @ a)
         a = a + np.clip(step, -4, 4)
     return a
+
+
+def most_frequent(table: DataFrame, token: str, count: str, limit: int):
+    """Sorted hashes and counts of the most frequent tokens: all above the lowest count, on a fine
+    logarithmic scale, that keeps them within ``limit`` rows."""
+    import numpy as np
+
+    step = F.floor(F.log2(count) * 16).cast("int")
+    low, room = 0, limit
+    for s, n in sorted(table.groupBy(step).count().collect(), reverse=True):
+        if n > room:
+            low = s + 1
+            break
+        room -= n
+    t = table.filter(step >= low).select(token, count).toArrow()       # ``limit`` rows at most
+    key = t[token].to_numpy().view(np.uint64)
+    order = np.argsort(key)
+    return key[order], t[count].to_numpy()[order].astype(np.int64)

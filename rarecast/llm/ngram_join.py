@@ -37,7 +37,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import read_table, stored
+from .common import most_frequent, read_table, stored
 from .components import components
 from .kernels import Words, chunks, combine, distinct_per_row, list_array, mix64, order_by, shingles, words
 from .registry import register
@@ -86,17 +86,7 @@ def _frequent(texts: DataFrame, sets, least: int, limit: int = TABLE):
     found in ``least`` documents or in as many as the limit asks for."""
     df = stored(texts.mapInArrow(_counted(sets), "token long, df long").groupBy("token")
                 .agg(F.sum("df").alias("df")).filter(F.col("df") >= least), "token-df")
-    step = F.floor(F.log2("df") * 16).cast("int")
-    low, room = 0, limit
-    for s, n in sorted(df.groupBy(step).count().collect(), reverse=True):
-        if n > room:
-            low = s + 1
-            break
-        room -= n
-    t = df.filter(step >= low).toArrow()
-    token = t["token"].to_numpy().view(np.uint64)
-    order = np.argsort(token)
-    return token[order], t["df"].to_numpy()[order].astype(np.int64)
+    return most_frequent(df, "token", "df", limit)
 
 
 def _look_up(table, tokens: np.ndarray, other: int) -> np.ndarray:
