@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import crc_mod, most_frequent, read_table, stored
-from .kernels import chunks, mix64, words
+from .kernels import HashIndex, chunks, mix64, order_by, words
 from .registry import register
 
 HEAD = 1 << 19               # words of the broadcast vocabulary
@@ -39,7 +39,7 @@ GT_MAX = 5
 BUCKET_TOKENS = 6_000_000    # training tokens a bucket of bigrams stands for
 HOT = 1 << 12                # histories above 1 / HOT of all tokens are spread over all buckets
 HOT_PAIRS = 1 << 16          # bigrams above 1 / HOT_PAIRS of all tokens are resolved without a shuffle
-BLOCK_BYTES = 8 << 20        # of text behind one set of packed blocks
+BLOCK_BYTES = 3 << 20        # of text behind one set of packed blocks
 
 
 def _word_counts(batches):
@@ -71,7 +71,7 @@ class Unigrams:
     """Head vocabulary; ids 0..k-1 by word hash, then end, begin, tail."""
 
     def __init__(self, head, counts, n_docs: int, n_words: int, n_types: int, once: int):
-        self.head, k = head, len(head)
+        self.head, k = HashIndex(head), len(head)
         self.end, self.begin, self.tail, self.ids = k, k + 1, k + 2, k + 3
         self.n = n_words + n_docs                                  # tokens, with one end each
         self.v = n_types + (n_docs > 0)
@@ -85,10 +85,9 @@ class Unigrams:
         self.base0 = np.log10(self.n + 0.5 * (self.v + 1))
 
     def ids_of(self, h):
-        if not len(self.head):
-            return np.full(len(h), self.tail)
-        at = np.minimum(np.searchsorted(self.head, h), len(self.head) - 1)
-        return np.where(self.head[at] == h, at, self.tail)
+        at = self.head.find(h)
+        at[at < 0] = self.tail
+        return at
 
     def sequence(self, c, w):
         """(row, bigram key, id) of every token, the end tokens included."""
@@ -103,7 +102,7 @@ class Unigrams:
         row = np.empty(len(seq), np.int64)
         row[np.arange(len(ids)) + w.row] = w.row
         row[ends] = np.arange(c.n)
-        return row, prev * self.ids + seq, seq
+        return row, prev * self.ids + seq, seq, ids
 
     def bucket(self, key, n: int):
         h = key // self.ids
@@ -113,7 +112,6 @@ class Unigrams:
 def pack(sorted_keys: np.ndarray) -> bytes:
     """Ascending keys as differences: a width byte, then 4- or 8-byte integers."""
     d = np.diff(sorted_keys, prepend=0)
-    d[1:] = d[1:]
     wide = len(d) and int(d.max()) >= 1 << 32
     return bytes([8 if wide else 4]) + d.astype(np.uint64 if wide else np.uint32).tobytes()
 
@@ -124,8 +122,8 @@ def unpack(b) -> np.ndarray:
 
 
 def _by_bucket(bucket, *arrays):
-    """Arrays sorted by (bucket, first array), cut at bucket borders: (bucket, *parts)."""
-    order = np.lexsort((arrays[0], bucket))
+    """Arrays sorted by (bucket, first array: below 2^40), cut at bucket borders: (bucket, *parts)."""
+    order = np.argsort((bucket.astype(np.uint64) << np.uint64(40)) | arrays[0].astype(np.uint64))
     bucket = bucket[order]
     at = np.flatnonzero(np.diff(bucket, prepend=-1))
     for lo, hi in zip(at, np.append(at[1:], len(bucket))):
@@ -204,7 +202,16 @@ class Model:
         self.log_alpha, self.log_den = np.log10(np.maximum(alpha, 1e-300)), np.log10(den)
         with np.errstate(divide="ignore"):
             self.log_p = np.log10(uni.p)
-        self.hot_keys, self.hot_gain = np.zeros(0, np.int64), np.zeros(0)
+        self.set_hot(np.zeros(0, np.int64), np.zeros(0, np.int64))
+
+    def set_hot(self, keys, counts):
+        h = mix64(keys.astype(np.uint64))
+        order = np.argsort(h)
+        self.hot, self.hot_gain = HashIndex(h[order]), self.gain(keys[order], counts[order])
+
+    def hot_of(self, keys):
+        """Position among the hot bigrams, -1 for the others."""
+        return self.hot.find(mix64(keys.astype(np.uint64)))
 
     def gain(self, keys, counts):
         h, w = np.divmod(keys, self.uni.ids)
@@ -251,9 +258,7 @@ def train(texts: DataFrame):
     hot = facts["hot"].to_numpy()
     key, x, y = (facts[c].to_numpy() for c in ("key", "x", "y"))
     model = Model(uni, d, key[~hot], x[~hot], y[~hot])
-    order = np.argsort(key[hot])
-    model.hot_keys = key[hot][order]
-    model.hot_gain = model.gain(model.hot_keys, x[hot][order].astype(np.int64))
+    model.set_hot(key[hot], x[hot].astype(np.int64))
     return (model, n_buckets), unigrams, pairs
 
 
@@ -283,21 +288,23 @@ def score(docs: DataFrame, trained, id_col: str = "doc_id", text_col: str = "tex
             rid = b.column("rid").to_numpy()
             for c in chunks(b.column("text")):
                 w = words(c)
-                row, key, seq = u.sequence(c, w)
+                row, key, seq, ids = u.sequence(c, w)
                 head = seq != u.tail
+                hot = m.hot_of(key)
                 s = m.log_alpha[key // u.ids] + m.log_p[seq]
-                if len(m.hot_keys):
-                    at = np.minimum(np.searchsorted(m.hot_keys, key), len(m.hot_keys) - 1)
-                    s += np.where(m.hot_keys[at] == key, m.hot_gain[at], 0.0)
+                s[hot >= 0] += m.hot_gain[hot[hot >= 0]]
                 n = np.bincount(row, minlength=c.n)
-                tail = np.flatnonzero(u.ids_of(w.hash) == u.tail)
-                pair = np.stack([w.row[tail].astype(np.uint64), w.hash[tail]], 1)
-                pair, times = (np.unique(pair, axis=0, return_counts=True) if len(pair) else (pair, np.zeros(0, np.int64)))
-                k = len(pair)
+                tail = np.flatnonzero(ids == u.tail)               # tail words, once per document
+                tail = tail[order_by(w.row[tail], None, w.hash[tail])]
+                r, h = w.row[tail], w.hash[tail]
+                new = np.flatnonzero(np.concatenate([[True], (h[1:] != h[:-1]) | (r[1:] != r[:-1])])) if len(h) else tail
+                times = np.diff(np.append(new, len(h)))
+                r, h = r[new], h[new]
+                k = len(r)
                 yield pa.RecordBatch.from_arrays([
-                    pa.array(np.concatenate([rid[c.at:c.at + c.n], rid[c.at + pair[:, 0].astype(np.int64)]])),
+                    pa.array(np.concatenate([rid[c.at:c.at + c.n], rid[c.at + r]])),
                     pa.concat_arrays([b.column("doc_id").slice(c.at, c.n), pa.nulls(k, pa.int64())]),
-                    pa.concat_arrays([pa.nulls(c.n, pa.int64()), pa.array(pair[:, 1].view(np.int64))]),
+                    pa.concat_arrays([pa.nulls(c.n, pa.int64()), pa.array(h.view(np.int64))]),
                     pa.array(np.concatenate([n, times])),
                     pa.array(np.concatenate([np.bincount(row, head, c.n).astype(np.int64), np.zeros(k, np.int64)])),
                     pa.array(np.concatenate([np.bincount(row, np.where(head, floor[seq], 0.0), c.n) - n * u.base0, np.zeros(k)])),
@@ -312,11 +319,9 @@ def score(docs: DataFrame, trained, id_col: str = "doc_id", text_col: str = "tex
         for b in batches:
             rid = b.column("rid").to_numpy()
             for c in chunks(b.column("text"), BLOCK_BYTES):
-                row, key, _ = u.sequence(c, words(c))
-                if len(m.hot_keys):
-                    at = np.minimum(np.searchsorted(m.hot_keys, key), len(m.hot_keys) - 1)
-                    some = m.hot_keys[at] != key
-                    row, key = row[some], key[some]
+                row, key, *_ = u.sequence(c, words(c))
+                some = m.hot_of(key) < 0
+                row, key = row[some], key[some]
                 small = np.uint16 if c.n <= 1 << 16 else np.uint32
                 out = [(k, pack(a), int(rid[c.at]), r.astype(small).tobytes(), np.dtype(small).itemsize)
                        for k, a, r in _by_bucket(u.bucket(key, n_buckets), key, row)]

@@ -178,6 +178,33 @@ def distinct_per_row(row: np.ndarray, h: np.ndarray, n_rows: int) -> tuple[np.nd
     return s, np.searchsorted(r, np.arange(n_rows + 1))
 
 
+class HashIndex:
+    """Positions of well-mixed 64-bit keys in a sorted table, by a radix table over their first bits."""
+
+    def __init__(self, keys: np.ndarray):
+        self.keys = keys
+        bits = max(8, int(len(keys)).bit_length() + 1)
+        self.shift = _U(64 - bits)
+        self.start = np.searchsorted(keys >> self.shift, np.arange((1 << bits) + 1, dtype=np.uint64)).astype(np.int32)
+
+    def find(self, h: np.ndarray) -> np.ndarray:
+        """Position of each hash, -1 where it is missing."""
+        out = np.full(len(h), -1, np.int64)
+        if not len(self.keys):
+            return out
+        slot = (h >> self.shift).astype(np.int64)
+        at, end = self.start[slot], self.start[slot + 1]
+        todo = np.flatnonzero(at < end)
+        at, end, h = at[todo], end[todo], h[todo]
+        while len(todo):
+            hit = self.keys[at] == h
+            out[todo[hit]] = at[hit]
+            at = at + 1
+            more = ~hit & (at < end)
+            todo, at, end, h = todo[more], at[more], end[more], h[more]
+        return out
+
+
 def list_array(values: np.ndarray, offs: np.ndarray, kind=pa.int64()) -> pa.Array:
     """Arrow list column from flat values and offsets; unsigned hashes turn into signed longs."""
     if values.dtype == np.uint64:

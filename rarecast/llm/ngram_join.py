@@ -39,7 +39,7 @@ from pyspark.sql import functions as F
 
 from .common import most_frequent, read_table, stored
 from .components import components
-from .kernels import Words, chunks, combine, distinct_per_row, list_array, mix64, order_by, shingles, words
+from .kernels import HashIndex, Words, chunks, combine, distinct_per_row, list_array, mix64, order_by, shingles, words
 from .registry import register
 
 WIDTH = 4
@@ -82,19 +82,20 @@ def _counted(sets):
 
 
 def _frequent(texts: DataFrame, sets, least: int, limit: int = TABLE):
-    """Sorted tokens and document frequencies of the most frequent tokens, ``limit`` at most: those
+    """Index of tokens, and document frequencies, of the most frequent tokens, ``limit`` at most: those
     found in ``least`` documents or in as many as the limit asks for."""
     df = stored(texts.mapInArrow(_counted(sets), "token long, df long").groupBy("token")
                 .agg(F.sum("df").alias("df")).filter(F.col("df") >= least), "token-df")
-    return most_frequent(df, "token", "df", limit)
+    key, n = most_frequent(df, "token", "df", limit)
+    return HashIndex(key), n
 
 
 def _look_up(table, tokens: np.ndarray, other: int) -> np.ndarray:
-    key, df = table
-    if not len(key):
-        return np.full(len(tokens), other)
-    at = np.minimum(np.searchsorted(key, tokens), len(key) - 1)
-    return np.where(key[at] == tokens, df[at], other)
+    index, df = table
+    at = index.find(tokens)
+    out = np.full(len(at), other)
+    out[at >= 0] = df[at[at >= 0]]
+    return out
 
 
 def _bounds(w: Words, h: np.ndarray, row: np.ndarray, word_table, width: int) -> np.ndarray:

@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import crc_mod, labelled_sample, logistic_1d, read_table, stored
-from .kernels import IS_SEP, chunks, combine, span_hash, words
+from .kernels import IS_SEP, HashIndex, chunks, combine, span_hash, words
 from .registry import register
 
 TRAIN_ROWS = 20_000
@@ -82,17 +82,15 @@ class Model:
     """Log-odds by unit; calibration constants."""
 
     def __init__(self, levels, share):
-        self.levels, self.share = levels, share      # levels: (sorted unit hashes, log-odds)
+        self.levels, self.share = levels, share      # levels: (index of unit hashes, log-odds)
         self.lam, self.k, self.a, self.b = 1.0, 1.0, 0.0, 1.0
 
     def token_scores(self, levels):
         score = np.zeros(len(levels[0]))
         todo = np.arange(len(levels[0]))
         for h, (unit, odds) in zip(levels, self.levels):
-            if not len(unit) or not len(todo):
-                continue
-            at = np.minimum(np.searchsorted(unit, h[todo]), len(unit) - 1)
-            hit = unit[at] == h[todo]
+            at = unit.find(h[todo])
+            hit = at >= 0
             score[todo[hit]] = odds[at[hit]]
             todo = todo[~hit]
         repeat = np.flatnonzero(levels[0][1:] == levels[0][:-1]) + 1
@@ -163,7 +161,7 @@ def _log_odds(counts: DataFrame, share: float) -> list:
         known.update(zip(t.unit, theta))
         unit = t.unit.to_numpy(np.int64).view(np.uint64)
         order = np.argsort(unit)
-        levels.insert(0, (unit[order], (np.log(theta / (1 - theta)) - root)[order]))
+        levels.insert(0, (HashIndex(unit[order]), (np.log(theta / (1 - theta)) - root)[order]))
     return levels
 
 
