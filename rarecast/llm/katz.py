@@ -36,10 +36,10 @@ from .registry import register
 
 HEAD = 1 << 19               # words of the broadcast vocabulary
 GT_MAX = 5
-BUCKET_TOKENS = 6_000_000    # training tokens a bucket of bigrams stands for
+BUCKET_TOKENS = 5_000_000    # training tokens a bucket of bigrams stands for
 HOT = 1 << 12                # histories above 1 / HOT of all tokens are spread over all buckets
 HOT_PAIRS = 1 << 16          # bigrams above 1 / HOT_PAIRS of all tokens are resolved without a shuffle
-BLOCK_BYTES = 3 << 20        # of text behind one set of packed blocks
+BLOCK_BYTES = 2 << 20        # of text behind one set of packed blocks
 
 
 def _word_counts(batches):
@@ -57,10 +57,10 @@ def _word_counts(batches):
         for c in chunks(b.column("text")):
             held.append(np.unique(words(c).hash, return_counts=True))
             size += len(held[-1][0])
-            if size > 2_000_000:
+            if size > 1_500_000:
                 held = [merged()]
                 size = len(held[0][0])
-                if size > 1_000_000:
+                if size > 750_000:
                     yield batch(*held[0])
                     held, size = [], 0
     if held:
@@ -147,7 +147,7 @@ def _pair_counts(held, n_buckets: int):
             for c in chunks(b.column("text")):
                 kept.append(np.unique(uni.sequence(c, words(c))[1], return_counts=True))
                 size += len(kept[-1][0])
-                if size > 3_000_000:
+                if size > 2_000_000:
                     yield flush()
                     kept, size = [], 0
         if kept:
@@ -159,8 +159,11 @@ def _merge(table: pa.Table) -> pa.Table:
     """Blocks of one bucket -> one row: its keys, counts and counts of counts."""
     keys = np.concatenate([unpack(x.as_buffer()) for x in table["keys"]])
     n = np.concatenate([np.frombuffer(x.as_buffer(), np.uint32) for x in table["counts"]])
-    u, at = np.unique(keys, return_inverse=True)
-    n = np.bincount(at, n, len(u)).astype(np.int64)
+    order = np.argsort(keys)
+    keys, n = keys[order], n[order]
+    del order
+    first = np.flatnonzero(np.diff(keys, prepend=-1))
+    u, n = keys[first], np.add.reduceat(n, first, dtype=np.int64)
     of = np.bincount(np.minimum(n, GT_MAX + 2), minlength=GT_MAX + 3)
     return pa.table({"bucket": pa.array([table["bucket"][0].as_py()], pa.int32()), "keys": pa.array([pack(u)], pa.binary()),
                      "counts": pa.array([n.astype(np.uint32).tobytes()], pa.binary()),
@@ -214,9 +217,13 @@ class Model:
         return self.hot.find(mix64(keys.astype(np.uint64)))
 
     def gain(self, keys, counts):
-        h, w = np.divmod(keys, self.uni.ids)
-        n = counts * self.d[np.minimum(counts, GT_MAX + 1)]
-        return np.log10(n) - self.log_den[h] - self.log_alpha[h] - self.log_p[w]
+        out = np.empty(len(keys))
+        for at in range(0, len(keys), 1 << 18):                    # bounds what is held besides
+            h, w = np.divmod(keys[at:at + (1 << 18)], self.uni.ids)
+            n = counts[at:at + (1 << 18)]
+            out[at:at + (1 << 18)] = (np.log10(n * self.d[np.minimum(n, GT_MAX + 1)]) - self.log_den[h]
+                                      - self.log_alpha[h] - self.log_p[w])
+        return out
 
 
 def train(texts: DataFrame):
@@ -338,7 +345,7 @@ def score(docs: DataFrame, trained, id_col: str = "doc_id", text_col: str = "tex
         if not right.num_rows or not left.num_rows:
             return pa.table({"rid": pa.array([], pa.int64()), "score": pa.array([], pa.float64())})
         keys = unpack(right["keys"][0].as_buffer())
-        gain = m.gain(keys, np.frombuffer(right["counts"][0].as_buffer(), np.uint32).astype(np.int64))
+        gain = m.gain(keys, np.frombuffer(right["counts"][0].as_buffer(), np.uint32))
         rid, total = [], []
         for k, f, r, size in zip(left["keys"], left["rid"], left["rows"], left["size"]):
             q = unpack(k.as_buffer())
