@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -54,8 +56,6 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, target: str, training: C
 
 def logistic_1d(x, y, steps: int = 50):
     """Slope and intercept of a one-variable logistic fit with a weak prior (Newton steps)."""
-    import numpy as np
-
     a = np.array([0.0, 1.0])
     z = np.stack([np.ones(len(x)), x], 1)
     ridge = np.diag([1e-6, 1e-3])
@@ -69,8 +69,6 @@ def logistic_1d(x, y, steps: int = 50):
 def most_frequent(table: DataFrame, token: str, count: str, limit: int):
     """Sorted hashes and counts of the most frequent tokens: all above the lowest count, on a fine
     logarithmic scale, that keeps them within ``limit`` rows."""
-    import numpy as np
-
     step = F.floor(F.log2(count) * 16).cast("int")
     low, room = 0, limit
     for s, n in sorted(table.groupBy(step).count().collect(), reverse=True):
@@ -82,3 +80,34 @@ def most_frequent(table: DataFrame, token: str, count: str, limit: int):
     key = t[token].to_numpy().view(np.uint64)
     order = np.argsort(key)
     return key[order], t[count].to_numpy()[order].astype(np.int64)
+
+
+class IdFilter:
+    """Bitmap of hashed ids, ``max_bits`` at most: says of any id "maybe" or "certainly not" among ``ids``.
+    Rows it rules out need no shuffle; what it lets through besides has to be told apart by a join."""
+
+    def __init__(self, ids: DataFrame, max_bits: int = 1 << 27):
+            (name,) = ids.columns
+        ids = ids.distinct()
+        self.bits = min(max_bits, max(1 << 15, 1 << (8 * ids.count()).bit_length()))
+        slot = self.slot(name)
+        flags = np.zeros(self.bits // 8, np.uint8)
+        for r in (ids.groupBy(F.floor(slot / (1 << 15)).alias("part"))
+                  .agg(F.bitmap_construct_agg(slot % (1 << 15)).alias("bits")).collect()):
+            if r["part"] is not None:
+                flags[r["part"] * 4096:(r["part"] + 1) * 4096] = np.frombuffer(r["bits"], np.uint8)
+        self.held = ids.sparkSession.sparkContext.broadcast(flags)
+
+    def slot(self, name: str) -> Column:
+        return F.pmod(F.xxhash64(name), F.lit(self.bits))
+
+    def column(self, name: str) -> Column:
+        """Whether the id may be among those of the bitmap."""
+        held = self.held
+
+        @F.pandas_udf("boolean")
+        def maybe(s: pd.Series) -> pd.Series:
+            x = s.to_numpy()
+            return pd.Series((held.value[x >> 3] >> (x & 7).astype("uint8")) & 1 == 1)
+
+        return maybe(self.slot(name))

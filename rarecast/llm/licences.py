@@ -1,6 +1,6 @@
 """Licence scan of a corpus whose documents are files in directories.
 
-Every line of every file is compared with the licence templates by the cosine of sparse TF-IDF
+Every sentence and line of every file is compared with the licence templates by the cosine of sparse TF-IDF
 vectors; document frequencies are counted over the whole corpus for the templates' terms, and all
 other terms share one weight, that of a term in a single document.  Lines that hold no
 template term cannot match and are skipped.  A file's own licence is its best line.  A *licence file*
@@ -48,7 +48,7 @@ _SEPARATORS[list(b"!\"#$%&'()*+,/:;<=>?@[\\]^_`{|}~")] = True      # "." and "-"
 
 
 def _terms(c):
-    """Words without a final dot, and whether a line ends after each."""
+    """Words without a final dot."""
     from .kernels import Words, byte_spans, span_hash
 
     w = words(c, _SEPARATORS)
@@ -81,7 +81,8 @@ class _Index:
         w = _terms(c)
         breaks = np.zeros(len(c.buf) + 1, np.int64)
         np.cumsum(c.buf == 10, out=breaks[1:])
-        line = breaks[w.start] + w.row                      # rows also end lines
+        stop = (c.buf[w.end] == 46) if len(w.end) and w.end[-1] < len(c.buf) else np.append(c.buf[w.end[:-1]] == 46, False)
+        line = breaks[w.start] + w.row + np.cumsum(stop) - stop     # rows and sentences also end lines
         at = self.index.find(w.hash)
         some = np.unique(line[at >= 0])
         if not len(some):

@@ -37,7 +37,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import most_frequent, read_table, stored
+from .common import IdFilter, most_frequent, read_table, stored
 from .components import components
 from .kernels import HashIndex, Words, chunks, combine, distinct_per_row, list_array, mix64, order_by, shingles, words
 from .registry import register
@@ -47,7 +47,6 @@ PERCENT = 85
 FREQUENT = 1000              # documents
 TABLE = 1 << 19              # rows of each broadcast table of frequent words or shingles: 8 MB at most
 SPLIT = 4                    # allowed misses per bucket of frequent tokens
-BITS = 1 << 27               # of the bitmap that picks texts to verify
 ALL = np.int64(2**63 - 1)    # place in the token order after every rare token
 
 
@@ -201,20 +200,11 @@ def _index(word_table, shingle_table, width: int, percent: int):
     return run
 
 
-def _token_sets(rows: DataFrame, nodes: DataFrame, width: int) -> DataFrame:
-    """Stored (node, tokens) of at least the ``nodes``.  Which texts to take is decided where they are
-    read, by a bitmap of hashed ids of at most ``BITS`` bits; what it lets through besides does no harm."""
-    ids = nodes.select("node").distinct()
-    bits = min(BITS, max(1 << 15, 1 << (8 * ids.count()).bit_length()))
-
-    def slot(c):
-        return F.pmod(F.xxhash64(c), F.lit(bits))
-
-    flags = np.zeros(bits // 8, np.uint8)
-    for r in (ids.groupBy(F.floor(slot("node") / (1 << 15)).alias("part"))
-              .agg(F.bitmap_construct_agg(slot("node") % (1 << 15)).alias("bits")).collect()):
-        flags[r["part"] * 4096:(r["part"] + 1) * 4096] = np.frombuffer(r["bits"], np.uint8)
-    held = rows.sparkSession.sparkContext.broadcast(flags)
+def _token_sets(rows: DataFrame, pairs: DataFrame, width: int) -> DataFrame:
+    """Stored (node, tokens) of at least the nodes of ``pairs``.  Which texts to take is decided where
+    they are read; what the bitmap lets through besides does no harm."""
+    ids = IdFilter(pairs.select(F.explode(F.array("u", "v")).alias("node")))
+    held = ids.held
 
     def run(batches):
         for b in batches:
@@ -226,17 +216,18 @@ def _token_sets(rows: DataFrame, nodes: DataFrame, width: int) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([b.column("doc_id").slice(c.at, c.n), list_array(flat, offs)],
                                                  names=["node", "tokens"])
 
-    some = rows.filter("doc_id IS NOT NULL").withColumn("slot", slot("doc_id"))
+    some = rows.filter("doc_id IS NOT NULL").withColumn("slot", ids.slot("doc_id"))
     return stored(some.mapInArrow(run, "node long, tokens array<long>"), "sets")
 
 
-def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Pairs (u, v) whose sets reach the threshold."""
+def _verified(pairs: DataFrame, rows: DataFrame, width: int, percent: int) -> DataFrame:
+    """Pairs (u, v), stored, whose sets reach the threshold."""
+    sets = _token_sets(rows, pairs, width)
     a = sets.select(F.col("node").alias("u"), F.col("tokens").alias("a"))
     b = sets.select(F.col("node").alias("v"), F.col("tokens").alias("b"))
     shared = F.size(F.array_intersect("a", "b"))
-    return (pairs.join(a, "u").join(b, "v")
-            .filter(100 * shared >= percent * (F.size("a") + F.size("b") - shared)).select("u", "v"))
+    return stored(pairs.select("u", "v").join(a, "u").join(b, "v")
+                  .filter(100 * shared >= percent * (F.size("a") + F.size("b") - shared)).select("u", "v"), "linked")
 
 
 def _may_link(percent: int):
@@ -255,6 +246,16 @@ def _side(live: DataFrame, s: str, *more: str) -> DataFrame:
                        F.col("singles").alias("s" + s), F.col("last").alias("l" + s), *[F.col(c).alias(c[0] + s) for c in more])
 
 
+_FACTS = [k + x for k in "nsl" for x in "uv"]
+
+
+def _enough(pairs: DataFrame, percent: int) -> DataFrame:
+    """Of pairs with facts and ``met`` (rare tokens that both index), those that may link: a rare token
+    indexed by one of the pair only is a certain miss between the two."""
+    return (pairs.withColumns({"mu": F.col("su") - F.col("met"), "mv": F.col("sv") - F.col("met")})
+            .filter(_may_link(percent)).select("u", "v"))
+
+
 def _live_entries(index: DataFrame, percent: int) -> DataFrame:
     """(entry, node, n, rare, misses, last) of the entries that two different sets share and that may
     hold a link, judged entry by entry without forming pairs."""
@@ -291,14 +292,18 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     key = ["n", "f1", "f2"]
     reps = index.filter("n > 0").groupBy(*key).agg(F.min("doc_id").alias("node"))
     live = _live_entries(index, percent)
-    sets = _token_sets(rows, live, width)
+    rare = live.filter(F.col("entry") % 2 != 0)
     # the entry's most central document against its others
-    lead = live.groupBy("entry").agg(F.min(F.struct("rare", "node", "n", "misses", "last")).alias("lead"))
+    lead = live.groupBy("entry").agg(F.min(F.struct("rare", "node", "n", "misses", "singles", "last")).alias("lead"))
     star = stored(_side(live, "v").join(lead, "entry").select(
-        "v", "nv", "mv", "lv", F.col("lead.node").alias("u"), F.col("lead.n").alias("nu"),
-        F.col("lead.misses").alias("mu"), F.col("lead.last").alias("lu"))
-        .filter("u <> v").filter(_may_link(percent)).select("u", "v").distinct(), "star")
-    links = stored(_verified(star, sets, percent), "star-links")
+        "v", "nv", "mv", "sv", "lv", *[F.col(f"lead.{c}").alias(a) for c, a in
+                                       (("node", "u"), ("n", "nu"), ("misses", "mu"), ("singles", "su"), ("last", "lu"))])
+        .filter("u <> v").filter(_may_link(percent)).select("u", "v", *_FACTS).distinct(), "star")
+    met = (star.join(rare.select(F.col("node").alias("u"), "entry"), "u", "left")
+           .join(rare.select(F.col("node").alias("v"), "entry", F.lit(1).alias("both")), ["v", "entry"], "left")
+           .groupBy("u", "v", *_FACTS).agg(F.count("both").alias("met")))
+    star = stored(_enough(met, percent), "star")
+    links = _verified(star, rows, width, percent)
     first = components(links)
     # what still shares an entry across components
     named = live.join(first, "node", "left").withColumn("component", F.coalesce("component", "node"))
@@ -307,14 +312,12 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     side = stored(named.join(mixed, "entry"), "mixed")
     cross = (_side(side, "u", "component").join(_side(side, "v", "component").withColumnRenamed("entry", "e"),
                                                 (F.col("entry") == F.col("e")) & (F.col("cu") < F.col("cv")) & _may_link(percent))
-             .groupBy("u", "v", *[k + x for k in "nsl" for x in "uv"])
-             .agg(F.count_if(F.col("entry") % 2 != 0).alias("met")))
-    # a rare token indexed by one of the pair only is a certain miss between the two
-    cross = (cross.withColumns({"mu": F.col("su") - F.col("met"), "mv": F.col("sv") - F.col("met")})
-             .filter(_may_link(percent)).select("u", "v").distinct())
+             .groupBy("u", "v", *_FACTS).agg(F.count_if(F.col("entry") % 2 != 0).alias("met")))
+    cross = _enough(cross, percent).distinct()
     done = star.select(F.least("u", "v").alias("a"), F.greatest("u", "v").alias("b"))
-    cross = cross.join(done, (F.least("u", "v") == F.col("a")) & (F.greatest("u", "v") == F.col("b")), "left_anti")
-    last = components(links.union(_verified(cross, sets, percent)))
+    cross = stored(cross.join(done, (F.least("u", "v") == F.col("a")) & (F.greatest("u", "v") == F.col("b")), "left_anti")
+                   .select("u", "v"), "cross")
+    last = components(links.union(_verified(cross, rows, width, percent)))
     return (index.select("doc_id", *key).join(reps, key, "left").join(last, "node", "left")
             .select("doc_id", F.col("n").alias("n_shingles"),
                     F.when(F.col("n") == 0, F.col("doc_id")).otherwise(F.coalesce("component", "node"))
@@ -325,10 +328,17 @@ def keep_one_per_component(docs: DataFrame, id_col: str = "doc_id", text_col: st
                            percent: int = PERCENT) -> DataFrame:
     """``docs`` with the smallest id of each component; of rows that repeat an id one stays.  Rows without
     an id all stay."""
-    found = jaccard_components(docs, id_col, text_col, width, percent)
-    keep = found.filter("doc_id = component_id").select(F.col("doc_id").alias(id_col)).distinct()
-    return (docs.join(keep, id_col, "left_semi").dropDuplicates([id_col])
-            .unionByName(docs.filter(F.col(id_col).isNull())))
+    found = stored(jaccard_components(docs, id_col, text_col, width, percent), "found").filter("doc_id IS NOT NULL")
+    # ids that go or that stand on several rows; all other rows stay without a shuffle
+    doubt = found.groupBy("doc_id").agg(F.count(F.lit(1)).alias("c"), F.min("component_id").alias("m"))
+    doubt = stored(doubt.filter("c > 1 OR m <> doc_id").select(F.col("doc_id").alias(id_col), (F.col("m") == F.col("doc_id"))
+                                                               .alias("keep")), "doubt")
+    maybe = F.col(id_col).isNotNull() & IdFilter(doubt.select(id_col)).column(id_col)
+    some = docs.filter(maybe)
+    return (docs.filter(~maybe)
+            .unionByName(some.join(doubt.select(id_col), id_col, "left_anti").select(*docs.columns))
+            .unionByName(some.join(doubt.filter("keep").select(id_col), id_col, "left_semi").dropDuplicates([id_col])
+                         .select(*docs.columns)))
 
 
 @register("op2_ngram_jaccard", """
