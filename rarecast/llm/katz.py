@@ -39,7 +39,7 @@ GT_MAX = 5
 BUCKET_TOKENS = 5_000_000    # training tokens a bucket of bigrams stands for
 HOT = 1 << 12                # histories above 1 / HOT of all tokens are spread over all buckets
 HOT_PAIRS = 1 << 16          # bigrams above 1 / HOT_PAIRS of all tokens are resolved without a shuffle
-BLOCK_BYTES = 2 << 20        # of text behind one set of packed blocks
+BLOCK_BYTES = 3 << 19        # of text behind one set of packed blocks
 
 
 def _word_counts(batches):
@@ -57,10 +57,10 @@ def _word_counts(batches):
         for c in chunks(b.column("text")):
             held.append(np.unique(words(c).hash, return_counts=True))
             size += len(held[-1][0])
-            if size > 1_500_000:
+            if size > 1_000_000:
                 held = [merged()]
                 size = len(held[0][0])
-                if size > 750_000:
+                if size > 500_000:
                     yield batch(*held[0])
                     held, size = [], 0
     if held:
@@ -147,7 +147,7 @@ def _pair_counts(held, n_buckets: int):
             for c in chunks(b.column("text")):
                 kept.append(np.unique(uni.sequence(c, words(c))[1], return_counts=True))
                 size += len(kept[-1][0])
-                if size > 2_000_000:
+                if size > 1_000_000:
                     yield flush()
                     kept, size = [], 0
         if kept:
