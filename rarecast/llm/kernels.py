@@ -38,13 +38,17 @@ _POWERS: list[np.ndarray] = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
 
 
 def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """Powers 0..n-1 of the base and of its inverse modulo 2^64."""
-    if len(_POWERS[0]) < n:
-        for i, b in enumerate((_BASE, pow(_BASE, -1, 1 << 64))):
-            p = np.full(n, b, np.uint64)
-            p[0] = 1
-            _POWERS[i] = np.multiply.accumulate(p)
-    return _POWERS[0], _POWERS[1]
+    """Powers 0..n-1 of the base and of its inverse modulo 2^64; kept for chunks of the usual size only."""
+    if len(_POWERS[0]) >= n:
+        return _POWERS[0], _POWERS[1]
+    made = []
+    for b in (_BASE, pow(_BASE, -1, 1 << 64)):
+        p = np.full(max(n, CHUNK_BYTES + 1), b, np.uint64)
+        p[0] = 1
+        made.append(np.multiply.accumulate(p))
+    if n <= 2 * CHUNK_BYTES:
+        _POWERS[:] = made
+    return made[0], made[1]
 
 
 class Words(NamedTuple):

@@ -61,21 +61,25 @@ def _count_units(batches):
     """Per batch: (level, unit, parent unit, occurrences in toxic and in clean documents)."""
     for b in batches:
         label = b.column("label").to_numpy(zero_copy_only=False)
-        for c in chunks(b.column("text"), 8 << 20):
+        held = [None] * (1 + len(PREFIXES))
+        for c in chunks(b.column("text")):
             w, levels = _units(c)
-            y = label[c.at + w.row]
+            toxic = (label[c.at + w.row] == 1).astype(np.int64)
             for k, h in enumerate(levels):
-                u, one, at = np.unique(h, return_index=True, return_inverse=True)
-                parent = levels[min(k + 1, len(levels) - 1)][one]
+                parent = np.zeros(len(h), np.uint64)
                 for j in range(len(levels) - 1, k, -1):      # the longest prefix the unit has
-                    parent = np.where(levels[j][one] != 0, levels[j][one], parent)
-                parent = parent if k + 1 < len(levels) else np.zeros(len(u), np.uint64)
+                    parent = np.where(levels[j] != 0, levels[j], parent)
+                part = [h, parent, toxic, 1 - toxic]
+                if held[k] is not None:
+                    part = [np.concatenate(x) for x in zip(held[k], part)]
+                u, one, at = np.unique(part[0], return_index=True, return_inverse=True)
+                held[k] = [u, part[1][one], *[np.bincount(at, x, len(u)).astype(np.int64) for x in part[2:]]]
+        for k, x in enumerate(held):
+            if x is not None:
+                u, parent, toxic, clean = x
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.full(len(u), k, np.int32)), pa.array(u.view(np.int64)),
-                     pa.array(parent.view(np.int64)),
-                     pa.array(np.bincount(at, y == 1, len(u)).astype(np.int64)),
-                     pa.array(np.bincount(at, y != 1, len(u)).astype(np.int64))],
-                    names=["level", "unit", "parent", "toxic", "clean"])
+                    [pa.array(np.full(len(u), k, np.int32)), pa.array(u.view(np.int64)), pa.array(parent.view(np.int64)),
+                     pa.array(toxic), pa.array(clean)], names=["level", "unit", "parent", "toxic", "clean"])
 
 
 class Model:
