@@ -75,17 +75,17 @@ def keep_bitmaps(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
 def apply_bitmaps(docs: DataFrame, bitmaps: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` with the dropped lines gone, plus ``n_lines``, ``n_dropped`` and ``keep_runs``."""
-    b = bitmaps.select(F.col("doc").alias("bm_doc"), F.col("rk").alias("bm_rk"), F.col("dropped").alias("bm_dropped"),
-                       F.col("keep_runs").alias("bm_runs"))
-    d = (docs.withColumn("bm_key", _row_key(id_col, text_col))
-         .join(b, F.col(id_col).eqNullSafe(F.col("bm_doc")) & (F.col("bm_key") == F.col("bm_rk")), "left"))
-    kept = F.array_join(F.filter(_lines(F.col(text_col)), lambda x, i: ~F.array_contains("bm_dropped", i)), "\n")
+    b = bitmaps.select(F.col("doc").alias("__bm_doc"), F.col("rk").alias("__bm_rk"), F.col("dropped").alias("__bm_dropped"),
+                       F.col("keep_runs").alias("__bm_runs"))
+    d = (docs.withColumn("__bm_key", _row_key(id_col, text_col))
+         .join(b, F.col(id_col).eqNullSafe(F.col("__bm_doc")) & (F.col("__bm_key") == F.col("__bm_rk")), "left"))
+    kept = F.array_join(F.filter(_lines(F.col(text_col)), lambda x, i: ~F.array_contains("__bm_dropped", i)), "\n")
     return (d.withColumns({
         "n_lines": F.size(_lines(F.col(text_col))).cast("long"),
-        "n_dropped": F.coalesce(F.size("bm_dropped"), F.lit(0)).cast("long"),
-        "keep_runs": F.col("bm_runs"),
-        text_col: F.when(F.col("bm_dropped").isNotNull(), kept).otherwise(F.col(text_col))})
-        .drop("bm_key", "bm_doc", "bm_rk", "bm_dropped", "bm_runs"))
+        "n_dropped": F.coalesce(F.size("__bm_dropped"), F.lit(0)).cast("long"),
+        "keep_runs": F.col("__bm_runs"),
+        text_col: F.when(F.col("__bm_dropped").isNotNull(), kept).otherwise(F.col(text_col))})
+        .drop("__bm_key", "__bm_doc", "__bm_rk", "__bm_dropped", "__bm_runs"))
 
 
 def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_chars: int = 1,

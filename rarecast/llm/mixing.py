@@ -70,27 +70,27 @@ def with_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     d = docs.withColumn("mix", F.struct(word_count(F.col(text_col)).alias("size")))
     targets = source_targets(d.select(F.col(source_col).alias("source"), F.col("mix.size").alias("size")),
                              weights, share, limit)
-    rates = targets.select(F.col("source").alias("mix_source"),
-                           F.struct("source_size", "target").alias("mix_rate"))
+    rates = targets.select(F.col("source").alias("__mix_source"),
+                           F.struct("source_size", "target").alias("__mix_rate"))
     n_bytes = targets.agg(F.sum(F.lit(64) + F.coalesce(F.octet_length("source"), F.lit(0)))).first()[0] or 0
-    same = F.col(source_col).eqNullSafe(F.col("mix_source"))
+    same = F.col(source_col).eqNullSafe(F.col("__mix_source"))
     if n_bytes <= BROADCAST_BYTES:
         d = d.join(F.broadcast(rates), same, "left")
     else:
-        salted = rates.withColumn("mix_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-        d = (d.withColumn("mix_deal", F.pmod(F.xxhash64(id_col), F.lit(SALTS)).cast("int"))
-             .join(salted, same & (F.col("mix_deal") == F.col("mix_salt")), "left").drop("mix_deal", "mix_salt"))
-    rate = F.when(F.col("mix_rate.source_size") > 0,
-                  F.col("mix_rate.target") / F.col("mix_rate.source_size")).otherwise(0.0)
+        salted = rates.withColumn("__mix_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+        d = (d.withColumn("__mix_deal", F.pmod(F.xxhash64(id_col), F.lit(SALTS)).cast("int"))
+             .join(salted, same & (F.col("__mix_deal") == F.col("__mix_salt")), "left").drop("__mix_deal", "__mix_salt"))
+    rate = F.when(F.col("__mix_rate.source_size") > 0,
+                  F.col("__mix_rate.target") / F.col("__mix_rate.source_size")).otherwise(0.0)
     # first 13 hex digits of an md5 digest: a uniform draw that any engine can repeat
     digest = F.md5(F.concat(F.coalesce(F.col(id_col).cast("string"), F.lit("")), F.lit(f"|{seed}")).cast("binary"))
     draw = F.conv(F.substring(digest, 1, 13), 16, 10).cast("long") / F.lit(float(1 << 52))
     copies = F.floor(rate) + (draw < rate - F.floor(rate)).cast("long")
     d = d.withColumn("mix", F.struct(
-        F.col("mix.size").alias("size"), F.col("mix_rate.source_size").alias("source_size"),
-        F.col("mix_rate.target").alias("target"), copies.alias("copies"),
+        F.col("mix.size").alias("size"), F.col("__mix_rate.source_size").alias("source_size"),
+        F.col("__mix_rate.target").alias("target"), copies.alias("copies"),
         (copies * F.col("mix.size")).alias("taken")))
-    return d.drop("mix_source", "mix_rate")
+    return d.drop("__mix_source", "__mix_rate")
 
 
 def mix(docs: DataFrame, **options) -> DataFrame:

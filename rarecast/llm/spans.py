@@ -106,7 +106,7 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     facts = (t.groupBy("h").agg(F.min(F.struct("doc", "pos")).alias("first"), F.max(F.struct("doc", "pos")).alias("last"))
              .filter(~F.col("first").eqNullSafe(F.col("last"))).select("h", "first"))
     return (t.join(facts, "h").filter(~F.struct("doc", "pos").eqNullSafe(F.col("first")))
-            .groupBy("doc").agg(F.collect_set(F.struct("pos", "h")).alias("spans"),
+            .groupBy("doc").agg(F.collect_set(F.struct("pos", "h")).alias("__spans"),
                                 F.collect_set("first.doc").alias("first_ids")))
 
 
@@ -114,8 +114,8 @@ def _removal(n_run, min_words, cut, keep_all: bool, extra):
     """Applies the joined spans to texts."""
     def run(batches):
         for b in batches:
-            text = b.column("span_text")
-            spans = b.column("spans")
+            text = b.column("__span_text")
+            spans = b.column("__spans")
             has = spans.is_valid().to_numpy(zero_copy_only=False)
             new, total, gone, cuts = [None] * b.num_rows, [0] * b.num_rows, [0] * b.num_rows, [[] for _ in range(b.num_rows)]
             for c in chunks(text):
@@ -149,7 +149,7 @@ def _removal(n_run, min_words, cut, keep_all: bool, extra):
                 [*[b.column(n) for n in extra], pa.array(new, pa.string()), pa.array(total, pa.int64()),
                  pa.array(gone, pa.int64()),
                  pa.array(cuts, pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())])))],
-                names=[*extra, "span_new", "n_sentences", "n_removed", "removed"])
+                names=[*extra, "__span_new", "n_sentences", "n_removed", "removed"])
             yield out if keep_all else out.filter(pa.array(np.array(gone) > 0))
     return run
 
@@ -159,14 +159,14 @@ def remove_repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str
     """``docs`` with repeated spans removed from the text, plus n_sentences, n_removed, removed (byte spans
     of the old text) and first_ids; ``changed_only`` leaves out the documents that lose nothing."""
     spans = repeated_spans(docs, id_col, text_col, n_run, min_words, cut)
-    d = docs.withColumn("span_text", F.col(text_col).cast("string")).join(
-        spans.withColumnRenamed("doc", "span_doc"), F.col(id_col).cast("long").eqNullSafe(F.col("span_doc")),
-        "inner" if changed_only else "left").drop("span_doc")
-    extra = [c for c in d.columns if c not in ("span_text", "spans")]
+    d = docs.withColumn("__span_text", F.col(text_col).cast("string")).join(
+        spans.withColumnRenamed("doc", "__span_doc"), F.col(id_col).cast("long").eqNullSafe(F.col("__span_doc")),
+        "inner" if changed_only else "left").drop("__span_doc")
+    extra = [c for c in d.columns if c not in ("__span_text", "__spans")]
     schema = ", ".join([*[f"`{f.name}` {f.dataType.simpleString()}" for f in d.schema if f.name in extra],
-                        "span_new string, n_sentences long, n_removed long, removed array<struct<start: long, end: long>>"])
+                        "__span_new string, n_sentences long, n_removed long, removed array<struct<start: long, end: long>>"])
     out = d.mapInArrow(_removal(n_run, min_words, cut, not changed_only, extra), schema)
-    return out.withColumn(text_col, F.coalesce("span_new", text_col)).drop("span_new")
+    return out.withColumn(text_col, F.coalesce("__span_new", text_col)).drop("__span_new")
 
 
 @register("op5_sentence_spans")
