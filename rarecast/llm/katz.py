@@ -352,11 +352,11 @@ def score(docs: DataFrame, trained, id_col: str = "doc_id", text_col: str = "tex
             at = np.minimum(np.searchsorted(keys, q), len(keys) - 1)
             hit = keys[at] == q
             doc = np.frombuffer(r.as_buffer(), np.uint16 if size.as_py() == 2 else np.uint32)[hit]
-            s = np.bincount(doc, gain[at[hit]])
+            s = np.bincount(doc, gain[at[hit]]).astype(np.float64)
             some = np.flatnonzero(np.bincount(doc))
             rid.append(f.as_py() + some)             # rows of a block are consecutive
             total.append(s[some])
-        return pa.table({"rid": pa.array(np.concatenate(rid), pa.int64()), "score": pa.array(np.concatenate(total))})
+        return pa.table({"rid": pa.array(np.concatenate(rid), pa.int64()), "score": pa.array(np.concatenate(total), pa.float64())})
 
     gains = (blocks.groupBy("bucket").cogroup(pairs.select("bucket", "keys", "counts").groupBy("bucket"))
              .applyInArrow(look_up, "rid long, score double"))
