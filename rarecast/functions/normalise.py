@@ -103,10 +103,12 @@ def unpack_awards(df: DataFrame, awards: str, prefix: str = "",
 
 
 def int_or_flag(c) -> Column:
-    """null -> 0; integer text -> that integer; anything else -> -1."""
+    """null -> 0; a number -> its integer part; integer text -> that integer; anything else -> -1."""
     x = col_of(c)
+    number = F.typeof(x).rlike("^(tinyint|smallint|int|bigint|float|double|decimal.*)$")
     s = F.trim(x.cast("string"))
     return (F.when(x.isNull(), F.lit(0))
+            .when(number, F.coalesce(x.cast("string").try_cast("double").try_cast("int"), F.lit(-1)))
             .when(s.rlike(r"^[+-]?\d+$"), F.coalesce(s.try_cast("int"), F.lit(-1)))
             .otherwise(F.lit(-1)))
 

@@ -12,7 +12,7 @@ from pyspark.ml import Estimator, Model
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..util import broadcast_if_small, attach_one_row
+from ..util import attach_one_row
 
 _NULL_KEY = "\u0000null"  # nulls form their own category
 
@@ -60,7 +60,7 @@ class TargetMeansModel(Model):
             t = self.table.where(F.col("feature") == c).select(F.col("value").alias("__v"),
                                                                 F.col("encoding").alias("__e"))
             out = (out.withColumn("__v", _key(c))
-                   .join(broadcast_if_small(t, self.n_rows), "__v", "left")
+                   .join(t, "__v", "left")
                    .withColumn(c, F.coalesce(F.col("__e"), F.lit(self.overall)))
                    .drop("__v", "__e"))
         return out

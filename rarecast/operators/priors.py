@@ -10,11 +10,13 @@ linear-interpolated ``interp`` over the sorted column and to
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.ml import Estimator, Model
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..util import broadcast_if_small, col_of, hash_uniform, prefix_sum_by_range
+from ..util import col_of, hash_uniform, prefix_sum_by_range
 
 # Largest number of distinct values collected to the driver to build a
 # literal array (pivot values, grid domains).
@@ -78,12 +80,12 @@ def equal_freq_edges(df: DataFrame, col: str, n_bins: int = 5) -> list[float]:
 def bin_assign(x, edges: list[float]) -> Column:
     """Bin number: bins are (a, b], the lowest one also taking everything at
     or below its upper edge, the last one everything above.  Repeated edges
-    are dropped first, so the bin count can shrink."""
+    are dropped first, so the bin count can shrink.  A null value has no bin (null)."""
     inner = sorted(set(edges))[1:-1]
     if not inner:
-        return F.lit(0)
+        return F.when(col_of(x).isNotNull(), F.lit(0))
     arr = F.array(*[F.lit(float(e)) for e in inner])
-    return F.size(F.filter(arr, lambda e: e < col_of(x).cast("double"))).cast("int")
+    return F.when(col_of(x).isNotNull(), F.size(F.filter(arr, lambda e: e < col_of(x).cast("double")))).cast("int")
 
 
 def _domain(df: DataFrame, col: str) -> list:
@@ -109,7 +111,9 @@ def complete_grid(table: DataFrame, keys: list[str], fill: dict | None = None,
             vals = _domain(table, k)
         dtype = table.schema[k].dataType
         grid = grid.select("*", F.explode(F.array(*[F.lit(v).cast(dtype) for v in vals])).alias(k))
-    out = grid.join(table, keys, "left")
+    held = table.withColumnsRenamed({c: f"__k_{c}" for c in keys})
+    same = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"__k_{c}")) for c in keys])
+    out = grid.join(held, same, "left").drop(*[f"__k_{c}" for c in keys])
     fills = fill or {c: 0 for c in table.columns if c not in keys}
     return out.withColumns({c: F.coalesce(F.col(c), F.lit(v)) for c, v in fills.items()})
 
@@ -160,7 +164,9 @@ class PriorsModel(Model):
         keys = self.est.keys
         k = self.est.keyed(df, self.edges)
         t = self.table.select(*keys, F.col("target_fraction").alias("__p"), F.lit(True).alias("__seen"))
-        j = k.join(broadcast_if_small(t, self.n_rows), keys, "left")
+        t = t.withColumnsRenamed({c: f"__k_{c}" for c in keys})
+        same = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"__k_{c}")) for c in keys])
+        j = k.join(t, same, "left").drop(*[f"__k_{c}" for c in keys])   # a null key is a category of its own
         return (j.withColumns({"prior_p": F.coalesce(F.col("__p"), F.lit(0.0)),
                                "prior_missing": F.col("__seen").isNull()})
                 .withColumn("prior_q", 1 - F.col("prior_p")).drop("__p", "__seen"))

@@ -23,14 +23,13 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import drop_stop, ngrams, tokens
-from ..util import ensure_parallelism
 
 
 def doc_terms(df: DataFrame, id_col: str, text: str, stop: list[str] | None,
               ngram: tuple[int, int] = (1, 1), min_len: int = 2) -> DataFrame:
     """(id, term, tf) rows: accent-stripped lower-case tokens of at least
     ``min_len`` characters, stop words removed, n-grams, counted per doc."""
-    d = ensure_parallelism(df.select(id_col, text))
+    d = df.select(id_col, text)
     if tuple(ngram) == (1, 1):
         # unigrams: explode first, then one hash-set lookup per token
         term = F.col("term")

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..operators.comments import top_n
-from ..util import broadcast_if_small, col_of
+from ..util import col_of
 
 
 def read_posts(spark: SparkSession, path: str, schema: T.StructType, fmt: str = "parquet",
@@ -44,10 +44,10 @@ def read_allowlist(spark: SparkSession, path: str) -> DataFrame:
 
 
 def filter_allowlist(df: DataFrame, allow: DataFrame, key: str, allow_col: str = "name") -> DataFrame:
-    """Keep rows whose ``key`` is listed (left-semi join).  The list is
-    broadcast only after its size is checked."""
+    """Keep rows whose ``key`` is listed (left-semi join).  Whether the
+    list is broadcast is decided by its bytes at run time."""
     a = allow.select(F.col(allow_col).alias(key)).distinct()
-    return df.join(broadcast_if_small(a), key, "left_semi")
+    return df.join(a, key, "left_semi")
 
 
 def latest_n(df: DataFrame, by: str | list, order: list, n: int) -> DataFrame:

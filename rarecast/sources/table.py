@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..util import col_of, union_all
+from ..util import col_of, read_if_exists, union_all
 
 
 def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
@@ -93,10 +93,7 @@ def append_to_table(spark: SparkSession, path: str, batch: DataFrame, key: str |
                     order: list, fmt: str = "parquet") -> int:
     """Append the new rows of ``batch`` to the table at ``path`` (created when
     missing).  Returns the number of rows written."""
-    try:
-        target = spark.read.format(fmt).load(path)
-    except Exception:  # noqa: BLE001 - no table yet
-        target = None
+    target = read_if_exists(spark, path, fmt)
     rows = first_per_key(batch, key, order) if target is None else \
         new_rows(target, batch, key, order).select(*target.columns)
     rows = rows.persist()

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..session import fresh_path
+from ..util import read_if_exists
 from ..sources.table import first_per_key
 
 # --------------------------------------------------------------------------- running
@@ -81,18 +82,12 @@ def append_batch(target: str, key: str | list, order: list, fmt: str = "parquet"
 
     def apply(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        try:
-            seen = spark.read.parquet(ledger).where(F.col("batch_id") == batch_id).head(1)
-        except Exception:  # noqa: BLE001 - no ledger yet
-            seen = []
-        if seen:
+        done = read_if_exists(spark, ledger)
+        if done is not None and done.where(F.col("batch_id") == batch_id).head(1):
             return
         first = first_per_key(batch, keys, order)
-        try:
-            existing = spark.read.format(fmt).load(target).select(*keys)
-            rows = first.join(existing, keys, "left_anti")
-        except Exception:  # noqa: BLE001 - no table yet
-            rows = first
+        existing = read_if_exists(spark, target, fmt)
+        rows = first if existing is None else first.join(existing.select(*keys), keys, "left_anti")
         rows.write.mode("append").format(fmt).save(target)
         spark.createDataFrame([(batch_id,)], "batch_id long").write.mode("append").parquet(ledger)
     return apply
@@ -191,7 +186,7 @@ def stream_outcome_asof(snap: DataFrame, out: DataFrame, key: str, snap_ts: str,
     from ..operators.outcome import _seconds
 
     payload = list(payload or [])
-    lo_ms, hi_ms = int(_seconds(lo) * 1000), int(_seconds(hi) * 1000)
+    lo_us, hi_us = int(_seconds(lo) * 1_000_000), int(_seconds(hi) * 1_000_000)
     key_type = snap.schema[key].dataType
     sid_type = snap.schema[snap_id].dataType
     oid_type = out.schema[out_id].dataType
@@ -201,11 +196,11 @@ def stream_outcome_asof(snap: DataFrame, out: DataFrame, key: str, snap_ts: str,
     fields += [T.StructField(f"out_{p}", out.schema[p].dataType) for p in payload]
     out_schema = T.StructType(fields)
     names = [f.name for f in out_schema.fields]
-    # state: JSON arrays of [ms, key json, record] rows
+    # state: JSON arrays of [us, key json, record] rows
     state_schema = T.StructType([T.StructField("pending", T.StringType()), T.StructField("outs", T.StringType())])
 
-    def ms(col):
-        return (F.unix_micros(F.col(col).cast("timestamp")) / 1000).cast("long")
+    def us(col):
+        return F.unix_micros(F.col(col).cast("timestamp"))
 
     s = event_time(snap, snap_ts)
     o = event_time(out, out_ts)
@@ -213,15 +208,15 @@ def stream_outcome_asof(snap: DataFrame, out: DataFrame, key: str, snap_ts: str,
     # serve snapshots whose t + lo lies in (ot - (hi - lo), ot], i.e. its own
     # bucket and the one before, so it is sent to both.  Keys (as JSON text,
     # equal exactly when the values are) are hashed into ``key_buckets``.
-    width = hi_ms - lo_ms
+    width = hi_us - lo_us
     kj = F.to_json(F.struct(F.col(key).alias("k")))
     bk = F.pmod(F.xxhash64(F.col(key)), F.lit(key_buckets)).cast("int")
     u = (s.select(bk.alias("__bk"), F.col(snap_ts).alias("__t"), F.lit(0).alias("__kind"),
-                  ms(snap_ts).alias("__ms"), F.floor((ms(snap_ts) + lo_ms) / width).alias("__g"),
+                  us(snap_ts).alias("__us"), F.floor((us(snap_ts) + lo_us) / width).alias("__g"),
                   kj.alias("__k"), F.to_json(F.struct(F.col(snap_id).alias("id"))).alias("__j"))
          .unionByName(o.select(bk.alias("__bk"), F.col(out_ts).alias("__t"), F.lit(1).alias("__kind"),
-                               ms(out_ts).alias("__ms"),
-                               F.explode(F.array(F.floor(ms(out_ts) / width), F.floor(ms(out_ts) / width) - 1))
+                               us(out_ts).alias("__us"),
+                               F.explode(F.array(F.floor(us(out_ts) / width), F.floor(us(out_ts) / width) - 1))
                                .alias("__g"), kj.alias("__k"),
                                F.to_json(F.struct(F.col(out_id).alias("id"), *[F.col(p) for p in payload]))
                                .alias("__j"))))
@@ -238,14 +233,15 @@ def stream_outcome_asof(snap: DataFrame, out: DataFrame, key: str, snap_ts: str,
         if not state.hasTimedOut:
             for pdf in batches:
                 is_snap = pdf["__kind"].to_numpy() == 0
-                ts, ks, js = pdf["__ms"].to_numpy(), pdf["__k"].to_numpy(), pdf["__j"].to_numpy()
+                ts, ks, js = pdf["__us"].to_numpy(), pdf["__k"].to_numpy(), pdf["__j"].to_numpy()
                 for m, rows in ((is_snap, pending), (~is_snap, outs)):
                     rows.extend(map(list, zip(ts[m].tolist(), ks[m].tolist(), decode(js[m]))))
-        wm = state.getCurrentWatermarkMs()
-        due = [r for r in pending if wm >= r[0] + hi_ms]
-        keep = [r for r in pending if wm < r[0] + hi_ms]
+        wm_ms = state.getCurrentWatermarkMs()
+        wm = wm_ms * 1000
+        due = [r for r in pending if wm >= r[0] + hi_us]
+        keep = [r for r in pending if wm < r[0] + hi_us]
         if due:
-            left = pd.DataFrame({"tl": [r[0] + lo_ms for r in due], "k": [r[1] for r in due],
+            left = pd.DataFrame({"tl": [r[0] + lo_us for r in due], "k": [r[1] for r in due],
                                  "i": range(len(due))}).sort_values("tl", kind="stable")
             if outs:
                 # earliest outcome per (key, time) by id, then forward as-of by key
@@ -254,24 +250,24 @@ def stream_outcome_asof(snap: DataFrame, out: DataFrame, key: str, snap_ts: str,
                 o_df = o_df.sort_values(["k", "to", "oid"]).drop_duplicates(["k", "to"]).sort_values("to")
                 m = pd.merge_asof(left, o_df[["to", "k", "j"]], left_on="tl", right_on="to", by="k",
                                   direction="forward", allow_exact_matches=True).sort_values("i")
-                ok = m["to"].notna() & (m["to"] < m["tl"] - lo_ms + hi_ms)
+                ok = m["to"].notna() & (m["to"] < m["tl"] - lo_us + hi_us)
                 best = [outs[int(j)] if hit else None for j, hit in zip(m["j"].fillna(-1), ok)]
             else:
                 best = [None] * len(due)
             cols = {key: [d["k"] for d in decode([r[1] for r in due])],
                     snap_id: [r[2]["id"] for r in due],
-                    snap_ts: pd.to_datetime([r[0] for r in due], unit="ms"),
+                    snap_ts: pd.to_datetime([r[0] for r in due], unit="us"),
                     f"out_{out_id}": [b[2]["id"] if b else None for b in best],
-                    f"out_{out_ts}": pd.to_datetime([b[0] if b else None for b in best], unit="ms")}
+                    f"out_{out_ts}": pd.to_datetime([b[0] if b else None for b in best], unit="us")}
             for p in payload:
                 cols[f"out_{p}"] = [b[2].get(p) if b else None for b in best]
             yield pd.DataFrame(cols, columns=names)
         # outcomes no pending or future snapshot can use any more
-        horizon = min([r[0] + lo_ms for r in keep] + [wm + lo_ms])
+        horizon = min([r[0] + lo_us for r in keep] + [wm + lo_us])
         outs = [r for r in outs if r[0] >= horizon]
         if keep or outs:
             state.update((json.dumps(keep), json.dumps(outs)))
-            state.setTimeoutTimestamp(max(min([r[0] + hi_ms for r in keep] or [wm + hi_ms]), wm + 1))
+            state.setTimeoutTimestamp(max(-(-min([r[0] + hi_us for r in keep] or [wm + hi_us]) // 1000), wm_ms + 1))
         else:
             state.remove()
 

@@ -1,4 +1,4 @@
-"""Shared building blocks: deterministic hashing, size-checked broadcast,
+"""Shared building blocks: deterministic hashing, reading what may not exist yet,
 one-row aggregates attached as scalar subqueries and a distributed prefix sum."""
 
 from __future__ import annotations
@@ -8,12 +8,6 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-# Largest lookup table (rows) that is broadcast on an explicit hint.  Above it
-# the join is left to Catalyst/AQE (sort-merge, or broadcast if the runtime
-# size is under spark.sql.autoBroadcastJoinThreshold).
-BROADCAST_MAX_ROWS = 1_000_000
-
-
 def col_of(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
@@ -40,13 +34,16 @@ def epoch_seconds(ts) -> Column:
     return F.unix_micros(col_of(ts).cast("timestamp")) / F.lit(1e6)
 
 
-def broadcast_if_small(df: DataFrame, n_rows: int | None = None,
-                       max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """Broadcast hint only behind a row-count check.  ``n_rows`` may be passed
-    when the caller already knows it (e.g. counted at fit time)."""
-    if n_rows is None:
-        n_rows = df.count()
-    return F.broadcast(df) if n_rows <= max_rows else df
+def read_if_exists(spark, path: str, fmt: str = "parquet") -> DataFrame | None:
+    """The table at ``path``, or None where nothing has been written yet.  Any other
+    error (unreadable files, no access) is raised."""
+    from pyspark.errors import AnalysisException
+    try:
+        return spark.read.format(fmt).load(path)
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None
 
 
 def attach_one_row(df: DataFrame, one_row: DataFrame) -> DataFrame:
@@ -98,15 +95,3 @@ def prefix_sum_by_range(df: DataFrame, key: str, sums: dict[str, str],
     for k, v in sums.items():
         d = d.withColumn(k, F.col(f"__o_{k}") + F.coalesce(F.sum(v).over(w), F.lit(0)))
     return d.drop("__bucket", *[f"__o_{k}" for k in sums])
-
-
-def ensure_parallelism(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
-    """Spread a frame that arrives in fewer partitions than the cluster can run
-    (e.g. one large unsplittable file) before CPU-heavy per-row work.  On a
-    large input with many splits this is a no-op; no data is read to decide."""
-    try:
-        target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-        have = df.rdd.getNumPartitions()
-    except Exception:  # noqa: BLE001 - e.g. a Spark Connect session: leave it to AQE
-        return df
-    return df.repartition(target) if have < target else df
