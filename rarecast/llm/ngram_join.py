@@ -21,7 +21,8 @@ are verified exactly on the whole sets.  A group of many near copies is not expa
 pairs: first every index entry's most central document is compared with the entry's other
 documents and the links are contracted; after that only pairs of *different* components that
 share an entry are compared, all of them.  So no link between components is lost and none is
-assumed.
+assumed.  Of the entries of frequent tokens, many of which such a pair shares, the lowest makes the
+pair and the others, as far as ``EARLIER`` tells them, do not make it again.
 
 Defined cases: texts without words (null, empty) have no tokens and link with nothing, not even
 each other; texts with fewer words than k are one token; equal sets always link; rows that share
@@ -47,6 +48,7 @@ PERCENT = 85
 FREQUENT = 1000              # documents
 TABLE = 1 << 19              # rows of each broadcast table of frequent words or shingles: 8 MB at most
 SPLIT = 4                    # allowed misses per bucket of frequent tokens
+EARLIER = 8                  # lower keys carried with each pair of frequent tokens; any number gives the same links
 ALL = np.int64(2**63 - 1)    # place in the token order after every rare token
 
 
@@ -282,6 +284,20 @@ def _live_entries(index: DataFrame, percent: int) -> DataFrame:
     return stored(keep.join(many, "entry").distinct(), "live")
 
 
+def _first_meetings(side: DataFrame) -> DataFrame:
+    """``side`` with the pairs of frequent tokens rewritten to 32-bit keys (even, as before), each with the
+    ``EARLIER`` lowest keys of its node that lie ``before`` it.  Two nodes that have a key before this one in
+    common share that key too, so the lowest key they share is never passed over; equal keys of
+    different pairs only add a candidate."""
+    facts = [c for c in side.columns if c != "entry"]
+    pair = F.col("entry") % 2 == 0
+    keyed = (side.filter(pair).groupBy(*facts).agg(F.sort_array(F.collect_set(F.hash("entry"))).alias("keys"))
+             .select(*facts, "keys", F.posexplode("keys").alias("at", "key"))
+             .select(*facts, (F.col("key").cast("long") * 2).alias("entry"),
+                     F.slice("keys", F.lit(1), F.least("at", F.lit(EARLIER))).alias("before")))
+    return side.filter(~pair).withColumn("before", F.array().cast("array<int>")).unionByName(keyed)
+
+
 def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = WIDTH,
                        percent: int = PERCENT, frequent: int = FREQUENT) -> DataFrame:
     """One row per input row: doc_id, n_shingles, component_id (smallest id reachable by links)."""
@@ -309,9 +325,11 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     named = live.join(first, "node", "left").withColumn("component", F.coalesce("component", "node"))
     mixed = (named.groupBy("entry").agg(F.min("component").alias("lo"), F.max("component").alias("hi"))
              .filter("lo <> hi").select("entry"))
-    side = stored(named.join(mixed, "entry"), "mixed")
-    cross = (_side(side, "u", "component").join(_side(side, "v", "component").withColumnRenamed("entry", "e"),
-                                                (F.col("entry") == F.col("e")) & (F.col("cu") < F.col("cv")) & _may_link(percent))
+    side = _first_meetings(stored(named.join(mixed, "entry"), "mixed"))
+    more = ("component", "before")
+    cross = (_side(side, "u", *more).join(_side(side, "v", *more).withColumnRenamed("entry", "e"),
+                                          (F.col("entry") == F.col("e")) & (F.col("cu") < F.col("cv")) & _may_link(percent)
+                                          & ~F.arrays_overlap("bu", "bv"))
              .groupBy("u", "v", *_FACTS).agg(F.count_if(F.col("entry") % 2 != 0).alias("met")))
     cross = _enough(cross, percent).distinct()
     done = star.select(F.least("u", "v").alias("a"), F.greatest("u", "v").alias("b"))

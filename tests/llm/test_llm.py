@@ -124,6 +124,27 @@ def test_jaccard_against_all_pairs(spark, frequent):
     assert {r.doc_id: (r.n_shingles, r.component_id) for r in got.collect()} == brute_components(texts, 4, 85)
 
 
+@pytest.mark.parametrize("earlier", [1, 8])
+def test_first_meetings_lose_no_pair(spark, earlier, monkeypatch):
+    """Pairs that share an entry before and after are the same; those of frequent tokens come fewer times."""
+    monkeypatch.setattr(ngram_join, "EARLIER", earlier)
+    rng = random.Random(earlier)
+    rows = [(2 * e + (e % 5 == 0), n, n % 4) for n in range(30) for e in rng.sample(range(60), 20)]
+    side = spark.createDataFrame(rows, "entry long, node long, component long")
+
+    def meetings(d, *more):
+        a = d.select("entry", F.col("node").alias("u"), *[F.col(c).alias(c + "_u") for c in more])
+        b = d.select("entry", F.col("node").alias("v"), *[F.col(c).alias(c + "_v") for c in more])
+        j = a.join(b, "entry").filter("u < v")
+        return j.filter("NOT arrays_overlap(before_u, before_v)") if more else j
+
+    first = ngram_join._first_meetings(side)
+    plain, told = meetings(side).collect(), meetings(first, "before").collect()
+    assert {(r.u, r.v) for r in plain} == {(r.u, r.v) for r in told}
+    odd = [sorted((r.entry, r.u, r.v) for r in x if r.entry % 2) for x in (plain, told)]
+    assert odd[0] == odd[1] and len(told) < len(plain)
+
+
 def test_jaccard_edges(spark, odd, empty):
     got = {r.doc_id: r.component_id for r in ngram_join.jaccard_components(odd).collect()}
     assert got[1] == 1 and got[2] == 2 and got[4] == 3 and got[6] == 5 and got[None] is None
