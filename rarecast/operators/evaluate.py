@@ -43,11 +43,11 @@ def cumulative(df: DataFrame, score: str, label: str) -> DataFrame:
                                                "fp0": F.col("fp") - F.col("neg")})
 
 
-def pr_curve(df: DataFrame, score: str, label: str) -> DataFrame:
-    """Precision and recall at each distinct score threshold (``score >= t``),
-    up to the first threshold reaching full recall."""
+def pr_curve(df: DataFrame, score: str, label: str, to_full_recall: bool = False) -> DataFrame:
+    """Precision and recall at each distinct score threshold (``score >= t``);
+    with ``to_full_recall`` up to the first threshold reaching full recall."""
     c = cumulative(df, score, label)
-    return c.where(F.col("tp0") < F.col("P")).select(
+    return (c.where(F.col("tp0") < F.col("P")) if to_full_recall else c).select(
         F.col("score").alias("threshold"),
         (F.col("tp") / (F.col("tp") + F.col("fp"))).alias("precision"),
         F.try_divide(F.col("tp"), F.col("P")).alias("recall"))

@@ -15,6 +15,7 @@ from functools import reduce
 from pyspark.ml import Estimator, Model
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..util import col_of, hash_uniform, prefix_sum_by_range
 
@@ -98,19 +99,23 @@ def _domain(df: DataFrame, col: str) -> list:
 def complete_grid(table: DataFrame, keys: list[str], fill: dict | None = None,
                   domains: dict[str, list] | None = None) -> DataFrame:
     """Every combination of the key values present (or of the given
-    ``domains``); cells missing from ``table`` get 0 (or ``fill``).  Each key
-    domain is size-checked and expanded with ``explode`` of a literal array,
-    so the grid is generated without joining distinct sets pairwise; the
-    table is then left-joined onto it."""
+    ``domains``); cells missing from ``table`` get 0 (or ``fill``).  The domains
+    are gathered as arrays by one aggregate (nulls are a value) and expanded by
+    ``explode``, dealt out again after each key, so no distinct sets are joined
+    pairwise; the table is then left-joined onto the grid."""
     domains = dict(domains or {})
-    spark = table.sparkSession
-    grid = spark.range(1).select()
-    for k in keys:
-        vals = domains.get(k)
-        if vals is None:
-            vals = _domain(table, k)
-        dtype = table.schema[k].dataType
-        grid = grid.select("*", F.explode(F.array(*[F.lit(v).cast(dtype) for v in vals])).alias(k))
+
+    def domain(k):
+        if domains.get(k) is not None:
+            return F.array(*[F.lit(v) for v in domains[k]])
+        null = F.when(F.bool_or(F.col(k).isNull()), F.array(F.lit(None).cast(table.schema[k].dataType)))
+        return F.concat(F.collect_set(k), F.coalesce(null, F.array()))
+
+    grid = table.agg(*[domain(k).cast(T.ArrayType(table.schema[k].dataType)).alias(f"__d_{k}") for k in keys])
+    for i, k in enumerate(keys):
+        grid = grid.select("*", F.explode(f"__d_{k}").alias(k)).drop(f"__d_{k}")
+        if 0 < i < len(keys) - 1:
+            grid = grid.repartition(*keys[:i + 1])
     held = table.withColumnsRenamed({c: f"__k_{c}" for c in keys})
     same = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"__k_{c}")) for c in keys])
     out = grid.join(held, same, "left").drop(*[f"__k_{c}" for c in keys])

@@ -113,7 +113,6 @@ def random_baseline(train: DataFrame, test: DataFrame, label: str, id_col: str,
 
 # ----------------------------------------------------------------------------- SMOTE
 KNN_BLOCK = 4096        # rows per side of one distance block (block x block distances per task)
-KNN_MAX_PIVOTS = 1024   # upper bound on cells (pivots are collected: P x dim numbers)
 
 
 def _knn_block(k: int, qdf: pd.DataFrame, rdf: pd.DataFrame) -> pd.DataFrame:
@@ -178,8 +177,8 @@ def minority_neighbours(minority: DataFrame, id_col: str, vec: str, k: int = 5,
     row (Euclidean; ties by neighbour id), as a nearest-neighbour search for
     SMOTE needs it, without a pairwise join.
 
-    1. P pivots: the P rows with the smallest md5(id) (default
-       ceil(n / block), at most ``KNN_MAX_PIVOTS``); each row's cell is its
+    1. P pivots: the P rows with the smallest md5(id) (default the square
+       root of n, so cells stay near that size); each row's cell is its
        nearest pivot (numpy over Arrow batches), cell radius R_j = largest
        distance of a cell's rows to its pivot.
     2. Pass 1: k nearest inside the own cell -> r(x), the k-th distance
@@ -198,7 +197,7 @@ def minority_neighbours(minority: DataFrame, id_col: str, vec: str, k: int = 5,
     k = min(k, max(n - 1, 0))
     if k == 0:
         return v.sparkSession.createDataFrame([], "id string, nb_id string, dist double, nb_rank int")
-    p = n_pivots or min(KNN_MAX_PIVOTS, max(1, math.ceil(n / block)))
+    p = n_pivots or max(1, math.isqrt(n))
     piv = np.array([r["a"] for r in v.orderBy(F.md5("id"), "id").limit(p).collect()], dtype=np.float64)
     pp = (piv * piv).sum(1)
 

@@ -26,11 +26,22 @@ def _scored(spark, sf):
 
 
 @register("pr_curve", f"""
-SELECT score AS threshold, round(tp / (tp + fp), 6) AS precision, round(tp / P, 6) AS recall FROM {_C} WHERE tp0 < P""")
+SELECT score AS threshold, round(tp / (tp + fp), 6) AS precision, round(tp / P, 6) AS recall FROM {_C}""")
 def pr_curve(spark, sf):
     return round_doubles(EV.pr_curve(_scored(spark, sf), "score", "y"))
 
 
+_LOW = _C.replace("event_type = 'purchase'", "event_type = 'purchase' AND value > 250")
+
+
+@register("pr_curve_to_full_recall", f"""
+SELECT score AS threshold, round(tp / (tp + fp), 6) AS precision, round(tp / P, 6) AS recall FROM {_LOW} WHERE tp0 < P""")
+def pr_curve_to_full_recall(spark, sf):
+    """Positives above a value only, so that thresholds without any lie below the last one."""
+    s = _scored(spark, sf).withColumn("y", F.when(F.col("value") > 250, F.col("y")).otherwise(0))
+    return round_doubles(EV.pr_curve(s, "score", "y", to_full_recall=True))
+
+
 @register("roc_curve", f"SELECT score AS threshold, round(fp / N, 6) AS fpr, round(tp / P, 6) AS tpr FROM {_C}")
 def roc_curve(spark, sf):
     return round_doubles(EV.roc_curve(_scored(spark, sf), "score", "y"))

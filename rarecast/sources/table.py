@@ -2,8 +2,8 @@
 completed/error, append first-wins by key, read back by scrape tag.
 
 Routing is all-or-nothing per file: the rules are evaluated for every row
-before anything is written, a per-file verdict is aggregated (one row per
-file), and the verdict is joined back.  ``append_first_wins`` keeps the first
+before anything is written, and the list of failing files (one row each) is
+joined back.  ``append_first_wins`` keeps the first
 row per key inside the batch and drops keys already in the target (left-anti
 join), so replaying a batch is a no-op."""
 
@@ -39,9 +39,9 @@ def route_files(df: DataFrame, file_col: str, bad_row: Column) -> DataFrame:
     failing row goes to error as a whole.  ``bad_row`` is a boolean rule; a
     null verdict counts as failing."""
     d = df.withColumn("row_bad", F.coalesce(bad_row, F.lit(True)))
-    verdict = d.groupBy(file_col).agg(F.max(F.col("row_bad").cast("int")).alias("__file_bad"))
-    return (d.join(verdict, file_col, "left")
-            .withColumn("route", F.when(F.col("__file_bad") == 1, F.lit("error")).otherwise(F.lit("completed")))
+    failed = d.where("row_bad").select(file_col).distinct().withColumn("__file_bad", F.lit(True))
+    return (d.join(failed, file_col, "left")
+            .withColumn("route", F.when(F.col("__file_bad"), F.lit("error")).otherwise(F.lit("completed")))
             .drop("__file_bad"))
 
 
@@ -126,9 +126,12 @@ def union_blocks(frames: list[DataFrame]) -> DataFrame:
 
 
 def materialise_snapshot(df: DataFrame, path: str, day: str, fmt: str = "parquet") -> DataFrame:
-    """Write ``df`` once under ``path/day=<day>`` (kept if already there) and
-    return the stored copy.  Also cuts the lineage of an expensive extract."""
+    """Write ``df`` once under ``path/day=<day>`` and return the stored copy.  A copy
+    whose writer finished (it left ``_SUCCESS``) is kept; one that was cut short is
+    written anew.  Also cuts the lineage of an expensive extract."""
     spark = df.sparkSession
     target = f"{path.rstrip('/')}/day={day}"
-    df.write.mode("ignore").format(fmt).save(target)
+    done = spark._jvm.org.apache.hadoop.fs.Path(f"{target}/_SUCCESS")
+    if not done.getFileSystem(spark._jsc.hadoopConfiguration()).exists(done):
+        df.write.mode("overwrite").format(fmt).save(target)
     return spark.read.format(fmt).load(target)

@@ -95,22 +95,27 @@ def append_batch(target: str, key: str | list, order: list, fmt: str = "parquet"
 
 def ingest_stream(spark: SparkSession, in_dir: str, target: str, checkpoint: str, schema: T.StructType,
                   conform_to: T.StructType, key: str, order: list, bad_row: Column,
-                  ledger: str, fmt: str = "parquet", archive_dir: str | None = None) -> None:
+                  ledger: str, fmt: str = "parquet", archive_dir: str | None = None,
+                  rejected: str | None = None) -> None:
     """Take each staged file once: conform it, reject a file wholly when any
     of its rows fails ``bad_row``, append the accepted rows first-wins by
     ``key``, and record one ledger row per file (status completed / error).
-    With ``archive_dir`` processed files leave the staging folder."""
-    from ..sources.table import conform, load_ledger, route_files
+    With ``archive_dir`` processed files leave the staging folder; with
+    ``rejected`` the rows of rejected files are kept there as they came.  Ledger
+    and rejected rows are written by batch (``batch_id=``), so a replayed batch
+    replaces its own."""
+    from ..sources.table import conform, load_ledger, route_files, split_routes
     src = read_stream(spark, in_dir, schema, fmt, archive_dir=archive_dir) \
         .withColumn("file", F.col("_metadata.file_path"))
     append = append_batch(target, key, order, fmt)
 
     def per_batch(batch: DataFrame, batch_id: int) -> None:
         routed = route_files(batch, "file", bad_row).persist()
-        ok = routed.where(F.col("route") == "completed")
+        ok, bad = split_routes(routed)
         append(conform(ok, conform_to), batch_id)
-        load_ledger(routed, "file").withColumn("batch_id", F.lit(batch_id)) \
-            .write.mode("append").parquet(ledger)
+        load_ledger(routed, "file").write.mode("overwrite").parquet(f"{ledger}/batch_id={batch_id}")
+        if rejected:
+            bad.drop("row_bad", "route").write.mode("overwrite").format(fmt).save(f"{rejected}/batch_id={batch_id}")
         routed.unpersist()
     run_available_now(src, per_batch, checkpoint)
 

@@ -69,7 +69,8 @@ def prefix_sum_by_range(df: DataFrame, key: str, sums: dict[str, str],
     ``sums`` maps output name -> input column; ``n_buckets`` defaults to the
     shuffle partition count.  Steps:
     1. range bounds from ``percentile_approx`` (one small aggregate),
-    2. bucket = number of bounds below the key (deterministic expression),
+    2. bucket = number of bounds below the key, found by halving steps (log2 of
+       the bucket count per row; the sketch gets finer with the bucket count),
     3. per-bucket totals (``n_buckets`` rows) -> offsets by a window over that
        tiny table, broadcast back (size bounded by ``n_buckets``),
     4. running sum inside each bucket (a window partitioned by bucket).
@@ -79,9 +80,11 @@ def prefix_sum_by_range(df: DataFrame, key: str, sums: dict[str, str],
     if n_buckets is None:   # one bucket per shuffle partition
         n_buckets = max(2, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200")))
     probs = [i / n_buckets for i in range(1, n_buckets)]
-    bounds = df.agg(F.array_distinct(F.percentile_approx(key, probs, 10000)).alias("__b"))
+    bounds = df.agg(F.array_distinct(F.percentile_approx(key, probs, max(10_000, 10 * n_buckets))).alias("__b"))
     d = attach_one_row(df, bounds)
-    below = F.size(F.filter("__b", lambda b: b < F.col(key)))
+    steps = F.array(*[F.lit(1 << i) for i in reversed(range(n_buckets.bit_length()))])
+    below = F.aggregate(steps, F.lit(0), lambda at, step: F.when(
+        F.get("__b", at + step - 1) < F.col(key), at + step).otherwise(at))
     n_b = F.size("__b")
     d = d.withColumn("__bucket", (n_b - below) if descending else below).drop("__b")
     totals = d.groupBy("__bucket").agg(*[F.sum(v).alias(f"__t_{k}") for k, v in sums.items()])

@@ -305,3 +305,44 @@ def test_empty_input_runs_q34(spark):
     assert RS.undersample(e, "y", "id", 0.5).count() == 0
     assert RS.split(e, "y", "id").count() == 0
     assert EN.TargetMeans(["c"], "y", 2.0).fit(e).transform(e).count() == 0
+
+
+def test_pr_curve_cut_is_a_parameter(spark):
+    d = spark.createDataFrame([(0.9, 1), (0.8, 0), (0.7, 1), (0.4, 0), (0.2, 0)], "s double, y int")
+    assert EV.pr_curve(d, "s", "y").count() == 5
+    assert EV.pr_curve(d, "s", "y", to_full_recall=True).count() == 3
+
+
+def test_half_written_snapshot_is_written_anew(spark, tmp_path):
+    d = spark.range(4)
+    spark.range(1).write.parquet(str(tmp_path / "day=x"))
+    (tmp_path / "day=x" / "_SUCCESS").unlink()
+    assert TB.materialise_snapshot(d, str(tmp_path), "x").count() == 4
+    assert TB.materialise_snapshot(spark.range(9), str(tmp_path), "x").count() == 4
+
+
+def test_grid_keeps_null_and_given_domains(spark):
+    from rarecast.operators.priors import complete_grid
+    t = spark.createDataFrame([("a", 0, 5), (None, 1, 7)], "k string, b int, n long")
+    got = {(r.k, r.b): r.n for r in complete_grid(t, ["k", "b"], {"n": 0}, {"b": [0, 1, 2]}).collect()}
+    assert got == {("a", 0): 5, ("a", 1): 0, ("a", 2): 0, (None, 0): 0, (None, 1): 7, (None, 2): 0}
+
+
+def test_replayed_batch_keeps_one_ledger_row_per_file(spark, tmp_path):
+    """A batch whose commit got lost runs again: table, ledger and rejected rows stay as they were."""
+    import shutil
+    from rarecast.streaming import streams as S
+    for name, rows in (("good", [(1, 1), (2, 2)]), ("bad", [(3, 500), (4, 1)])):
+        spark.createDataFrame(rows, "id int, v int").coalesce(1).write.parquet(str(tmp_path / "in" / name))
+    schema = spark.read.parquet(str(tmp_path / "in" / "good")).schema
+    paths = [str(tmp_path / x) for x in ("in/*", "table", "ckpt", "ledger", "rejected")]
+
+    def run():
+        S.ingest_stream(spark, paths[0], paths[1], paths[2], schema, schema, "id", ["v"], F.col("v") > 100,
+                        paths[3], rejected=paths[4])
+    run()
+    shutil.rmtree(tmp_path / "ckpt" / "commits")
+    run()
+    assert sorted(r.id for r in spark.read.parquet(paths[1]).collect()) == [1, 2]
+    assert sorted(r.status for r in spark.read.parquet(paths[3]).collect()) == ["completed", "error"]
+    assert sorted(r.id for r in spark.read.parquet(paths[4]).collect()) == [3, 4]
