@@ -6,7 +6,8 @@ A shingle found in ``FREQUENT`` documents is *frequent*, every other is *rare*,
 list is short.  All documents share one token order: rare before frequent, then by a bound of the
 frequency, then by hash.
 
-A document of n tokens may miss at most e = n - ceil(t n) of them in a linked document.  Rare
+A document of n tokens may miss at most e = n - ceil(t n) of them in a linked document.  With e = 0
+it may still lie whole inside a larger one, so only sets too small for that are not indexed.  Rare
 tokens are indexed one by one: e + 1 of them suffice.  Where the rare ones do not suffice the
 prefix is extended into the frequent ones, which are dealt to B buckets by hash and indexed as
 pairs inside a bucket: two documents that share no pair miss all but one token of each bucket,
@@ -178,7 +179,8 @@ def _index(word_table, shingle_table, width: int, percent: int):
                 if len(h):
                     for f, x in zip(prints, (h, mix64(h + np.uint64(77)))):
                         f[some] = np.add.reduceat(x, cut[some])
-                single = np.where(miss > 0, np.minimum(rare, miss + 1), 0)
+                able = n * 100 // percent > n              # others link with equal sets only
+                single = np.where(able, np.minimum(rare, miss + 1), 0)
                 # how far the rare tokens are indexed: to the end, or to this place in the order
                 last = np.full(c.n, ALL)
                 part = np.flatnonzero(single < rare)
@@ -186,7 +188,7 @@ def _index(word_table, shingle_table, width: int, percent: int):
                 last[part] = np.where(single[part] > 0, rank[at] << 36 | (h[at] >> np.uint64(28)).astype(np.int64), -1)
                 first = (np.arange(len(h)) - cut[row]) < single[row]
                 more_row, more = [row[first]], [h[first] | np.uint64(1)]      # lowest bit: a rare token's entry
-                for r in np.flatnonzero((miss > 0) & (rare <= miss)):
+                for r in np.flatnonzero(able & (rare <= miss)):
                     p = _pairs(h[cut[r]:cut[r + 1]], int(rare[r]), int(miss[r] + 1 - rare[r]), int(n[r]), percent)
                     more_row.append(np.full(len(p), r))
                     more.append(p & ~np.uint64(1))

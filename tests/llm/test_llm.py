@@ -124,6 +124,22 @@ def test_jaccard_against_all_pairs(spark, frequent):
     assert {r.doc_id: (r.n_shingles, r.component_id) for r in got.collect()} == brute_components(texts, 4, 85)
 
 
+@pytest.mark.parametrize("frequent", [2, 1000])
+@pytest.mark.parametrize("width,percent,n", [(4, 85, 6), (5, 80, 4)])
+def test_jaccard_small_set_inside_larger(spark, width, percent, n, frequent):
+    """A set that may miss none of its tokens links with one that holds it and one token more."""
+    texts = {}
+    for k in range(6):
+        w = [f"{'abc'[k % 3]}{k}x{i}" for i in range(n + width)]
+        texts |= {10 * k: " ".join(w[:-1]), 10 * k + 1: " ".join(w), 10 * k + 2: " ".join(w[:-2])}
+        texts |= {10 * k + 3: " ".join(["new", *w[:-1]]), 10 * k + 4: " ".join(w[1:])}
+    docs = make(spark, [(i, t, "a") for i, t in texts.items()]).coalesce(1)
+    got = ngram_join.jaccard_components(docs, width=width, percent=percent, frequent=frequent)
+    want = brute_components(texts, width, percent)
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in got.collect()} == want
+    assert want[0] == (n, 0) and want[1] == (n + 1, 0)
+
+
 @pytest.mark.parametrize("earlier", [1, 8])
 def test_first_meetings_lose_no_pair(spark, earlier, monkeypatch):
     """Pairs that share an entry before and after are the same; those of frequent tokens come fewer times."""
