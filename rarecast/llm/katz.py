@@ -3,13 +3,15 @@
 Bigram counts are discounted by Good-Turing for counts up to ``GT_MAX``; the mass this frees is given,
 history by history, to the words not seen after it in proportion to their unigram probability, with
 backoff weights that make every history's probabilities sum to one.  A token's probability is
-evaluated down the levels: bigram if seen, else weight times unigram; a word outside the head
-vocabulary is reached through the class of all such words, then by its share of that class.
-
-The head vocabulary, backoff weights and unigram probabilities are bounded tables (``HEAD`` rows) and
-broadcast.  All other counts grow with the corpus and stay in partitioned tables: unigrams by word,
-bigrams in hash buckets, each a row of sorted keys and counts, as many buckets as the number of tokens
-asks for.  Bigrams so frequent that one bucket would feel them (at most 2^16 by the threshold) are
+evaluated down the levels: bigram if seen, else weight times unigram.
+
+The most frequent words (``HEAD`` at most), their backoff weights and unigram probabilities are
+broadcast; this only saves shuffles, every word has its own counts, weight and bigrams whether it is
+among them or not.  All other counts grow with the corpus and stay in partitioned tables: unigrams
+by word, bigrams with a *tail* word (one outside the head) by the hashes of their words, weights of tail
+words by word, bigrams of head words in hash buckets, each a row of sorted keys and counts, as many
+buckets as the number of tokens asks for.  What a document needs of the tail is one join of its tail
+words and their bigrams with the table of their scores.  Bigrams so frequent that one bucket would feel them (at most 2^16 by the threshold) are
 resolved where the text is read; all other (bigram, document) entries go to their bucket in packed
 blocks, are looked up there and come back as one sum per document.
 
@@ -31,15 +33,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import crc_mod, most_frequent, read_table, stored
-from .kernels import HashIndex, chunks, mix64, order_by, words
+from .kernels import HashIndex, chunks, combine, mix64, order_by, words
 from .registry import register
 
-HEAD = 1 << 19               # words of the broadcast vocabulary
+HEAD = 1 << 19               # words of the broadcast vocabulary; any number gives the same scores
 GT_MAX = 5
 BUCKET_TOKENS = 5_000_000    # training tokens a bucket of bigrams stands for
 HOT = 1 << 12                # histories above 1 / HOT of all tokens are spread over all buckets
 HOT_PAIRS = 1 << 16          # bigrams above 1 / HOT_PAIRS of all tokens are resolved without a shuffle
 BLOCK_BYTES = 3 << 19        # of text behind one set of packed blocks
+BEGIN, END = mix64(np.array([11, 12], np.uint64))      # stand for the hashes of the two in bigrams with a tail word
 
 
 def _word_counts(batches):
@@ -75,12 +78,12 @@ class Unigrams:
         self.end, self.begin, self.tail, self.ids = k, k + 1, k + 2, k + 3
         self.n = n_words + n_docs                                  # tokens, with one end each
         self.v = n_types + (n_docs > 0)
-        self.c = np.concatenate([counts, [n_docs, n_docs, n_words - counts.sum()]]).astype(np.float64)
+        self.c = np.concatenate([counts, [n_docs, n_docs, 0]]).astype(np.float64)    # tail: by word, elsewhere
         self.p0 = min((once or 0.5) / max(self.n, 1), 0.5)         # mass of <unk>
         p = (1 - self.p0) * self.c / max(self.n, 1)
         p[self.begin] = 0.0
-        p[self.tail] += self.p0
         self.p = p
+        self.all_head = n_types == k
         self.hot = self.c >= self.n / HOT
         self.base0 = np.log10(self.n + 0.5 * (self.v + 1))
 
@@ -104,6 +107,16 @@ class Unigrams:
         row[ends] = np.arange(c.n)
         return row, prev * self.ids + seq, seq, ids
 
+    def tail_pairs(self, w, row, key, seq):
+        """(place in the sequence, hash of the first word, of the second) of the bigrams with a tail word."""
+        prev = key // self.ids
+        at = np.flatnonzero((prev == self.tail) | (seq == self.tail))
+        word = at - row[at]                                        # number of the second one among the words
+        h, t = np.full(len(at), BEGIN), np.full(len(at), END)
+        inner, real = prev[at] != self.begin, seq[at] != self.end
+        h[inner], t[real] = w.hash[word[inner] - 1], w.hash[word[real]]
+        return at, h, t
+
     def bucket(self, key, n: int):
         h = key // self.ids
         return (mix64(np.where(self.hot[h], key, h).astype(np.uint64) + np.uint64(9)) % np.uint64(n)).astype(np.int64)
@@ -136,25 +149,76 @@ def _pair_counts(held, n_buckets: int):
         kept, size = [], 0
 
         def flush():
+            if not size:
+                return
             u, at = np.unique(np.concatenate([x for x, _ in kept]), return_inverse=True)
             n = np.bincount(at, np.concatenate([x for _, x in kept]), len(u)).astype(np.int64)
             rows = [(k, pack(a), m.astype(np.uint32).tobytes()) for k, a, m in _by_bucket(uni.bucket(u, n_buckets), u, n)]
             b, a, m = zip(*rows)
-            return pa.RecordBatch.from_arrays([pa.array(b, pa.int32()), pa.array(a, pa.binary()), pa.array(m, pa.binary())],
-                                              names=["bucket", "keys", "counts"])
+            yield pa.RecordBatch.from_arrays([pa.array(b, pa.int32()), pa.array(a, pa.binary()), pa.array(m, pa.binary())],
+                                             names=["bucket", "keys", "counts"])
 
         for b in batches:
             for c in chunks(b.column("text")):
-                kept.append(np.unique(uni.sequence(c, words(c))[1], return_counts=True))
+                _, key, seq, _ = uni.sequence(c, words(c))
+                kept.append(np.unique(key[(key // uni.ids != uni.tail) & (seq != uni.tail)], return_counts=True))
+                size += len(kept[-1][0])
+                if size > 1_000_000:
+                    yield from flush()
+                    kept, size = [], 0
+        yield from flush()
+    return run
+
+
+def _tail_pair_counts(held):
+    """Per task: (first word, second word, occurrences) of the bigrams with a tail word; merged in
+    memory up to a bound."""
+    def run(batches):
+        uni = held.value
+        kept, size = [], 0
+
+        def flush():
+            h, t = (np.concatenate([x[i] for x in kept]) for i in (0, 1))
+            order = np.lexsort((t, h))
+            h, t = h[order], t[order]
+            new = np.flatnonzero(np.concatenate([[True], (h[1:] != h[:-1]) | (t[1:] != t[:-1])]))
+            return pa.RecordBatch.from_arrays([pa.array(h[new].view(np.int64)), pa.array(t[new].view(np.int64)),
+                                               pa.array(np.diff(np.append(new, len(h))))], names=["h", "w", "n"])
+
+        for b in batches:
+            for c in chunks(b.column("text")):
+                w = words(c)
+                row, key, seq, _ = uni.sequence(c, w)
+                kept.append(uni.tail_pairs(w, row, key, seq)[1:])
                 size += len(kept[-1][0])
                 if size > 1_000_000:
                     yield flush()
                     kept, size = [], 0
-        if kept:
+        if size:
             yield flush()
     return run
 
 
+def _with_head(held):
+    """Adds what the broadcast tells of a bigram: the id of its first word (-1 in the tail) and the
+    probability of its second (null in the tail)."""
+    def run(batches):
+        u = held.value
+        for b in batches:
+            h, w = (b.column(c).to_numpy().view(np.uint64) for c in ("h", "w"))
+            first, second = u.head.find(h), u.head.find(w)
+            first[h == BEGIN] = u.begin
+            second[w == END] = u.end
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(first), pa.array(u.p[second], mask=second < 0)],
+                                             names=["h", "w", "n", "first", "p"])
+    return run
+
+
+def _spread(tail, key: str):
+    """Join key of rows that need the tail's tables; the others, which match nothing, are spread."""
+    return F.when(tail, F.col(key)).otherwise(F.xxhash64("h", "w", F.lit(key)))
+
+
 def _merge(table: pa.Table) -> pa.Table:
     """Blocks of one bucket -> one row: its keys, counts and counts of counts."""
     keys = np.concatenate([unpack(x.as_buffer()) for x in table["keys"]])
@@ -205,6 +269,7 @@ class Model:
         self.log_alpha, self.log_den = np.log10(np.maximum(alpha, 1e-300)), np.log10(den)
         with np.errstate(divide="ignore"):
             self.log_p = np.log10(uni.p)
+        self.log_alpha[uni.tail] = self.log_p[uni.tail] = 0.0      # joined by word
         self.set_hot(np.zeros(0, np.int64), np.zeros(0, np.int64))
 
     def set_hot(self, keys, counts):
@@ -227,19 +292,29 @@ class Model:
 
 
 def train(texts: DataFrame):
-    """(model, stored unigram table, stored bigram table) of a (text) frame; None without texts."""
+    """((model, number of buckets), stored unigram table, stored bigrams of head words, scores of the tail's
+    words and bigrams) of a (text) frame; None without texts."""
     spark = texts.sparkSession
     unigrams = stored(texts.mapInArrow(_word_counts, "word long, c long").groupBy("word").agg(F.sum("c").alias("c")), "unigrams")
     n_docs = texts.count()
     n_words, n_types, once = unigrams.agg(F.sum("c"), F.count(F.lit(1)), F.count_if(F.col("c") == 1)).first()
     if not n_docs:
-        return None, unigrams, None
+        return None, unigrams, None, None
     uni = Unigrams(*most_frequent(unigrams, "word", "c", HEAD), n_docs, n_words or 0, n_types, once)
     held = spark.sparkContext.broadcast(uni)
     n_buckets = max(2 * spark.sparkContext.defaultParallelism, -(-uni.n // BUCKET_TOKENS))
     pairs = stored(texts.mapInArrow(_pair_counts(held, n_buckets), "bucket int, keys binary, counts binary")
                    .groupBy("bucket").applyInArrow(_merge, "bucket int, keys binary, counts binary, of array<long>"), "bigrams")
-    of = np.array(pairs.agg(*[F.sum(F.col("of")[i]) for i in range(GT_MAX + 3)]).first(), dtype=np.float64)
+    of = np.array(pairs.agg(*[F.coalesce(F.sum(F.col("of")[i]), F.lit(0)) for i in range(GT_MAX + 3)]).first(), dtype=np.float64)
+    tail_pairs = None
+    if not uni.all_head:
+        counted = (texts.mapInArrow(_tail_pair_counts(held), "h long, w long, n long").groupBy("h", "w")
+                   .agg(F.sum("n").alias("n")).mapInArrow(_with_head(held), "h long, w long, n long, first long, p double"))
+        known_p = unigrams.select(F.col("word").alias("k"), (F.col("c") * ((1 - uni.p0) / uni.n)).alias("tail_p"))
+        tail_pairs = stored(counted.withColumn("k", _spread(F.col("p").isNull(), "w")).join(known_p, "k", "left")
+                            .select("h", "w", "n", "first", F.coalesce("p", "tail_p").alias("p")), "tail-pairs")
+        for n, times in tail_pairs.groupBy(F.least("n", F.lit(GT_MAX + 2))).count().collect():
+            of[n] += times
     d = discounts(of)
     least = max(uni.n / HOT_PAIRS, 1)
 
@@ -264,9 +339,52 @@ def train(texts: DataFrame):
              .groupBy("key", "hot").agg(F.sum("x").alias("x"), F.sum("y").alias("y")).toArrow())   # HEAD + HOT_PAIRS rows
     hot = facts["hot"].to_numpy()
     key, x, y = (facts[c].to_numpy() for c in ("key", "x", "y"))
-    model = Model(uni, d, key[~hot], x[~hot], y[~hot])
+    used, shadow = np.bincount(key[~hot], x[~hot], uni.ids), np.bincount(key[~hot], y[~hot], uni.ids)
+    if tail_pairs is not None:
+        factor = F.element_at(F.array(*[F.lit(float(x)) for x in d]), (F.least("n", F.lit(GT_MAX + 1)) + 1).cast("int"))
+        sums_of = [F.sum(F.col("n") * factor).alias("used"), F.sum("p").alias("shadow")]
+        more = tail_pairs.filter("first >= 0").groupBy("first").agg(*sums_of).toArrow()           # HEAD rows
+        used[more["first"].to_numpy()] += more["used"].to_numpy()
+        shadow[more["first"].to_numpy()] += more["shadow"].to_numpy()
+    history = np.arange(uni.ids)
+    model = Model(uni, d, history, used, shadow)
     model.set_hot(key[hot], x[hot].astype(np.int64))
-    return (model, n_buckets), unigrams, pairs
+    tail = spark.createDataFrame([], "key long, c long, score double")
+    if tail_pairs is not None:
+        tail = _tail_scores(tail_pairs, sums_of, spark.sparkContext.broadcast(model))
+    return (model, n_buckets), unigrams, pairs, tail
+
+
+def _tail_scores(tail_pairs: DataFrame, sums_of, held) -> DataFrame:
+    """(key, c, score) of every tail word, with its count, its unigram probability and its weight as history,
+    and of every bigram with a tail word, with its gain over backing off."""
+    # every occurrence of a word begins one bigram, so these sum to its count
+    h = tail_pairs.filter("first < 0").groupBy("h").agg(F.sum("n").alias("c"), *sums_of)
+    free = F.col("c") - F.col("used")
+    every = 1 - F.col("shadow") < 1e-12
+    den = F.when(every & (F.col("used") > 0), F.col("used")).when(free < 1e-9 * F.col("c"), F.col("c") + 1).otherwise(F.col("c"))
+    alpha = F.when(every, 1.0).otherwise((1 - F.col("used") / den) / (1 - F.col("shadow")))
+    h = stored(h.select("h", "c", F.log10(F.greatest(alpha, F.lit(1e-300))).alias("log_alpha"), F.log10(den).alias("log_den")),
+               "tail-words")
+    uni = held.value.uni
+    own = h.select(F.col("h").alias("key"), "c",
+                   (F.log10(F.col("c") * ((1 - uni.p0) / uni.n)) + F.col("log_alpha")).alias("score"))
+
+    def gains(batches):
+        m = held.value
+        for b in batches:
+            x = {c: b.column(c).to_numpy(zero_copy_only=False) for c in b.schema.names}
+            head = x["first"] >= 0
+            n, at = x["n"], np.where(head, x["first"], 0)
+            gain = (np.log10(n * m.d[np.minimum(n, GT_MAX + 1)]) - np.log10(x["p"])
+                    - np.where(head, m.log_den[at] + m.log_alpha[at], x["back"]))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(combine([x["h"].view(np.uint64), x["w"].view(np.uint64)], 7).view(np.int64)),
+                 pa.nulls(len(n), pa.int64()), pa.array(gain)], names=["key", "c", "score"])
+
+    back = h.select(F.col("h").alias("k"), (F.col("log_alpha") + F.col("log_den")).alias("back"))
+    return own.unionByName(tail_pairs.withColumn("k", _spread(F.col("first") < 0, "h")).join(back, "k", "left")
+                           .select("h", "w", "n", "first", "p", "back").mapInArrow(gains, "key long, c long, score double"))
 
 
 _OUT = "rid long, doc_id long, n_tokens long, n_known long, base double, score double"
@@ -282,13 +400,20 @@ def _outcome(rid, doc_id=None, **cols):
 def score(docs: DataFrame, trained, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """rid, doc_id, n_tokens, n_known, base, score (log10) of each row."""
     spark = docs.sparkSession
-    (model, n_buckets), unigrams, pairs = trained
+    (model, n_buckets), _, pairs, tail_scores = trained
     held = spark.sparkContext.broadcast(model)
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"),
                        F.monotonically_increasing_id().alias("rid"))
 
+    def once(row, h):
+        """Each hash once per document: (row, hash, times)."""
+        order = order_by(row, None, h)
+        row, h = row[order], h[order]
+        new = np.flatnonzero(np.concatenate([[True], (h[1:] != h[:-1]) | (row[1:] != row[:-1])])) if len(h) else order
+        return row[new], h[new], np.diff(np.append(new, len(h)))
+
     def known_part(batches):
-        """What the broadcast tables tell, per document; and its tail words."""
+        """What the broadcast tables tell, per document; its tail words and their bigrams."""
         m, u = held.value, held.value.uni
         floor = np.log10(u.c + 0.5)
         for b in batches:
@@ -301,13 +426,14 @@ def score(docs: DataFrame, trained, id_col: str = "doc_id", text_col: str = "tex
                 s = m.log_alpha[key // u.ids] + m.log_p[seq]
                 s[hot >= 0] += m.hot_gain[hot[hot >= 0]]
                 n = np.bincount(row, minlength=c.n)
-                tail = np.flatnonzero(ids == u.tail)               # tail words, once per document
-                tail = tail[order_by(w.row[tail], None, w.hash[tail])]
-                r, h = w.row[tail], w.hash[tail]
-                new = np.flatnonzero(np.concatenate([[True], (h[1:] != h[:-1]) | (r[1:] != r[:-1])])) if len(h) else tail
-                times = np.diff(np.append(new, len(h)))
-                r, h = r[new], h[new]
+                r, h, times = once(w.row[ids == u.tail], w.hash[ids == u.tail])
                 k = len(r)
+                pair = np.repeat([False], c.n + k)
+                if not u.all_head:                                 # else no bigram with a tail word was seen
+                    at, *of = u.tail_pairs(w, row, key, seq)
+                    r, h, times = (np.concatenate(x) for x in zip((r, h, times), once(row[at], combine(of, 7))))
+                    pair = np.concatenate([pair, np.repeat([True], len(r) - k)])
+                    k = len(r)
                 yield pa.RecordBatch.from_arrays([
                     pa.array(np.concatenate([rid[c.at:c.at + c.n], rid[c.at + r]])),
                     pa.concat_arrays([b.column("doc_id").slice(c.at, c.n), pa.nulls(k, pa.int64())]),
@@ -315,10 +441,11 @@ def score(docs: DataFrame, trained, id_col: str = "doc_id", text_col: str = "tex
                     pa.array(np.concatenate([n, times])),
                     pa.array(np.concatenate([np.bincount(row, head, c.n).astype(np.int64), np.zeros(k, np.int64)])),
                     pa.array(np.concatenate([np.bincount(row, np.where(head, floor[seq], 0.0), c.n) - n * u.base0, np.zeros(k)])),
-                    pa.array(np.concatenate([np.bincount(row, s, c.n), np.zeros(k)]))],
-                    names=["rid", "doc_id", "word", "n_tokens", "n_known", "base", "score"])
+                    pa.array(np.concatenate([np.bincount(row, s, c.n), np.zeros(k)])), pa.array(pair)],
+                    names=["rid", "doc_id", "word", "n_tokens", "n_known", "base", "score", "pair"])
 
-    known = rows.mapInArrow(known_part, "rid long, doc_id long, word long, n_tokens long, n_known long, base double, score double")
+    known = rows.mapInArrow(known_part, "rid long, doc_id long, word long, n_tokens long, n_known long, base double, "
+                                        "score double, pair boolean")
 
     def pair_blocks(batches):
         """Entries (bigram, document) that need their bucket, packed by bucket."""
@@ -327,7 +454,7 @@ def score(docs: DataFrame, trained, id_col: str = "doc_id", text_col: str = "tex
             rid = b.column("rid").to_numpy()
             for c in chunks(b.column("text"), BLOCK_BYTES):
                 row, key, *_ = u.sequence(c, words(c))
-                some = m.hot_of(key) < 0
+                some = (m.hot_of(key) < 0) & (key // u.ids != u.tail) & (key % u.ids != u.tail)
                 row, key = row[some], key[some]
                 small = np.uint16 if c.n <= 1 << 16 else np.uint32
                 out = [(k, pack(a), int(rid[c.at]), r.astype(small).tobytes(), np.dtype(small).itemsize)
@@ -360,17 +487,17 @@ def score(docs: DataFrame, trained, id_col: str = "doc_id", text_col: str = "tex
 
     gains = (blocks.groupBy("bucket").cogroup(pairs.select("bucket", "keys", "counts").groupBy("bucket"))
              .applyInArrow(look_up, "rid long, score double"))
-    # tail words: exact counts by an ordinary join; an unseen word is <unk>
+    # tail words and their bigrams by an ordinary join; an unseen word is <unk>, an unseen bigram gains nothing
     uni = model.uni
-    class_p = float(uni.p[uni.tail])
-    tails = (known.filter("word IS NOT NULL").select("rid", "word", "n_tokens")
-             .join(unigrams.select("word", "c"), "word", "left")
-             .select("rid", F.when(F.col("c").isNotNull(), F.col("n_tokens")).otherwise(0).alias("n_known"),
-                     (F.col("n_tokens") * F.log10(F.coalesce("c", F.lit(0)) + 0.5)).alias("base"),
-                     (F.col("n_tokens") * F.log10(
-                         F.coalesce(F.col("c") * ((1 - uni.p0) / uni.n), F.lit(uni.p0)) / class_p)).alias("score")))
+    word = ~F.col("pair")
+    tails = (known.filter("word IS NOT NULL").select("rid", F.col("word").alias("key"), "n_tokens", "pair")
+             .join(tail_scores.withColumnRenamed("score", "found"), "key", "left")
+             .select("rid", F.when(word & F.col("c").isNotNull(), F.col("n_tokens")).otherwise(0).alias("n_known"),
+                     F.when(word, F.col("n_tokens") * F.log10(F.coalesce("c", F.lit(0)) + 0.5)).otherwise(0.0).alias("base"),
+                     (F.col("n_tokens") * F.coalesce("found", F.when(word, float(np.log10(uni.p0))).otherwise(0.0)))
+                     .alias("score")))
     none = F.lit(None)
-    parts = (known.filter("word IS NULL").drop("word")
+    parts = (known.filter("word IS NULL").drop("word", "pair")
              .unionByName(tails.select("rid", none.cast("long").alias("doc_id"), none.cast("long").alias("n_tokens"),
                                        "n_known", "base", "score"))
              .unionByName(gains.select("rid", none.cast("long").alias("doc_id"), none.cast("long").alias("n_tokens"),

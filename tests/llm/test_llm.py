@@ -280,6 +280,23 @@ def test_katz_tail_words_equal_head_words_in_base(spark, monkeypatch):
         assert small[i].base_score == pytest.approx(r.base_score, abs=1e-6) and small[i].score < 0
 
 
+def test_katz_score_does_not_depend_on_head(spark, monkeypatch):
+    """Words outside the head keep their own bigrams, discounts and backoff weights."""
+    docs = spark.read.parquet(f"{SF}/documents.parquet").filter("doc_id < 60").union(make(spark, [(
+        1000, None, "a"), (1001, "never seenbefore never seenbefore", "a"), (1002, "seenbefore", "a")]))
+    rows = docs.filter("doc_id % 5 <> 1").select("text")
+
+    def scores(head):
+        monkeypatch.setattr(katz, "HEAD", head)
+        return {r.doc_id: tuple(r) for r in katz.score(docs, katz.train(rows)).collect()}
+
+    full = scores(1 << 19)
+    assert len(full) == 63
+    for head in (200, 0):
+        small = scores(head)
+        assert all(small[i] == pytest.approx(r, abs=1e-6) for i, r in full.items())
+
+
 def test_katz_edges(spark, odd, empty):
     assert katz.score(odd, katz.train(odd.select("text"))).count() == 10
     assert katz.train(empty.select("text"))[0] is None
