@@ -1,7 +1,9 @@
 """Substring deduplication by sliding sentence spans.
 
-Sentences end at . ! ? or at a line break; one longer than ``CUT`` words is cut every ``CUT`` words
-from its start, so a long passage always holds several.  From every sentence a run starts that takes
+Sentences end at . ! ? or at a line break; one longer than ``CUT`` words is cut after the words whose hash
+falls in a fixed class, one in four, and every ``PIECE`` words where none comes for that long.  So
+the cuts inside a passage depend, from its first such word on, on the passage alone, wherever in a
+sentence it was put.  From every sentence a run starts that takes
 at least ``RUN`` consecutive sentences and ``MIN_WORDS`` words.  The hashes of all runs are joined
 over the whole corpus: a run met more than once is a repeated span, its first occurrence by
 (id, position) stays, and every sentence that a non-first occurrence covers is removed.
@@ -31,6 +33,7 @@ from .registry import register
 RUN = 3
 MIN_WORDS = 15
 CUT = 16
+PIECE = 8
 _ENDS = np.zeros(256, bool)
 _ENDS[list(b".!?")] = True
 
@@ -48,9 +51,14 @@ def sentences(c, w: Words, cut: int):
                  | (w.row[1:] != w.row[:-1]))
     first = np.concatenate([[0], np.flatnonzero(stop)[:-1] + 1])
     size = np.diff(np.append(first, n))
-    pieces = -(-size // cut)                                  # long sentences are cut from their start
+    long = np.repeat(size > cut, size)
+    stop |= long & (mix64(w.hash + np.uint64(5)) & np.uint64(3) == 0)
+    first = np.concatenate([[0], np.flatnonzero(stop)[:-1] + 1])
+    size = np.diff(np.append(first, n))
+    cut = np.where(long[first], min(PIECE, cut), cut)
+    pieces = -(-size // cut)                                  # where the content gives no cut
     step = np.arange(pieces.sum()) - np.repeat(np.cumsum(pieces) - pieces, pieces)
-    first = np.repeat(first, pieces) + step * cut
+    first = np.repeat(first, pieces) + step * np.repeat(cut, pieces)
     last = np.append(first[1:], n)
     place = np.arange(n) - np.repeat(first, last - first)
     h = np.add.reduceat(mix64(w.hash + place.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)), first)

@@ -222,6 +222,27 @@ def test_span_removal(spark, odd, empty):
     assert spans.remove_repeated_spans(empty).count() == 0
 
 
+def test_span_cuts_realign_inside_passages(spark):
+    """Passages of 51 to 80 words, without an inner stop or with a late one, put into sentences at different offsets."""
+    rng = random.Random(5)
+
+    def some(n, of):
+        return [f"{of}{rng.randrange(10 ** 6)}" for _ in range(n)]
+
+    rows, inside = [], {}
+    for k in range(40):
+        p = some(51 + k % 30, "p")
+        if k % 2:
+            p[44] += "."
+        for i in (2 * k, 2 * k + 1):
+            rows.append((i, " ".join([*some(3 + 7 * (i % 2) + k % 5, "x"), *p, *some(9, "y")]) + ".", "a"))
+        inside[2 * k + 1] = set(p)
+    got = {r.doc_id: r for r in spans.remove_repeated_spans(make(spark, rows)).collect()}
+    for i, p in inside.items():
+        gone = set(rows[i][1].split()) - set(got[i].text.split())
+        assert gone and gone <= p and got[i - 1].n_removed == 0
+
+
 def test_katz_against_brute_force(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text").collect()
     c, pair, hist, n_docs = collections.Counter(), collections.Counter(), collections.Counter(), 0
