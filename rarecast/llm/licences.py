@@ -1,9 +1,10 @@
 """Licence scan of a corpus whose documents are files in directories.
 
 Every sentence and line of every file is compared with the licence templates by the cosine of sparse TF-IDF
-vectors; document frequencies are counted over the whole corpus for the templates' terms, and all
-other terms share one weight, that of a term in a single document.  Lines that hold no
-template term cannot match and are skipped.  A file's own licence is its best line.  A *licence file*
+vectors; document frequencies are counted over the whole corpus, first for the templates' terms.  No
+term weighs less than 1, which bounds a line's cosine from above; only lines whose bound reaches the threshold
+go on.  The document frequencies of their other terms are counted in a second pass, kept in a partitioned
+table and joined to them for the exact cosine.  A file's own licence is its best line.  A *licence file*
 is one whose words lie mostly in matching lines; its licence holds for its directory.  Files without
 a licence of their own inherit that of the nearest ancestor directory that has one, by equi-joins
 of the file's ancestor paths with the directories' licences; only the smallest depth per file is kept.
@@ -22,8 +23,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import read_table, stored
-from .kernels import IS_SEP, HashIndex, chunks, words
+from .common import IdFilter, read_table, stored
+from .kernels import IS_SEP, HashIndex, chunks, distinct_per_row, words
 from .registry import register
 
 THRESHOLD = 0.8
@@ -69,15 +70,15 @@ class _Index:
         vocabulary = np.unique(np.concatenate(terms))
         idf = np.log((1 + n_docs) / (1 + np.array([df.get(int(t), 0) for t in vocabulary.view(np.int64)]))) + 1
         self.index, self.idf = HashIndex(vocabulary), idf
-        self.other = np.log((1 + n_docs) / 2) + 1
         self.m = np.zeros((len(vocabulary), len(terms)))
         for j, t in enumerate(terms):
             for x in self.index.find(t):
                 self.m[x, j] += idf[x]
         self.m /= np.sqrt((self.m ** 2).sum(0))
 
-    def lines(self, c):
-        """(words, line of each word, per candidate line: number, best template, cosine)."""
+    def lines(self, c, threshold):
+        """(words, line of each word, candidate lines' numbers, best templates, dot products, squared norms over the
+        templates' terms, and (line, term, times) of their other terms)."""
         w = _terms(c)
         breaks = np.zeros(len(c.buf) + 1, np.int64)
         np.cumsum(c.buf == 10, out=breaks[1:])
@@ -86,7 +87,7 @@ class _Index:
         at = self.index.find(w.hash)
         some = np.unique(line[at >= 0])
         if not len(some):
-            return w, line, some, some, np.zeros(0)
+            return w, line, some, some, np.zeros(0), np.zeros(0), (some, w.hash[:0], some)
         use = np.flatnonzero(np.isin(line, some))
         k = np.searchsorted(some, line[use])
         # term counts of each candidate line
@@ -97,13 +98,56 @@ class _Index:
         times = np.diff(np.append(new, len(key)))
         k, h = key[new, 0].astype(np.int64), key[new, 1]
         at = self.index.find(h)
-        weight = times * np.where(at >= 0, self.idf[np.maximum(at, 0)], self.other)
-        norm = np.sqrt(np.bincount(k, weight ** 2))
-        dot = np.zeros((len(some), self.m.shape[1]))
         hit = at >= 0
+        weight = times * np.where(hit, self.idf[np.maximum(at, 0)], 0.0)
+        inner = np.bincount(k, weight ** 2, len(some))
+        dot = np.zeros((len(some), self.m.shape[1]))
         np.add.at(dot, k[hit], weight[hit, None] * self.m[at[hit]])
-        cos = dot / norm[:, None]
-        return w, line, some, cos.argmax(1), cos.max(1)
+        best = dot.max(1)
+        good = best >= (threshold - 1e-9) * np.sqrt(inner + np.bincount(k, np.where(hit, 0, times ** 2), len(some)))
+        more = ~hit & good[k]
+        return w, line, some[good], dot.argmax(1)[good], best[good], inner[good], (some[k[more]], h[more], times[more])
+
+
+class _TermFilter(IdFilter):
+    """Bitmap of terms, by the low bits of their hashes."""
+
+    def slot(self, name: str):
+        return F.pmod(F.col(name), F.lit(self.bits))
+
+
+def _more_frequencies(texts: DataFrame, terms: DataFrame) -> DataFrame:
+    """(term, df) of at least ``terms`` over all texts; per task merged in memory up to a bound."""
+    chosen = _TermFilter(terms)
+    held, mask = chosen.held, np.uint64(chosen.bits - 1)
+
+    def run(batches):
+        kept, size = [], 0
+
+        def merged():
+            u, at = np.unique(np.concatenate([x for x, _ in kept]), return_inverse=True)
+            return u, np.bincount(at, np.concatenate([x for _, x in kept]), len(u)).astype(np.int64)
+
+        def batch(u, n):
+            return pa.RecordBatch.from_arrays([pa.array(u.view(np.int64)), pa.array(n)], names=["term", "df"])
+
+        for b in batches:
+            for c in chunks(b.column("text")):
+                w = _terms(c)
+                at = (w.hash & mask).astype(np.int64)
+                some = (held.value[at >> 3] >> (at & 7).astype(np.uint8)) & 1 == 1
+                kept.append(np.unique(distinct_per_row(w.row[some], w.hash[some], c.n)[0], return_counts=True))
+                size += len(kept[-1][0])
+                if size > 1_000_000:
+                    kept = [merged()]
+                    size = len(kept[0][0])
+                    if size > 500_000:
+                        yield batch(*kept[0])
+                        kept, size = [], 0
+        if kept:
+            yield batch(*merged())
+
+    return texts.mapInArrow(run, "term long, df long").groupBy("term").agg(F.sum("df").alias("df"))
 
 
 def _document_frequency(texts: DataFrame, terms):
@@ -136,31 +180,43 @@ def file_licences(files: DataFrame, id_col: str, path_col: str, text_col: str, t
     df, n = _document_frequency(rows.select("text"), terms)
     held = rows.sparkSession.sparkContext.broadcast(_Index(terms, df, n))
     names = list(TEMPLATES)
+    unit_type = pa.list_(pa.struct([("licence", pa.string()), *[(c, pa.float64()) for c in ("dot", "inner", "share")],
+                                    *[(c, pa.int64()) for c in ("start", "end")],
+                                    ("terms", pa.list_(pa.struct([("term", pa.int64()), ("times", pa.int64())])))]))
 
     def run(batches):
         ix = held.value
         for b in batches:
-            n = b.num_rows
-            best, which, share = np.zeros(n), np.full(n, -1), np.zeros(n)
-            start, end = np.zeros(n, np.int64), np.zeros(n, np.int64)
+            units = [[] for _ in range(b.num_rows)]
             for c in chunks(b.column("text")):
-                w, line, some, template, cos = ix.lines(c)
+                w, line, some, template, dot, inner, (of, term, times) = ix.lines(c, threshold)
                 count = np.diff(w.first)
-                for k in np.flatnonzero(cos >= threshold):
+                for k in range(len(some)):
                     lo, hi = np.searchsorted(line, [some[k], some[k] + 1])
+                    x, y = np.searchsorted(of, [some[k], some[k] + 1])
                     r = int(w.row[lo])
-                    share[c.at + r] += (hi - lo) / count[r]
-                    if cos[k] > best[c.at + r] + 1e-12:
-                        best[c.at + r], which[c.at + r] = cos[k], template[k]
-                        start[c.at + r], end[c.at + r] = w.start[lo] - c.offs[r], w.end[hi - 1] - c.offs[r]
-            none = which < 0
-            yield pa.RecordBatch.from_arrays(
-                [b.column("doc_id"), b.column("path"), pa.array([None if i < 0 else names[i] for i in which], pa.string()),
-                 pa.array(best, mask=none), pa.array(start, mask=none), pa.array(end, mask=none), pa.array(share)],
-                names=["doc_id", "path", "licence", "cosine", "start", "end", "share"])
-
-    return stored(rows.mapInArrow(run, "doc_id long, path string, licence string, cosine double, start long, end long, "
-                                       "share double"), "file-licences")
+                    units[c.at + r].append({
+                        "licence": names[template[k]], "dot": dot[k], "inner": inner[k], "share": (hi - lo) / count[r],
+                        "start": w.start[lo] - c.offs[r], "end": w.end[hi - 1] - c.offs[r],
+                        "terms": [{"term": int(t), "times": int(n)} for t, n in zip(term[x:y].view(np.int64), times[x:y])]})
+            yield pa.RecordBatch.from_arrays([b.column("rid"), b.column("doc_id"), b.column("path"), pa.array(units, unit_type)],
+                                             names=["rid", "doc_id", "path", "units"])
+
+    found = stored(rows.withColumn("rid", F.monotonically_increasing_id()).mapInArrow(
+        run, "rid long, doc_id long, path string, units array<struct<licence: string, dot: double, inner: double, share: double, "
+             "start: long, end: long, terms: array<struct<term: long, times: long>>>>"), "licence-candidates")
+    unit = found.select("rid", F.posexplode("units").alias("pos", "unit")).select("rid", "pos", "unit.*")
+    other = unit.select("rid", "pos", F.explode("terms").alias("t")).select("rid", "pos", "t.*")
+    idf = F.log((1 + n) / (1 + F.col("df"))) + 1
+    outer = (other.join(_more_frequencies(rows.select("text"), other.select("term")), "term")
+             .groupBy("rid", "pos").agg(F.sum((F.col("times") * idf) ** 2).alias("outer")))
+    best = F.min(F.struct((-F.round("cosine", 12)).alias("c"), "start", "licence", "end", "cosine")).alias("best")
+    own = (unit.join(outer, ["rid", "pos"], "left")
+           .withColumn("cosine", F.col("dot") / F.sqrt(F.col("inner") + F.coalesce("outer", F.lit(0.0))))
+           .filter(F.col("cosine") >= threshold - 1e-12).groupBy("rid").agg(best, F.sum("share").alias("share")))
+    return stored(found.drop("units").join(own, "rid", "left").select(
+        "doc_id", "path", *[F.col(f"best.{c}").alias(c) for c in ("licence", "cosine", "start", "end")],
+        F.coalesce("share", F.lit(0.0)).alias("share")), "file-licences")
 
 
 def _parent(path):

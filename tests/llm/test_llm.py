@@ -381,6 +381,23 @@ def test_licences_inherit_from_nearest(spark, empty):
     assert licences.licence_scan(empty.withColumn("path", F.lit(None).cast("string"))).count() == 0
 
 
+def test_licence_cosine_weighs_all_terms_by_the_corpus(spark):
+    """A notice among words that most documents hold: the cosine of true document frequencies, by brute force."""
+    notice = "this project and its code are licensed under the apache license version 2.0"
+    texts = ["this project and its code are plain"] * 300 + [notice, "apache license", None]
+    files = spark.createDataFrame([(i, f"d{i}/x", t) for i, t in enumerate(texts)], "doc_id long, path string, text string")
+    df = collections.Counter(t for x in texts for t in set((x or "").split()))
+
+    def vector(text):
+        return {t: k * (math.log((1 + len(texts)) / (1 + df[t])) + 1) for t, k in collections.Counter(text.split()).items()}
+
+    a, b = vector(notice), vector("licensed under the apache license version 2.0")
+    want = sum(a[t] * b[t] for t in b) / math.sqrt(sum(x * x for x in a.values()) * sum(x * x for x in b.values()))
+    got = {r.doc_id: r for r in licences.licence_scan(files).collect()}
+    assert want > 0.9 and got[300].licence == "Apache-2.0" and got[300].cosine == pytest.approx(want, abs=1e-9)
+    assert got[0].licence is None
+
+
 def test_kernels_against_python():
     import pyarrow as pa
     texts = ["", None, "a b  c", " Lead\ttail ", "x", "é Ü\x0bz " * 40, "same words here same words here"]
