@@ -381,6 +381,22 @@ def test_licences_inherit_from_nearest(spark, empty):
     assert licences.licence_scan(empty.withColumn("path", F.lit(None).cast("string"))).count() == 0
 
 
+def test_licence_texts_headers_and_identifiers(spark):
+    """Whole licence files, standard headers behind a copyright line, SPDX lines, texts passed in."""
+    prose = " ".join(f"plain word{i} of the code" for i in range(150))
+    rows = [(f"w/{n}/LICENSE", f"Copyright (c) 2020 Jane Roe\nAll rights reserved.\n\n{t}", (n, True))
+            for n, t in licences.bundled_texts().items()]
+    rows += [(f"h/{n}/x.py", f"# Copyright 2020 Jane Roe\n#\n# {t}\n{prose}", (n, False)) for n, t in licences.HEADERS.items()]
+    rows += [(f"s/{k}/x.py", f"// SPDX-License-Identifier: {x}\n{prose}", (n, False)) for k, (x, n) in enumerate(
+        [("GPL-2.0-or-later", "GPL-2.0"), ("isc", "ISC"), ("Zlib", "Zlib")])]
+    rows += [("m/LICENSE", "Own terms one two three four", ("Own", True)), ("w/MIT/src/x.py", prose, ("MIT", False)),
+             ("n/x.py", prose, (None, False))]
+    files = spark.createDataFrame([(i, p, t) for i, (p, t, _) in enumerate(rows)], "doc_id long, path string, text string")
+    own = spark.createDataFrame([("Own", "Own terms one two three four")], "licence string, text string")
+    got = {r.path: (r.licence, r.is_licence_file) for r in licences.licence_scan(files, more_texts=own).collect()}
+    assert got == {p: want for p, _, want in rows}
+
+
 def test_licence_cosine_weighs_all_terms_by_the_corpus(spark):
     """A notice among words that most documents hold: the cosine of true document frequencies, by brute force."""
     notice = "this project and its code are licensed under the apache license version 2.0"
