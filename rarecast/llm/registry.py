@@ -10,7 +10,8 @@ from pyspark.sql import DataFrame, SparkSession
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
 
-MODULES = ("exact_dedup", "mixing", "line_dedup", "decontaminate", "toxicity", "quality", "ngram_join", "spans", "katz", "licences")
+MODULES = ("exact_dedup", "mixing", "line_dedup", "decontaminate", "toxicity", "quality", "ngram_join", "spans", "katz", "licences",
+           "divergence")
 
 
 def register(name: str, sql: str | None = None):
