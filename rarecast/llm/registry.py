@@ -11,7 +11,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
 
 MODULES = ("exact_dedup", "mixing", "line_dedup", "decontaminate", "toxicity", "quality", "ngram_join", "spans", "katz", "licences",
-           "divergence")
+           "divergence", "runs", "langid")
 
 
 def register(name: str, sql: str | None = None):
