@@ -1,27 +1,31 @@
 """Models and selection on Spark ML: boosted trees with positive-class
-weights, a feature pipeline, grid search with k-fold cross-validation scored
-by average precision, backward feature elimination and importances.
+weights, the whole feature pipeline, grid search with k-fold cross-validation
+scored by average precision, backward feature elimination and importances.
 
 Training runs distributed inside Spark ML; the driver only loops over
 parameter maps and candidate feature sets (as many iterations as the search
-asks for, each a distributed fit).  The assembled feature vector is cached
-once and candidate subsets are cut with ``VectorSlicer``."""
+asks for, each a distributed fit).  Encoders, scaler and resampling are stages of
+the pipeline that each fold fits, so no label of a fold's test rows reaches its training."""
 
 from __future__ import annotations
 
-import itertools
 import math
 
-from pyspark.ml import Pipeline, Transformer
+from pyspark.ml import Estimator, Transformer
 from pyspark.ml.classification import GBTClassifier
 from pyspark.ml.evaluation import Evaluator
-from pyspark.ml.feature import VectorAssembler, VectorSlicer
-from pyspark.ml.functions import vector_to_array
+from pyspark.ml.feature import StandardScaler, VectorAssembler
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from .encoders import MixedEncoder, NewFeatures
 from .evaluate import areas
+from .resample import smote, undersample
+from .stages import Configured, DropColumns, Sampler, SamplingPipeline, param, to_float, to_int, to_str
+from .textfeat import TfidfPca, VectorPca
 
 # Booster parameter names -> Spark GBT parameters (the rest have no counterpart).
 PARAM_MAP = {"eta": "stepSize", "max_depth": "maxDepth", "gamma": "minInfoGain",
@@ -29,15 +33,81 @@ PARAM_MAP = {"eta": "stepSize", "max_depth": "maxDepth", "gamma": "minInfoGain",
              "n_estimators": "maxIter"}
 
 
-class PositiveScore(Transformer):
-    """Adds ``score`` = probability of class 1 from a probability vector."""
+class PositiveScore(Configured, Transformer):
+    """Adds ``out`` = probability of class 1 from a probability vector."""
+    prob = param("prob", "probability vector", to_str)
+    out = param("out", "new column", to_str)
 
-    def __init__(self, prob: str = "probability", out: str = "score"):
+    def __init__(self, prob: str | None = None, out: str | None = None):
         super().__init__()
-        self.prob, self.out = prob, out
+        self._setDefault(prob="probability", out="score")
+        self._given(prob=prob, out=out)
 
     def _transform(self, df: DataFrame) -> DataFrame:
-        return df.withColumn(self.out, vector_to_array(self.prob)[1])
+        return df.withColumn(self.value("out"), vector_to_array(self.value("prob"))[1])
+
+
+class PositiveWeight(Configured, Transformer):
+    """Adds the row weight: ``weight`` for positives, 1 for others and for rows without the label (the
+    booster's scale_pos_weight)."""
+    label = param("label", "0/1 label", to_str)
+    weight = param("weight", "weight of a positive row", to_float)
+    out = param("out", "new column", to_str)
+
+    def __init__(self, label: str | None = None, weight: float | None = None, out: str | None = None):
+        super().__init__()
+        self._setDefault(label="label", weight=1.0, out="weight")
+        self._given(label=label, weight=weight, out=out)
+
+    def _transform(self, df: DataFrame) -> DataFrame:
+        if self.value("label") not in df.columns:
+            return df.withColumn(self.value("out"), F.lit(1.0))
+        return with_weight(df, self.value("label"), self.value("weight"), self.value("out"))
+
+
+class UnderSampler(Sampler):
+    """While fitting: minority / majority = ``ratio`` by leaving majority rows out."""
+    label = param("label", "0/1 label", to_str)
+    id_col = param("id_col", "row id", to_str)
+    ratio = param("ratio", "minority / majority", to_float)
+    seed = param("seed", "seed of the draw", to_int)
+
+    def __init__(self, label: str | None = None, id_col: str | None = None, ratio: float | None = None, seed: int | None = None):
+        super().__init__()
+        self._setDefault(label="label", ratio=1.0, seed=0)
+        self._given(label=label, id_col=id_col, ratio=ratio, seed=seed)
+
+    def resample(self, df: DataFrame) -> DataFrame:
+        return undersample(df, self.value("label"), self.value("id_col"), self.value("ratio"), self.value("seed"))
+
+
+class SmoteSampler(Sampler):
+    """While fitting: minority / majority = ``ratio`` by synthetic rows between near minority rows.  A synthetic row
+    has the vector, the label and an id of its own (-1, -2, ... or ``syn_0``, ...); its other columns are null."""
+    vec = param("vec", "vector column", to_str)
+    label = param("label", "0/1 label", to_str)
+    id_col = param("id_col", "row id", to_str)
+    ratio = param("ratio", "minority / majority", to_float)
+    k = param("k", "nearest minority rows drawn from", to_int)
+    seed = param("seed", "seed of the draws", to_int)
+
+    def __init__(self, vec: str | None = None, label: str | None = None, id_col: str | None = None,
+                 ratio: float | None = None, k: int | None = None, seed: int | None = None):
+        super().__init__()
+        self._setDefault(vec="features", label="label", ratio=1.0, k=5, seed=0)
+        self._given(vec=vec, label=label, id_col=id_col, ratio=ratio, k=k, seed=seed)
+
+    def resample(self, df: DataFrame) -> DataFrame:
+        vec, key = self.value("vec"), self.value("id_col")
+        out = smote(df.withColumn(vec, vector_to_array(vec)), vec, self.value("label"), key, self.value("ratio"),
+                    self.value("k"), self.value("seed"))
+        if "synthetic_id" in out.columns:
+            kind = df.schema[key].dataType
+            new = F.col("synthetic_id")
+            if isinstance(kind, T.NumericType):
+                new = -1 - F.regexp_extract("synthetic_id", r"(\d+)$", 1).cast("long")
+            out = out.withColumn(key, F.when(F.col("synthetic"), new.cast(kind)).otherwise(F.col(key)))
+        return out.withColumn(vec, array_to_vector(vec)).select(*df.columns)
 
 
 class AveragePrecision(Evaluator):
@@ -76,21 +146,39 @@ def boosted_trees(params: dict | None = None, label: str = "label", features: st
     return gbt
 
 
-def build_pipeline(stages_before: list, feature_cols: list[str], classifier) -> Pipeline:
-    """new features -> encoders -> ... -> assemble -> classifier.  Resampling
-    is not a stage: apply it to the training frame before ``fit``."""
-    asm = VectorAssembler(inputCols=feature_cols, outputCol="features", handleInvalid="keep")
-    return Pipeline(stages=list(stages_before) + [asm, classifier])
+def build_pipeline(numeric: list[str], classifier, *, new_features: NewFeatures | None = None,
+                   encoder: MixedEncoder | None = None, drop: list[str] = (), text: TfidfPca | None = None,
+                   vectors: VectorPca | None = None, over: SmoteSampler | None = None, under: UnderSampler | None = None,
+                   pos_weight: float = 1.0, label: str = "label") -> SamplingPipeline:
+    """new features -> encode -> drop -> text -> vectors -> assemble and scale -> over- and undersample (while fitting)
+    -> weigh -> classify -> score, as one pipeline.  ``numeric`` names the columns and vectors that are assembled."""
+    stages = [x for x in (new_features, encoder, DropColumns(list(drop)) if drop else None, text, vectors) if x is not None]
+    stages += [VectorAssembler(inputCols=list(numeric), outputCol="assembled", handleInvalid="keep"),
+               StandardScaler(inputCol="assembled", outputCol="features", withMean=True, withStd=True)]
+    stages += [x for x in (over, under) if x is not None]
+    return SamplingPipeline(stages=[*stages, PositiveWeight(label, pos_weight), classifier, PositiveScore()])
+
+
+def stage_of(pipe, kind: type):
+    """The stage of a pipeline that is a ``kind``."""
+    return next(s for s in pipe.getStages() if isinstance(s, kind))
+
 
+def classifier_of(model):
+    """The fitted classifier of a fitted pipeline."""
+    return next(s for s in reversed(model.stages) if hasattr(s, "featureImportances"))
 
-def grid_search(pipe, grid: dict[str, list], df: DataFrame, fold_col: str, label: str = "label",
-                estimator=None, num_folds: int = 5, parallelism: int = 4) -> DataFrame:
+
+def grid_search(pipe, grid: dict, df: DataFrame, fold_col: str, label: str = "label",
+                num_folds: int = 5, parallelism: int = 4) -> DataFrame:
     """Every parameter combination x the folds of ``fold_col``; returns one
-    row per combination with mean / std average precision and rank."""
-    est = estimator if estimator is not None else pipe.getStages()[-1]
+    row per combination with mean / std average precision and rank.  Keys of ``grid`` are ``(stage, name)`` for any
+    stage of the pipeline, or a booster name for its classifier."""
     builder = ParamGridBuilder()
-    for k, values in grid.items():
-        builder = builder.addGrid(est.getParam(PARAM_MAP.get(k, k)), values)
+    classifier = [s for s in pipe.getStages() if isinstance(s, Estimator)][-1]
+    for key, values in grid.items():
+        stage, name = key if isinstance(key, tuple) else (classifier, key)
+        builder = builder.addGrid(stage.getParam(PARAM_MAP.get(name, name)), values)
     maps = builder.build()
     cv = CrossValidator(estimator=pipe, estimatorParamMaps=maps, evaluator=AveragePrecision(label),
                         foldCol=fold_col, numFolds=num_folds, parallelism=parallelism, seed=0)
@@ -102,7 +190,6 @@ def grid_search(pipe, grid: dict[str, list], df: DataFrame, fold_col: str, label
                      float(mean), float(std)))
     spark = df.sparkSession
     res = spark.createDataFrame(rows, "params string, mean_average_precision double, std_average_precision double")
-    from pyspark.sql import Window
     return res.withColumn("rank", F.rank().over(Window.orderBy(F.col("mean_average_precision").desc())))
 
 
@@ -117,44 +204,41 @@ def _mean_std(scores: list[float]) -> tuple[float, float]:
     return mean, math.sqrt(sum((s - mean) ** 2 for s in scores) / len(scores))
 
 
-def cv_score(df: DataFrame, estimator, fold_col: str, label: str, k: int) -> tuple[float, float]:
-    """Mean and population std of average precision over k folds."""
-    return _mean_std([_fold_score(df, estimator, fold_col, label, f) for f in range(k)])
-
-
 def backward_select(df: DataFrame, features: list[str], label: str, fold_col: str, k: int,
-                    estimator_factory, min_features: int = 1, parallelism: int = 4) -> DataFrame:
+                    pipeline_of, min_features: int = 1, parallelism: int = 4) -> DataFrame:
     """Drop, at each step, the feature whose removal scores best (mean average
-    precision over the folds), down to ``min_features``.  Returns the log:
-    n_features, dropped, scores_mean, scores_std.  The (candidate, fold)
-    fits of a step are independent: up to ``parallelism`` run as concurrent
-    Spark jobs (as ``CrossValidator`` does); the best is then taken in
+    precision over the folds), down to ``min_features``.  ``pipeline_of(features)`` gives the estimator for a
+    feature set; each (candidate, fold) fits its own on the fold's training rows.  Returns the log, the set of all
+    features first: n_features, dropped ('None' there), scores_mean, scores_std.  The fits of a step are independent:
+    up to ``parallelism`` run as concurrent Spark jobs (as ``CrossValidator`` does); the best is then taken in
     candidate order, so the result does not depend on it."""
     from concurrent.futures import ThreadPoolExecutor
 
     from pyspark.util import inheritable_thread_target
-    asm = VectorAssembler(inputCols=features, outputCol="__all", handleInvalid="keep")
-    extra = [c for c in df.columns if c not in features and c not in (label, fold_col)]
-    base = asm.transform(df).select("__all", label, fold_col, *extra).persist()
-    current = list(features)
-    log = []
-    def job(cand: str, f: int) -> float:
-        keep = [features.index(c) for c in current if c != cand]
-        sliced = VectorSlicer(inputCol="__all", outputCol="features", indices=keep).transform(base)
-        return _fold_score(sliced, estimator_factory(), fold_col, label, f)
-
-    with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
-        while len(current) > min_features:
-            tasks = [(c, f) for c in current for f in range(k)]
-            scores = list(pool.map(inheritable_thread_target(df.sparkSession)(lambda cf: job(*cf)), tasks))
-            best = (-math.inf, None, None)          # start below any score
-            for i, cand in enumerate(current):
-                mean, std = _mean_std(scores[i * k:(i + 1) * k])
-                if mean > best[0]:
-                    best = (mean, cand, std)
-            current.remove(best[1])
-            log.append((len(current), best[1], best[0], best[2]))
-    base.unpersist()
+    base = df.persist()
+    current, log = list(features), []
+
+    def job(kept: list[str], f: int) -> float:
+        return _fold_score(base, pipeline_of(kept), fold_col, label, f)
+
+    try:
+        with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
+            run = inheritable_thread_target(df.sparkSession)(lambda t: job(*t))
+            candidates = [(None, current)]               # the set of all features, then each set short of one
+            while True:
+                scores = list(pool.map(run, [(kept, f) for _, kept in candidates for f in range(k)]))
+                best = (-math.inf, None, None, None)     # start below any score
+                for i, (dropped, kept) in enumerate(candidates):
+                    mean, std = _mean_std(scores[i * k:(i + 1) * k])
+                    if mean > best[0]:
+                        best = (mean, dropped, std, kept)
+                current = list(best[3])
+                log.append((len(current), best[1] or "None", best[0], best[2]))
+                if len(current) <= min_features:
+                    break
+                candidates = [(c, [x for x in current if x != c]) for c in current]
+    finally:
+        base.unpersist()
     return df.sparkSession.createDataFrame(
         log, "n_features int, dropped string, scores_mean double, scores_std double")
 
@@ -166,8 +250,3 @@ def importance(model, names: list[str], n: int = 15) -> DataFrame:
     imp = model.featureImportances.toArray()
     rows = sorted(zip(names, [float(x) for x in imp]), key=lambda t: (-t[1], t[0]))[:n]
     return spark.createDataFrame(rows, "feature string, importance double")
-
-
-def param_combinations(grid: dict[str, list]) -> list[dict]:
-    keys = list(grid)
-    return [dict(zip(keys, vals)) for vals in itertools.product(*[grid[k] for k in keys])]

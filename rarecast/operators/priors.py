@@ -10,17 +10,19 @@ linear-interpolated ``interp`` over the sorted column and to
 
 from __future__ import annotations
 
+import math
 from functools import reduce
 
-from pyspark.ml import Estimator, Model
+from pyspark.ml import Estimator
+from pyspark.ml.param import Params
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..util import col_of, hash_uniform, prefix_sum_by_range
+from ..util import col_of, dense_number, hash_uniform, kept_table, prefix_sum_by_range
+from .stages import Configured, FittedModel, param, to_bool, to_int, to_list, to_str
 
-# Largest number of distinct values collected to the driver to build a
-# literal array (pivot values, grid domains).
+# Largest number of columns of the pivoted matrix (their names come to the driver).
 MAX_DOMAIN = 10_000
 
 
@@ -37,20 +39,17 @@ def exact_quantiles(df: DataFrame, col: str, probs) -> list[float]:
     computed on the executors.  ``probs`` is a list of levels, or a function
     of the non-null count returning them (levels that depend on n)."""
     x = F.col(col).cast("double")
-    counts = df.where(x.isNotNull()).groupBy(x.alias("v")).agg(F.count(F.lit(1)).alias("c")).persist()
-    try:
-        n = counts.agg(F.sum("c")).first()[0] or 0
-        levels = probs(n) if callable(probs) else list(probs)
-        if n == 0:
-            return [None] * len(levels)
-        ranks = sorted({r for p in levels for r in _ranks(p, n)})
-        cum = prefix_sum_by_range(counts, "v", {"cum": "c"})
-        # value at 0-based rank r: the row with cum - c <= r < cum
-        cond = F.exists(F.array(*[F.lit(r) for r in ranks]),
-                        lambda r: (F.col("cum") - F.col("c") <= r) & (r < F.col("cum")))
-        hits = cum.where(cond).select("v", "c", "cum").collect()   # <= 2 * len(levels) rows
-    finally:
-        counts.unpersist()
+    counts = kept_table(df.where(x.isNotNull()).groupBy(x.alias("v")).agg(F.count(F.lit(1)).alias("c")), "value-counts")
+    n = counts.agg(F.sum("c")).first()[0] or 0
+    levels = probs(n) if callable(probs) else list(probs)
+    if n == 0:
+        return [None] * len(levels)
+    ranks = sorted({r for p in levels for r in _ranks(p, n)})
+    cum = prefix_sum_by_range(counts, "v", {"cum": "c"}, kept=True)
+    # value at 0-based rank r: the row with cum - c <= r < cum
+    cond = F.exists(F.array(*[F.lit(r) for r in ranks]),
+                    lambda r: (F.col("cum") - F.col("c") <= r) & (r < F.col("cum")))
+    hits = cum.where(cond).select("v", "c", "cum").collect()   # <= 2 * len(levels) rows
 
     def at(r):
         for h in hits:
@@ -92,30 +91,36 @@ def bin_assign(x, edges: list[float]) -> Column:
 def _domain(df: DataFrame, col: str) -> list:
     vals = [r[0] for r in df.select(col).distinct().limit(MAX_DOMAIN + 1).collect()]
     if len(vals) > MAX_DOMAIN:
-        raise ValueError(f"{col}: more than {MAX_DOMAIN} distinct values")
+        raise ValueError(f"{col}: more than {MAX_DOMAIN} distinct values for a column each; use prior_entries")
     return sorted(vals, key=lambda v: (v is None, v))
 
 
+def _domain_table(table: DataFrame, key: str, values: list | None) -> DataFrame:
+    """Distinct values of a key (null is one), or the given ones, as a table."""
+    kind = table.schema[key].dataType
+    if values is None:
+        return table.select(key).distinct()
+    return table.sparkSession.createDataFrame([(v,) for v in values], T.StructType([T.StructField(key, kind)]))
+
+
 def complete_grid(table: DataFrame, keys: list[str], fill: dict | None = None,
                   domains: dict[str, list] | None = None) -> DataFrame:
     """Every combination of the key values present (or of the given
-    ``domains``); cells missing from ``table`` get 0 (or ``fill``).  The domains
-    are gathered as arrays by one aggregate (nulls are a value) and expanded by
-    ``explode``, dealt out again after each key, so no distinct sets are joined
-    pairwise; the table is then left-joined onto the grid."""
-    domains = dict(domains or {})
-
-    def domain(k):
-        if domains.get(k) is not None:
-            return F.array(*[F.lit(v) for v in domains[k]])
-        null = F.when(F.bool_or(F.col(k).isNull()), F.array(F.lit(None).cast(table.schema[k].dataType)))
-        return F.concat(F.collect_set(k), F.coalesce(null, F.array()))
-
-    grid = table.agg(*[domain(k).cast(T.ArrayType(table.schema[k].dataType)).alias(f"__d_{k}") for k in keys])
-    for i, k in enumerate(keys):
-        grid = grid.select("*", F.explode(f"__d_{k}").alias(k)).drop(f"__d_{k}")
-        if 0 < i < len(keys) - 1:
-            grid = grid.repartition(*keys[:i + 1])
+    ``domains``); cells missing from ``table`` get 0 (or ``fill``).
+
+    Each domain is numbered on the executors; the cells are the numbers of one ``range`` over the product of the
+    domains' sizes, split over all tasks, and are decoded as mixed-radix numbers whose digits are joined back to the
+    values.  No domain comes to the driver or into one row, and no sets are joined pairwise."""
+    domains, spark = domains or {}, table.sparkSession
+    numbered = {k: dense_number(_domain_table(table, k, domains.get(k)), [k], f"__i_{k}", "grid-domain") for k in keys}
+    sizes = {k: t.count() for k, t in numbered.items()}
+    grid, radix = spark.range(math.prod(sizes.values())), 1
+    for k in reversed(keys):
+        grid = grid.withColumn(f"__i_{k}", F.expr(f"id div {radix}L % {max(sizes[k], 1)}L"))
+        radix *= max(sizes[k], 1)
+    for k in keys:
+        grid = grid.join(numbered[k], f"__i_{k}").drop(f"__i_{k}")
+    grid = grid.drop("id")
     held = table.withColumnsRenamed({c: f"__k_{c}" for c in keys})
     same = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"__k_{c}")) for c in keys])
     out = grid.join(held, same, "left").drop(*[f"__k_{c}" for c in keys])
@@ -123,58 +128,78 @@ def complete_grid(table: DataFrame, keys: list[str], fill: dict | None = None,
     return out.withColumns({c: F.coalesce(F.col(c), F.lit(v)) for c, v in fills.items()})
 
 
-class Priors(Estimator):
+class _PriorsParams(Params):
+    discrete = param("discrete", "discrete keys", to_list)
+    continuous = param("continuous", "keys that are cut into equal-frequency bins", to_list)
+    label = param("label", "0/1 label", to_str)
+    n_bins = param("n_bins", "bins of each continuous key", to_int)
+    complete = param("complete", "whether combinations of known values that have no rows count as seen, with 0", to_bool)
+
+    @property
+    def keys(self) -> list[str]:
+        return self.value("discrete") + [f"{c}_bin" for c in self.value("continuous")]
+
+    def keyed(self, df: DataFrame, edges: dict[str, list[float]]) -> DataFrame:
+        return df.withColumns({f"{c}_bin": bin_assign(c, edges[c]) for c in self.value("continuous")})
+
+
+class Priors(_PriorsParams, Configured, Estimator):
     """fit: equal-frequency edges for each continuous column, then per
     (discrete..., bins...) cell: total, positives (``target``) and
-    ``target_fraction`` (0 when empty).  ``complete=True`` adds the missing
-    combinations with zeros."""
+    ``target_fraction`` (0 when empty).  The model's ``grid()`` adds the missing
+    combinations with zeros; scoring needs only the cells that have rows."""
 
-    def __init__(self, discrete: list[str], continuous: list[str], label: str, n_bins: int = 5,
-                 complete: bool = True):
+    def __init__(self, discrete: list[str] | None = None, continuous: list[str] | None = None, label: str | None = None,
+                 n_bins: int | None = None, complete: bool | None = None):
         super().__init__()
-        self.discrete, self.continuous, self.label = list(discrete), list(continuous), label
-        self.n_bins, self.complete = n_bins, complete
+        self._setDefault(discrete=[], continuous=[], n_bins=5, complete=True)
+        self._given(discrete=discrete, continuous=continuous, label=label, n_bins=n_bins, complete=complete)
+
+    def _fit(self, df: DataFrame) -> "PriorsModel":
+        edges = {c: equal_freq_edges(df, c, self.value("n_bins")) for c in self.value("continuous")}
+        table = self.keyed(df, edges).groupBy(*self.keys).agg(
+            F.count(F.lit(1)).alias("total"),
+            F.sum(col_of(self.value("label")).cast("long")).alias("target"))
+        table = table.withColumn("target_fraction", F.coalesce(F.try_divide(F.col("target"), F.col("total")), F.lit(0.0)))
+        return PriorsModel(self, {"edges": edges}, {"cells": kept_table(table, "priors")})
 
-    def keyed(self, df: DataFrame, edges: dict[str, list[float]]) -> DataFrame:
-        return df.withColumns({f"{c}_bin": bin_assign(c, edges[c]) for c in self.continuous})
 
+class PriorsModel(_PriorsParams, FittedModel):
     @property
-    def keys(self) -> list[str]:
-        return self.discrete + [f"{c}_bin" for c in self.continuous]
+    def table(self) -> DataFrame:
+        """The cells that have rows."""
+        return self.tables["cells"]
 
-    def _fit(self, df: DataFrame) -> "PriorsModel":
-        edges = {c: equal_freq_edges(df, c, self.n_bins) for c in self.continuous}
-        k = self.keyed(df, edges)
-        table = k.groupBy(*self.keys).agg(
-            F.count(F.lit(1)).alias("total"),
-            F.sum(col_of(self.label).cast("long")).alias("target"))
-        table = table.withColumn("target_fraction",
-                                 F.coalesce(F.try_divide(F.col("target"), F.col("total")), F.lit(0.0))).persist()
-        if self.complete:
-            doms = {f"{c}_bin": list(range(len(set(edges[c])) - 1 or 1)) for c in self.continuous}
-            table = complete_grid(table, self.keys, {"total": 0, "target": 0, "target_fraction": 0.0}, doms)
-        table = table.persist()
-        n = table.count()
-        return PriorsModel(self, edges, table, n)
-
-
-class PriorsModel(Model):
-    def __init__(self, est: Priors, edges: dict, table: DataFrame, n_rows: int):
-        super().__init__()
-        self.est, self.edges, self.table, self.n_rows = est, edges, table, n_rows
+    @property
+    def edges(self) -> dict[str, list[float]]:
+        return self.state["edges"]
+
+    def grid(self) -> DataFrame:
+        """All combinations of the key values, cells without rows with zeros."""
+        bins = {f"{c}_bin": list(range(len(set(e)) - 1 or 1)) for c, e in self.edges.items()}
+        return complete_grid(self.table, self.keys, {"total": 0, "target": 0, "target_fraction": 0.0}, bins)
 
     def _transform(self, df: DataFrame) -> DataFrame:
-        """Adds ``prior_p``, ``prior_q`` = 1 - p and ``prior_missing`` (key
-        combination unseen at fit: p = 0)."""
-        keys = self.est.keys
-        k = self.est.keyed(df, self.edges)
+        """Adds ``prior_p``, ``prior_q`` = 1 - p and ``prior_missing`` (p = 0): a key combination unseen at fit or,
+        with ``complete``, one with a value unseen at fit."""
+        keys = self.keys
+        k = self.keyed(df, self.edges)
         t = self.table.select(*keys, F.col("target_fraction").alias("__p"), F.lit(True).alias("__seen"))
         t = t.withColumnsRenamed({c: f"__k_{c}" for c in keys})
         same = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"__k_{c}")) for c in keys])
         j = k.join(t, same, "left").drop(*[f"__k_{c}" for c in keys])   # a null key is a category of its own
-        return (j.withColumns({"prior_p": F.coalesce(F.col("__p"), F.lit(0.0)),
-                               "prior_missing": F.col("__seen").isNull()})
-                .withColumn("prior_q", 1 - F.col("prior_p")).drop("__p", "__seen"))
+        missing = F.col("__seen").isNull()
+        if self.value("complete"):
+            known = []
+            for c in self.value("discrete"):
+                values = self.table.select(F.col(c).alias("__v"), F.lit(True).alias(f"__in_{c}")).distinct()
+                j = j.join(values, F.col(c).eqNullSafe(F.col("__v")), "left").drop("__v")
+                known.append(F.col(f"__in_{c}").isNotNull())
+            known += [F.col(f"{c}_bin").isNotNull() for c in self.value("continuous")]
+            missing = missing & ~reduce(lambda a, b: a & b, known, F.lit(True))
+        return (j.withColumns({"prior_p": F.coalesce(F.col("__p"), F.lit(0.0)), "prior_missing": missing})
+                .withColumn("prior_q", 1 - F.col("prior_p"))
+                .drop("__p", "__seen", *[f"__in_{c}" for c in self.value("discrete")]))
 
 
 def prior_draw(df: DataFrame, p: str, id_col: str, seed: int = 0, out: str = "prior_draw") -> DataFrame:
@@ -189,3 +214,13 @@ def prior_matrix(table: DataFrame, k0: str, k1: str, value: str = "target_fracti
     (explicit, size-checked pivot values, in sorted order)."""
     vals = k1_values if k1_values is not None else _domain(table, k1)
     return table.groupBy(k0).pivot(k1, vals).agg(F.first(value)).orderBy(k0)
+
+
+def prior_entries(table: DataFrame, k0: str, k1: str, value: str = "target_fraction") -> DataFrame:
+    """Two-key table as a sparse matrix for any number of values: (row, col, k0, k1, value) for each cell present, rows
+    and columns numbered from 0 in the order of their keys."""
+    rows = dense_number(table.select(k0).distinct(), [k0], "row", "matrix-rows").withColumnRenamed(k0, "__k0")
+    cols = dense_number(table.select(k1).distinct(), [k1], "col", "matrix-cols").withColumnRenamed(k1, "__k1")
+    cells = table.groupBy(k0, k1).agg(F.first(value).alias(value))
+    return (cells.join(rows, F.col(k0).eqNullSafe(F.col("__k0"))).join(cols, F.col(k1).eqNullSafe(F.col("__k1")))
+            .select("row", "col", k0, k1, value))

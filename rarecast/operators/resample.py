@@ -22,7 +22,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..util import col_of, hash_key, hash_uniform, attach_one_row
+from ..util import attach_one_row, col_of, hash_key, hash_uniform, kept_table
 
 BUCKET_HEX = 5   # 16^5 = 2^20 ordered buckets
 
@@ -58,13 +58,39 @@ def held_out_count(n, frac: float):
     return F.floor(F.lit(float(frac)) * n + F.lit(0.5)).cast("long")
 
 
+def in_first_of_label(df: DataFrame, label: str, id_col: str, seed: int | str, wanted, out: str) -> DataFrame:
+    """Adds ``out``: whether the row is among the first ``wanted(hist)`` rows of its label by digest (rows sharing the
+    last one's id go with it).
+
+    The histogram of digest buckets tells in which bucket the count is reached, and only that bucket's rows (about
+    n / 2^20) are ranked.  This gives the last row taken, one for each label, kept as a small table; every other row is
+    decided by comparing its digest, without a shuffle.  ``wanted`` gets the histogram frame with ``n_label`` and adds
+    ``want``."""
+    d, hist = _digest_buckets(df.select(label, id_col), label, id_col, seed)
+    upto = Window.partitionBy(label).orderBy("__b").rowsBetween(Window.unboundedPreceding, 0)
+    h = wanted(hist.select(label, "__b", "__c", F.sum("__c").over(upto).alias("__to"),
+                           F.sum("__c").over(Window.partitionBy(label)).alias("n_label")), hist)
+    want, before = F.least("want", "n_label"), F.col("__to") - F.col("__c")
+    cut = h.where((before < want) & (want <= F.col("__to"))).select(
+        F.col(label).alias("__y"), F.col("__b").alias("__cut"), (want - before).alias("__left"))
+    near = d.join(F.broadcast(cut), F.col(label).eqNullSafe(F.col("__y")) & (F.col("__b") == F.col("__cut")))   # a row for each label
+    rank = F.row_number().over(Window.partitionBy("__y").orderBy("__h", col_of(id_col).cast("string")))
+    last = (near.withColumn("__r", rank).where("__r = __left")
+            .select("__y", F.col("__h").alias("__last"), col_of(id_col).cast("string").alias("__last_id")))
+    last = kept_table(last, "label-limits")
+    key = hash_key(id_col, seed=seed)
+    inside = (key < F.col("__last")) | ((key == F.col("__last")) & (col_of(id_col).cast("string") <= F.col("__last_id")))
+    return (df.join(last, F.col(label).eqNullSafe(F.col("__y")), "left")
+            .withColumn(out, F.coalesce(inside, F.lit(False))).drop("__y", "__last", "__last_id"))
+
+
 def split(df: DataFrame, label: str, id_col: str, frac: float = 0.1666, seed: int = 2,
           out: str = "split") -> DataFrame:
     """Adds ``out`` = 'test' for round(frac * n_label) rows of every label
-    (the first by digest rank), 'train' for the rest."""
-    r = rank_in_label(df, label, id_col, seed, "__r")
-    test = F.col("__r") <= held_out_count(F.col("n_label"), frac)
-    return r.withColumn(out, F.when(test, F.lit("test")).otherwise(F.lit("train"))).drop("__r", "n_label")
+    (the first by digest), 'train' for the rest."""
+    r = in_first_of_label(df, label, id_col, seed,
+                          lambda h, _: h.withColumn("want", held_out_count(F.col("n_label"), frac)), "__test")
+    return r.withColumn(out, F.when(F.col("__test"), F.lit("test")).otherwise(F.lit("train"))).drop("__test")
 
 
 def folds(df: DataFrame, label: str, id_col: str, k: int = 5, seed: int = 0, out: str = "fold") -> DataFrame:
@@ -86,15 +112,16 @@ def imbalance(df: DataFrame, label: str) -> DataFrame:
 def undersample(df: DataFrame, label: str, id_col: str, ratio: float, seed: int = 0,
                 minority: int = 1) -> DataFrame:
     """Keep every minority row and the first floor(n_min / ratio) majority
-    rows by digest rank, so that minority / majority = ratio."""
+    rows by digest, so that minority / majority = ratio."""
     y = col_of(label).cast("int")
-    d, hist = _digest_buckets(df, label, id_col, seed)
-    # minority size from the (label, bucket) histogram: no second pass over the rows
-    n_min = hist.agg(F.coalesce(F.sum(F.when(col_of(label).cast("int") == minority, F.col("__c"))),
-                                F.lit(0)).alias("m"))
-    r = attach_one_row(_rank_from(d, hist, label, id_col, "__r"), n_min)
-    keep = (y == minority) | (F.col("__r") <= F.floor(F.col("m") / F.lit(float(ratio))))
-    return r.where(keep).drop("__r", "n_label", "m")
+
+    def wanted(h, hist):          # minority size from the (label, bucket) histogram: no second pass over the rows
+        n_min = hist.agg(F.coalesce(F.sum(F.when(y == minority, F.col("__c"))), F.lit(0)).alias("m"))
+        return attach_one_row(h, n_min).withColumn("want", F.when(y == minority, F.lit(0)).otherwise(
+            F.floor(F.col("m") / F.lit(float(ratio)))))
+
+    r = in_first_of_label(df, label, id_col, seed, wanted, "__keep")
+    return r.where((y == minority) | F.col("__keep")).drop("__keep")
 
 
 def random_baseline(train: DataFrame, test: DataFrame, label: str, id_col: str, seed: int = 0) -> DataFrame:
@@ -191,8 +218,7 @@ def minority_neighbours(minority: DataFrame, id_col: str, vec: str, k: int = 5,
     Distance work per row is the size of the cells it must search (all of
     them in the worst case of no spatial structure); emitted rows are k per
     row and block, never all pairs."""
-    v = minority.select(col_of(id_col).cast("string").alias("id"),
-                        F.col(vec).cast("array<double>").alias("a")).persist()
+    v = kept_table(minority.select(col_of(id_col).cast("string").alias("id"), F.col(vec).cast("array<double>").alias("a")), "knn-rows")
     n = v.count()
     k = min(k, max(n - 1, 0))
     if k == 0:
@@ -213,13 +239,12 @@ def minority_neighbours(minority: DataFrame, id_col: str, vec: str, k: int = 5,
             yield pd.DataFrame({"id": b["id"], "a": b["a"], "cell": c.astype("int32"),
                                 "d_own": d[np.arange(len(c)), c]})
 
-    cells = v.mapInPandas(assign, "id string, a array<double>, cell int, d_own double").persist()
+    cells = kept_table(v.mapInPandas(assign, "id string, a array<double>, cell int, d_own double"), "knn-cells")
     radius = {r["cell"]: r["R"] for r in cells.groupBy("cell").agg(F.max("d_own").alias("R")).collect()}
-    v.unpersist()                    # ``cells`` (now materialised) carries the vectors from here on
     rad = np.array([radius.get(j, -np.inf) for j in range(len(piv))])     # empty cell: never searched
 
     refs = cells.select("cell", F.col("id").alias("nb_id"), F.col("a").alias("b"))
-    first = _keep_k(_block_knn(cells.select("cell", "id", "a"), refs, k, block), k).persist()
+    first = kept_table(_keep_k(_block_knn(cells.select("cell", "id", "a"), refs, k, block), k), "knn-first")
     if len(piv) == 1:
         return first
     rk = first.groupBy("id").agg(F.count(F.lit(1)).alias("c"), F.max("dist").alias("rk")) \
@@ -246,11 +271,6 @@ def minority_neighbours(minority: DataFrame, id_col: str, vec: str, k: int = 5,
     return _keep_k(first.select("id", "nb_id", "dist").unionByName(second), k)
 
 
-def union_frames(frames):
-    from ..util import union_all
-    return union_all(frames)
-
-
 def smote(df: DataFrame, vec: str, label: str, id_col: str, ratio: float, k: int = 5, seed: int = 0,
           minority: int = 1) -> DataFrame:
     """Synthetic minority rows x + u * (neighbour - x) until minority /
@@ -303,10 +323,3 @@ def smote(df: DataFrame, vec: str, label: str, id_col: str, ratio: float, k: int
     base = base.withColumns({"synthetic_id": F.lit(None).cast("string"), "source_id": F.lit(None).cast("string"),
                              "neighbour_id": F.lit(None).cast("string"), "u": F.lit(None).cast("double")})
     return base.unionByName(syn_rows)
-
-
-def smote_detail(df: DataFrame, vec: str, label: str, id_col: str, ratio: float, k: int = 5,
-                 seed: int = 0) -> DataFrame:
-    """Synthetic rows only, with their source and neighbour ids and u (for
-    checks: each lies on the segment between two minority rows)."""
-    return smote(df, vec, label, id_col, ratio, k, seed).where("synthetic")

@@ -3,146 +3,298 @@ vectors and variance-share PCA.
 
 TF-IDF follows the usual smoothed form: tf = raw count, idf = ln((1+n) /
 (1+df)) + 1, rows L2-normalised; the vocabulary is the k terms with the
-highest corpus count (ties by term).  Fitting is three aggregations over the
-exploded (doc, term) rows - (doc, term) counts, then per-term corpus count
-and document frequency - so no document is ever materialised whole on one
-task beyond its own row.  The vocabulary is k rows (a parameter), so the
-fitted table is broadcast; the dense/sparse vector form uses Spark ML's
-``CountVectorizerModel`` + ``ElementwiseProduct`` + ``Normalizer``."""
+highest corpus count (ties by term).
+
+No (document, term) rows are shuffled or cached.  A mergeable frequent-items sketch (one per task) gives the
+candidate terms with a bound on the count of every other term; a second pass counts the candidates exactly - per
+document as a sparse vector, then by (term) with partial aggregation - and the result stands when the k-th count
+lies above the bound.  Otherwise the sketch is widened, and beyond its largest size all terms are counted.  Weighting a
+document needs its own row only: count vector, times idf, normalised."""
 
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 
-from pyspark.ml import Estimator, Model
-from pyspark.ml.feature import (PCA, CountVectorizerModel, ElementwiseProduct, Normalizer,
-                                VectorAssembler, VectorSlicer)
+import numpy as np
+import pandas as pd
+from pyspark.ml import Estimator
+from pyspark.ml.feature import PCA, CountVectorizerModel, ElementwiseProduct, Normalizer, VectorSizeHint, VectorSlicer
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.linalg import Vectors
-from pyspark.sql import DataFrame, Window
+from pyspark.ml.param import Params
+from pyspark.ml.stat import Summarizer
+from pyspark.mllib.linalg.distributed import RowMatrix
+from pyspark.mllib.util import MLUtils
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.text import drop_stop, ngrams, tokens
-
-
-def doc_terms(df: DataFrame, id_col: str, text: str, stop: list[str] | None,
-              ngram: tuple[int, int] = (1, 1), min_len: int = 2) -> DataFrame:
-    """(id, term, tf) rows: accent-stripped lower-case tokens of at least
-    ``min_len`` characters, stop words removed, n-grams, counted per doc."""
-    d = df.select(id_col, text)
-    if tuple(ngram) == (1, 1):
-        # unigrams: explode first, then one hash-set lookup per token
-        term = F.col("term")
-        keep = F.length(term) >= min_len
-        if stop:
-            keep = keep & ~term.isin(list(stop))
-        toks = d.select(id_col, F.explode(tokens(text, accents=True)).alias("term")).where(keep)
-    else:
-        t = drop_stop(tokens(text, accents=True), stop, min_len)
-        toks = d.select(id_col, F.explode(ngrams(t, *ngram)).alias("term"))
-    return toks.groupBy(id_col, "term").agg(F.count(F.lit(1)).alias("tf"))
-
-
-def vocabulary(terms: DataFrame, k: int) -> DataFrame:
-    """The k terms with the highest corpus count (ties by term), with their
+from ..functions.text import drop_stop, ngrams, stem_udf, tokens
+from ..util import kept_table
+from .stages import Configured, FittedModel, param, to_bool, to_float, to_int, to_list, to_str
+
+TRACKED = 1 << 16             # terms a sketch holds at first
+MOST_TRACKED = 1_000_000      # the largest sketch
+MOST_CANDIDATES = 100_000     # candidates a sketch may be asked for
+
+
+def with_terms(df: DataFrame, text: str, stop: list[str] | None, ngram: tuple[int, int] = (1, 1), min_len: int = 2,
+               stem: Callable[[str], str] | None = None, out: str = "__terms") -> DataFrame:
+    """Adds ``out``: the accent-stripped lower-case tokens of at least ``min_len``
+    characters, stop words removed, stemmed, as n-grams.  Plain unigrams stay unfiltered, as only a vocabulary that
+    passed ``kept_term`` is ever looked up in them."""
+    t = tokens(text, accents=True)
+    if tuple(ngram) == (1, 1) and stem is None:
+        return df.withColumn(out, t)
+    d = df.withColumn(out, drop_stop(t, stop, min_len))
+    if stem is not None:
+        d = d.withColumn(out, stem_udf(stem)(F.col(out)))
+    return d if tuple(ngram) == (1, 1) else d.withColumn(out, ngrams(out, *ngram))
+
+
+def kept_term(stop: list[str] | None, min_len: int = 2) -> Callable[[Column], Column]:
+    """Rule for one exploded term: long enough and no stop word (a hash set)."""
+    def rule(t: Column) -> Column:
+        long = F.char_length(t) >= min_len
+        return long & ~t.isin(list(stop)) if stop else long
+    return rule
+
+
+def _sparse(df: DataFrame, vec: str, keep: list[str]) -> DataFrame:
+    """``keep`` columns and one row for each entry of the vector: index, value."""
+    v = F.unwrap_udt(F.col(vec))
+    return (df.select(*keep, F.explode(F.arrays_zip(v["indices"], v["values"])).alias("e"))
+            .select(*keep, F.col("e.indices").alias("index"), F.col("e.values").alias("value")))
+
+
+def _sized(df: DataFrame, vec: str, size: int) -> DataFrame:
+    """Notes a vector column's size in its metadata, so that an assembler need not look at the rows."""
+    return VectorSizeHint(inputCol=vec, size=size, handleInvalid="optimistic").transform(df)
+
+
+def count_vectors(d: DataFrame, vocabulary: list[str], out: str = "__tf", terms: str = "__terms") -> DataFrame:
+    """Adds the sparse vector of the counts of the vocabulary's terms."""
+    return CountVectorizerModel.from_vocabulary(vocabulary, inputCol=terms, outputCol=out).transform(d)
+
+
+def _every(d: DataFrame, terms, keep: Callable[[Column], Column] | None) -> DataFrame:
+    t = d.select(F.explode(terms).alias("t"))
+    return t.where(keep(F.col("t"))) if keep else t
+
+
+def candidates(d: DataFrame, k: int, tracked: int, terms: str = "__terms",
+               keep: Callable[[Column], Column] | None = None) -> tuple[list[str], float]:
+    """Terms that may be among the k most frequent, and a count that no other term exceeds."""
+    wanted = min(MOST_CANDIDATES, tracked, 2 * k + 100)
+    row = _every(d, terms, keep).agg(
+        F.expr(f"approx_top_k(t, {wanted}, {tracked})").alias("top"), F.count("t").alias("n")).first()
+    top = row["top"] or []
+    slots = 1 << math.ceil(math.log2(tracked / 0.75))        # of the sketch's table; its error is 3.5 / slots at most
+    others = 2 * 3.5 / slots * row["n"]
+    if len(top) == wanted:                                   # estimates are never too low and come largest first
+        others = max(others, top[-1]["count"])
+    elif sum(x["count"] for x in top) == row["n"]:           # every term is held, so nothing was left out
+        others = 0
+    return [x["item"] for x in top], others
+
+
+def _count_all(d: DataFrame, k: int, terms: str, keep) -> DataFrame:
+    """The k most frequent terms from the counts of all."""
+    every = _every(d, terms, keep).groupBy("t").agg(F.count(F.lit(1)).alias("count"))
+    df = _every(d, F.array_distinct(terms), keep).groupBy("t").agg(F.count(F.lit(1)).alias("df"))
+    return every.orderBy(F.col("count").desc(), "t").limit(k).join(df, "t").select(F.col("t").alias("term"), "count", "df")
+
+
+def select_terms(d: DataFrame, k: int, terms: str = "__terms", keep: Callable[[Column], Column] | None = None,
+                 id_col: str | None = None) -> tuple[DataFrame, list[str], DataFrame | None]:
+    """The k terms of the ``terms`` arrays with the highest corpus count (ties by term): (term, count, df).  With
+    ``id_col`` also the candidate terms and, as a written table, each document's sparse counts of them."""
+    tracked = max(TRACKED, 16 * k)
+    while True:
+        if tracked <= MOST_TRACKED:
+            held, others = candidates(d, k, tracked, terms, keep)
+        else:
+            held, others = [r["term"] for r in _count_all(d, k, terms, keep).collect()], 0
+        if not held:
+            none = d.sparkSession.createDataFrame([], "term string, count long, df long")
+            return none, [], None
+        vectors = count_vectors(d, held, terms=terms).select(*([id_col] if id_col else []), "__tf")
+        vectors = kept_table(vectors, "term-counts") if id_col else vectors
+        counts = _sparse(vectors, "__tf", []).groupBy("index").agg(F.sum("value").cast("long").alias("count"), F.count(F.lit(1)).alias("df"))
+        names = d.sparkSession.createDataFrame(list(enumerate(held)), "index int, term string")
+        top = counts.join(F.broadcast(names), "index").orderBy(F.col("count").desc(), "term").limit(k)   # as many as candidates
+        top = kept_table(top.select("term", "count", "df"), "vocabulary")
+        low = top.agg(F.count(F.lit(1)), F.min("count")).first()
+        if others == 0 or (low[0] == k and low[1] > others):
+            return top, held, vectors if id_col else None
+        tracked *= 8
+
+
+def vocabulary(d: DataFrame, k: int, terms: str = "__terms", keep: Callable[[Column], Column] | None = None) -> DataFrame:
+    """The k terms of the ``terms`` arrays with the highest corpus count (ties by term), with their
     corpus count and document frequency."""
-    stats = terms.groupBy("term").agg(F.sum("tf").alias("count"), F.count(F.lit(1)).alias("df"))
-    return stats.orderBy(F.col("count").desc(), F.col("term")).limit(k)
+    return select_terms(d, k, terms, keep)[0]
+
+
+class _TfidfParams(Params):
+    id_col = param("id_col", "document id", to_str)
+    text = param("text", "text column", to_str)
+    k = param("k", "terms of the vocabulary; 0 for no text features", to_int)
+    ngram = param("ngram", "least and greatest n of the n-grams")
+    stop = param("stop", "stop words", to_list)
+    out = param("out", "vector column", to_str)
+
+
+class _Stemmed:
+    """The stemmer is a function, which files cannot hold: a loaded stage is given it again as ``stem``."""
+    stem: Callable[[str], str] | None = None
+
+    def _terms(self, df: DataFrame) -> DataFrame:
+        return with_terms(df, self.value("text"), self.value("stop"), tuple(self.value("ngram")), stem=self.stem)
 
+    def _rule(self) -> Callable[[Column], Column] | None:
+        plain = tuple(self.value("ngram")) == (1, 1) and self.stem is None
+        return kept_term(self.value("stop")) if plain else None
 
-class Tfidf(Estimator):
-    def __init__(self, id_col: str, text: str, k: int = 1000, ngram: tuple[int, int] = (1, 1),
-                 stop: list[str] | None = None):
+
+class Tfidf(_TfidfParams, _Stemmed, Configured, Estimator):
+    def __init__(self, id_col: str | None = None, text: str | None = None, k: int | None = None,
+                 ngram: tuple[int, int] | None = None, stop: list[str] | None = None,
+                 stem: Callable[[str], str] | None = None, out: str | None = None):
         super().__init__()
-        self.id_col, self.text, self.k, self.ngram = id_col, text, k, tuple(ngram)
-        self.stop = stop
+        self._setDefault(k=1000, ngram=[1, 1], stop=[], out="tfidf")
+        self._given(id_col=id_col, text=text, k=k, ngram=ngram and list(ngram), stop=stop, out=out)
+        self.stem = stem
+
+    def _fit(self, df: DataFrame) -> "TfidfModel":
+        return self._model(df, vocabulary(self._terms(df), self.value("k"), keep=self._rule()))
 
-    def _fit(self, df: DataFrame, terms: DataFrame | None = None) -> "TfidfModel":
+    def _model(self, df: DataFrame, top: DataFrame) -> "TfidfModel":
         n = df.count()
-        terms = terms if terms is not None else doc_terms(df, self.id_col, self.text, self.stop, self.ngram)
-        voc = vocabulary(terms, self.k)
-        rows = voc.collect()          # k rows: bounded by the parameter
-        terms = [r["term"] for r in rows]
-        idf = [math.log((1 + n) / (1 + r["df"])) + 1 for r in rows]
-        return TfidfModel(self, terms, idf)
+        rows = top.orderBy(F.col("count").desc(), "term").collect()                    # k rows
+        m = TfidfModel(self, {"terms": [r["term"] for r in rows], "idf": [math.log((1 + n) / (1 + r["df"])) + 1 for r in rows]})
+        m.stem = self.stem
+        return m
 
 
 def fit_long(est: Tfidf, df: DataFrame) -> tuple["TfidfModel", DataFrame]:
-    """Fit and weight the same frame, tokenising it once: the (doc, term,
-    count) rows are persisted (memory and disk) between the two passes."""
-    terms = doc_terms(df, est.id_col, est.text, est.stop, est.ngram).persist()
-    model = est._fit(df, terms)
-    return model, model.long(df, terms)
-
+    """Fit and weight the same frame: the weights come from the counts of the candidates that the fit wrote, so the
+    texts are read twice in all."""
+    key = est.value("id_col")
+    top, held, vectors = select_terms(est._terms(df.select(key, est.value("text"))), est.value("k"), keep=est._rule(), id_col=key)
+    model = est._model(df, top)
+    if vectors is None:
+        return model, model.long(df)
+    idf = dict(zip(model.terms, model.idf))
+    by_slot = F.array(*[F.lit(idf.get(t, 0.0)) for t in held])
+    v = F.unwrap_udt(F.col("__tf"))
+    w = vectors.select(key, v["indices"].alias("i"), F.zip_with(v["indices"], v["values"], lambda i, x: x * F.get(by_slot, i)).alias("w"))
+    norm = F.sqrt(F.aggregate("w", F.lit(0.0), lambda s, x: s + x * x))
+    names = df.sparkSession.createDataFrame([(i, t) for i, t in enumerate(held) if t in idf], "i int, term string")
+    rows = w.select(key, norm.alias("norm"), F.explode(F.arrays_zip("i", "w")).alias("e")).where("e.w > 0")
+    return model, (rows.select(key, F.col("e.i").alias("i"), (F.col("e.w") / F.col("norm")).alias("weight"))
+                   .join(F.broadcast(names), "i").select(key, "term", "weight"))       # k rows
+
+
+class TfidfModel(_TfidfParams, _Stemmed, FittedModel):
+    @property
+    def terms(self) -> list[str]:
+        return self.state["terms"]
 
-class TfidfModel(Model):
-    def __init__(self, est: Tfidf, terms: list[str], idf: list[float]):
-        super().__init__()
-        self.est, self.terms, self.idf = est, terms, idf
-
-    def long(self, df: DataFrame, terms: DataFrame | None = None) -> DataFrame:
-        """(id, term, weight) for vocabulary terms present in each doc.  The
-        vocabulary has k rows (a parameter), so it is broadcast."""
-        e = self.est
-        spark = df.sparkSession
-        voc = spark.createDataFrame(list(zip(self.terms, self.idf)), "term string, idf double")
-        terms = terms if terms is not None else doc_terms(df, e.id_col, e.text, e.stop, e.ngram)
-        w = terms.join(F.broadcast(voc), "term").withColumn("w", F.col("tf") * F.col("idf"))
-        norm = F.sqrt(F.sum(F.col("w") * F.col("w")).over(Window.partitionBy(e.id_col)))
-        return w.select(e.id_col, "term", (F.col("w") / norm).alias("weight"))
+    @property
+    def idf(self) -> list[float]:
+        return self.state["idf"]
+
+    def long(self, df: DataFrame) -> DataFrame:
+        """(id, term, weight) for vocabulary terms present in each doc."""
+        key, out = self.value("id_col"), self.value("out")
+        if not self.terms:
+            return df.select(key).limit(0).select(key, F.lit("").alias("term"), F.lit(0.0).alias("weight"))
+        d = self.transform(df.select(key, self.value("text")))
+        names = df.sparkSession.createDataFrame(list(enumerate(self.terms)), "index int, term string")
+        return (_sparse(d, out, [key]).join(F.broadcast(names), "index")        # k rows
+                .select(key, "term", F.col("value").alias("weight")))
 
     def _transform(self, df: DataFrame) -> DataFrame:
-        """Adds ``tfidf``: an L2-normalised sparse vector over the vocabulary."""
-        e = self.est
-        t = drop_stop(tokens(e.text, accents=True), e.stop, 2)
-        d = df.withColumn("__terms", ngrams(t, *e.ngram))
-        cv = CountVectorizerModel.from_vocabulary(self.terms, inputCol="__terms", outputCol="__tf")
+        """Adds ``out``: an L2-normalised sparse vector over the vocabulary."""
+        out = self.value("out")
+        if not self.terms:
+            return df.withColumn(out, array_to_vector(F.array().cast("array<double>")))
+        d = count_vectors(self._terms(df), self.terms)
         ep = ElementwiseProduct(scalingVec=Vectors.dense(self.idf), inputCol="__tf", outputCol="__w")
-        nz = Normalizer(p=2.0, inputCol="__w", outputCol="tfidf")
-        return nz.transform(ep.transform(cv.transform(d))).drop("__terms", "__tf", "__w")
+        nz = Normalizer(p=2.0, inputCol="__w", outputCol=out)
+        return nz.transform(ep.transform(d)).drop("__terms", "__tf", "__w")
 
 
-class TfidfPca(Estimator):
-    """TF-IDF, standardised per term (population std), then PCA(k)."""
+class _TfidfPcaParams(_TfidfParams):
+    n_comp = param("n_comp", "principal components; 0 for the weights themselves", to_int)
 
-    def __init__(self, id_col: str, text: str, k: int, n_comp: int, stop: list[str] | None = None):
-        super().__init__()
-        self.id_col, self.text, self.k, self.n_comp, self.stop = id_col, text, k, n_comp, stop
 
-    def _fit(self, df: DataFrame) -> "TfidfPcaModel":
-        tf = Tfidf(self.id_col, self.text, self.k, stop=self.stop).fit(df)
-        v = tf.transform(df).select(vector_to_array("tfidf").alias("a"))
-        m = len(tf.terms)
-        stats = v.select(F.posexplode("a").alias("i", "x")).groupBy("i").agg(
-            F.avg("x").alias("m"), F.stddev_pop("x").alias("s")).collect()   # m rows
-        mean = [0.0] * m
-        std = [1.0] * m
-        for r in stats:
-            mean[r["i"]] = r["m"]
-            std[r["i"]] = r["s"] or 1.0
-        pca = PCA(k=min(self.n_comp, m), inputCol="__z", outputCol="pca").fit(_standardised(v, "a", mean, std))
-        return TfidfPcaModel(tf, mean, std, pca)
-
-
-def _standardised(df: DataFrame, arr: str, mean: list[float], std: list[float]) -> DataFrame:
-    m = F.array(*[F.lit(x) for x in mean])
-    s = F.array(*[F.lit(x) for x in std])
-    z = F.transform(F.col(arr), lambda x, i: (x - F.element_at(m, i + 1)) / F.element_at(s, i + 1))
-    return df.withColumn("__z", array_to_vector(z))
-
-
-class TfidfPcaModel(Model):
-    def __init__(self, tf: TfidfModel, mean, std, pca):
+class TfidfPca(_TfidfPcaParams, _Stemmed, Configured, Estimator):
+    """TF-IDF, standardised per term (population std), then PCA(n_comp) as ``out``.
+
+    Rows stay sparse: the k x k covariance of the weights is summed over them in a tree, scaled and decomposed on the
+    driver; a row is projected by its own entries, less the means' projection.  The largest loading of a component
+    is positive, so its sign is fixed."""
+
+    def __init__(self, id_col: str | None = None, text: str | None = None, k: int | None = None, n_comp: int | None = None,
+                 stop: list[str] | None = None, ngram: tuple[int, int] | None = None,
+                 stem: Callable[[str], str] | None = None, out: str | None = None):
         super().__init__()
-        self.tf, self.mean, self.std, self.pca = tf, mean, std, pca
+        self._setDefault(k=1000, n_comp=10, ngram=[1, 1], stop=[], out="pca")
+        self._given(id_col=id_col, text=text, k=k, n_comp=n_comp, stop=stop, ngram=ngram and list(ngram), out=out)
+        self.stem = stem
 
+    def _fit(self, df: DataFrame) -> "TfidfPcaModel":
+        if not self.value("k"):
+            return TfidfPcaModel(self)
+        tf = Tfidf(self.value("id_col"), self.value("text"), self.value("k"), tuple(self.value("ngram")), self.value("stop"),
+                   self.stem, "__v").fit(df)
+        if not self.value("n_comp") or not tf.terms:
+            return TfidfPcaModel(self, parts={"tfidf": tf})
+        v = kept_table(tf.transform(df).select("__v"), "tfidf-vectors")
+        row = v.agg(Summarizer.mean(F.col("__v")).alias("m"), Summarizer.variance(F.col("__v")).alias("s"), F.count("__v").alias("n")).first()
+        std = np.sqrt(np.maximum(row["s"].toArray(), 0) * (row["n"] - 1) / row["n"])
+        scale = 1 / np.where(std > 0, std, 1)
+        cov = RowMatrix(MLUtils.convertVectorColumnsFromML(v, "__v")).computeCovariance().toArray()   # summed in a tree, sparse rows
+        variance, axes = np.linalg.eigh(cov * (row["n"] - 1) / row["n"] * scale[:, None] * scale)
+        order = np.argsort(-variance, kind="stable")[:min(self.value("n_comp"), len(tf.terms))]
+        axes = axes[:, order] * np.where(np.abs(axes).max(0) == axes.max(0), 1, -1)[order]     # largest loading positive
+        loadings = axes * scale[:, None]
+        table = df.sparkSession.createDataFrame([(i, x.tolist()) for i, x in enumerate(loadings)], "index int, loading array<double>")
+        share = np.maximum(variance, 0)[order] / max(np.maximum(variance, 0).sum(), 1e-300)
+        return TfidfPcaModel(self, {"explained_variance": share.tolist(), "centre": (row["m"].toArray() @ loadings).tolist()},
+                             {"loadings": kept_table(table, "loadings")}, {"tfidf": tf})
+
+
+class TfidfPcaModel(_TfidfPcaParams, FittedModel):
     @property
     def explained_variance(self) -> list[float]:
-        return list(self.pca.explainedVariance)
+        return self.state["explained_variance"]
 
     def _transform(self, df: DataFrame) -> DataFrame:
-        v = self.tf.transform(df).withColumn("__a", vector_to_array("tfidf"))
-        return self.pca.transform(_standardised(v, "__a", self.mean, self.std)).drop("__a", "__z")
+        out = self.value("out")
+        if "tfidf" not in self.parts:
+            return df
+        d = self.parts["tfidf"].transform(df)
+        if "loadings" not in self.tables:
+            return _sized(d.withColumnRenamed("__v", out), out, len(self.parts["tfidf"].terms))
+        rows = self.tables["loadings"].orderBy("index").collect()                    # a row for each term
+        held = df.sparkSession.sparkContext.broadcast(np.array([r["loading"] for r in rows]))
+        centre = np.array(self.state["centre"])
+
+        @F.pandas_udf("array<double>")
+        def project(index: pd.Series, value: pd.Series) -> pd.Series:
+            size = index.map(len).to_numpy()
+            row = np.repeat(np.arange(len(size)), size)
+            got = np.zeros((len(size), len(centre)))
+            if len(row):
+                np.add.at(got, row, held.value[np.concatenate(index.to_numpy())] * np.concatenate(value.to_numpy())[:, None])
+            return pd.Series(list(got - centre))
+
+        v = F.unwrap_udt(F.col("__v"))
+        d = d.withColumn(out, array_to_vector(project(v["indices"], v["values"])))
+        return _sized(d.drop("__v"), out, len(centre))
 
 
 def join_vectors(df: DataFrame, vecs: DataFrame, key: str, vec_key: str | None = None) -> DataFrame:
@@ -152,45 +304,54 @@ def join_vectors(df: DataFrame, vecs: DataFrame, key: str, vec_key: str | None =
     return df.join(v, key, "inner")
 
 
-class VectorPca(Estimator):
+class _VectorPcaParams(Params):
+    col = param("col", "array column of the vectors", to_str)
+    share = param("share", "share of the variance to keep; 1 keeps the vectors, 0 drops them", to_float)
+    out = param("out", "vector column", to_str)
+    as_vector = param("as_vector", "with share 1: the whole vectors as ``out``", to_bool)
+
+
+class VectorPca(_VectorPcaParams, Configured, Estimator):
     """Keep the fewest principal components whose explained variance reaches
     ``share`` (0 < share < 1); share 1 keeps the vectors as they are, share 0
     drops them."""
 
-    def __init__(self, col: str, share: float, out: str = "vec_pca"):
+    def __init__(self, col: str | None = None, share: float | None = None, out: str | None = None, as_vector: bool | None = None):
         super().__init__()
-        if not (0 <= share <= 1):
+        if share is not None and not (0 <= share <= 1):
             raise ValueError("share must be in [0, 1]")
-        self.col, self.share, self.out = col, share, out
+        self._setDefault(share=1.0, out="vec_pca", as_vector=False)
+        self._given(col=col, share=share, out=out, as_vector=as_vector)
 
     def _fit(self, df: DataFrame) -> "VectorPcaModel":
-        if self.share in (0, 1):
-            return VectorPcaModel(self, None, 0)
-        d = df.withColumn("__v", array_to_vector(F.col(self.col).cast("array<double>")))
-        dim = len(d.select(self.col).first()[0])
+        col = self.value("col")
+        first = df.select(col).where(F.col(col).isNotNull()).first()
+        dim = len(first[0]) if first else 0
+        if self.value("share") in (0, 1) or not dim:
+            return VectorPcaModel(self, {"k": 0, "dim": dim})
+        d = df.select(F.col(col).cast("array<double>").alias(col)).withColumn("__v", array_to_vector(col))
         pca = PCA(k=dim, inputCol="__v", outputCol="__p").fit(d)
         total, k = 0.0, 0
         for k, ev in enumerate(pca.explainedVariance, start=1):
             total += ev
-            if total >= self.share:
+            if total >= self.value("share"):
                 break
-        return VectorPcaModel(self, pca, k)
+        return VectorPcaModel(self, {"k": k}, parts={"pca": pca})
 
 
-class VectorPcaModel(Model):
-    def __init__(self, est: VectorPca, pca, k: int):
-        super().__init__()
-        self.est, self.pca, self.k = est, pca, k
+class VectorPcaModel(_VectorPcaParams, FittedModel):
+    @property
+    def k(self) -> int:
+        return self.state["k"]
 
     def _transform(self, df: DataFrame) -> DataFrame:
-        e = self.est
-        if self.pca is None:
-            return df.drop(e.col) if e.share == 0 else df
-        d = df.withColumn("__v", array_to_vector(F.col(e.col).cast("array<double>")))
-        p = self.pca.transform(d)
-        s = VectorSlicer(inputCol="__p", outputCol=e.out, indices=list(range(self.k))).transform(p)
-        return s.drop("__v", "__p", e.col)
-
-
-def assemble(df: DataFrame, cols: list[str], out: str = "features") -> DataFrame:
-    return VectorAssembler(inputCols=cols, outputCol=out, handleInvalid="keep").transform(df)
+        col = self.value("col")
+        if not self.parts:
+            if self.value("share") and self.value("as_vector"):
+                return _sized(df.withColumn(self.value("out"), array_to_vector(F.col(col).cast("array<double>"))).drop(col),
+                              self.value("out"), self.state["dim"])
+            return df if self.value("share") else df.drop(col)
+        d = df.withColumn("__v", array_to_vector(F.col(col).cast("array<double>")))
+        p = self.parts["pca"].transform(d)
+        s = VectorSlicer(inputCol="__p", outputCol=self.value("out"), indices=list(range(self.k))).transform(p)
+        return s.drop("__v", "__p", col)

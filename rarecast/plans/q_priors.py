@@ -51,7 +51,7 @@ def prior_table(spark, sf):
 SELECT lang, source, n_chars_bin, total, target, round(target_fraction, 6) AS target_fraction FROM {_FULL}""")
 def complete_grid(spark, sf):
     _, m = _model(spark, sf, complete=True)
-    return round_doubles(m.table)
+    return round_doubles(m.grid())
 
 
 @register("prior_score", f"""
@@ -82,3 +82,13 @@ def prior_matrix(spark, sf):
     df = docs_labeled(spark, sf)
     m = PR.Priors(["lang", "source"], [], "toxic", complete=False).fit(df)
     return round_doubles(PR.prior_matrix(m.table, "lang", "source"))
+
+
+@register("prior_entries", f"""
+WITH t AS (SELECT lang, source, sum(toxic) / count(*) AS f FROM {DOCS_SQL} GROUP BY ALL)
+SELECT (dense_rank() OVER (ORDER BY lang) - 1)::BIGINT AS row, (dense_rank() OVER (ORDER BY source) - 1)::BIGINT AS col, lang, source,
+  round(f, 6) AS target_fraction FROM t""")
+def prior_entries(spark, sf):
+    df = docs_labeled(spark, sf)
+    m = PR.Priors(["lang", "source"], [], "toxic", complete=False).fit(df)
+    return round_doubles(PR.prior_entries(m.table, "lang", "source"))

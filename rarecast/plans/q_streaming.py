@@ -6,11 +6,14 @@ sink holds.  Results equal the batch forms, so most have oracle SQL."""
 
 from __future__ import annotations
 
+import time
+
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import normalise as N
 from ..session import fresh_path
+from ..sources.published import PublishedTable
 from ..streaming import streams as S
 from .fixtures import EVENTS_ASOF_SQL, epoch_sql, events, events_asof, round_doubles
 from .registry import register
@@ -27,17 +30,19 @@ def _staged(spark, sf, name, partition_by=None):
     return S.stage_copy(e, name, partition_by)
 
 
+_TARGET = T.StructType([T.StructField("event_id", T.LongType()), T.StructField("user_id", T.LongType()),
+                        T.StructField("value", T.DoubleType()), T.StructField("event_type", T.StringType())])
+
+
 @register("read_staged_incremental", """
 SELECT event_id, user_id, event_type, round(value, 6) AS value FROM events
 WHERE event_type IN (SELECT event_type FROM events GROUP BY 1 HAVING max(value) <= 480)""")
 def read_staged_incremental(spark, sf):
     src = _staged(spark, sf, "staged", partition_by="event_type")
-    target, ledger = fresh_path(spark, "table"), fresh_path(spark, "ledger")
-    conform_to = T.StructType([T.StructField("event_id", T.LongType()), T.StructField("user_id", T.LongType()),
-                               T.StructField("event_type", T.StringType()), T.StructField("value", T.DoubleType())])
-    S.ingest_stream(spark, src, target, fresh_path(spark, "ckpt"), _EVENTS, conform_to, "event_id",
-                    ["value"], F.col("value") > 480, ledger)
-    return round_doubles(spark.read.parquet(target))
+    table = PublishedTable(spark, fresh_path(spark, "table"), _TARGET, "event_type")
+    S.ingest_stream(spark, src, table, fresh_path(spark, "ckpt"), _EVENTS, "event_id", ["value"],
+                    F.col("event_type"), F.col("value") > 480)
+    return round_doubles(table.rows())
 
 
 @register("stream_normalise", f"""
@@ -67,17 +72,45 @@ def stream_dedup(spark, sf):
 @register("stream_append_idempotent", """
 SELECT event_id, event_type, round(value, 6) AS value FROM events WHERE event_type <> 'error'""")
 def stream_append_idempotent(spark, sf):
-    target = fresh_path(spark, "table")
-    e = events(spark, sf).select("event_id", "event_type", "value")
-    e.where(F.col("event_type").isin("view", "click")).write.parquet(target)
+    schema = T.StructType([T.StructField("event_id", T.LongType()), T.StructField("value", T.DoubleType()),
+                           T.StructField("event_type", T.StringType())])
+    table = PublishedTable(spark, fresh_path(spark, "table"), schema, "event_type")
+    e = events(spark, sf).select("event_id", "value", "event_type")
+    table.publish(-1, e.where(F.col("event_type").isin("view", "click")), "event_id", ["value"])
     src = _staged(spark, sf, "staged")
     stream = S.read_stream(spark, src, _EVENTS).where(F.col("event_type") != "error") \
-        .select("event_id", "event_type", "value")
-    fn = S.append_batch(target, "event_id", ["value"])
+        .select("event_id", "value", "event_type")
+    fn = S.append_batch(table, "event_id", ["value"])
     S.run_available_now(stream, fn, fresh_path(spark, "ckpt"))
     # a replay of batch 0 (as after a failure before the commit) changes nothing
-    fn(spark.read.parquet(src).where(F.col("event_type") != "error").select("event_id", "event_type", "value"), 0)
-    return round_doubles(spark.read.parquet(target))
+    fn(spark.read.parquet(src).where(F.col("event_type") != "error").select("event_id", "value", "event_type"), 0)
+    return round_doubles(table.rows())
+
+
+@register("stream_outcome_left", """
+WITH v AS (SELECT event_id, user_id, ts FROM events WHERE event_type = 'view'),
+p AS (SELECT event_id, user_id, ts, value FROM events WHERE event_type = 'purchase')
+SELECT v.event_id, p.event_id AS out_event_id, round(p.value, 6) AS out_value FROM v
+LEFT JOIN p ON v.user_id = p.user_id AND p.ts >= v.ts + INTERVAL 24 HOUR AND p.ts < v.ts + INTERVAL 48 HOUR""")
+def stream_outcome_left(spark, sf):
+    """Left outer: every snapshot comes out, matched or with nulls once the watermark has passed its 48 hours.  A late
+    closing row on both sides moves the watermark beyond the last snapshot."""
+    src = _staged(spark, sf, "staged")
+    e = events(spark, sf)
+    last = e.agg((F.max("ts").cast("timestamp") + F.expr("INTERVAL 5 DAYS")).alias("ts"))
+    time.sleep(1.1)                     # the file source takes files by modification time
+    for kind in ("view", "purchase"):
+        (last.select(F.lit(-1).cast("long").alias("event_id"), "ts", F.lit(-1).cast("long").alias("user_id"), F.lit(kind).alias("event_type"),
+                     F.lit(0.0).alias("value"), F.lit("").alias("props")).coalesce(1).write.mode("append").parquet(src))
+    st = S.read_stream(spark, src, _EVENTS, max_files=1)
+    views = st.where(F.col("event_type") == "view").select("event_id", "user_id", "ts")
+    buys = st.where(F.col("event_type") == "purchase").select("event_id", "user_id", "ts", "value")
+    j = S.stream_outcome(views, buys, "user_id", "ts", "ts", "24 hours", "48 hours", "1 hour", how="left_outer")
+    j = j.select(F.col("s.event_id").alias("event_id"), F.col("o.event_id").alias("out_event_id"),
+                 F.col("o.value").alias("out_value"))
+    out = fresh_path(spark, "out")
+    S.run_available_now(j, out, fresh_path(spark, "ckpt"))
+    return round_doubles(spark.read.parquet(out).where("event_id >= 0"))
 
 
 @register("stream_outcome_join", """

@@ -3,6 +3,8 @@
 
 from __future__ import annotations
 
+from pyspark.ml.functions import vector_to_array
+from pyspark.ml.stat import Summarizer
 from pyspark.sql import functions as F
 
 from ..functions import text as TX
@@ -14,7 +16,8 @@ from .registry import register
 # function words of the four languages in the test corpus).
 QUERY_STOP = ["the", "and", "of", "to", "in", "le", "la", "les", "de", "des", "du", "et", "un", "une",
               "der", "die", "das", "und", "el", "los", "las", "y", "en", "que"]
-VOCAB_K = 50
+VOCAB_K = 1000
+N_COMP = 50
 
 _STOP_SQL = "[" + ", ".join(f"'{w}'" for w in QUERY_STOP) + "]"
 _RE = r"'[\p{L}\p{N}_]+'"
@@ -54,8 +57,8 @@ def ngrams(spark, sf):
 
 @register("vocabulary_top_k", f"SELECT term, count, df FROM {_VOCAB_SQL}")
 def vocabulary_top_k(spark, sf):
-    terms = TF.doc_terms(_docs(spark, sf), "doc_id", "text", QUERY_STOP)
-    return TF.vocabulary(terms, VOCAB_K)
+    d = TF.with_terms(_docs(spark, sf).select("text"), "text", QUERY_STOP)
+    return TF.vocabulary(d, VOCAB_K, keep=TF.kept_term(QUERY_STOP))
 
 
 @register("tfidf", f"""
@@ -63,39 +66,66 @@ WITH v AS (SELECT term, ln((1 + (SELECT count(*) FROM documents)) / (1 + df)) +
 w AS (SELECT t.doc_id, t.term, t.tf * v.idf AS w FROM {_TERMS_SQL} t JOIN v USING (term))
 SELECT doc_id, term, round(w / sqrt(sum(w * w) OVER (PARTITION BY doc_id)), 6) AS weight FROM w""")
 def tfidf(spark, sf):
-    d = _docs(spark, sf)
-    _, weights = TF.fit_long(TF.Tfidf("doc_id", "text", VOCAB_K, stop=QUERY_STOP), d)
+    _, weights = TF.fit_long(TF.Tfidf("doc_id", "text", VOCAB_K, stop=QUERY_STOP), _docs(spark, sf))
     return round_doubles(weights)
 
 
 @register("tfidf_pca")
 def tfidf_pca(spark, sf):
-    """Explained variance of the leading components (the sign of components is
-    arbitrary, so only variances are comparable): rows-only."""
-    d = _docs(spark, sf)
-    m = TF.TfidfPca("doc_id", "text", VOCAB_K, 5, stop=QUERY_STOP).fit(d)
-    ev = m.explained_variance
-    return spark.createDataFrame([(i, float(v)) for i, v in enumerate(ev)], "component int, explained_variance double")
+    """Every document's leading components and their explained variance (rows-only: SQL has no eigenvectors;
+    pytest checks them against numpy)."""
+    d = _docs(spark, sf).select("doc_id", "text")
+    m = TF.TfidfPca("doc_id", "text", VOCAB_K, N_COMP, stop=QUERY_STOP).fit(d)
+    share = F.array(*[F.lit(float(v)) for v in m.explained_variance])
+    out = m.transform(d).select("doc_id", F.posexplode(vector_to_array("pca")).alias("component", "value"))
+    return out.withColumn("explained_variance", share[F.col("component")])
+
+
+@register("tfidf_pca_trace", f"""
+WITH v AS (SELECT term, ln((1 + (SELECT count(*) FROM documents)) / (1 + df)) + 1 AS idf FROM {_VOCAB_SQL}),
+w AS (SELECT t.doc_id, t.term, t.tf * v.idf AS w FROM {_TERMS_SQL} t JOIN v USING (term)),
+x AS (SELECT term, w / sqrt(sum(w * w) OVER (PARTITION BY doc_id)) AS x FROM w),
+s AS (SELECT term, sum(x * x) / (SELECT count(*) FROM documents) - (sum(x) / (SELECT count(*) FROM documents)) ^ 2 AS var
+      FROM x GROUP BY term)
+SELECT CAST(count(*) AS BIGINT) AS n_terms, round(sum(CASE WHEN var > 0 THEN 1.0 ELSE 0.0 END), 3) AS total_variance FROM s""")
+def tfidf_pca_trace(spark, sf):
+    """Total variance of all components: the trace, one for each term that varies, as the terms are standardised."""
+    d = _docs(spark, sf).select("doc_id", "text")
+    m = TF.TfidfPca("doc_id", "text", VOCAB_K, VOCAB_K, stop=QUERY_STOP).fit(d)
+    variances = m.transform(d).agg(Summarizer.variance(F.col("pca")).alias("v"), F.count(F.lit(1)).alias("n"))
+    v = F.aggregate(vector_to_array("v"), F.lit(0.0), lambda a, x: a + x)
+    return variances.select(F.lit(len(m.parts["tfidf"].terms)).cast("long").alias("n_terms"),
+                            F.round(v * (F.col("n") - 1) / F.col("n"), 3).alias("total_variance"))
 
 
 @register("join_vectors", """
-SELECT d.doc_id, d.lang, CAST(len(e.embedding) AS INTEGER) AS dim, round(CAST(e.embedding[1] AS DOUBLE), 6) AS e0,
-  round(CAST(e.embedding[64] AS DOUBLE), 6) AS e63
-FROM documents d JOIN embeddings e ON e.vec_id = d.doc_id""")
+SELECT d.doc_id, d.lang, CAST(len(e.embedding) AS INTEGER) AS dim, CAST(i - 1 AS INTEGER) AS i, round(CAST(e.embedding[i] AS DOUBLE), 6) AS x
+FROM documents d JOIN embeddings e ON e.vec_id = d.doc_id, unnest(range(1, len(e.embedding) + 1)) t(i)""")
 def join_vectors(spark, sf):
+    """The joined vectors, a row for each coordinate."""
     d = _docs(spark, sf).select("doc_id", "lang")
     v = table(spark, sf, "embeddings").select("vec_id", "embedding")
     j = TF.join_vectors(d, v, "doc_id", "vec_id")
     return round_doubles(j.select("doc_id", "lang", F.size("embedding").alias("dim"),
-                                  F.col("embedding")[0].cast("double").alias("e0"),
-                                  F.col("embedding")[63].cast("double").alias("e63")))
+                                  F.posexplode(F.col("embedding").cast("array<double>")).alias("i", "x")))
 
 
 @register("vector_pca_variance")
 def vector_pca_variance(spark, sf):
-    """Fewest components reaching 80% of the variance: rows-only."""
+    """Every vector's components up to 80% of the variance (rows-only; see ``vector_pca_trace``)."""
     v = table(spark, sf, "embeddings").select("vec_id", "embedding")
     m = TF.VectorPca("embedding", 0.8).fit(v)
-    out = m.transform(v)
-    from pyspark.ml.functions import vector_to_array
-    return out.select("vec_id", F.size(vector_to_array("vec_pca")).alias("n_components"))
+    return m.transform(v).select("vec_id", F.lit(m.k).alias("n_components"),
+                                 F.posexplode(vector_to_array("vec_pca")).alias("component", "value"))
+
+
+@register("vector_pca_trace", """
+SELECT CAST(count(*) AS INTEGER) AS dim, round(sum(v), 6) AS total_variance FROM (
+  SELECT i, var_samp(CAST(embedding[i] AS DOUBLE)) AS v FROM embeddings, unnest(range(1, len(embedding) + 1)) t(i) GROUP BY i)""")
+def vector_pca_trace(spark, sf):
+    """Rotating to all components keeps the total variance."""
+    v = table(spark, sf, "embeddings").select("vec_id", "embedding")
+    m = TF.VectorPca("embedding", 1 - 1e-12).fit(v)
+    out = m.transform(v).agg(Summarizer.variance(F.col("vec_pca")).alias("v"))
+    total = F.aggregate(vector_to_array("v"), F.lit(0.0), lambda a, x: a + x)
+    return round_doubles(out.select(F.lit(m.k).cast("int").alias("dim"), total.alias("total_variance")))

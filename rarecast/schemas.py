@@ -48,18 +48,18 @@ COMMENT_FEATURES = _st(("post_id", S), ("avg_up_rate", D), ("var_up_rate", D), (
 OUTCOME = _st(("post_id", S), ("silver_awarded", I), ("gold_awarded", I), ("platinum_awarded", I),
               ("final_upvotes", I), ("final_num_comments", I))
 
-# The 45-column posts table (primary key ID).
+# The 45-column posts table (primary key ID); fixed values, in the declared order.
 POSTS_TABLE = _st(
     ("Title", S), ("Author", S), ("ID", S), ("Gilded", I), ("Upvotes", I), ("Upvote_ratio", F32),
     ("Post_time", I), ("Views", I), ("Discussion_type", S), ("Distinguished", B), ("Contest_mode", B),
     ("Content_categories", S), ("Edited", B), ("Hidden", B), ("Crosspostable", B), ("Crossposts", I),
     ("Meta", B), ("OC", B), ("Reddit_media", B), ("Robot_indexable", B), ("Selfpost", B), ("Video", B),
     ("Likes", I), ("Comments", I), ("Adult_content", B), ("Subreddit", S), ("Created_utc", D),
-    ("Post_age", F32), ("Upvote_rate", F32), ("Comment_rate", F32), ("How_sorted", S),
-    ("Silver_awarded", I), ("Gold_awarded", I), ("Platinum_awarded", I), ("Initial_silver", I),
-    ("Initial_gold", I), ("Initial_platinum", I), ("Final_upvotes", I), ("Final_num_comments", I),
-    ("avg_up_rate", F32), ("std_up_rate", F32), ("gild_rate", F32), ("distinguished_rate", F32),
-    ("op_comment_rate", F32), ("premium_auth_rate", F32),
+    ("Post_age", F32), ("Upvote_rate", F32), ("Comment_rate", F32), ("avg_up_rate", F32), ("std_up_rate", F32),
+    ("gild_rate", F32), ("distinguished_rate", F32), ("op_comment_rate", F32), ("premium_auth_rate", F32),
+    ("Silver_awarded", I), ("Gold_awarded", I), ("Platinum_awarded", I), ("How_sorted", S),
+    ("Initial_silver", I), ("Initial_gold", I), ("Initial_platinum", I), ("Final_upvotes", I),
+    ("Final_num_comments", I),
 )
 
 # Maximum string lengths of the table (validation rules).

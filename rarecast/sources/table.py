@@ -9,11 +9,11 @@ join), so replaying a batch is a no-op."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..util import col_of, read_if_exists, union_all
+from ..util import col_of, union_all
 
 
 def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
@@ -29,9 +29,29 @@ def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
     return df.select(*out)
 
 
-def conform_union(frames: list[DataFrame], schema: T.StructType) -> DataFrame:
-    """Bag union of differently-shaped batches, by name, missing -> NULL."""
-    return union_all([conform(f, schema) for f in frames])
+VERDICT = "array<struct<column: string, rule: string, value: string>>"
+
+
+def with_verdicts(df: DataFrame, schema: T.StructType, key: str | None = None, max_length: dict[str, int] | None = None,
+                  out: str = "verdicts", keep: list[str] = ()) -> DataFrame:
+    """``conform`` that tells what it refused: the typed columns, ``keep`` columns as they are, and ``out``, an array
+    of (column, rule, raw value) in the order of the columns: ``cast`` for a value that its type cannot hold
+    (NULL in the typed row), ``length`` for text above ``max_length``, ``null_key`` for a missing or uncastable key."""
+    have, limits, typed, found = set(df.columns), dict(max_length or {}), [], []
+
+    def say(when: Column, name: str, rule: str, value: Column) -> Column:
+        return F.when(when, F.struct(F.lit(name).alias("column"), F.lit(rule).alias("rule"), value.cast("string").alias("value")))
+
+    for f in schema.fields:
+        raw = F.col(f"`{f.name}`") if f.name in have else F.lit(None)
+        value = raw.try_cast(f.dataType) if f.name in have else raw.cast(f.dataType)
+        typed.append(value.alias(f.name))
+        found.append(say(raw.isNotNull() & value.isNull(), f.name, "cast", raw))
+        if f.name in limits:
+            found.append(say(F.char_length(value) > limits[f.name], f.name, "length", raw))
+        if f.name == key:
+            found.append(say(value.isNull(), f.name, "null_key", raw))
+    return df.select(*keep, *typed, F.array_compact(F.array(*found)).cast(VERDICT).alias(out))
 
 
 def route_files(df: DataFrame, file_col: str, bad_row: Column) -> DataFrame:
@@ -89,21 +109,6 @@ def append_first_wins(target: DataFrame, batch: DataFrame, key: str | list, orde
     return target.unionByName(new_rows(target, batch, key, order).select(*target.columns))
 
 
-def append_to_table(spark: SparkSession, path: str, batch: DataFrame, key: str | list,
-                    order: list, fmt: str = "parquet") -> int:
-    """Append the new rows of ``batch`` to the table at ``path`` (created when
-    missing).  Returns the number of rows written."""
-    target = read_if_exists(spark, path, fmt)
-    rows = first_per_key(batch, key, order) if target is None else \
-        new_rows(target, batch, key, order).select(*target.columns)
-    rows = rows.persist()
-    n = rows.count()
-    if n:
-        rows.write.mode("append").format(fmt).save(path)
-    rows.unpersist()
-    return n
-
-
 def scrape_tags(df: DataFrame, id_col: str = "id") -> DataFrame:
     """Distinct snapshot labels (the part of the id after ``_``)."""
     return df.select(F.regexp_extract(F.col(id_col), r"_(.*)$", 1).alias("scrape_tag")).distinct()

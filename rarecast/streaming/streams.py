@@ -16,8 +16,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..session import fresh_path
-from ..util import read_if_exists
-from ..sources.table import first_per_key
+from ..sources.published import PublishedTable, move_files
+from ..util import kept_table
 
 # --------------------------------------------------------------------------- running
 def run_available_now(stream: DataFrame, sink: str | Callable, checkpoint: str,
@@ -72,51 +72,42 @@ def stream_dedup(df: DataFrame, key: str | list, ts: str, delay: str) -> DataFra
     return event_time(df, ts).withWatermark(ts, delay).dropDuplicatesWithinWatermark(keys)
 
 
-def append_batch(target: str, key: str | list, order: list, fmt: str = "parquet") -> Callable:
-    """``foreachBatch`` function: append the batch's first row per key, minus
-    keys already in the target (left-anti join).  Batch ids already applied
-    are recorded under ``<target>/_batches`` and skipped on replay; even
-    without the record the anti join keeps the append idempotent."""
-    keys = [key] if isinstance(key, str) else list(key)
-    ledger = f"{target.rstrip('/')}_batches"
-
+def append_batch(table: PublishedTable, key: str, order: list) -> Callable:
+    """``foreachBatch`` function: publishes the batch's first row per key, minus keys the table has (only the
+    batch's tags are read).  A batch that was published is skipped."""
     def apply(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        done = read_if_exists(spark, ledger)
-        if done is not None and done.where(F.col("batch_id") == batch_id).head(1):
-            return
-        first = first_per_key(batch, keys, order)
-        existing = read_if_exists(spark, target, fmt)
-        rows = first if existing is None else first.join(existing.select(*keys), keys, "left_anti")
-        rows.write.mode("append").format(fmt).save(target)
-        spark.createDataFrame([(batch_id,)], "batch_id long").write.mode("append").parquet(ledger)
+        table.publish(batch_id, batch, key, order)
     return apply
 
 
-def ingest_stream(spark: SparkSession, in_dir: str, target: str, checkpoint: str, schema: T.StructType,
-                  conform_to: T.StructType, key: str, order: list, bad_row: Column,
-                  ledger: str, fmt: str = "parquet", archive_dir: str | None = None,
-                  rejected: str | None = None) -> None:
-    """Take each staged file once: conform it, reject a file wholly when any
-    of its rows fails ``bad_row``, append the accepted rows first-wins by
-    ``key``, and record one ledger row per file (status completed / error).
-    With ``archive_dir`` processed files leave the staging folder; with
-    ``rejected`` the rows of rejected files are kept there as they came.  Ledger
-    and rejected rows are written by batch (``batch_id=``), so a replayed batch
-    replaces its own."""
-    from ..sources.table import conform, load_ledger, route_files, split_routes
-    src = read_stream(spark, in_dir, schema, fmt, archive_dir=archive_dir) \
-        .withColumn("file", F.col("_metadata.file_path"))
-    append = append_batch(target, key, order, fmt)
+LEDGER = T.StructType([T.StructField("file", T.StringType()), T.StructField("status", T.StringType()),
+                       T.StructField("n_rows", T.LongType()), T.StructField("n_bad_rows", T.LongType())])
+
+
+def ingest_stream(spark: SparkSession, in_dir: str, table: PublishedTable, checkpoint: str, schema: T.StructType,
+                  key: str, order: list, tag: Column, bad_row: Column | None = None, max_length: dict[str, int] | None = None,
+                  fmt: str = "parquet", max_files: int | None = None, moved_to: tuple[str, str] | None = None,
+                  fail_after: str | None = None) -> None:
+    """Take each staged file once: conform it to the table with a verdict on every cell, reject a file wholly when any
+    of its rows has a verdict or fails ``bad_row`` (a rule on the raw row), and publish as one step the accepted rows
+    (first per ``key``, ``tag`` computed from the raw row and ``file``), the rejected rows as they came with their
+    verdicts, and one ledger row per file (status completed / error).  ``moved_to`` then takes the files of a published
+    batch to a (completed, error) folder; a replay moves what a lost driver did not."""
+    from ..sources.table import load_ledger, route_files, split_routes, with_verdicts
+    src = read_stream(spark, in_dir, schema, fmt, max_files=max_files).withColumn("file", F.col("_metadata.file_path"))
+    target = T.StructType([f for f in table.schema.fields if f.name != table.tag])
 
     def per_batch(batch: DataFrame, batch_id: int) -> None:
-        routed = route_files(batch, "file", bad_row).persist()
+        ruled = batch.select("*", F.struct(*batch.columns).alias("__raw"), tag.alias("__tag"),
+                             (F.lit(False) if bad_row is None else F.coalesce(bad_row, F.lit(True))).alias("__rule"))
+        judged = with_verdicts(ruled, target, key, max_length, keep=["__raw", "__tag", "__rule", F.col("file").alias("__file")])
+        routed = kept_table(route_files(judged, "__file", (F.size("verdicts") > 0) | F.col("__rule")), "routed")
         ok, bad = split_routes(routed)
-        append(conform(ok, conform_to), batch_id)
-        load_ledger(routed, "file").write.mode("overwrite").parquet(f"{ledger}/batch_id={batch_id}")
-        if rejected:
-            bad.drop("row_bad", "route").write.mode("overwrite").format(fmt).save(f"{rejected}/batch_id={batch_id}")
-        routed.unpersist()
+        ledger = load_ledger(routed, "__file").withColumnRenamed("__file", "file")
+        table.publish(batch_id, ok.withColumnRenamed("__tag", table.tag).select(*table.schema.names), key, order, ledger,
+                      bad.select("__raw.*", "verdicts"), fail_after)
+        if moved_to:
+            move_files(spark, ledger, "file", *moved_to)
     run_available_now(src, per_batch, checkpoint)
 
 

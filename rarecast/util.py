@@ -3,11 +3,14 @@ one-row aggregates attached as scalar subqueries and a distributed prefix sum.""
 
 from __future__ import annotations
 
+import math
 from functools import reduce
 
+from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+
 def col_of(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
@@ -60,33 +63,64 @@ def union_all(frames) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b), frames)
 
 
+def kept_table(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written to the shared work folder and read back: what is computed once is not recomputed by each use, also
+    after an executor is lost, and the planner knows its size."""
+    from .session import fresh_path
+    path = fresh_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def dense_number(df: DataFrame, keys: list[str], out: str, name: str) -> DataFrame:
+    """Rows with ``out``, their place (from 0) in the order of ``keys``, without sorting them in one task: they are
+    range-partitioned, sorted and written with their place inside the partition; the partitions' sizes (a row for
+    each) then give the offsets.  The table lies in the shared work folder."""
+    from .session import fresh_path
+    path = fresh_path(df.sparkSession, name)
+    df.repartitionByRange(*keys).sortWithinPartitions(*keys).withColumn("__at", F.monotonically_increasing_id()).write.parquet(path)
+    t = df.sparkSession.read.parquet(path)
+    part = F.shiftright("__at", 33)           # the upper bits are the partition, the lower 33 the row in it
+    sizes = t.groupBy(part.alias("__part")).agg(F.count(F.lit(1)).alias("__n"))
+    before = F.sum("__n").over(Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1))
+    offsets = sizes.select("__part", F.coalesce(before, F.lit(0)).alias("__before"))
+    return (t.withColumn("__part", part).join(F.broadcast(offsets), "__part")      # a row for each partition
+            .withColumn(out, F.col("__before") + F.col("__at").bitwiseAND(F.lit((1 << 33) - 1)))
+            .drop("__part", "__before", "__at"))
+
+
 def prefix_sum_by_range(df: DataFrame, key: str, sums: dict[str, str],
                         descending: bool = False, tiebreak: list | None = None,
-                        n_buckets: int | None = None, inclusive: bool = True) -> DataFrame:
+                        n_buckets: int | None = None, inclusive: bool = True, kept: bool = False) -> DataFrame:
     """Running sums over a global order without a single-partition window.
 
     ``key`` is the numeric order column, ``tiebreak`` more order columns,
     ``sums`` maps output name -> input column; ``n_buckets`` defaults to the
     shuffle partition count.  Steps:
-    1. range bounds from ``percentile_approx`` (one small aggregate),
-    2. bucket = number of bounds below the key, found by halving steps (log2 of
-       the bucket count per row; the sketch gets finer with the bucket count),
-    3. per-bucket totals (``n_buckets`` rows) -> offsets by a window over that
+    1. the rows (as a rule aggregated to one per key) are written once, so that what they come from is read once
+       (``kept``: the caller has done so),
+    2. range bounds from ``percentile_approx`` over the keys (``n_buckets`` numbers),
+    3. a row finds its bucket by binary search (``Bucketizer``: the bounds go out with the tasks, no row carries them),
+    4. per-bucket totals (``n_buckets`` rows) -> offsets by a window over that
        tiny table, broadcast back (size bounded by ``n_buckets``),
-    4. running sum inside each bucket (a window partitioned by bucket).
+    5. running sum inside each bucket (a window partitioned by bucket).
     Rows with equal keys land in the same bucket, so ties stay exact.  Feed it
     data aggregated to one row per key when keys repeat heavily."""
     tiebreak = tiebreak or []
     if n_buckets is None:   # one bucket per shuffle partition
         n_buckets = max(2, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200")))
+    df = df if kept else kept_table(df, "prefix-rows")
     probs = [i / n_buckets for i in range(1, n_buckets)]
-    bounds = df.agg(F.array_distinct(F.percentile_approx(key, probs, max(10_000, 10 * n_buckets))).alias("__b"))
-    d = attach_one_row(df, bounds)
-    steps = F.array(*[F.lit(1 << i) for i in reversed(range(n_buckets.bit_length()))])
-    below = F.aggregate(steps, F.lit(0), lambda at, step: F.when(
-        F.get("__b", at + step - 1) < F.col(key), at + step).otherwise(at))
-    n_b = F.size("__b")
-    d = d.withColumn("__bucket", (n_b - below) if descending else below).drop("__b")
+    x = F.col(key).cast("double")
+    found = df.agg(F.percentile_approx(F.when(~F.isnan(x), x), probs, max(10_000, 2 * n_buckets))).first()[0] or []
+    bounds = sorted({b for b in found if math.isfinite(b)})
+    d = df
+    if bounds:
+        near = Bucketizer(splits=[-math.inf, *bounds, math.inf], inputCol="__key", outputCol="__near", handleInvalid="keep")
+        d = near.transform(df.withColumn("__key", x)).drop("__key")
+    # nulls before the first bucket, NaN (kept by the bucketizer as one more) after the last, as a sort has them
+    below = F.when(x.isNull(), F.lit(-1)).otherwise(F.col("__near").cast("int") if bounds else F.lit(0))
+    d = d.withColumn("__bucket", -below if descending else below).drop("__near")
     totals = d.groupBy("__bucket").agg(*[F.sum(v).alias(f"__t_{k}") for k, v in sums.items()])
     wb = Window.orderBy("__bucket").rowsBetween(Window.unboundedPreceding, -1)
     offsets = totals.select(

@@ -172,7 +172,7 @@ def test_minority_neighbours_exact_vs_brute_force(spark, n_pivots, block):
 def test_vector_pca_share(spark):
     e = spark.read.parquet(f"{SF_SMALL}/embeddings.parquet")
     m = TF.VectorPca("embedding", 0.8).fit(e)
-    ev = list(m.pca.explainedVariance)
+    ev = list(m.parts["pca"].explainedVariance)
     assert sum(ev[: m.k]) >= 0.8 and (m.k == 1 or sum(ev[: m.k - 1]) < 0.8)
     assert TF.VectorPca("embedding", 1.0).fit(e).transform(e).columns == e.columns
 
@@ -213,11 +213,11 @@ def test_backward_selection_concurrent_equals_sequential(spark):
     def run(par):
         return [tuple(r) for r in MD.backward_select(
             df, ["a", "b", "c"], "label", "fold", 2,
-            lambda: MD.boosted_trees({"max_depth": 2, "n_estimators": 3}, weight=None), parallelism=par).collect()]
+            lambda f: MD.build_pipeline(f, MD.boosted_trees({"max_depth": 2, "n_estimators": 3})), parallelism=par).collect()]
     seq, conc = run(1), run(4)
     assert [r[:2] for r in seq] == [r[:2] for r in conc]
     assert [r[2] for r in seq] == pytest.approx([r[2] for r in conc])
-    assert [r[0] for r in seq] == [2, 1]
+    assert [r[0] for r in seq] == [3, 2, 1] and seq[0][1] == "None"
 
 
 def test_chi_square_pvalue_rows(spark, entry_mod):

@@ -30,19 +30,11 @@ def test_stream_ingest_equals_batch_route(spark, entry_mod):
     assert rows.count() == e.where(F.col("event_type").isin(ok_types)).count()
 
 
-def test_ingest_archives_processed_files(spark, tmp_path):
-    from pyspark.sql import types as T
-
-    from rarecast.streaming import streams as S
-    staging, archive = tmp_path / "staging", tmp_path / "archive"
-    df = spark.createDataFrame([(1, 5.0), (2, 7.0), (2, 9.0)], "id long, v double")
-    df.coalesce(1).write.parquet(str(staging))
-    schema = T.StructType([T.StructField("id", T.LongType()), T.StructField("v", T.DoubleType())])
-    target, ledger = str(tmp_path / "table"), str(tmp_path / "ledger")
-    S.ingest_stream(spark, str(staging), target, str(tmp_path / "ckpt"), schema, schema, "id", ["v"],
-                    F.col("v") > 100, ledger, archive_dir=str(archive))
-    assert sorted(tuple(r) for r in spark.read.parquet(target).collect()) == [(1, 5.0), (2, 7.0)]
-    assert [r["status"] for r in spark.read.parquet(ledger).collect()] == ["completed"]
+def test_left_outer_stream_gives_every_snapshot(spark, entry_mod):
+    rows = entry_mod.queries()["stream_outcome_left"](spark, SF_SMALL).collect()
+    views = {r[0] for r in spark.read.parquet(f"{SF_SMALL}/events.parquet").where("event_type = 'view'").select("event_id").collect()}
+    assert {r.event_id for r in rows} == views
+    assert any(r.out_event_id is None for r in rows) and any(r.out_event_id is not None for r in rows)
 
 
 def test_stream_asof_many_batches_state_carried(spark, tmp_path):
