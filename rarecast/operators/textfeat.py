@@ -63,10 +63,16 @@ def kept_term(stop: list[str] | None, min_len: int = 2) -> Callable[[Column], Co
 def _sparse(df: DataFrame, vec: str, keep: list[str]) -> DataFrame:
     """``keep`` columns and one row for each entry of the vector: index, value."""
     v = F.unwrap_udt(F.col(vec))
-    return (df.select(*keep, F.explode(F.arrays_zip(v["indices"], v["values"])).alias("e"))
+    return (df.select(*keep, _rows_of(F.arrays_zip(v["indices"], v["values"])).alias("e")).where("e.indices IS NOT NULL")
             .select(*keep, F.col("e.indices").alias("index"), F.col("e.values").alias("value")))
 
 
+def _rows_of(array):
+    """A row for each element, and one null where there is none.  For a plain ``explode`` the optimiser adds filters on the
+    array below it, which would compute the tokens or vectors three times."""
+    return F.explode_outer(array)
+
+
 def _sized(df: DataFrame, vec: str, size: int) -> DataFrame:
     """Notes a vector column's size in its metadata, so that an assembler need not look at the rows."""
     return VectorSizeHint(inputCol=vec, size=size, handleInvalid="optimistic").transform(df)
@@ -78,8 +84,8 @@ def count_vectors(d: DataFrame, vocabulary: list[str], out: str = "__tf", terms:
 
 
 def _every(d: DataFrame, terms, keep: Callable[[Column], Column] | None) -> DataFrame:
-    t = d.select(F.explode(terms).alias("t"))
-    return t.where(keep(F.col("t"))) if keep else t
+    t = d.select(_rows_of(terms).alias("t"))
+    return t.where(keep(F.col("t")) if keep else F.col("t").isNotNull())
 
 
 def candidates(d: DataFrame, k: int, tracked: int, terms: str = "__terms",
@@ -189,9 +195,9 @@ def fit_long(est: Tfidf, df: DataFrame) -> tuple["TfidfModel", DataFrame]:
     by_slot = F.array(*[F.lit(idf.get(t, 0.0)) for t in held])
     v = F.unwrap_udt(F.col("__tf"))
     w = vectors.select(key, v["indices"].alias("i"), F.zip_with(v["indices"], v["values"], lambda i, x: x * F.get(by_slot, i)).alias("w"))
-    norm = F.sqrt(F.aggregate("w", F.lit(0.0), lambda s, x: s + x * x))
+    w = w.withColumn("norm", F.sqrt(F.aggregate("w", F.lit(0.0), lambda s, x: s + x * x)))       # once a document, before exploding
     names = df.sparkSession.createDataFrame([(i, t) for i, t in enumerate(held) if t in idf], "i int, term string")
-    rows = w.select(key, norm.alias("norm"), F.explode(F.arrays_zip("i", "w")).alias("e")).where("e.w > 0")
+    rows = w.select(key, "norm", _rows_of(F.arrays_zip("i", "w")).alias("e")).where("e.w > 0")
     return model, (rows.select(key, F.col("e.i").alias("i"), (F.col("e.w") / F.col("norm")).alias("weight"))
                    .join(F.broadcast(names), "i").select(key, "term", "weight"))       # k rows
 

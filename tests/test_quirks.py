@@ -331,18 +331,24 @@ def test_grid_keeps_null_and_given_domains(spark):
 def test_replayed_batch_keeps_one_ledger_row_per_file(spark, tmp_path):
     """A batch whose commit got lost runs again: table, ledger and rejected rows stay as they were."""
     import shutil
+
+    from pyspark.sql import types as T
+
+    from rarecast.sources.published import PublishedTable
+    from rarecast.sources.table import VERDICT
     from rarecast.streaming import streams as S
     for name, rows in (("good", [(1, 1), (2, 2)]), ("bad", [(3, 500), (4, 1)])):
         spark.createDataFrame(rows, "id int, v int").coalesce(1).write.parquet(str(tmp_path / "in" / name))
     schema = spark.read.parquet(str(tmp_path / "in" / "good")).schema
-    paths = [str(tmp_path / x) for x in ("in/*", "table", "ckpt", "ledger", "rejected")]
+    target = T.StructType([*schema.fields, T.StructField("tag", T.StringType())])
+    table = PublishedTable(spark, str(tmp_path / "table"), target, "tag")
 
     def run():
-        S.ingest_stream(spark, paths[0], paths[1], paths[2], schema, schema, "id", ["v"], F.col("v") > 100,
-                        paths[3], rejected=paths[4])
+        S.ingest_stream(spark, str(tmp_path / "in" / "*"), table, str(tmp_path / "ckpt"), schema, "id", ["v"], F.lit("t"), F.col("v") > 100)
     run()
     shutil.rmtree(tmp_path / "ckpt" / "commits")
     run()
-    assert sorted(r.id for r in spark.read.parquet(paths[1]).collect()) == [1, 2]
-    assert sorted(r.status for r in spark.read.parquet(paths[3]).collect()) == ["completed", "error"]
-    assert sorted(r.id for r in spark.read.parquet(paths[4]).collect()) == [3, 4]
+    rejected = T.StructType([*schema.fields, T.StructField("verdicts", T._parse_datatype_string(VERDICT))])
+    assert sorted(r.id for r in table.rows().collect()) == [1, 2]
+    assert sorted(r.status for r in table.side_rows("ledger", S.LEDGER).collect()) == ["completed", "error"]
+    assert sorted(r.id for r in table.side_rows("rejected", rejected).collect()) == [3, 4]
