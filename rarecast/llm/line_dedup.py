@@ -3,15 +3,16 @@
 Every line's key (ends stripped, A-Z lower-cased) is hashed to 128 bits.  The hashes are
 range-partitioned, with a secondary sort by document and position inside each key, and the
 sorted stream marks first occurrences and counts documents.  Keys are dealt in ``SALTS``
-parts by document, so a line that sits in a third of all documents is streamed by several
-tasks; the parts' counts are summed afterwards.  Only keys that lose lines are joined back
+parts by document, so a line that sits in a third of all documents is streamed, and joined back,
+by several tasks; the parts' counts are summed afterwards.  Only keys that lose lines are joined back
 to the occurrences, and what returns to the texts is one run-length coded keep bitmap per
-document that loses a line: lengths of alternating kept and dropped runs, kept first.
+document that loses a line, as the first and last line of each dropped run; texts are rebuilt from
+slices between these runs, in time linear in the lines.
 
 Defined cases: a null or empty text is one empty line; keys shorter than ``min_chars`` code
-points are never dropped; each row counts as one document, also where ids repeat (rows equal
-in id and text count once); null ids are legal; an empty table gives no rows; all other
-columns pass through untouched.
+points are never dropped; each row counts as one document, also where ids or whole rows repeat;
+rows equal in id and text lose the same lines; null ids are legal; an empty table gives no rows; all other
+columns pass through, and one named like a column of the result comes out with ``_input`` added to its name.
 """
 
 from __future__ import annotations
@@ -38,8 +39,10 @@ def line_occurrences(docs: DataFrame, id_col: str, text_col: str, min_chars: int
     keys = F.transform(_lines(fold_ascii(F.col(text_col))), lambda x: F.btrim(x, F.lit(WHITESPACE)))
     hashed = F.transform(keys, lambda k: F.struct(
         F.char_length(k).alias("n"), F.xxhash64(k).alias("h1"), F.xxhash64(F.lit(1), k).alias("h2")))
-    return (docs.select(F.col(id_col).alias("doc"), _row_key(id_col, text_col).alias("rk"),
-                        F.posexplode(hashed).alias("pos", "line"))
+    # the row key below the explode, else each line would hash its whole text; the outer form adds no filter that
+    # splits the text once more (its one null for no lines does not come up: a text has one line at least)
+    return (docs.select(F.col(id_col).alias("doc"), _row_key(id_col, text_col).alias("rk"), hashed.alias("lines"))
+            .select("doc", "rk", F.posexplode_outer("lines").alias("pos", "line"))
             .filter(F.col("line.n") >= min_chars)
             .select("doc", "rk", "pos", "line.h1", "line.h2", F.pmod("rk", F.lit(SALTS)).cast("int").alias("part")))
 
@@ -50,42 +53,51 @@ def keep_bitmaps(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     ``min_docs`` documents loses all lines, or all but the first by (id, position) with
     ``keep_first`` (a repeat inside one document counts once towards ``min_docs``)."""
     occ = line_occurrences(docs, id_col, text_col, min_chars)
-    stream = (occ.repartitionByRange("h1", "h2", "part")
-              .withColumn("new_doc", F.coalesce(F.lag("rk").over(
-                  Window.partitionBy("h1", "h2", "part").orderBy("doc", "rk", "pos")) != F.col("rk"), F.lit(True))))
+    # first place of the key in its document; rows that repeat a document repeat that place, so each is counted
+    place = F.first("pos").over(Window.partitionBy("h1", "h2", "part", "doc", "rk").orderBy("pos"))
+    stream = occ.repartitionByRange("h1", "h2", "part").withColumn("place", place)
     parts = stream.groupBy("h1", "h2", "part").agg(
-        F.count_if("new_doc").alias("n"), F.min(F.struct("doc", "rk", "pos")).alias("first"))
+        F.count_if(F.col("pos") == F.col("place")).alias("n"), F.min(F.struct("doc", "rk", "pos")).alias("first"))
     facts = (parts.groupBy("h1", "h2").agg(F.sum("n").alias("n_docs"), F.min("first").alias("first"))
-             .filter(F.col("n_docs") >= min_docs))
-    hit = occ.drop("part").join(facts, ["h1", "h2"])
+             .filter(F.col("n_docs") >= min_docs).withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))))
+    hit = occ.join(facts, ["h1", "h2", "part"])
     if keep_first:
         hit = hit.filter(~F.struct("doc", "rk", "pos").eqNullSafe(F.col("first")))
     dropped = hit.groupBy("doc", "rk").agg(F.sort_array(F.collect_set("pos")).alias("dropped"))
-    # run-length code: [kept, dropped, kept, ...] up to the last dropped line
-    state = F.aggregate(
-        "dropped", F.struct(F.lit(0).alias("next"), F.array().cast("array<int>").alias("runs")),
-        lambda s, p: F.struct(
-            (p + 1).alias("next"),
-            F.when((p == s["next"]) & (F.size(s["runs"]) > 0),
-                   F.concat(F.slice(s["runs"], 1, F.size(s["runs"]) - 1),
-                            F.array(F.element_at(s["runs"], -1) + 1)))
-            .otherwise(F.concat(s["runs"], F.array(p - s["next"], F.lit(1)))).alias("runs")))
-    return dropped.select("doc", "rk", "dropped", state["runs"].alias("keep_runs"))
+
+    def borders(step):
+        return F.filter("dropped", lambda p, i: ~F.get("dropped", i + step).eqNullSafe(p + step))
+
+    return dropped.select("doc", "rk", borders(F.lit(-1)).alias("first"), borders(F.lit(1)).alias("last"))
 
 
 def apply_bitmaps(docs: DataFrame, bitmaps: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``docs`` with the dropped lines gone, plus ``n_lines``, ``n_dropped`` and ``keep_runs``."""
-    b = bitmaps.select(F.col("doc").alias("__bm_doc"), F.col("rk").alias("__bm_rk"), F.col("dropped").alias("__bm_dropped"),
-                       F.col("keep_runs").alias("__bm_runs"))
+    """``docs`` with the dropped lines gone, plus ``n_lines``, ``n_dropped`` and ``keep_runs`` (lengths of alternating
+    kept and dropped runs, kept first, up to the last dropped line; null where nothing is dropped)."""
+    for c in ("n_lines", "n_dropped", "keep_runs"):
+        free = c
+        while free in docs.columns:
+            free += "_input"
+        docs = docs.withColumnRenamed(c, free)
+    columns = docs.columns
+    b = bitmaps.select(F.col("doc").alias("__bm_doc"), F.col("rk").alias("__bm_rk"), F.col("first").alias("__bm_first"),
+                       F.col("last").alias("__bm_last"))
     d = (docs.withColumn("__bm_key", _row_key(id_col, text_col))
-         .join(b, F.col(id_col).eqNullSafe(F.col("__bm_doc")) & (F.col("__bm_key") == F.col("__bm_rk")), "left"))
-    kept = F.array_join(F.filter(_lines(F.col(text_col)), lambda x, i: ~F.array_contains("__bm_dropped", i)), "\n")
-    return (d.withColumns({
-        "n_lines": F.size(_lines(F.col(text_col))).cast("long"),
-        "n_dropped": F.coalesce(F.size("__bm_dropped"), F.lit(0)).cast("long"),
-        "keep_runs": F.col("__bm_runs"),
-        text_col: F.when(F.col("__bm_dropped").isNotNull(), kept).otherwise(F.col(text_col))})
-        .drop("__bm_key", "__bm_doc", "__bm_rk", "__bm_dropped", "__bm_runs"))
+         .join(b, F.col(id_col).eqNullSafe(F.col("__bm_doc")) & (F.col("__bm_key") == F.col("__bm_rk")), "left")
+         .withColumn("__bm_lines", _lines(F.col(text_col))))
+
+    def after(i):                     # line after dropped run i, 0 before the first
+        return F.coalesce(F.get("__bm_last", i) + 1, F.lit(0))
+
+    between = F.transform("__bm_first", lambda p, i: F.slice("__bm_lines", after(i - 1) + 1, p - after(i - 1)))
+    tail = F.slice("__bm_lines", F.element_at("__bm_last", -1) + 2, F.size("__bm_lines"))
+    kept = F.array_join(F.concat(F.flatten(between), tail), "\n")
+    size = F.zip_with("__bm_first", "__bm_last", lambda a, z: z - a + 1)
+    runs = F.flatten(F.transform("__bm_first", lambda p, i: F.array(p - after(i - 1), F.get("__bm_last", i) - p + 1)))
+    return d.select(
+        *[F.when(F.col("__bm_first").isNotNull(), kept).otherwise(F.col(c)).alias(c) if c == text_col else F.col(c) for c in columns],
+        F.size("__bm_lines").cast("long").alias("n_lines"),
+        F.coalesce(F.aggregate(size, F.lit(0), lambda s, x: s + x), F.lit(0)).cast("long").alias("n_dropped"), runs.alias("keep_runs"))
 
 
 def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_chars: int = 1,
