@@ -24,7 +24,7 @@ from pyspark.sql import types as T
 from .encoders import MixedEncoder, NewFeatures
 from .evaluate import areas
 from .resample import smote, undersample
-from .stages import Configured, DropColumns, Sampler, SamplingPipeline, param, to_float, to_int, to_str
+from .stages import Configured, DropColumns, Sampler, SamplingPipeline, param, to_bool, to_float, to_int, to_str
 from .textfeat import TfidfPca, VectorPca
 
 # Booster parameter names -> Spark GBT parameters (the rest have no counterpart).
@@ -90,17 +90,18 @@ class SmoteSampler(Sampler):
     ratio = param("ratio", "minority / majority", to_float)
     k = param("k", "nearest minority rows drawn from", to_int)
     seed = param("seed", "seed of the draws", to_int)
+    approximate = param("approximate", "whether neighbours come from projection trees", to_bool)
 
     def __init__(self, vec: str | None = None, label: str | None = None, id_col: str | None = None,
-                 ratio: float | None = None, k: int | None = None, seed: int | None = None):
+                 ratio: float | None = None, k: int | None = None, seed: int | None = None, approximate: bool | None = None):
         super().__init__()
-        self._setDefault(vec="features", label="label", ratio=1.0, k=5, seed=0)
-        self._given(vec=vec, label=label, id_col=id_col, ratio=ratio, k=k, seed=seed)
+        self._setDefault(vec="features", label="label", ratio=1.0, k=5, seed=0, approximate=False)
+        self._given(vec=vec, label=label, id_col=id_col, ratio=ratio, k=k, seed=seed, approximate=approximate)
 
     def resample(self, df: DataFrame) -> DataFrame:
         vec, key = self.value("vec"), self.value("id_col")
         out = smote(df.withColumn(vec, vector_to_array(vec)), vec, self.value("label"), key, self.value("ratio"),
-                    self.value("k"), self.value("seed"))
+                    self.value("k"), self.value("seed"), approximate=self.value("approximate"))
         if "synthetic_id" in out.columns:
             kind = df.schema[key].dataType
             new = F.col("synthetic_id")

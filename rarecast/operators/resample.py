@@ -22,6 +22,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from .neighbours import projected_neighbours
 from ..util import attach_one_row, col_of, hash_key, hash_uniform, kept_table
 
 BUCKET_HEX = 5   # 16^5 = 2^20 ordered buckets
@@ -272,13 +273,15 @@ def minority_neighbours(minority: DataFrame, id_col: str, vec: str, k: int = 5,
 
 
 def smote(df: DataFrame, vec: str, label: str, id_col: str, ratio: float, k: int = 5, seed: int = 0,
-          minority: int = 1) -> DataFrame:
+          minority: int = 1, approximate: bool = False) -> DataFrame:
     """Synthetic minority rows x + u * (neighbour - x) until minority /
     majority reaches ``ratio``.  Synthetic row j uses minority row
     (j mod n_min) in digest order, one of its k nearest minority neighbours
     and u chosen by md5(j | seed).  Returns the input plus the synthetic rows
     (``synthetic`` = true, ``synthetic_id`` = ``syn_<j>``, the source and
-    neighbour ids and u kept for inspection; the id column is null)."""
+    neighbour ids and u kept for inspection; the id column is null).
+    ``approximate`` finds the neighbours by ``projected_neighbours``: for many minority rows whose vectors have no
+    spatial structure, where the exact search compares all pairs."""
     y = col_of(label).cast("int")
     counts = df.agg(F.sum((y == minority).cast("long")).alias("m"), F.sum((y != minority).cast("long")).alias("M")).first()
     n_min, n_maj = counts["m"] or 0, counts["M"] or 0
@@ -287,7 +290,7 @@ def smote(df: DataFrame, vec: str, label: str, id_col: str, ratio: float, k: int
     if need <= 0 or n_min < 2:
         return base
     mino = df.where(y == minority).withColumn("__idk", col_of(id_col).cast("string"))
-    nbrs = minority_neighbours(mino, "__idk", vec, k)
+    nbrs = (projected_neighbours if approximate else minority_neighbours)(mino, "__idk", vec, k)
     ranked = rank_in_label(mino.withColumn("__one", F.lit(1)), "__one", "__idk", seed, "__r") \
         .select("__idk", (F.col("__r") - 1).alias("__pos"), F.col(vec).alias("__x"))
     spark = df.sparkSession

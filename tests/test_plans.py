@@ -9,11 +9,12 @@ import pytest
 
 from tests.conftest import SF_SMALL
 
-# These run Spark jobs while the frame is built (model fits, stream drains,
-# written tables), so their plans are not inspected here.
-EAGER = {"boosted_trees", "feature_pipeline", "grid_search_cv", "backward_selection", "feature_importance",
-         "tfidf_pca", "vector_pca_variance", "read_staged_incremental", "append_first_wins",
-         "route_valid_invalid", "load_ledger", "materialise_snapshot"}
+# These train models, drain streams or publish tables while the frame is built, and what they return reads the
+# result: their plans say little.  (Other queries run small jobs first too - fitted tables, range bounds, label limits -
+# and are inspected in the plan they return.)
+EAGER = {"boosted_trees", "feature_pipeline", "grid_search_cv", "backward_selection", "feature_importance", "resampled_training",
+         "tfidf_pca", "tfidf_pca_trace", "vector_pca_variance", "vector_pca_trace", "read_staged_incremental", "list_staged_files",
+         "read_tag_partitions", "materialise_snapshot", "pipeline"}
 
 
 def _plan(df) -> str:
@@ -65,3 +66,22 @@ def test_as_of_builds_no_pairs(plans):
         if re.search(r"(SortMergeJoin|HashJoin) \[", line):
             tail = line.split("], ")[-1]          # after the two key lists
             assert not re.search(r"[<>]", tail), line
+
+
+def test_split_and_undersampling_shuffle_no_rows(plans):
+    """Rows are decided against one limit per label: a broadcast join, no window, no exchange by label."""
+    for name in ("stratified_split", "undersample_majority"):
+        assert "Window" not in plans[name] and "SortMergeJoin" not in plans[name], name
+
+
+def test_grid_and_numbering_take_no_single_task(plans):
+    assert "Generate" not in plans["complete_grid"] and "Range (0, " in plans["complete_grid"]
+    assert "Range (0, " not in plans["prior_score"]
+
+
+def test_text_weights_need_no_exchange_of_rows(plans):
+    assert "hashpartitioning(doc_id" not in plans["tfidf"] and "Window" not in plans["tfidf"]
+
+
+def test_running_sums_carry_no_bounds(plans):
+    assert "array<double>" not in plans["pr_curve"] and "lambdafunction" not in plans["pr_curve"]
