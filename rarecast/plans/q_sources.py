@@ -10,6 +10,7 @@ from ..session import fresh_path
 from ..sources import posts as P
 from ..sources import table as TB
 from ..sources.published import PublishedTable
+from ..util import kept_table
 from .fixtures import STAGED_EVENTS_SQL, events, round_doubles, staged_events, table
 from .registry import register
 
@@ -165,6 +166,16 @@ def conform_verdicts(spark, sf):
                                      F.md5(_told()).alias("verdicts"))
 
 
+@register("read_selected_columns", f"SELECT {', '.join(schemas.SELECTED_COLUMNS)} FROM (SELECT {_CELLS_SQL} FROM {_RAW_SQL})")
+def read_selected_columns(spark, sf):
+    """The 32 columns that the model stage reads, from the written 45-column table."""
+    written = kept_table(_judged(spark, sf).select(*schemas.POSTS_TABLE.names), "posts-table")
+    kinds = dict(written.dtypes)
+    named = {n.lower(): n for n in kinds}
+    return written.select(*[F.col(named[c]).cast("double" if kinds[named[c]] == "float" else kinds[named[c]]).alias(c)
+                            for c in schemas.SELECTED_COLUMNS])
+
+
 @register("reject_by_schema", f"""
 WITH j AS (SELECT event_id, floor(event_id / 20) AS file, {' + '.join(f'CAST(({x}) IS NOT NULL AS INTEGER)' for x in _SAID)} AS n FROM {_RAW_SQL})
 SELECT CAST(file AS BIGINT) AS file, CASE WHEN max(n) > 0 THEN 'error' ELSE 'completed' END AS status, count(*) AS n_rows,

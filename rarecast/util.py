@@ -99,7 +99,7 @@ def prefix_sum_by_range(df: DataFrame, key: str, sums: dict[str, str],
     shuffle partition count.  Steps:
     1. the rows (as a rule aggregated to one per key) are written once, so that what they come from is read once
        (``kept``: the caller has done so),
-    2. range bounds from ``percentile_approx`` over the keys (``n_buckets`` numbers),
+    2. range bounds from approximate quantiles of the keys (``n_buckets`` numbers),
     3. a row finds its bucket by binary search (``Bucketizer``: the bounds go out with the tasks, no row carries them),
     4. per-bucket totals (``n_buckets`` rows) -> offsets by a window over that
        tiny table, broadcast back (size bounded by ``n_buckets``),
@@ -112,7 +112,7 @@ def prefix_sum_by_range(df: DataFrame, key: str, sums: dict[str, str],
     df = df if kept else kept_table(df, "prefix-rows")
     probs = [i / n_buckets for i in range(1, n_buckets)]
     x = F.col(key).cast("double")
-    found = df.agg(F.percentile_approx(F.when(~F.isnan(x), x), probs, max(10_000, 2 * n_buckets))).first()[0] or []
+    found = df.select(x.alias("__x")).approxQuantile("__x", probs, 1 / (4 * n_buckets))       # nulls and NaN are left out
     bounds = sorted({b for b in found if math.isfinite(b)})
     d = df
     if bounds:

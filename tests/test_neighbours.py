@@ -22,7 +22,7 @@ def recall_of(spark, x, k=5, **more):
 
 
 def test_recall_on_the_embeddings(spark):
-    rows = spark.read.parquet("/root/testdata/sf0.01/embeddings.parquet").limit(1500).collect()
+    rows = spark.read.parquet("/root/testdata/sf0.1/embeddings.parquet").limit(2000).collect()
     assert recall_of(spark, np.array([r["embedding"] for r in rows], float)) >= 0.9
 
 
