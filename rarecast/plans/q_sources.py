@@ -166,7 +166,7 @@ def conform_verdicts(spark, sf):
                                      F.md5(_told()).alias("verdicts"))
 
 
-@register("read_selected_columns", f"SELECT {', '.join(schemas.SELECTED_COLUMNS)} FROM (SELECT {_CELLS_SQL} FROM {_RAW_SQL})")
+@register("read_selected_columns", f"SELECT {', '.join(f'{c} AS {c}' for c in schemas.SELECTED_COLUMNS)} FROM (SELECT {_CELLS_SQL} FROM {_RAW_SQL})")
 def read_selected_columns(spark, sf):
     """The 32 columns that the model stage reads, from the written 45-column table."""
     written = kept_table(_judged(spark, sf).select(*schemas.POSTS_TABLE.names), "posts-table")
