@@ -3,6 +3,7 @@
 import random
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.ml import PipelineModel
 from pyspark.ml.functions import vector_to_array
@@ -152,6 +153,24 @@ def test_tfidf_pca_equals_numpy(spark):
     assert "pca" in TF.TfidfPca("id", "t", 5, 0).fit(df).transform(df).columns
 
 
+def test_projection_takes_bounded_memory():
+    """As many components as terms: a row for each entry of each text and its loadings would take 1.6 GB here."""
+    import tracemalloc
+    rng = np.random.default_rng(3)
+    index = pd.Series([np.sort(rng.choice(1000, 200, replace=False)) for _ in range(999)] + [np.array([], int)])
+    value = pd.Series([rng.random(len(i)) for i in index])
+    loadings, centre = rng.random((1000, 1000)), rng.random(1000)
+    got = []
+    tracemalloc.start()
+    for block in TF._projected(index, value, loadings, centre):
+        got += [r[::250] for r in block]
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 100e6
+    want = [x @ loadings[i] - centre for i, x in zip(index, value)]
+    assert np.allclose(np.array(got), np.array(want)[:, ::250])
+
+
 def test_stemmer_reaches_the_fitted_vocabulary(spark):
     df = spark.createDataFrame([(1, "cats cat dogs"), (2, "dog cats")], "id long, t string")
     m = TF.Tfidf("id", "t", 5, stem=lambda w: w.rstrip("s")).fit(df)
