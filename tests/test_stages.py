@@ -153,6 +153,20 @@ def test_tfidf_pca_equals_numpy(spark):
     assert "pca" in TF.TfidfPca("id", "t", 5, 0).fit(df).transform(df).columns
 
 
+@pytest.mark.parametrize("k,n_comp", [(12, 3), (12, 0), (0, 3)])
+def test_fitting_and_transforming_the_same_rows_tokenises_for_the_fit_only(spark, k, n_comp):
+    rnd = random.Random(2)
+    words = [f"w{i}" for i in range(30)]
+    df = spark.createDataFrame([(i // 2, " ".join(rnd.choices(words, k=rnd.randrange(12)))) for i in range(60)], "id long, t string")
+    est = TF.TfidfPca("id", "t", k, n_comp)
+    model, rows = est.fit_rows(df, ["id"])
+    assert "regexp_extract_all" not in rows._jdf.queryExecution().optimizedPlan().toString()
+    want = est.fit(df).transform(df).drop("t")
+    assert rows.columns == want.columns
+    got = [sorted([r.id, *([] if k == 0 else (r.pca.toArray().round(9) + 0.0).tolist())] for r in d.collect()) for d in (rows, want)]
+    assert np.allclose(got[0], got[1])
+
+
 def test_projection_takes_bounded_memory():
     """As many components as terms: a row for each entry of each text and its loadings would take 1.6 GB here."""
     import tracemalloc
