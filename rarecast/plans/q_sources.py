@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .. import schemas
-from ..session import fresh_path
+from ..session import compiled_methods, fresh_path
 from ..sources import posts as P
 from ..sources import table as TB
 from ..sources.published import PublishedTable
@@ -183,6 +183,8 @@ SELECT CAST(file AS BIGINT) AS file, CASE WHEN max(n) > 0 THEN 'error' ELSE 'com
 def reject_by_schema(spark, sf):
     """The verdicts feed the router: files of 20 rows, rejected whole for one bad cell."""
     d = _judged(spark, sf).select(F.floor(F.col("event_id") / 20).alias("file"), F.size("verdicts").alias("n"))
+    with compiled_methods(spark):
+        d = kept_table(d, "verdict-counts")         # the rules run once; rows, failing files and cells are counted from it
     routed = TB.route_files(d, "file", F.col("n") > 0)
     cells = d.groupBy("file").agg(F.sum("n").alias("n_bad_cells"))
     return TB.load_ledger(routed, "file").join(cells, "file")

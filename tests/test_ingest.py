@@ -60,3 +60,17 @@ def test_posts_table_rows(spark, tmp_path):
     assert r["std_up_rate"] == pytest.approx(0.1)
     assert [f.name for f in spark.createDataFrame(rows, schemas.POSTS_TABLE).schema.fields] == \
         [f.name for f in schemas.POSTS_TABLE.fields]
+
+
+def test_files_are_rejected_from_one_run_of_the_rules(spark, tmp_path):
+    """The plan that counts rows, failing files and cells reads what the rules gave; it holds none of the 45 cells."""
+    from rarecast.plans.q_sources import reject_by_schema
+    key = "spark.sql.codegen.hugeMethodLimit"
+    before = spark.conf.get(key, None)
+    spark.range(60).selectExpr("id as event_id", "'view' as event_type").write.parquet(str(tmp_path / "events.parquet"))
+    out = reject_by_schema(spark, str(tmp_path))
+    assert "Title" not in out._jdf.queryExecution().optimizedPlan().toString()
+    assert spark.conf.get(key, None) == before
+    rows = {r.file: r for r in out.collect()}
+    assert set(rows) == {0, 1, 2} and all(r.n_rows == 20 and r.n_bad_cells >= r.n_bad_rows for r in rows.values())
+    assert rows[0].status == "error" and rows[0].n_bad_rows >= 1              # event 0 has no key
