@@ -223,3 +223,23 @@ def test_backward_selection_concurrent_equals_sequential(spark):
 def test_chi_square_pvalue_rows(spark, entry_mod):
     r = entry_mod.queries()["chi_square_pvalue"](spark, SF_SMALL).collect()
     assert r and all(0.0 <= x["p_value_pos"] <= 1.0 for x in r)
+
+
+def test_neighbour_block_takes_bounded_memory():
+    """4096 x 4096 distances at once, with their temporaries, would take over 500 MB."""
+    import tracemalloc
+
+    import numpy as np
+    import pandas as pd
+    x = np.random.default_rng(5).random((4096, 8))
+    ids = np.array([f"r{i:05d}" for i in range(len(x))], dtype=object)
+    q, r = pd.DataFrame({"id": ids, "a": list(x)}), pd.DataFrame({"nb_id": ids, "b": list(x)})
+    tracemalloc.start()
+    got = RS._knn_block(3, q, r)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 150e6 and len(got) == 3 * len(x)
+    for i in (0, 255, 256, 4095):
+        d = np.sqrt(((x - x[i]) ** 2).sum(1))
+        d[i] = np.inf
+        assert list(got[got.id == ids[i]].nb_id) == list(ids[np.argsort(d)[:3]])
