@@ -76,6 +76,30 @@ def test_grid_reaches_every_stage_and_copies_do_not_share_values(frame):
     assert pipe.copy({enc.getParam("weight"): 7.0}).getStages()[1].value("weight") == 7.0
 
 
+def test_grid_prepares_the_rows_of_a_fold_once_for_all_classifiers(frame, monkeypatch):
+    calls, real = [], MD.SmoteSampler.resample
+    monkeypatch.setattr(MD.SmoteSampler, "resample", lambda self, df: calls.append(1) or real(self, df))
+    pipe = MD.build_pipeline(["n", "c"], MD.boosted_trees({"max_depth": 1, "n_estimators": 1}),
+                             encoder=EN.MixedEncoder([], ["c"], "label"), over=MD.SmoteSampler("features", "label", "id", 0.4, seed=1))
+    res = MD.grid_search(pipe, {(MD.stage_of(pipe, EN.MixedEncoder), "weight"): [0.0, 9.0], "max_depth": [1, 2]}, frame, "fold", num_folds=3)
+    assert len(calls) == 2 * 3
+    alone = pipe.copy({pipe.getStages()[-2].maxDepth: 2, MD.stage_of(pipe, EN.MixedEncoder).weight: 9.0})
+    scores = [MD._fold_score(frame, alone, "fold", "label", f) for f in range(3)]
+    got = {r.params: (r.mean_average_precision, r.std_average_precision) for r in res.collect()}
+    assert len(got) == 4 and got["maxDepth=2, weight=9.0"] == pytest.approx(MD._mean_std(scores))
+    with pytest.raises(ValueError):
+        MD.grid_search(pipe, {"max_depth": [1]}, frame, "fold", num_folds=2)
+
+
+def test_later_stages_are_fitted_on_written_columns(spark, frame):
+    """Texts are not tokenised again for the scaler, the samplers and the trees."""
+    pipe = whole_pipeline()
+    rows, fitted = pipe._run(frame, 5, onward=True)
+    assert rows.columns == ["id", "label", "n", "b_y", "c", "priors_predict", "log_feature", "pca", "vec_pca"]
+    assert "regexp_extract_all" not in rows._jdf.queryExecution().optimizedPlan().toString()
+    assert "title" in PipelineModel(fitted).transform(frame).columns
+
+
 def test_no_label_of_a_test_fold_reaches_its_training(spark):
     """One category per row: target means learned outside the fold would give every label away."""
     rnd = random.Random(9)
