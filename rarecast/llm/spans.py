@@ -8,9 +8,10 @@ at least ``RUN`` consecutive sentences and ``MIN_WORDS`` words.  The hashes of a
 over the whole corpus: a run met more than once is a repeated span, its first occurrence by
 (id, position) stays, and every sentence that a non-first occurrence covers is removed.
 
-Only (hash, id, position) is shuffled.  How often a hash occurs and where first is summed before the
-shuffle, so a passage that sits in a third of all documents is no large group; the join back is an
-ordinary equi-join that Spark splits where it is skewed.
+(hash, id, position) is shuffled once and sorted; a hash's first row is carried along as the others are
+met.  What a piece of a task (1 MB of text) holds of a hash travels as one row, so a passage
+that sits in a third of all documents is few rows.  Of the texts only those that a bitmap of the ids
+with spans lets through are shuffled.
 
 Defined cases: words are compared with A-Z lower-cased and white space ignored; null, empty and short
 texts have no runs and stay as they are; repeats inside one document count like others; rows equal in
@@ -23,10 +24,10 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import read_table
+from .common import IdFilter, read_table, stored
 from .kernels import Words, chunks, combine, mix64, words
 from .registry import register
 
@@ -93,17 +94,30 @@ def _text_runs(c, n_run, min_words, cut):
 
 
 def span_table(docs: DataFrame, id_col: str, text_col: str, n_run: int, min_words: int, cut: int) -> DataFrame:
+    """(h, doc, pos, more): once per run hash and piece of a task the first occurrence there, and the others."""
     def run(batches):
         for b in batches:
             ids = b.column("doc")
             for c in chunks(b.column("text")):
                 _, row, _, _, at, s, _, g = _text_runs(c, n_run, min_words, cut)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(g.view(np.int64)), ids.take(pa.array(c.at + row[s])),
-                     pa.array((s - at[row[s]]).astype(np.int32))], names=["h", "doc", "pos"])
+                doc, pos = ids.take(pa.array(c.at + row[s])), (s - at[row[s]]).astype(np.int32)
+                # by hash, then by the order of the occurrences, null ids first
+                order = np.lexsort((pos, doc.fill_null(0).to_numpy(), doc.is_valid().to_numpy(zero_copy_only=False), g))
+                g, pos = g[order], pos[order]
+                doc = doc.take(pa.array(order))
+                new = np.ones(len(g), bool)
+                new[1:] = g[1:] != g[:-1]
+                lead, rest = np.flatnonzero(new), np.flatnonzero(~new)
+                offs = np.searchsorted(rest, np.append(lead, len(g)))
+                more = pa.ListArray.from_arrays(
+                    pa.array(offs, pa.int32()),
+                    pa.StructArray.from_arrays([doc.take(pa.array(rest)), pa.array(pos[rest])], names=["doc", "pos"]),
+                    mask=pa.array(np.diff(offs) == 0))
+                yield pa.RecordBatch.from_arrays([pa.array(g[lead].view(np.int64)), doc.take(pa.array(lead)),
+                                                  pa.array(pos[lead]), more], names=["h", "doc", "pos", "more"])
 
     rows = docs.select(F.col(id_col).cast("long").alias("doc"), F.col(text_col).cast("string").alias("text"))
-    return rows.mapInArrow(run, "h long, doc long, pos int")
+    return rows.mapInArrow(run, "h long, doc long, pos int, more array<struct<doc: long, pos: int>>")
 
 
 def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n_run: int = RUN,
@@ -111,9 +125,13 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     """Per document with a non-first repeated span: doc, spans (pos, h), first_ids (documents that keep
     a first occurrence)."""
     t = span_table(docs, id_col, text_col, n_run, min_words, cut)
-    facts = (t.groupBy("h").agg(F.min(F.struct("doc", "pos")).alias("first"), F.max(F.struct("doc", "pos")).alias("last"))
-             .filter(~F.col("first").eqNullSafe(F.col("last"))).select("h", "first"))
-    return (t.join(facts, "h").filter(~F.struct("doc", "pos").eqNullSafe(F.col("first")))
+    # rows of a hash come in order, so its first one is known when the others are met
+    so_far = Window.partitionBy("h").orderBy("doc", "pos").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    at = F.struct("doc", "pos")
+    met = (t.withColumn("first", F.first(at).over(so_far))
+           .filter(F.col("more").isNotNull() | ~at.eqNullSafe(F.col("first"))))
+    every = F.concat(F.array(at), F.coalesce("more", F.array().cast("array<struct<doc: bigint, pos: int>>")))
+    return (met.select("h", "first", F.inline(every)).filter(~at.eqNullSafe(F.col("first")))
             .groupBy("doc").agg(F.collect_set(F.struct("pos", "h")).alias("__spans"),
                                 F.collect_set("first.doc").alias("first_ids")))
 
@@ -166,10 +184,14 @@ def remove_repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str
                           min_words: int = MIN_WORDS, cut: int = CUT, changed_only: bool = False) -> DataFrame:
     """``docs`` with repeated spans removed from the text, plus n_sentences, n_removed, removed (byte spans
     of the old text) and first_ids; ``changed_only`` leaves out the documents that lose nothing."""
-    spans = repeated_spans(docs, id_col, text_col, n_run, min_words, cut)
-    d = docs.withColumn("__span_text", F.col(text_col).cast("string")).join(
-        spans.withColumnRenamed("doc", "__span_doc"), F.col(id_col).cast("long").eqNullSafe(F.col("__span_doc")),
-        "inner" if changed_only else "left").drop("__span_doc")
+    spans = stored(repeated_spans(docs, id_col, text_col, n_run, min_words, cut).withColumnRenamed("doc", "__span_doc"), "spans")
+    texts = docs.withColumns({"__span_text": F.col(text_col).cast("string"), "__span_id": F.col(id_col).cast("long")})
+    # only texts that may hold a span are shuffled
+    maybe = F.col("__span_id").isNull() | IdFilter(spans.select("__span_doc")).column("__span_id")
+    d = texts.filter(maybe).join(spans, F.col("__span_id").eqNullSafe(F.col("__span_doc")), "inner" if changed_only else "left")
+    if not changed_only:
+        d = d.unionByName(texts.filter(~maybe), allowMissingColumns=True)
+    d = d.drop("__span_doc", "__span_id")
     extra = [c for c in d.columns if c not in ("__span_text", "__spans")]
     schema = ", ".join([*[f"`{f.name}` {f.dataType.simpleString()}" for f in d.schema if f.name in extra],
                         "__span_new string, n_sentences long, n_removed long, removed array<struct<start: long, end: long>>"])

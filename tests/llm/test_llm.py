@@ -243,6 +243,22 @@ def test_span_cuts_realign_inside_passages(spark):
         assert gone and gone <= p and got[i - 1].n_removed == 0
 
 
+def plan_text(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_spans_shuffled_once(spark, odd):
+    """The runs of all texts go through one exchange, and no text without a span through any."""
+    assert len(re.findall(r"Exchange hashpartitioning\(h#", plan_text(spans.repeated_spans(odd)))) == 1
+    p = " ".join(f"Alpha{i} beta{i} gamma{i} delta{i} eps{i} zeta{i}." for i in range(9))
+    docs = make(spark, [(None, f"{p} One.", "a"), (None, f"Intro here. {p} Two.", "a"), (3, f"{p} Three.", "a"), (4, "Alone here.", "a")])
+    got = spans.remove_repeated_spans(docs)
+    assert "maybe(" in plan_text(got)
+    assert sorted((r.doc_id or 0, r.n_removed > 0) for r in got.collect()) == [(0, False), (0, True), (3, True), (4, False)]
+    few = spans.remove_repeated_spans(docs, changed_only=True).collect()
+    assert sorted((r.doc_id or 0, r.n_removed > 0) for r in few) == [(0, True), (3, True)]
+
+
 def test_katz_against_brute_force(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text").collect()
     c, pair, hist, n_docs = collections.Counter(), collections.Counter(), collections.Counter(), 0
