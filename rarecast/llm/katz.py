@@ -122,16 +122,31 @@ class Unigrams:
         return (mix64(np.where(self.hot[h], key, h).astype(np.uint64) + np.uint64(9)) % np.uint64(n)).astype(np.int64)
 
 
+_ZSTD = pa.Codec("zstd")
+
+
+def squeeze(x: np.ndarray) -> bytes:
+    """Integers compressed byte place by byte place: the high places are mostly alike."""
+    raw = x.view(np.uint8).reshape(-1, x.itemsize).T.tobytes()
+    return x.dtype.char.encode() + len(raw).to_bytes(8, "little") + _ZSTD.compress(raw, asbytes=True)
+
+
+def expand(b) -> np.ndarray:
+    b = memoryview(b)
+    kind, n = np.dtype(bytes(b[:1]).decode()), int.from_bytes(b[1:9], "little")
+    raw = np.frombuffer(_ZSTD.decompress(b[9:], n), np.uint8) if n else np.zeros(0, np.uint8)
+    return np.ascontiguousarray(raw.reshape(kind.itemsize, -1).T).view(kind).ravel()
+
+
 def pack(sorted_keys: np.ndarray) -> bytes:
-    """Ascending keys as differences: a width byte, then 4- or 8-byte integers."""
+    """Ascending keys as differences in 4- or 8-byte integers."""
     d = np.diff(sorted_keys, prepend=0)
     wide = len(d) and int(d.max()) >= 1 << 32
-    return bytes([8 if wide else 4]) + d.astype(np.uint64 if wide else np.uint32).tobytes()
+    return squeeze(d.astype(np.uint64 if wide else np.uint32))
 
 
 def unpack(b) -> np.ndarray:
-    b = memoryview(b)
-    return np.cumsum(np.frombuffer(b[1:], np.uint64 if b[0] == 8 else np.uint32).astype(np.int64))
+    return np.cumsum(expand(b).astype(np.int64))
 
 
 def _by_bucket(bucket, *arrays):
@@ -153,7 +168,7 @@ def _pair_counts(held, n_buckets: int):
                 return
             u, at = np.unique(np.concatenate([x for x, _ in kept]), return_inverse=True)
             n = np.bincount(at, np.concatenate([x for _, x in kept]), len(u)).astype(np.int64)
-            rows = [(k, pack(a), m.astype(np.uint32).tobytes()) for k, a, m in _by_bucket(uni.bucket(u, n_buckets), u, n)]
+            rows = [(k, pack(a), squeeze(m.astype(np.uint32))) for k, a, m in _by_bucket(uni.bucket(u, n_buckets), u, n)]
             b, a, m = zip(*rows)
             yield pa.RecordBatch.from_arrays([pa.array(b, pa.int32()), pa.array(a, pa.binary()), pa.array(m, pa.binary())],
                                              names=["bucket", "keys", "counts"])
@@ -171,8 +186,8 @@ def _pair_counts(held, n_buckets: int):
 
 
 def _tail_pair_counts(held):
-    """Per task: (first word, second word, occurrences) of the bigrams with a tail word; merged in
-    memory up to a bound."""
+    """Per task: (first word, second word, occurrences, join key) of the bigrams with a tail word; merged in
+    memory up to a bound.  The key is the tail word, of two the second: the one whose probability is sought."""
     def run(batches):
         uni = held.value
         kept, size = [], 0
@@ -182,8 +197,11 @@ def _tail_pair_counts(held):
             order = np.lexsort((t, h))
             h, t = h[order], t[order]
             new = np.flatnonzero(np.concatenate([[True], (h[1:] != h[:-1]) | (t[1:] != t[:-1])]))
-            return pa.RecordBatch.from_arrays([pa.array(h[new].view(np.int64)), pa.array(t[new].view(np.int64)),
-                                               pa.array(np.diff(np.append(new, len(h))))], names=["h", "w", "n"])
+            n = np.diff(np.append(new, len(h)))
+            h, t = h[new], t[new]
+            k = np.where((uni.head.find(t) < 0) & (t != END), t, h)
+            return pa.RecordBatch.from_arrays([*[pa.array(x.view(np.int64)) for x in (h, t)], pa.array(n),
+                                               pa.array(k.view(np.int64))], names=["h", "w", "n", "k"])
 
         for b in batches:
             for c in chunks(b.column("text")):
@@ -200,8 +218,8 @@ def _tail_pair_counts(held):
 
 
 def _with_head(held):
-    """Adds what the broadcast tells of a bigram: the id of its first word (-1 in the tail) and the
-    probability of its second (null in the tail)."""
+    """Adds to bigrams, with the probability that the tail's table has for their tail word, what the broadcast
+    tells: the id of the first word (-1 in the tail) and the probability of a second word outside the tail."""
     def run(batches):
         u = held.value
         for b in batches:
@@ -209,7 +227,8 @@ def _with_head(held):
             first, second = u.head.find(h), u.head.find(w)
             first[h == BEGIN] = u.begin
             second[w == END] = u.end
-            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(first), pa.array(u.p[second], mask=second < 0)],
+            p = np.where(second < 0, b.column("tail_p").to_numpy(zero_copy_only=False), u.p[second])
+            yield pa.RecordBatch.from_arrays([*b.columns[:3], pa.array(first), pa.array(p)],
                                              names=["h", "w", "n", "first", "p"])
     return run
 
@@ -222,7 +241,7 @@ def _spread(tail, key: str):
 def _merge(table: pa.Table) -> pa.Table:
     """Blocks of one bucket -> one row: its keys, counts and counts of counts."""
     keys = np.concatenate([unpack(x.as_buffer()) for x in table["keys"]])
-    n = np.concatenate([np.frombuffer(x.as_buffer(), np.uint32) for x in table["counts"]])
+    n = np.concatenate([expand(x.as_buffer()) for x in table["counts"]])
     order = np.argsort(keys)
     keys, n = keys[order], n[order]
     del order
@@ -230,7 +249,7 @@ def _merge(table: pa.Table) -> pa.Table:
     u, n = keys[first], np.add.reduceat(n, first, dtype=np.int64)
     of = np.bincount(np.minimum(n, GT_MAX + 2), minlength=GT_MAX + 3)
     return pa.table({"bucket": pa.array([table["bucket"][0].as_py()], pa.int32()), "keys": pa.array([pack(u)], pa.binary()),
-                     "counts": pa.array([n.astype(np.uint32).tobytes()], pa.binary()),
+                     "counts": pa.array([squeeze(n.astype(np.uint32))], pa.binary()),
                      "of": pa.array([of.tolist()], pa.list_(pa.int64()))})
 
 
@@ -308,11 +327,12 @@ def train(texts: DataFrame):
     of = np.array(pairs.agg(*[F.coalesce(F.sum(F.col("of")[i]), F.lit(0)) for i in range(GT_MAX + 3)]).first(), dtype=np.float64)
     tail_pairs = None
     if not uni.all_head:
-        counted = (texts.mapInArrow(_tail_pair_counts(held), "h long, w long, n long").groupBy("h", "w")
-                   .agg(F.sum("n").alias("n")).mapInArrow(_with_head(held), "h long, w long, n long, first long, p double"))
+        # counts and join go by the one key, so the bigrams are shuffled once
+        counted = (texts.mapInArrow(_tail_pair_counts(held), "h long, w long, n long, k long").repartition("k")
+                   .groupBy("k", "h", "w").agg(F.sum("n").alias("n")))
         known_p = unigrams.select(F.col("word").alias("k"), (F.col("c") * ((1 - uni.p0) / uni.n)).alias("tail_p"))
-        tail_pairs = stored(counted.withColumn("k", _spread(F.col("p").isNull(), "w")).join(known_p, "k", "left")
-                            .select("h", "w", "n", "first", F.coalesce("p", "tail_p").alias("p")), "tail-pairs")
+        tail_pairs = stored(counted.join(known_p, "k", "left").select("h", "w", "n", "tail_p")
+                            .mapInArrow(_with_head(held), "h long, w long, n long, first long, p double"), "tail-pairs")
         for n, times in tail_pairs.groupBy(F.least("n", F.lit(GT_MAX + 2))).count().collect():
             of[n] += times
     d = discounts(of)
@@ -324,7 +344,7 @@ def train(texts: DataFrame):
         for b in batches:
             for x, y in zip(b.column("keys"), b.column("counts")):
                 keys = unpack(x.as_buffer())
-                n = np.frombuffer(y.as_buffer(), np.uint32).astype(np.int64)
+                n = expand(y.as_buffer()).astype(np.int64)
                 h, w = np.divmod(keys, u.ids)
                 at, first = np.unique(h, return_index=True)
                 used = np.add.reduceat(n * d[np.minimum(n, GT_MAX + 1)], first)
@@ -457,28 +477,28 @@ def score(docs: DataFrame, trained, id_col: str = "doc_id", text_col: str = "tex
                 some = (m.hot_of(key) < 0) & (key // u.ids != u.tail) & (key % u.ids != u.tail)
                 row, key = row[some], key[some]
                 small = np.uint16 if c.n <= 1 << 16 else np.uint32
-                out = [(k, pack(a), int(rid[c.at]), r.astype(small).tobytes(), np.dtype(small).itemsize)
+                out = [(k, pack(a), int(rid[c.at]), squeeze(r.astype(small)))
                        for k, a, r in _by_bucket(u.bucket(key, n_buckets), key, row)]
                 if out:
-                    k, a, first, r, size = zip(*out)
+                    k, a, first, r = zip(*out)
                     yield pa.RecordBatch.from_arrays(
                         [pa.array(k, pa.int32()), pa.array(a, pa.binary()), pa.array(first, pa.int64()),
-                         pa.array(r, pa.binary()), pa.array(size, pa.int32())], names=["bucket", "keys", "rid", "rows", "size"])
+                         pa.array(r, pa.binary())], names=["bucket", "keys", "rid", "rows"])
 
-    blocks = rows.mapInArrow(pair_blocks, "bucket int, keys binary, rid long, rows binary, size int")
+    blocks = rows.mapInArrow(pair_blocks, "bucket int, keys binary, rid long, rows binary")
 
     def look_up(left: pa.Table, right: pa.Table) -> pa.Table:
         m = held.value
         if not right.num_rows or not left.num_rows:
             return pa.table({"rid": pa.array([], pa.int64()), "score": pa.array([], pa.float64())})
         keys = unpack(right["keys"][0].as_buffer())
-        gain = m.gain(keys, np.frombuffer(right["counts"][0].as_buffer(), np.uint32))
+        gain = m.gain(keys, expand(right["counts"][0].as_buffer()))
         rid, total = [], []
-        for k, f, r, size in zip(left["keys"], left["rid"], left["rows"], left["size"]):
+        for k, f, r in zip(left["keys"], left["rid"], left["rows"]):
             q = unpack(k.as_buffer())
             at = np.minimum(np.searchsorted(keys, q), len(keys) - 1)
             hit = keys[at] == q
-            doc = np.frombuffer(r.as_buffer(), np.uint16 if size.as_py() == 2 else np.uint32)[hit]
+            doc = expand(r.as_buffer())[hit]
             s = np.bincount(doc, gain[at[hit]]).astype(np.float64)
             some = np.flatnonzero(np.bincount(doc))
             rid.append(f.as_py() + some)             # rows of a block are consecutive
@@ -489,9 +509,10 @@ def score(docs: DataFrame, trained, id_col: str = "doc_id", text_col: str = "tex
              .applyInArrow(look_up, "rid long, score double"))
     # tail words and their bigrams by an ordinary join; an unseen word is <unk>, an unseen bigram gains nothing
     uni = model.uni
-    word = ~F.col("pair")
-    tails = (known.filter("word IS NOT NULL").select("rid", F.col("word").alias("key"), "n_tokens", "pair")
-             .join(tail_scores.withColumnRenamed("score", "found"), "key", "left")
+    word = F.col("times") > 0                        # a bigram's times are shuffled with a minus
+    tails = (known.filter("word IS NOT NULL")
+             .select("rid", F.col("word").alias("key"), F.when(F.col("pair"), -F.col("n_tokens")).otherwise(F.col("n_tokens")).alias("times"))
+             .join(tail_scores.withColumnRenamed("score", "found"), "key", "left").withColumn("n_tokens", F.abs("times"))
              .select("rid", F.when(word & F.col("c").isNotNull(), F.col("n_tokens")).otherwise(0).alias("n_known"),
                      F.when(word, F.col("n_tokens") * F.log10(F.coalesce("c", F.lit(0)) + 0.5)).otherwise(0.0).alias("base"),
                      (F.col("n_tokens") * F.coalesce("found", F.when(word, float(np.log10(uni.p0))).otherwise(0.0)))

@@ -259,6 +259,17 @@ def test_spans_shuffled_once(spark, odd):
     assert sorted((r.doc_id or 0, r.n_removed > 0) for r in few) == [(0, True), (3, True)]
 
 
+def test_katz_blocks_are_small():
+    """Sorted bigram keys with their counts take less than the 4 bytes a difference and 4 a count had."""
+    rng = np.random.default_rng(3)
+    for top in (1 << 20, 1 << 30, 1 << 38):
+        keys, n = np.sort(rng.integers(0, top, 20_000)), rng.integers(1, 4, 20_000).astype(np.uint32)
+        assert (katz.unpack(katz.pack(keys)) == keys).all() and (katz.expand(katz.squeeze(n)) == n).all()
+        assert len(katz.pack(keys)) + len(katz.squeeze(n)) < 5 * len(keys)
+    assert len(katz.unpack(katz.pack(np.zeros(0, np.int64)))) == 0
+    assert katz.expand(katz.squeeze(np.zeros(0, np.uint16))).dtype == np.uint16
+
+
 def test_katz_against_brute_force(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text").collect()
     c, pair, hist, n_docs = collections.Counter(), collections.Counter(), collections.Counter(), 0
