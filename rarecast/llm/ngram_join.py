@@ -22,8 +22,11 @@ are verified exactly on the whole sets.  A group of many near copies is not expa
 pairs: first every index entry's most central document is compared with the entry's other
 documents and the links are contracted; after that only pairs of *different* components that
 share an entry are compared, all of them.  So no link between components is lost and none is
-assumed.  Of the entries of frequent tokens, many of which such a pair shares, the lowest makes the
-pair and the others, as far as ``EARLIER`` tells them, do not make it again.
+assumed.  Entries of the same documents, as the shingles of a shared passage are, make each pair
+once, with their number.  A pair whose sketches (the parity of the tokens in each of ``LANES`` * 64
+buckets) differ in more bits than the tokens of two linked sets may differ is none: every such bit
+is a token that only one of the two has.  Of the entries of frequent tokens, many of which a pair
+shares, the lowest makes the pair and the others, as far as ``EARLIER`` tells them, do not make it again.
 
 Defined cases: texts without words (null, empty) have no tokens and link with nothing, not even
 each other; texts with fewer words than k are one token; equal sets always link; rows that share
@@ -34,9 +37,11 @@ table gives no rows; other columns are ignored.
 
 from __future__ import annotations
 
+from functools import reduce
+
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import IdFilter, most_frequent, read_table, stored
@@ -50,6 +55,7 @@ FREQUENT = 1000              # documents
 TABLE = 1 << 19              # rows of each broadcast table of frequent words or shingles: 8 MB at most
 SPLIT = 4                    # allowed misses per bucket of frequent tokens
 EARLIER = 8                  # lower keys carried with each pair of frequent tokens; any number gives the same links
+LANES = 8                    # longs of a sketch; any number gives the same links, larger sets need more to be told apart
 ALL = np.int64(2**63 - 1)    # place in the token order after every rare token
 
 
@@ -154,6 +160,14 @@ def _pairs(tokens: np.ndarray, n_rare: int, need: int, n: int, percent: int) ->
     return np.concatenate(out) if out else np.zeros(0, np.uint64)
 
 
+def _sketch(row: np.ndarray, h: np.ndarray, n_rows: int) -> pa.Array:
+    """Per row: the parity of its distinct tokens in each of ``LANES`` * 64 buckets, as ``LANES`` longs."""
+    bits = np.zeros(n_rows * LANES, np.uint64)
+    np.bitwise_xor.at(bits, row * LANES + ((h >> np.uint64(6)) % np.uint64(LANES)).astype(np.int64),
+                      np.uint64(1) << (h & np.uint64(63)))
+    return list_array(bits, np.arange(n_rows + 1) * LANES)
+
+
 def _index(word_table, shingle_table, width: int, percent: int):
     def run(batches):
         for b in batches:
@@ -199,8 +213,8 @@ def _index(word_table, shingle_table, width: int, percent: int):
                     [b.column("doc_id").slice(c.at, c.n), pa.array(n.astype(np.int64)),
                      pa.array(prints[0].view(np.int64)), pa.array(prints[1].view(np.int64)),
                      pa.array(rare.astype(np.int64)), pa.array(single.astype(np.int64)), pa.array(last),
-                     list_array(entry, np.searchsorted(entry_row, np.arange(c.n + 1)))],
-                    names=["doc_id", "n", "f1", "f2", "rare", "singles", "last", "entries"])
+                     _sketch(row, h, c.n), list_array(entry, np.searchsorted(entry_row, np.arange(c.n + 1)))],
+                    names=["doc_id", "n", "f1", "f2", "rare", "singles", "last", "sketch", "entries"])
     return run
 
 
@@ -234,10 +248,20 @@ def _verified(pairs: DataFrame, rows: DataFrame, width: int, percent: int) -> Da
                   .filter(100 * shared >= percent * (F.size("a") + F.size("b") - shared)).select("u", "v"), "linked")
 
 
+def _least_overlap(percent: int):
+    """Smallest overlap of u and v that reaches the threshold."""
+    return F.floor((percent * (F.col("nu") + F.col("nv")) + (99 + percent)) / F.lit(100 + percent))
+
+
+def _near_sketches(percent: int):
+    """Condition on the sketches of u and v: they differ in no more bits than linked sets in tokens."""
+    bits = [F.bit_count(F.get("ku", F.lit(i)).bitwiseXOR(F.get("kv", F.lit(i)))) for i in range(LANES)]
+    return reduce(Column.__add__, bits) <= F.col("nu") + F.col("nv") - 2 * _least_overlap(percent)
+
+
 def _may_link(percent: int):
     """Condition on the facts of u and v: sizes fit, and certain misses leave enough to share."""
-    need = (percent * (F.col("nu") + F.col("nv")) + (99 + percent)) / F.lit(100 + percent)
-    need = F.floor(need)                       # smallest overlap that reaches the threshold
+    need = _least_overlap(percent)
     u, v = F.col("nu") - F.col("mu") >= need, F.col("nv") - F.col("mv") >= need
     both = u & v
     return ((100 * F.least("nu", "nv") >= percent * F.greatest("nu", "nv"))
@@ -247,7 +271,7 @@ def _may_link(percent: int):
 
 def _side(live: DataFrame, s: str, *more: str) -> DataFrame:
     return live.select("entry", F.col("node").alias(s), F.col("n").alias("n" + s), F.col("misses").alias("m" + s),
-                       F.col("singles").alias("s" + s), F.col("last").alias("l" + s), *[F.col(c).alias(c[0] + s) for c in more])
+                       F.col("singles").alias("s" + s), F.col("last").alias("l" + s), *[F.col(c).alias(c[0] + s if c != "met" else c) for c in more])
 
 
 _FACTS = [k + x for k in "nsl" for x in "uv"]
@@ -286,6 +310,20 @@ def _live_entries(index: DataFrame, percent: int) -> DataFrame:
     return stored(keep.join(many, "entry").distinct(), "live")
 
 
+def _across(named: DataFrame) -> DataFrame:
+    """Of ``named`` (entry, component, more) the entries of several components, one for all that have the very
+    same rows; ``met`` tells for how many rare tokens it stands (0: pairs of frequent tokens).  Rows are
+    compared by their number and 128 bits of hashes, as token sets are."""
+    facts = sorted(set(named.columns) - {"entry"})
+    lists = (named.groupBy("entry")
+             .agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.count(F.lit(1)).alias("c"),
+                  F.bit_xor(F.xxhash64(*facts)).alias("f1"), F.bit_xor(F.xxhash64(F.lit(1), *facts)).alias("f2"))
+             .filter("lo <> hi").withColumn("single", F.col("entry") % 2 != 0))
+    one = (lists.groupBy("single", "c", "f1", "f2").agg(F.min("entry").alias("entry"), F.count(F.lit(1)).alias("met"))
+           .select("entry", F.when(F.col("single"), F.col("met")).otherwise(0).alias("met")))
+    return named.join(one, "entry")
+
+
 def _first_meetings(side: DataFrame) -> DataFrame:
     """``side`` with the pairs of frequent tokens rewritten to 32-bit keys (even, as before), each with the
     ``EARLIER`` lowest keys of its node that lie ``before`` it.  Two nodes that have a key before this one in
@@ -306,9 +344,9 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     tables = frequency_tables(rows.select("text"), width, frequent)
     index = stored(rows.mapInArrow(_index(*tables, width, percent), "doc_id long, n long, f1 long, f2 long, "
-                                   "rare long, singles long, last long, entries array<long>"), "index")
+                                   "rare long, singles long, last long, sketch array<long>, entries array<long>"), "index")
     key = ["n", "f1", "f2"]
-    reps = index.filter("n > 0").groupBy(*key).agg(F.min("doc_id").alias("node"))
+    reps = index.filter("n > 0").groupBy(*key).agg(F.min("doc_id").alias("node"), F.first("sketch").alias("k"))
     live = _live_entries(index, percent)
     rare = live.filter(F.col("entry") % 2 != 0)
     # the entry's most central document against its others
@@ -325,20 +363,20 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     first = components(links)
     # what still shares an entry across components
     named = live.join(first, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    mixed = (named.groupBy("entry").agg(F.min("component").alias("lo"), F.max("component").alias("hi"))
-             .filter("lo <> hi").select("entry"))
-    side = _first_meetings(stored(named.join(mixed, "entry"), "mixed"))
-    more = ("component", "before")
-    cross = (_side(side, "u", *more).join(_side(side, "v", *more).withColumnRenamed("entry", "e"),
-                                          (F.col("entry") == F.col("e")) & (F.col("cu") < F.col("cv")) & _may_link(percent)
-                                          & ~F.arrays_overlap("bu", "bv"))
-             .groupBy("u", "v", *_FACTS).agg(F.count_if(F.col("entry") % 2 != 0).alias("met")))
+    side = _first_meetings(stored(_across(named), "mixed"))
+    side = side.join(reps.select("node", "k"), "node")         # sets that share an id: a candidate more, none less
+    more = ("component", "before", "k")
+    cross = (_side(side, "u", *more, "met").join(_side(side, "v", *more).withColumnRenamed("entry", "e"),
+                                                 (F.col("entry") == F.col("e")) & (F.col("cu") < F.col("cv"))
+                                                 & _may_link(percent) & _near_sketches(percent)
+                                                 & ~F.arrays_overlap("bu", "bv"))
+             .groupBy("u", "v", *_FACTS).agg(F.sum("met").alias("met")))
     cross = _enough(cross, percent).distinct()
     done = star.select(F.least("u", "v").alias("a"), F.greatest("u", "v").alias("b"))
     cross = stored(cross.join(done, (F.least("u", "v") == F.col("a")) & (F.greatest("u", "v") == F.col("b")), "left_anti")
                    .select("u", "v"), "cross")
     last = components(links.union(_verified(cross, rows, width, percent)))
-    return (index.select("doc_id", *key).join(reps, key, "left").join(last, "node", "left")
+    return (index.select("doc_id", *key).join(reps.drop("k"), key, "left").join(last, "node", "left")
             .select("doc_id", F.col("n").alias("n_shingles"),
                     F.when(F.col("n") == 0, F.col("doc_id")).otherwise(F.coalesce("component", "node"))
                     .alias("component_id")))

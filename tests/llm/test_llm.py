@@ -161,6 +161,68 @@ def test_first_meetings_lose_no_pair(spark, earlier, monkeypatch):
     assert odd[0] == odd[1] and len(told) < len(plain)
 
 
+def test_jaccard_shared_passage_makes_few_pairs(spark, monkeypatch):
+    """Texts that share half of their shingles, none linked but the near copies: each shared passage is one entry
+    and the pairs that are too far apart are not made."""
+    rng = random.Random(7)
+    words = [f"w{i}" for i in range(80)]
+    passage = [rng.choice(words) for _ in range(70)]
+    texts = {i: [*[rng.choice(words) for _ in range(35)], *passage, *[rng.choice(words) for _ in range(35)]] for i in range(40)}
+    texts |= {50 + i: [*texts[i][:-1], "new"] for i in range(5)}
+    texts = {i: " ".join(t) for i, t in texts.items()}
+    rows = {}
+
+    def counted(df, name, put=ngram_join.stored):
+        made = put(df, name)
+        rows.setdefault(name, []).append(made.count())
+        return made
+
+    monkeypatch.setattr(ngram_join, "stored", counted)
+    docs = make(spark, [(i, t, "a") for i, t in texts.items()])
+    got = ngram_join.jaccard_components(docs, width=5, percent=80)
+    want = brute_components(texts, 5, 80)
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in got.collect()} == want
+    assert [want[50 + i][1] for i in range(5)] == list(range(5)) and len({c for _, c in want.values()}) == 40
+    assert rows["cross"] == [0] and rows["mixed"][0] < rows["live"][0] / 2
+
+
+def test_across_keeps_pairs_and_their_rare_tokens(spark):
+    """Entries of the same rows become one, whose ``met`` adds up to the rare tokens that a pair shares."""
+    rng = random.Random(3)
+    lists = [rng.sample(range(20), rng.choice([1, 2, 3, 6])) for _ in range(15)]
+    rows = [(e, n, n % 4, n * n) for e in range(90) for n in lists[e % 15]]
+    named = spark.createDataFrame(rows, "entry long, node long, component long, n long")
+
+    def meetings(d, met):
+        a, b = (d.select("entry", *[F.col(c).alias(c + x) for c in ("node", "component")], met.alias("met" + x)) for x in "uv")
+        j = a.join(b, "entry").filter("componentu < componentv").groupBy("nodeu", "nodev").agg(F.sum("metu").alias("m"))
+        return {(r.nodeu, r.nodev): r.m for r in j.collect()}
+
+    across = ngram_join._across(named)
+    plain = meetings(named, (F.col("entry") % 2 != 0).cast("long"))
+    assert plain and meetings(across, F.col("met")) == plain and across.count() < named.count() / 2
+
+
+@pytest.mark.parametrize("percent", [80, 85])
+def test_sketches_rule_out_no_link(spark, percent):
+    """Every pair that reaches the threshold passes; of the pairs far below it few do."""
+    rng = random.Random(percent)
+    sets, sizes = [], [1, 2, 7, 30, 200, 900, 4000]
+    for n in sizes * 4:
+        base = [rng.getrandbits(64) for _ in range(n)]
+        near = [rng.getrandbits(64) if rng.random() < 0.1 else t for t in base]
+        half = [rng.getrandbits(64) if rng.random() < 0.5 else t for t in base]
+        sets += [(base, near), (base, half), (base, base[n // 6:])]
+    flat = [np.array(t, np.uint64) for p in sets for t in p]
+    held = ngram_join._sketch(np.repeat(np.arange(len(flat)), [len(t) for t in flat]), np.concatenate(flat), len(flat)).to_pylist()
+    rows = [(len(a), len(b), held[2 * i], held[2 * i + 1], 100 * len(set(a) & set(b)) >= percent * len(set(a) | set(b)))
+            for i, (a, b) in enumerate(sets)]
+    pairs = spark.createDataFrame(rows, "nu long, nv long, ku array<long>, kv array<long>, linked boolean")
+    got = pairs.withColumn("near", ngram_join._near_sketches(percent)).collect()
+    assert all(r.near for r in got if r.linked) and any(r.linked for r in got)
+    assert not any(r.near for r in got[1::3] if r.nu in (200, 900))
+
+
 def test_jaccard_edges(spark, odd, empty):
     got = {r.doc_id: r.component_id for r in ngram_join.jaccard_components(odd).collect()}
     assert got[1] == 1 and got[2] == 2 and got[4] == 3 and got[6] == 5 and got[None] is None
