@@ -165,7 +165,7 @@ def test_jaccard_shared_passage_makes_few_pairs(spark, monkeypatch):
     """Texts that share half of their shingles, none linked but the near copies: each shared passage is one entry
     and the pairs that are too far apart are not made."""
     rng = random.Random(7)
-    words = [f"w{i}" for i in range(80)]
+    words = [f"w{i}" for i in range(12)]         # in all texts, so the order tells no shared shingle from others
     passage = [rng.choice(words) for _ in range(70)]
     texts = {i: [*[rng.choice(words) for _ in range(35)], *passage, *[rng.choice(words) for _ in range(35)]] for i in range(40)}
     texts |= {50 + i: [*texts[i][:-1], "new"] for i in range(5)}
@@ -183,7 +183,7 @@ def test_jaccard_shared_passage_makes_few_pairs(spark, monkeypatch):
     want = brute_components(texts, 5, 80)
     assert {r.doc_id: (r.n_shingles, r.component_id) for r in got.collect()} == want
     assert [want[50 + i][1] for i in range(5)] == list(range(5)) and len({c for _, c in want.values()}) == 40
-    assert rows["cross"] == [0] and rows["mixed"][0] < rows["live"][0] / 2
+    assert rows["live"][0] > 300 and rows["mixed"][0] < rows["live"][0] / 2 and rows["cross"] == [0]
 
 
 def test_across_keeps_pairs_and_their_rare_tokens(spark):
