@@ -296,16 +296,18 @@ def _live_entries(index: DataFrame, percent: int) -> DataFrame:
     facts = (shared.groupBy("node").agg(F.count_if(F.col("entry") % 2 != 0).alias("met"))
              .join(nodes.select("node", "n", "rare", "singles", "last"), "node")
              .select("node", "n", "rare", "singles", (F.col("singles") - F.col("met")).alias("misses"), "last"))
-    full = shared.select("node", "entry").join(facts, "node")
+    full = stored(shared.select("node", "entry").join(facts, "node"), "full")
+    # what is known of an entry comes from all its rows, and the next question needs the answer: each is written, else
+    # the last join would make all before it several times over in one task, with a sort's pages for every one of them
     low = full.groupBy("entry").agg(F.min("n").alias("low"))
     need = F.floor((percent * (F.col("n") + F.col("low")) + (99 + percent)) / F.lit(100 + percent))
-    full = full.join(low, "entry").withColumn("good", F.col("n") - F.col("misses") >= need)
-    reach = full.groupBy("entry").agg(F.min(F.when(F.col("good"), F.col("last"))).alias("reach"))
+    judged = stored(full.join(low, "entry").withColumn("good", F.col("n") - F.col("misses") >= need).drop("low"), "judged")
+    reach = judged.groupBy("entry").agg(F.min(F.when(F.col("good"), F.col("last"))).alias("reach"))
     # a bad node can only link with a good one whose rare tokens are indexed less far
-    keep = (full.join(reach, "entry")
-            .filter(F.col("good") | (F.col("reach") < F.col("last"))
-                    | ((F.col("reach") == F.col("last")) & (F.col("last") < F.lit(int(ALL)))))
-            .drop("low", "good", "reach"))
+    keep = stored(judged.join(reach, "entry")
+                  .filter(F.col("good") | (F.col("reach") < F.col("last"))
+                          | ((F.col("reach") == F.col("last")) & (F.col("last") < F.lit(int(ALL)))))
+                  .drop("good", "reach"), "keep")
     many = keep.groupBy("entry").agg(F.min("node").alias("a"), F.max("node").alias("b")).filter("a <> b").select("entry")
     return stored(keep.join(many, "entry").distinct(), "live")
 

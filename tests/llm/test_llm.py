@@ -186,6 +186,25 @@ def test_jaccard_shared_passage_makes_few_pairs(spark, monkeypatch):
     assert rows["live"][0] > 300 and rows["mixed"][0] < rows["live"][0] / 2 and rows["cross"] == [0]
 
 
+def test_live_entries_are_judged_in_written_steps(spark, monkeypatch):
+    """No written frame of the judging holds the joins of the steps before it: one task would keep the sort
+    pages of all of them at once."""
+    base = [f"w{i}" for i in range(60)]
+    texts = [base[:i] + ["x", "y"] + base[i + 2:] for i in range(20, 24)] + [[f"v{k}{i}" for i in range(30)] for k in range(3)]
+    seen, write = [], ngram_join.stored
+
+    def stored(df, name):
+        seen.append((name, len(re.findall(r"\bJoin ", df._jdf.queryExecution().optimizedPlan().toString()))))
+        return write(df, name)
+
+    judge = ngram_join._live_entries
+    monkeypatch.setattr(ngram_join, "_live_entries", lambda *a: (monkeypatch.setattr(ngram_join, "stored", stored), judge(*a),
+                                                                 monkeypatch.setattr(ngram_join, "stored", write))[1])
+    got = ngram_join.jaccard_components(make(spark, [(i, " ".join(t), "a") for i, t in enumerate(texts)]), width=1, percent=80)
+    assert {r.doc_id: r.component_id for r in got.collect()} == {0: 0, 1: 0, 2: 0, 3: 0, 4: 4, 5: 5, 6: 6}
+    assert "live" in dict(seen) and max(n for _, n in seen) <= 2, seen
+
+
 def test_across_keeps_pairs_and_their_rare_tokens(spark):
     """Entries of the same rows become one, whose ``met`` adds up to the rare tokens that a pair shares."""
     rng = random.Random(3)
